@@ -8,13 +8,13 @@ from pyspark.sql import functions as F
 from lotkeeper import fixed_values as fv
 
 # Fixed value: the characters that count as white space when a string is stripped.
-WHITESPACE = (
-    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0        "
-    "        　"
-)
+WHITESPACE = "".join(map(chr, [
+    *range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
+    0x2028, 0x2029, 0x202F, 0x205F, 0x3000,
+]))
 _CASED = r"\p{IsLowercase}\p{IsUppercase}\p{Lt}"
 # A noncharacter never appears in text, so with a blank it can mark a word start for initcap.
-_WORD_MARK = "￿ "
+_WORD_MARK = chr(0xFFFF) + " "
 
 
 def strip(c: Column) -> Column:
