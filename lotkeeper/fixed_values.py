@@ -241,3 +241,9 @@ TABLE_ROW_FIELDS = {
 GENERATION_NOISE = [
     "exterior", "interior", "owner-reviews", "review", "userimages", "generations", "colors",
 ]
+
+# --- CSV cells that stand for a missing value --------------------------------------------------
+CSV_MISSING = [
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
+    "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
+]
