@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("cleaning",)
+MODULES = ("cleaning", "matching", "availability")
 
 
 def all_queries():
