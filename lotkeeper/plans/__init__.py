@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("cleaning", "matching", "availability")
+MODULES = ("cleaning", "matching", "availability", "merging")
 
 
 def all_queries():
