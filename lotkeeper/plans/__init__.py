@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("cleaning", "matching", "availability", "merging")
+MODULES = ("cleaning", "matching", "availability", "merging", "extraction", "market")
 
 
 def all_queries():

@@ -89,6 +89,18 @@ def scan_variant_vocabulary(spark: SparkSession, path: str,
                           F.col("v._all").alias("all_tokens"))
 
 
+def lookup_names(df: DataFrame, makes: DataFrame, models: DataFrame,
+                 make_slug: str = "make_slug", model_slug: str = "model_slug") -> DataFrame:
+    """Add name and id of the make, and of the model within it; unknown slugs give NULL."""
+    m = makes.select(F.col("slug").alias("_m"), F.col("name").alias("make_name"),
+                     F.col("id").alias("make_id"))
+    d = models.select(F.col("make_slug").alias("_dm"), F.col("slug").alias("_d"),
+                      F.col("name").alias("model_name"), F.col("id").alias("model_id"))
+    return (df.join(m, F.col(make_slug) == F.col("_m"), "left")
+            .join(d, (F.col(make_slug) == F.col("_dm")) & (F.col(model_slug) == F.col("_d")), "left")
+            .drop("_m", "_dm", "_d"))
+
+
 def vocabulary_tokens(vocabulary: DataFrame) -> DataFrame:
     """One row per (model_slug, cc, token) with its rank."""
     return (vocabulary.select("model_slug", F.explode("by_cc").alias("cc", "tokens"))
