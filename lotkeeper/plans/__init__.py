@@ -2,7 +2,8 @@
 
 from importlib import import_module
 
-MODULES = ("cleaning", "matching", "availability", "merging", "extraction", "market")
+MODULES = ("cleaning", "matching", "availability", "merging", "extraction", "market",
+           "intake")
 
 
 def all_queries():

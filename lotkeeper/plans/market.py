@@ -9,20 +9,23 @@ from lotkeeper.plans import standins as S
 from lotkeeper.plans.catalogue import query
 
 
-@query("fair_price", f"""WITH {S.TRACKED_LISTINGS}, c AS (SELECT ads_id, make, model, CASE WHEN
-       manufactured_date < 1998 THEN 1995 ELSE 2000 END AS manufactured_date, left(mileage_bucket, 1)
-       AS mileage_bucket, price, availability_status FROM listings WHERE make < 'Brand 2'),
-       m AS (SELECT make, model, manufactured_date, mileage_bucket, median(price) AS median, count(*)
-       AS n FROM c WHERE availability_status = 'available' GROUP BY ALL HAVING count(*) >= 3)
+@query("fair_price", f"""WITH {S.TRACKED_LISTINGS}, c AS (SELECT ads_id, make, split_part(model, ' ', 2)
+       AS model, CASE WHEN manufactured_date < 1998 THEN 1995 ELSE 2000 END AS manufactured_date,
+       CASE WHEN mileage_bucket < '5' THEN 'low' ELSE 'high' END AS mileage_bucket, price,
+       availability_status FROM listings), m AS (SELECT make, model, manufactured_date, mileage_bucket,
+       median(price) AS median, count(*) AS n FROM c WHERE availability_status = 'available'
+       GROUP BY ALL HAVING count(*) >= 8)
        SELECT c.ads_id, c.make, c.model, c.manufactured_date, c.mileage_bucket, price, median, n,
        (price - median) / median AS residual FROM c JOIN m USING (make, model, manufactured_date,
        mileage_bucket) WHERE availability_status IN ('available', 'unknown') AND
        (price - median) / median < -0.15""")
 def fair_price(spark, sf):
-    ads = S.listings(spark, sf, tracked=True).filter("make < 'Brand 2'").selectExpr(
-        "ads_id", "make", "model", "IF(manufactured_date < 1998, 1995, 2000) AS manufactured_date",
-        "left(mileage_bucket, 1) AS mileage_bucket", "price", "availability_status")
-    return M.fair_price(ads, min_sample=3)
+    """Comparable ads: same make, kind of model, age class and mileage class."""
+    ads = S.listings(spark, sf, tracked=True).selectExpr(
+        "ads_id", "make", "split_part(model, ' ', 2) AS model",
+        "IF(manufactured_date < 1998, 1995, 2000) AS manufactured_date",
+        "IF(mileage_bucket < '5', 'low', 'high') AS mileage_bucket", "price", "availability_status")
+    return M.fair_price(ads)
 
 
 @query("liquidity", f"""WITH {S.TRACKED_LISTINGS} SELECT make, model, count(*) AS listings,

@@ -13,7 +13,7 @@ from lotkeeper import fixed_values as fv
 _BYTE_ORDER_MARK = chr(0xFEFF)
 
 
-def file_headers(spark: SparkSession, path: str) -> DataFrame:
+def file_headers(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """(file, present): the column names of every file, from its first line."""
     lines = (spark.read.text(path)
              .select("value", F.col("_metadata.file_path").alias("file"),
@@ -33,7 +33,7 @@ def _cells_to_columns(cells: Column, present: Column, columns: Sequence[str]) ->
     return [value(c) for c in columns]
 
 
-def scan_listing_csv(spark: SparkSession, path: str, columns: Sequence[str],
+def scan_listing_csv(spark: SparkSession, path: str | list[str], columns: Sequence[str],
                      layout: Sequence[str] | None = None, multi_line: bool = False,
                      skip_unreadable: bool = True) -> DataFrame:
     """All snapshot files below ``path`` as text columns, in a total order.
@@ -76,5 +76,7 @@ def sink_snapshot_csv(df: DataFrame, path: str, category: str, run_ts: str,
     """
     folder = "/".join([path, f"category={category}", f"tag={tag or 'all'}", f"suffix={suffix}",
                        f"run_ts={run_ts}"])
-    df.write.option("header", True).mode("errorifexists").csv(folder)
+    (df.write.options(header=True, escape='"', emptyValue="", ignoreLeadingWhiteSpace=False,
+                      ignoreTrailingWhiteSpace=False)
+     .mode("errorifexists").csv(folder))
     return folder

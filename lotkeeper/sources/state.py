@@ -52,6 +52,10 @@ class TableState:
         return (self.commits().select("version", F.explode("meta").alias("key", "value"))
                 .groupBy("key").agg(F.max_by("value", "version").alias("value")))
 
+    def meta_value(self, key: str) -> str | None:
+        row = self.meta().filter(F.col("key") == key).first()
+        return row["value"] if row else None
+
 
 def append_audit(audit: DataFrame, path: str) -> None:
     """Append audit rows, partitioned by the day of the check."""
