@@ -45,7 +45,6 @@ SUBJECT_NOISE_PATTERN = (
     r"(?idU)\s*[-~|]\s*(?:full\s*loan|ready\s*stock|low\s*deposit|90%\s*credit|free\s*delivery"
     r"|ready|khm\s+\w+(?:\s+\w+)?)\b.*$"
 )
-OLDEST_YEAR_PATTERN = r"(?iU)1995\s+or\s+older"
 
 # --- variant token patterns (Java regex syntax) ------------------------------------------------
 TOKEN_YEAR_PATTERN = r"(?U)\b(19|20)\d{2}\b"
@@ -60,7 +59,6 @@ TOKEN_TRAILING_PATTERN = (
 )
 
 # --- placeholders in catalog cells -------------------------------------------------------------
-EMPTY_NUMBER_WORDS = ["", "-", "n/a", "na", "none", "tbc"]
 EMPTY_UNIT_MARKS = ["", "-", "–", "—"]
 
 # --- type vocabularies: granular type -> coarse group ------------------------------------------

@@ -8,21 +8,29 @@ from pyspark.sql import functions as F
 from lotkeeper import fixed_values as fv
 from lotkeeper.functions.text import strip
 
-_INTEGER = r"^[+-]?\d{1,18}$"
-_NUMERIC = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
+_WHOLE_POINT = r"^([+-]?\d+)\.0*$"
+_OTHER_FORM = r"^[+-]?(\d+\.?\d*[eE][+-]?\d+|\.\d+([eE][+-]?\d+)?)$"
+_FRACTION = r"^[+-]?\d*\.\d*[1-9]\d*$"
 
 
 def whole_number(text: Column) -> Column:
-    """A number without a fraction as bigint; anything else, fractions included, is NULL."""
-    value = F.when(text.rlike(_NUMERIC), text.try_cast("double"))
-    return (F.when(text.rlike(_INTEGER), text.try_cast("bigint"))
-            .when(value == F.floor(value), value.try_cast("bigint")))
+    """A number without a fraction as bigint; anything else, fractions included, is NULL.
+
+    Plain digits take the first branch, ``3500.0`` the second, and only what is left is tested for
+    the rare forms ``1e3`` and ``.0``.
+    """
+    value = text.try_cast("double")
+    return F.coalesce(
+        text.try_cast("bigint"),
+        F.regexp_extract(text, _WHOLE_POINT, 1).try_cast("bigint"),
+        F.when(text.rlike(_OTHER_FORM) & (value == F.floor(value)), value.try_cast("bigint")))
 
 
 def is_fractional(text: Column) -> Column:
     """True for numeric text that ``whole_number`` refuses."""
-    value = F.when(text.rlike(_NUMERIC), text.try_cast("double"))
-    return F.coalesce(value != F.floor(value), F.lit(False))
+    value = text.try_cast("double")
+    return F.coalesce(text.rlike(_FRACTION) | (text.rlike(_OTHER_FORM) & (value != F.floor(value))),
+                      F.lit(False))
 
 
 def price_text(c: Column) -> Column:
@@ -39,8 +47,8 @@ def clean_engine_capacity(c: Column) -> Column:
 
 
 def clean_year(c: Column) -> Column:
-    text = F.regexp_replace(c.cast("string"), fv.OLDEST_YEAR_PATTERN, "1995")
-    return F.nullif(F.regexp_extract(text, r"(\d{4})", 1), F.lit("")).cast("bigint")
+    """First run of four digits; ``1995 or older`` is 1995 that way too."""
+    return F.nullif(F.regexp_extract(c.cast("string"), r"(\d{4})", 1), F.lit("")).cast("bigint")
 
 
 def clean_flag(c: Column) -> Column:
@@ -53,23 +61,24 @@ def price_digits(c: Column) -> Column:
                     F.lit("")).try_cast("decimal(38,0)")
 
 
-def _first_number(c: Column, pattern: str, missing: list[str], type_name: str) -> Column:
-    text = strip(c.cast("string"))
-    found = F.replace(F.regexp_extract(text, pattern, 0), F.lit(","))
-    return F.when(~F.lower(text).isin(*missing), F.nullif(found, F.lit("")).try_cast(type_name))
+def _first_number(c: Column, pattern: str, type_name: str) -> Column:
+    """First number in the text without its commas. Placeholder words hold no digits, so they and
+    text without a number both come out as an empty match, which casts to NULL."""
+    found = F.regexp_extract(c.cast("string"), pattern, 0)
+    return F.replace(found, F.lit(",")).try_cast(type_name)
 
 
 def leading_int(c: Column) -> Column:
     """``1,498 cc`` is 1498; the digits stop at a point."""
-    return _first_number(c, r"-?\d[\d,]*", fv.EMPTY_NUMBER_WORDS, "bigint")
+    return _first_number(c, r"-?\d[\d,]*", "bigint")
 
 
 def leading_float(c: Column) -> Column:
-    return _first_number(c, r"-?\d[\d,]*\.?\d*", fv.EMPTY_NUMBER_WORDS, "double")
+    return _first_number(c, r"-?\d[\d,]*\.?\d*", "double")
 
 
 def unit_float(c: Column) -> Column:
-    return _first_number(c, r"[\d,]+(?:\.\d+)?", fv.EMPTY_UNIT_MARKS, "double")
+    return _first_number(c, r"[\d,]+(?:\.\d+)?", "double")
 
 
 def unit_int(c: Column) -> Column:
@@ -77,8 +86,11 @@ def unit_int(c: Column) -> Column:
 
 
 def unit_text(c: Column) -> Column:
+    """Stripped text; an empty cell or a lone dash of any kind is missing."""
     text = strip(c)
-    return F.when(~text.isin(*fv.EMPTY_UNIT_MARKS), text)
+    for mark in fv.EMPTY_UNIT_MARKS:
+        text = F.nullif(text, F.lit(mark))
+    return text
 
 
 def power_to_hp(c: Column) -> Column:

@@ -12,9 +12,10 @@ WHITESPACE = "".join(map(chr, [
     *range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
     0x2028, 0x2029, 0x202F, 0x205F, 0x3000,
 ]))
-_CASED = r"\p{IsLowercase}\p{IsUppercase}\p{Lt}"
 # A noncharacter never appears in text, so with a blank it can mark a word start for initcap.
 _WORD_MARK = chr(0xFFFF) + " "
+_WORD_START = "(?<=[^{0} ])(?=[{0}])"
+_ANY_LETTER = r"\p{IsLowercase}\p{IsUppercase}\p{Lt}"
 
 
 def strip(c: Column) -> Column:
@@ -22,6 +23,11 @@ def strip(c: Column) -> Column:
     return F.trim(c, F.lit(WHITESPACE))
 
 
+def is_ascii(c: Column) -> Column:
+    """True for text of one byte per character, which needs no Unicode pattern."""
+    return F.octet_length(c) == F.char_length(c)
+
+
 def blank_to_null(c: Column) -> Column:
     return F.nullif(strip(c), F.lit(""))
 
@@ -33,20 +39,26 @@ def title_case(c: Column) -> Column:
     with a blank is put at each further word start and taken out again, so the whole expression
     stays inside generated code.
     """
-    marked = F.regexp_replace(c, rf"(?<=[^{_CASED} ])(?=[{_CASED}])", _WORD_MARK)
+    def mark(letters: str) -> Column:
+        return F.regexp_replace(c, _WORD_START.format(letters), _WORD_MARK)
+
+    marked = F.when(is_ascii(c), mark("a-zA-Z")).otherwise(mark(_ANY_LETTER))
     return F.replace(F.initcap(marked), F.lit(_WORD_MARK), F.lit(""))
 
 
 def clean_text(c: Column) -> Column:
     """Stripped title case; the text ``nan`` is a missing value."""
-    return F.nullif(title_case(strip(c.cast("string"))), F.lit("Nan"))
+    return F.nullif(strip(title_case(c.cast("string"))), F.lit("Nan"))
 
 
 def clean_subject(c: Column) -> Column:
-    """Strip, drop pictographs, drop a trailing sales phrase, map nothing left to NULL."""
-    no_emoji = strip(F.regexp_replace(strip(c), fv.EMOJI_PATTERN, ""))
-    text = strip(F.regexp_replace(no_emoji, fv.SUBJECT_NOISE_PATTERN, ""))
-    return F.when(~F.lower(text).isin("", "nan"), text)
+    """Strip, drop pictographs, drop a trailing sales phrase, map nothing left to NULL.
+
+    Each step reads the one before it once: a step named twice would be computed twice.
+    """
+    plain = F.when(is_ascii(c), c).otherwise(F.regexp_replace(c, fv.EMOJI_PATTERN, ""))
+    text = strip(F.regexp_replace(strip(plain), fv.SUBJECT_NOISE_PATTERN, ""))
+    return F.nullif(F.regexp_replace(text, "(?i)^nan$", ""), F.lit(""))
 
 
 def fold(c: Column) -> Column:
@@ -72,8 +84,7 @@ def model_slug(c: Column) -> Column:
 
 def clean_placeholder(c: Column) -> Column:
     """Strip; an empty cell or a lone hyphen is missing."""
-    text = strip(c)
-    return F.when(~text.isin("", "-"), text)
+    return F.nullif(F.nullif(strip(c), F.lit("")), F.lit("-"))
 
 
 def remove_literal(text: Column, needle: Column) -> Column:

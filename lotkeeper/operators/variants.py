@@ -17,15 +17,19 @@ def sample_per_model(listings: DataFrame, order: str, size: int = fv.SAMPLE_PER_
 
 
 def token_counts(listings: DataFrame, order: str) -> DataFrame:
-    """Variant tokens per (make, model, cc) with their frequency and first position."""
+    """Variant tokens per (make, model, cc) with their frequency and first position.
+
+    Empty tokens are dropped after counting, by a count of their own: a filter on the token itself
+    would move below the projection and compute every token twice.
+    """
     token = X.variant_token(F.col("subject"), F.col("make"), F.col("model"))
     cc = F.coalesce(F.col("engine_capacity").cast("string"), F.lit(""))
-    return (listings.filter("subject IS NOT NULL AND subject != ''")
-            .select("make", "model", cc.alias("cc"), token.alias("token"),
-                    F.col(order).alias("pos"))
-            .filter("token != ''")
+    return (listings.select("make", "model", cc.alias("cc"), token.alias("token"),
+                            F.col(order).alias("pos"))
             .groupBy("make", "model", "cc", "token")
-            .agg(F.count("*").alias("n"), F.min("pos").alias("first_pos")))
+            .agg(F.count(F.nullif(F.col("token"), F.lit(""))).alias("n"),
+                 F.min("pos").alias("first_pos"))
+            .filter("n > 0"))
 
 
 def top_tokens(counts: DataFrame, size: int = fv.TOKENS_PER_CC) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lotkeeper.operators.clean import dedup_key_keep_last
+from lotkeeper.session import spread
 
 NOW = "1999-06-15 12:00:00"
 
@@ -83,7 +84,7 @@ LAST = ("QUALIFY row_number() OVER (PARTITION BY ads_id ORDER BY "
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf}/{name}.parquet"))
 
 
 def _select(columns: dict[str, str]) -> list[str]:

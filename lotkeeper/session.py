@@ -19,6 +19,8 @@ def build_session(app_name: str = "lotkeeper", master: str | None = None, **conf
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
+        # HotSpot never compiles methods above 8000 bytes; wide projections run split up instead
+        "spark.sql.codegen.hugeMethodLimit": "8000",
         **conf,
     }
     builder = SparkSession.builder.appName(app_name)
@@ -55,3 +57,10 @@ def written(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Spread a scan over all cores when it comes in fewer partitions than there are cores, as a
+    few small or unsplittable files do. Larger scans stay as they are."""
+    wanted = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= wanted else df.repartition(wanted)
