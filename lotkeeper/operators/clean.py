@@ -31,11 +31,21 @@ def clean_columns(df: DataFrame, category: str) -> DataFrame:
     return df.withColumns({c: cleaners[c](F.col(c)) for c in df.columns if c in cleaners})
 
 
+def has_identity(columns: list[str], category: str, cleaned: bool = True) -> Column:
+    """Whether a row has an id, a make or a model. Unclean makes and models are cleaned first, but
+    only in rows without an id."""
+    text = X.clean_text if not cleaned else lambda c: c
+    known = F.col("ads_id").isNotNull() if "ads_id" in columns else F.lit(False)
+    for c in (MAKE_COLUMN[category], MODEL_COLUMN[category]):
+        if c in columns:
+            known = known | text(F.col(c)).isNotNull()
+    return known
+
+
 def drop_no_identity(df: DataFrame, category: str) -> DataFrame:
     """Drop rows whose id, make and model are all missing."""
-    keys = [c for c in ("ads_id", MAKE_COLUMN[category], MODEL_COLUMN[category])
-            if c in df.columns]
-    return df.dropna(how="all", subset=keys) if keys else df
+    keys = {"ads_id", MAKE_COLUMN[category], MODEL_COLUMN[category]} & set(df.columns)
+    return df.filter(has_identity(df.columns, category)) if keys else df
 
 
 def _first_per(df: DataFrame, keys: list[Column], order: list[Column]) -> DataFrame:
@@ -70,9 +80,14 @@ def flag_low_price(df: DataFrame, limit: int = fv.LOW_PRICE) -> DataFrame:
 
 
 def clean_listings(df: DataFrame, category: str, order: str | Column) -> DataFrame:
-    """Column cleaners, then identity filter, then one row per id, then one row per repost group."""
-    cleaned = drop_no_identity(clean_columns(df, category), category)
-    return dedup_reposts(dedup_key_keep_last(cleaned, order), category)
+    """Clean columns, drop rows without identity, keep one row per id, then one per repost group.
+
+    Cleaning leaves the id alone, so rows are reduced to one per id first and the column cleaners
+    run on the survivors only, after the shuffle.
+    """
+    known = df.filter(has_identity(df.columns, category, cleaned=False))
+    last = dedup_key_keep_last(known, order) if "ads_id" in df.columns else known
+    return dedup_reposts(clean_columns(last, category), category)
 
 
 def clean_stats(df: DataFrame, category: str, order: str | Column) -> DataFrame:

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from lotkeeper import fixed_values as fv
 from lotkeeper.functions import text as X
 from lotkeeper.functions.numbers import hp_to_kw
+from lotkeeper.session import written
 
 # Catalog column -> listing column.
 CAR_DIMENSIONS = {
@@ -66,10 +67,8 @@ def with_make_key(pairs: DataFrame, make: str, make_alias: DataFrame | None) ->
 
 
 def with_alias_key(pairs: DataFrame, make: str, model: str,
-                   model_alias: DataFrame | None) -> DataFrame:
+                   model_alias: DataFrame) -> DataFrame:
     """Add ``alias_key``: match key of the curated slug of the verbatim ``Make|Model``."""
-    if model_alias is None:
-        return pairs.withColumn("alias_key", F.lit(None).cast("string"))
     alias = model_alias.select(F.col("alias").alias("_alias"), F.col("slug").alias("_slug"))
     verbatim = F.concat(F.coalesce(make, F.lit("None")), F.lit("|"),
                         F.coalesce(model, F.lit("None")))
@@ -143,17 +142,18 @@ def match_motorcycles(pairs: DataFrame, catalog: DataFrame, make_alias: DataFram
     index = catalog_last_wins(catalog, order)
     keyed = with_make_key(pairs, make, make_alias).withColumn("model_key",
                                                               X.match_key(F.col(model)))
-    keyed = _makes_present(with_alias_key(keyed, make, model, model_alias), index)
-    keyed = match_prefix(_hit(keyed, index, "model_key", "exact"), index)
-    keyed = _hit(keyed, index, "alias_key", "aliased")
+    keyed = written(_hit(_makes_present(keyed, index), index, "model_key", "exact"), "moto-keys")
+    keyed = match_prefix(keyed, index)
     tier = (F.when(F.col("has_make").isNull(), F.lit("no_make_catalog"))
             .when(F.col("exact"), F.lit("exact"))
-            .when(F.col("prefix_key").isNotNull(), F.lit("prefix"))
-            .when(F.col("aliased"), F.lit("alias"))
-            .otherwise(F.lit("null")))
-    chosen = (F.when(tier == "exact", F.col("model_key"))
-              .when(tier == "prefix", F.col("prefix_key"))
-              .when(tier == "alias", F.col("alias_key")))
+            .when(F.col("prefix_key").isNotNull(), F.lit("prefix")))
+    chosen = (F.when(F.col("exact"), F.col("model_key"))
+              .when(F.col("prefix_key").isNotNull(), F.col("prefix_key")))
+    if model_alias is not None:
+        keyed = _hit(with_alias_key(keyed, make, model, model_alias), index, "alias_key", "aliased")
+        tier = tier.when(F.col("aliased"), F.lit("alias"))
+        chosen = chosen.when(F.col("aliased"), F.col("alias_key"))
+    tier = tier.otherwise(F.lit("null"))
     decided = keyed.select(make, model, "make_key", tier.alias("tier"),
                            chosen.alias("catalog_key"))
     rows = index.select("make_key", F.col("model_key").alias("catalog_key"), "row")
@@ -254,8 +254,8 @@ def match_cars(keys: DataFrame, catalog: DataFrame, make_alias: DataFrame | None
     """Match distinct (make, model, cc, year): model, then engine size within the tolerance, then
     nearest year. Power counts as known when all candidates agree within the spread ratio.
 
-    The model alias is used only when the model itself is not in the catalog. Returns the keys
-    with ``tier``, ``confident`` and the matched catalog row as ``row``.
+    The model alias is used only when the model itself is not in the catalog. The keys feed several
+    branches, so they are written once. Returns them with ``tier``, ``confident`` and the matched catalog row as ``row``.
     """
     catalog = catalog.withColumn("cat_id", F.col(order))
     rows = catalog.select(F.col("make").alias("make_key"),
@@ -264,15 +264,16 @@ def match_cars(keys: DataFrame, catalog: DataFrame, make_alias: DataFrame | None
                                                            if c != "cat_id"]).alias("best"))
     index = rows.select("make_key", "model_key").distinct()
 
-    pairs = keys.select("make", "model").distinct()
-    pairs = with_make_key(pairs, "make", make_alias).withColumn("own_key",
-                                                                X.match_key(F.col("model")))
-    pairs = _makes_present(with_alias_key(pairs, "make", "model", model_alias), index)
-    pairs = _hit(_hit(pairs, index, "own_key", "own"), index, "alias_key", "aliased")
-    pairs = pairs.select("make", "model", "make_key", "has_make",
-                         F.when(F.col("own"), F.col("own_key"))
-                         .when(F.col("aliased"), F.col("alias_key")).alias("model_key"))
-    keyed = null_safe(keys, pairs, ["make", "model"])
+    keyed = with_make_key(keys, "make", make_alias).withColumn("own_key",
+                                                               X.match_key(F.col("model")))
+    keyed = _hit(_makes_present(keyed, index), index, "own_key", "own")
+    chosen = F.when(F.col("own"), F.col("own_key"))
+    if model_alias is not None:
+        keyed = _hit(with_alias_key(keyed, "make", "model", model_alias), index, "alias_key",
+                     "aliased")
+        chosen = chosen.when(F.col("aliased"), F.col("alias_key"))
+    keyed = written(keyed.select("make", "model", "cc", "year", "make_key", "has_make",
+                                 chosen.alias("model_key")), "car-keys")
 
     # one catalog row per (make, model, cc, year): the first one, with the power range
     offers = (rows.filter("engine_cc IS NOT NULL")

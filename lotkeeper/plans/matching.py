@@ -11,6 +11,7 @@ from lotkeeper.operators import variants as V
 from lotkeeper.plans import standins as S
 from lotkeeper.plans.catalogue import query
 from lotkeeper.plans.cleaning import token_sql
+from lotkeeper.session import written
 
 _NORM = "regexp_replace(lower(coalesce({}, '')), '[^a-z0-9]', '', 'g')"
 
@@ -74,9 +75,10 @@ _CAR_SPECS = {"engine_cc": "INT", "length_mm": "INT", "seat_capacity": "INT",
 
 
 def _cars_to_fill(spark, sf):
-    """Listings without specifications, a third of them filled earlier by another source."""
+    """Listings without specifications, a third of them filled earlier by another source. The
+    table is stored, as it is between cleaning and enrichment."""
     done = "((engine_capacity - 800) div 40) % 3 = 0"
-    return S.listings(spark, sf).selectExpr(
+    return written(S.listings(spark, sf), "listings").selectExpr(
         "ads_id", "make", "model", "engine_capacity", "manufactured_date",
         f"IF({done}, 1, CAST(NULL AS INT)) AS engine_cc",
         *[f"CAST(NULL AS {t}) AS {c}" for c, t in _CAR_SPECS.items() if c != "engine_cc"])
@@ -115,9 +117,10 @@ def spec_fill_cars(spark, sf):
        AS with_power_pct FROM tiers""")
 def spec_tier_coverage(spark, sf):
     """Flagship: listings, one row per ad, matched to the catalog, counted by tier."""
-    ads = S.listings(spark, sf).select(
-        "ads_id", "make", "model", "engine_capacity", "manufactured_date",
-        *[F.lit(None).cast(t).alias(c) for c, t in _CAR_SPECS.items()])
+    table = S.listings(spark, sf).select("ads_id", "make", "model", "engine_capacity",
+                                         "manufactured_date")
+    ads = written(table, "listings").select(
+        "*", *[F.lit(None).cast(t).alias(c) for c, t in _CAR_SPECS.items()])
     return M.tier_coverage(M.enrich_cars(ads, S.catalog(spark, sf), "catalog"), "cars")
 
 

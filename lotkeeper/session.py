@@ -21,6 +21,8 @@ def build_session(app_name: str = "lotkeeper", master: str | None = None, **conf
         "spark.sql.session.timeZone": "UTC",
         # HotSpot never compiles methods above 8000 bytes; wide projections run split up instead
         "spark.sql.codegen.hugeMethodLimit": "8000",
+        # no Python stack trace per column expression
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         **conf,
     }
     builder = SparkSession.builder.appName(app_name)
