@@ -18,6 +18,8 @@ TARGET_VERSION = 11
 MAKE_COLUMN = {CARS: "make", MOTORCYCLES: "motorcycle_make"}
 MODEL_COLUMN = {CARS: "model", MOTORCYCLES: "motorcycle_model"}
 
+_TYPES = {"bigint": T.LongType(), "int": T.IntegerType(), "double": T.DoubleType(),
+          "string": T.StringType()}
 SCRAPE, ENRICH, TRACKING = "scrape", "enrich", "tracking"
 
 
@@ -108,4 +110,4 @@ def enrichment_columns(category: str) -> list[str]:
 
 def listing_schema(category: str) -> T.StructType:
     """The full table schema of a category at the target version."""
-    return T.StructType.fromDDL(", ".join(f"`{c.name}` {c.type}" for c in columns_of(category)))
+    return T.StructType([T.StructField(c.name, _TYPES[c.type]) for c in columns_of(category)])
