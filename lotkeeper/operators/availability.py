@@ -177,8 +177,17 @@ def sweep_audit(applied: DataFrame) -> DataFrame:
                     detected.alias("detected_status")))
 
 
-def recheck_stats(applied: DataFrame) -> DataFrame:
-    return applied.groupBy("outcome").agg(F.count("*").alias("n"))
+def recheck_stats(listings: DataFrame, applied: DataFrame) -> DataFrame:
+    """Rows of the table (``total``), rows that were due (``due``), and due rows per outcome."""
+    outcomes = (applied.rollup("outcome").agg(F.count("*").alias("n"))
+                .select(F.coalesce("outcome", F.lit("due")).alias("outcome"), "n"))
+    return outcomes.unionByName(listings.agg(F.count("*").alias("n"))
+                                .select(F.lit("total").alias("outcome"), "n"))
+
+
+def probe_stats(probes: DataFrame) -> DataFrame:
+    """Probes per detected status."""
+    return probes.groupBy("detected_status").agg(F.count("*").alias("n"))
 
 
 # --- expiry backfill ---------------------------------------------------------------------------

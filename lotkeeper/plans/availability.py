@@ -201,9 +201,15 @@ def sweep_audit(spark, sf):
     return A.sweep_audit(_swept(spark, sf))
 
 
-@query("recheck_stats", f"{_OUTCOME} SELECT outcome, count(*) AS n FROM o GROUP BY 1")
+@query("recheck_stats", f"""{_OUTCOME} SELECT outcome, count(*) AS n FROM o GROUP BY 1 UNION ALL
+       SELECT 'due', count(*) FROM o UNION ALL SELECT 'total', count(*) FROM listings""")
 def recheck_stats(spark, sf):
-    return A.recheck_stats(_swept(spark, sf))
+    return A.recheck_stats(S.listings(spark, sf, tracked=True), _swept(spark, sf))
+
+
+@query("probe_stats", f"""WITH {S.PROBES} SELECT detected_status, count(*) AS n FROM probes GROUP BY 1""")
+def probe_stats(spark, sf):
+    return A.probe_stats(S.probes(spark, sf))
 
 
 # --- expiry backfill ----------------------------------------------------------------------------

@@ -89,7 +89,7 @@ _DOC_SUBJECT = ("CASE doc_id % 5 WHEN 0 THEN ' ' || text || ' - Full Loan Ready
 @query("clean_subject", f"""SELECT doc_id, {_subject('subject')} AS subject
        FROM (SELECT doc_id, {_DOC_SUBJECT} AS subject FROM documents)""")
 def clean_subject(spark, sf):
-    subjects = S.table(spark, sf, "documents").selectExpr("doc_id", f"{_DOC_SUBJECT} AS subject")
+    subjects = S.parsed_table(spark, sf, "documents").selectExpr("doc_id", f"{_DOC_SUBJECT} AS subject")
     return subjects.select("doc_id", X.clean_subject(F.col("subject")).alias("subject"))
 
 
@@ -222,7 +222,7 @@ def mileage_bucket(spark, sf):
 @query("norm_key", r"""SELECT doc_id, regexp_replace(lower(text), '[^a-z0-9]', '', 'g') AS norm_key
        FROM documents""")
 def norm_key(spark, sf):
-    return S.table(spark, sf, "documents").select(
+    return S.parsed_table(spark, sf, "documents").select(
         "doc_id", X.match_key(F.col("text")).alias("norm_key"))
 
 

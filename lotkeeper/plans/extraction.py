@@ -32,7 +32,7 @@ _BODY = (f"CASE o_orderkey % 12 WHEN 6 THEN '' WHEN 7 THEN '<html>gone</html>' W
        THEN 'soft_404' WHEN 9 THEN 'soft_404' WHEN 10 THEN 'soft_404' ELSE 'transient' END
        AS detected_status FROM orders""")
 def classify_response(spark, sf):
-    pages = S.table(spark, sf, "orders").selectExpr(
+    pages = S.parsed_table(spark, sf, "orders").selectExpr(
         "o_orderkey AS ads_id", f"{_STATUS} AS http_status", f"{_BODY} AS body")
     return P.classify_pages(pages).select("ads_id", "detected_status")
 
@@ -46,7 +46,7 @@ _PART_BODY = (f"CASE WHEN p_partkey % 10 = 0 THEN 'no state' ELSE {_page(_PARAMS
 
 
 def _spec_pages(spark, sf):
-    return S.table(spark, sf, "part").selectExpr("p_partkey AS ads_id", f"{_PART_BODY} AS body")
+    return S.parsed_table(spark, sf, "part").selectExpr("p_partkey AS ads_id", f"{_PART_BODY} AS body")
 
 
 @query("extract_oem_specs", """SELECT p_partkey AS ads_id, CASE WHEN p_partkey % 10 > 0 THEN 800 + p_size
@@ -92,7 +92,7 @@ _SECTION_URL = (f"'https://cars.example.org/' || {_MAKE} || '/' || {_MODEL} || '
 
 
 def _section_pages(spark, sf):
-    return S.table(spark, sf, "part").selectExpr(f"{_SECTION_URL} AS url", f"{_SECTION_PAGE} AS body")
+    return S.parsed_table(spark, sf, "part").selectExpr(f"{_SECTION_URL} AS url", f"{_SECTION_PAGE} AS body")
 
 
 @query("html_sections", f"""SELECT {_MAKE} AS make, {_MODEL} AS model, 'gen-' || p_partkey AS generation,
@@ -129,7 +129,7 @@ _LIST_PAGE = (
        (p_size % 10) || ' L","Engine Type":"' || p_type || '","Cooling System":"-"}}' AS raw_specs
        FROM part""")
 def html_li_pairs(spark, sf):
-    pages = S.table(spark, sf, "part").selectExpr(
+    pages = S.parsed_table(spark, sf, "part").selectExpr(
         f"'https://bikes.example.org/new-motorcycles/' || {_MAKE} || '/' || {_MODEL} ||"
         " '/specifications' AS url", f"{_LIST_PAGE} AS body")
     return P.parse_list_pages(pages).select("make", "model", "year", "engine_cc", "fuel_tank_l",
@@ -148,7 +148,7 @@ _ROW_PAGE = ("'<table><tr><th>Spec</th><th>Value</th><th>Note</th></tr>' || IF(p
        round_even((p_size + 0.8) * 1.34102, 1)::DOUBLE AS power_hp, round_even(700.5 + p_size, 0)::BIGINT
        AS seat_height_mm, p_type AS engine_type, NULL AS cooling FROM part WHERE p_partkey % 4 > 0""")
 def html_row_pairs(spark, sf):
-    pages = S.table(spark, sf, "part").selectExpr("p_partkey", f"{_ROW_PAGE} AS body")
+    pages = S.parsed_table(spark, sf, "part").selectExpr("p_partkey", f"{_ROW_PAGE} AS body")
     return P.parse_row_pages(pages).select("p_partkey", "engine_cc", "power_hp", "seat_height_mm",
                                            "engine_type", "cooling")
 
@@ -157,7 +157,7 @@ def html_row_pairs(spark, sf):
        AS upserted, count(*) FILTER (p_size > 40) AS skipped_existing, count(*) FILTER (p_size <= 40 AND
        p_partkey % 4 = 0) AS errors FROM part""")
 def parse_job_summary(spark, sf):
-    pages = S.table(spark, sf, "part").selectExpr("p_partkey", "p_size", f"{_ROW_PAGE} AS body")
+    pages = S.parsed_table(spark, sf, "part").selectExpr("p_partkey", "p_size", f"{_ROW_PAGE} AS body")
     parsed = P.parse_row_pages(pages.filter("p_size <= 40").select("p_partkey", "body")).select(
         "p_partkey", F.lit(True).alias("parsed"))
     outcome = (F.when(F.col("p_size") > 40, F.lit("skipped_existing"))
@@ -175,7 +175,7 @@ def parse_job_summary(spark, sf):
        GROUP BY ALL) SELECT url, link, row_number() OVER (PARTITION BY url ORDER BY pos) - 1 AS pos
        FROM d""")
 def html_links(spark, sf):
-    return P.html_links(S.table(spark, sf, "pages"), body="html")
+    return P.html_links(S.parsed_table(spark, sf, "pages"), body="html")
 
 
 _LINK = (f"'/' || {_MAKE} || CASE p_partkey % 8 WHEN 0 THEN '' WHEN 1 THEN '/' || {_MODEL} || '/' WHEN 2"

@@ -84,7 +84,12 @@ LAST = ("QUALIFY row_number() OVER (PARTITION BY ads_id ORDER BY "
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{sf}/{name}.parquet"))
+    return spark.read.parquet(f"{sf}/{name}.parquet")
+
+
+def parsed_table(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    """A table whose rows are about to be parsed at some cost."""
+    return spread(table(spark, sf, name))
 
 
 def _select(columns: dict[str, str]) -> list[str]:
@@ -96,7 +101,7 @@ def _sql(name: str, columns: dict[str, str], source: str, tail: str = "") -> str
 
 
 def _ad_rows(spark: SparkSession, sf: str, tracked: bool) -> DataFrame:
-    lines, part = table(spark, sf, "lineitem"), table(spark, sf, "part")
+    lines, part = parsed_table(spark, sf, "lineitem"), table(spark, sf, "part")
     rows = lines.join(part, lines.l_partkey == part.p_partkey)
     if tracked:
         orders, customer = table(spark, sf, "orders"), table(spark, sf, "customer")

@@ -61,8 +61,10 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Spread a scan over all cores when it comes in fewer partitions than there are cores, as a
-    few small or unsplittable files do. Larger scans stay as they are."""
-    wanted = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= wanted else df.repartition(wanted)
+def spread(df: DataFrame, factor: int = 8) -> DataFrame:
+    """Spread a scan ahead of costly parsing when it comes in fewer partitions than there are cores,
+    as a few small or unsplittable files do. Larger scans stay as they are, and a small table never
+    grows to more than ``factor`` times its partitions."""
+    have = df.rdd.getNumPartitions()
+    wanted = min(df.sparkSession.sparkContext.defaultParallelism, factor * have)
+    return df if have >= wanted else df.repartition(wanted)
