@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lotkeeper import fixed_values as fv
+from lotkeeper.session import written
 
 _BYTE_ORDER_MARK = chr(0xFEFF)
 
@@ -46,7 +47,7 @@ def scan_listing_csv(spark: SparkSession, path: str | list[str], columns: Sequen
     value) and ``ingest_seq``, which orders rows by file time, file name and place in the file.
     """
     if layout is None:
-        headers = file_headers(spark, path)
+        headers = written(file_headers(spark, path), "headers")
         width = headers.agg(F.max(F.size("present"))).first()[0] or 0
     else:
         headers, width = None, len(layout)
