@@ -54,7 +54,7 @@ def upsert(state: DataFrame, batch: DataFrame, key: str, seq: str,
             return F.coalesce(f"o.{c}", f"n.{c}").alias(c)
         if c not in columns:
             return F.col(f"o.{c}")
-        value = F.col(f"n.{c}.v").cast(state.schema[c].dataType)
+        value = F.col(f"n.{c}.v").try_cast(state.schema[c].dataType)
         keep = F.col(f"n.{c}").isNull()
         if c in immutable:
             keep = F.col("o._known")

@@ -88,6 +88,11 @@ def schema_drift(df: DataFrame, category: str) -> DataFrame:
     return spark.createDataFrame(rows, "drift string, column string")
 
 
+def _numeric_id(text: Column) -> Column:
+    """Whole ids exactly; decimal notation is cut off at the point; anything else is NULL."""
+    return F.coalesce(text.try_cast("bigint"), text.try_cast("double").try_cast("bigint"))
+
+
 def prepare_listings(df: DataFrame, category: str, now: str,
                      file: str | None = None) -> DataFrame:
     """Coerce a snapshot into table shape.
@@ -118,8 +123,7 @@ def prepare_listings(df: DataFrame, category: str, now: str,
 
     df = df.withColumns({"first_seen_at": seen("first_seen_at", fallback),
                          "last_seen_at": seen("last_seen_at", stamp),
-                         "ads_id": F.col("ads_id").cast("string").try_cast("double")
-                         .cast("bigint")})
+                         "ads_id": _numeric_id(F.col("ads_id").cast("string"))})
     if "availability_status" not in df.columns:
         df = df.withColumn("availability_status", F.lit("unknown"))
     accepted = [c for c in R.accepted_columns(category) if c in df.columns]

@@ -85,7 +85,8 @@ def scan_api_payload(spark, sf):
     path = scratch_path(spark, "payload")
     _payloads(spark, sf).write.text(path)
     ads = AP.scan_api_payload(spark, path, "cars", multi_line=False)
-    return AP.normalize_ads(ads, "cars").select(*_AD_COLUMNS)
+    return AP.normalize_ads(ads, "cars").select(*_AD_COLUMNS).withColumn(
+        "price", F.col("price").cast("bigint"))
 
 
 @query("normalize_ad", _NORMALIZED)

@@ -226,8 +226,8 @@ def spec_match_moto(spark, sf):
        hit AS (SELECT count(*) AS h FROM ads WHERE tier IN ('exact', 'prefix', 'alias'))
        SELECT tiers.tier, count(ads.tier) AS n,
        round(100.0 * count(ads.tier) / (SELECT count(*) FROM ads), 1) AS pct, any_value(h) AS matched,
-       round(100.0 * any_value(h) / (SELECT count(*) FROM ads), 1) AS matched_pct, 0 AS with_power,
-       0.0 AS with_power_pct FROM tiers CROSS JOIN hit LEFT JOIN ads ON ads.tier = tiers.tier
+       round(100.0 * any_value(h) / (SELECT count(*) FROM ads), 1) AS matched_pct, 0::BIGINT AS with_power,
+       0.0::DOUBLE AS with_power_pct FROM tiers CROSS JOIN hit LEFT JOIN ads ON ads.tier = tiers.tier
        GROUP BY tiers.tier""")
 def spec_tier_coverage_moto(spark, sf):
     filled = M.enrich_motorcycles(S.motorcycles(spark, sf), S.moto_catalog(spark, sf), "default",

@@ -10,13 +10,11 @@ from lotkeeper import fixed_values as fv
 from lotkeeper.functions import flags
 from lotkeeper.registry import check_category
 
-_LONGS = {"price", "old_price", "media_count", "car_loan_payment", "car_loan_tenure"}
-
 
 def attribute_schema(category: str) -> T.StructType:
-    """Fields of interest; all others are never parsed."""
+    """Fields of interest, as text so that nothing odd is lost; all others are never parsed."""
     names = fv.API_SHARED_FIELDS | fv.API_CATEGORY_FIELDS[check_category(category)]
-    fields = [T.StructField(n, T.LongType() if n in _LONGS else T.StringType()) for n in names]
+    fields = [T.StructField(n, T.StringType()) for n in names]
     mileage = T.StructType([T.StructField("gte", T.LongType()), T.StructField("lte", T.LongType())])
     return T.StructType([T.StructField("list_id", T.StringType()), *fields,
                          T.StructField("mileage", mileage)])
