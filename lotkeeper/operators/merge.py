@@ -98,7 +98,8 @@ def upsert_stats(state: DataFrame, batch: DataFrame, file: str = "file",
 
 def insert_ignore(state: DataFrame, batch: DataFrame, seq: str = "ingest_seq",
                   key: str = "ads_id", unique: str | None = "url") -> DataFrame:
-    """Insert rows whose key, and whose unique column, is not taken yet. First writer wins.
+    """Insert rows whose key, and whose unique column, is not taken yet. First writer wins; ``seq``
+    must order the rows without ties.
 
     A row loses only to rows that were inserted before it, so a loser must not block others. Each
     round accepts every row that is first both for its key and for its unique value, then drops

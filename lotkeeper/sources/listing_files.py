@@ -48,7 +48,7 @@ def scan_listing_csv(spark: SparkSession, path: str | list[str], columns: Sequen
     """
     if layout is None:
         headers = written(file_headers(spark, path), "headers")
-        width = headers.agg(F.max(F.size("present"))).first()[0] or 0
+        width = headers.agg(F.max(F.size("present"))).first()[0] or 1
     else:
         headers, width = None, len(layout)
     slots = [f"_c{i}" for i in range(width)]
