@@ -47,7 +47,3 @@ def api_vehicle_type(c: Column) -> Column:
 
 def car_type_group(c: Column) -> Column:
     return lookup(c, fv.CAR_TYPE_GROUPS)
-
-
-def motorcycle_type_group(c: Column) -> Column:
-    return lookup(c, fv.MOTORCYCLE_TYPE_GROUPS)

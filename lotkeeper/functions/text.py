@@ -28,10 +28,6 @@ def is_ascii(c: Column) -> Column:
     return F.octet_length(c) == F.char_length(c)
 
 
-def blank_to_null(c: Column) -> Column:
-    return F.nullif(strip(c), F.lit(""))
-
-
 def title_case(c: Column) -> Column:
     """Upper-case every letter that follows a non-letter, lower-case the others.
 

@@ -255,7 +255,8 @@ def match_cars(keys: DataFrame, catalog: DataFrame, make_alias: DataFrame | None
     nearest year. Power counts as known when all candidates agree within the spread ratio.
 
     The model alias is used only when the model itself is not in the catalog. The keys feed several
-    branches, so they are written once. Returns them with ``tier``, ``confident`` and the matched catalog row as ``row``.
+    branches, so they are written once. Returns them with ``tier``, ``confident`` and the matched
+    catalog row as ``row``.
     """
     catalog = catalog.withColumn("cat_id", F.col(order))
     rows = catalog.select(F.col("make").alias("make_key"),

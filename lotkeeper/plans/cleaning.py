@@ -132,6 +132,11 @@ def flag_low_price(spark, sf):
     return C.flag_low_price(prices)
 
 
+@query("price_rejects", f"""WITH {S.RAW} SELECT ads_id, price FROM raw WHERE l_linenumber = 3""")
+def price_rejects(spark, sf):
+    return C.price_rejects(S.raw_listings(spark, sf).select("ads_id", "price"))
+
+
 @query("dedup_key_keep_last", f"""WITH {S.RAW} SELECT ads_id, price, make, subject FROM raw
        {S.LAST}""")
 def dedup_key_keep_last(spark, sf):

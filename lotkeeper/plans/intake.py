@@ -212,6 +212,16 @@ def sink_reference_sorted(spark, sf):
     return spark.read.text(path)
 
 
+@query("sink_makes_sorted", f"""SELECT DISTINCT '{{"id":"' || p_brand || '","name":"' || p_brand ||
+       '","slug":"' || {_SLUG} || '"}}' AS value FROM part""")
+def sink_makes_sorted(spark, sf):
+    makes = S.table(spark, sf, "part").selectExpr(f"{_SLUG} AS slug", "p_brand AS name",
+                                                  "p_brand AS id").distinct()
+    path = scratch_path(spark, "makes")
+    RD.sink_reference(RD.makes_document(makes), path)
+    return spark.read.text(path)
+
+
 # --- table state and streams ----------------------------------------------------------------------
 
 

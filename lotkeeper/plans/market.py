@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from lotkeeper.operators import market as M
 from lotkeeper.plans import standins as S
 from lotkeeper.plans.catalogue import query

@@ -399,6 +399,15 @@ def sample_per_model(spark, sf):
         "ads_id", "make", "model", "subject")
 
 
+@query("variant_vocab_by_slug", f"""WITH {_VOCAB} SELECT replace(model, ' ', '-') AS model_slug,
+       array_to_string(list_filter(toks, lambda x, i: list_position(toks, x) = i), '; ')
+       AS all_tokens FROM voc QUALIFY row_number() OVER (PARTITION BY model ORDER BY make DESC) = 1""")
+def variant_vocab_by_slug(spark, sf):
+    """Makes that share a model slug: the last make wins."""
+    vocabulary = V.by_model_slug(V.variant_vocabulary(_positioned(spark, sf), "pos"), "make")
+    return vocabulary.select("model_slug", F.array_join("all_tokens", "; ").alias("all_tokens"))
+
+
 # Vocabulary for filling: fixed word lists per model, by engine size for some sizes only.
 _WORDS = {0: "['G', 'GR Sport']", 1: "['Sport', 'plus', 'TRD']", 2: "['MEDIUM', 'Premium (S)']"}
 
