@@ -13,7 +13,7 @@ from bisect import bisect_left, insort
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -109,23 +109,26 @@ def pieces(documents: DataFrame, path: str, capacity: int = CAPACITY, end_id: in
     schema = PIECES.format(id=documents.schema[id_col].dataType.simpleString())
     end = np.asarray([end_id], "<u4").tobytes()
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, part = tokenizer(path).encode, TaskContext.get().partitionId()
         seen = [0] * (capacity + 1)
         for batch in batches:
-            rows = []
-            for doc_id, text in zip(batch["doc_id"], batch["text"]):
-                ids = encode(text or "") + end
+            rows, origin = [], []
+            for at, text in enumerate(batch.column("text")):
+                ids = encode(text.as_py() or "") + end
                 for piece, (start, length) in enumerate(cut(len(ids) // 4, capacity)):
-                    rows.append((doc_id, piece, start, length, zlib.crc32(ids[4 * start:4 * (start + length)]),
+                    rows.append((piece, start, length, zlib.crc32(ids[4 * start:4 * (start + length)]),
                                  part, seen[length]))
+                    origin.append(at)
                     seen[length] += 1
-            out = pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32", "part", "nth"])
-            out["doc_id"] = out["doc_id"].astype(batch["doc_id"].dtype)
-            yield out
+            table = np.asarray(rows, np.int64).reshape(-1, 6)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id").take(pa.array(origin, pa.int64())),
+                 *[pa.array(table[:, i], pa.int32() if i in (0, 4) else pa.int64()) for i in range(6)]],
+                ["doc_id", "piece", "start", "length", "ids_crc32", "part", "nth"])
 
     chosen = documents.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    return chosen.mapInPandas(run, schema)
+    return chosen.mapInArrow(run, schema)
 
 
 class Plan:
@@ -255,17 +258,18 @@ def pack(documents: DataFrame, path: str, capacity: int = CAPACITY, end_id: int
     keys = slots[:, 0] * (1 << 44) + slots[:, 1]
     shared = documents.sparkSession.sparkContext.broadcast((keys, slots))
 
-    def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, slots = shared.value
         for batch in batches:
-            length, rank = batch["length"].to_numpy(np.int64), batch["rank"].to_numpy(np.int64)
+            length, rank = batch.column("length").to_numpy(), batch.column("rank").to_numpy()
             slot = slots[np.searchsorted(keys, length * (1 << 44) + rank, side="right") - 1]
             ahead = rank - slot[:, 1]
-            batch["sequence_id"] = slot[:, 3] + ahead // slot[:, 2]
-            batch["offset"] = slot[:, 4] + ahead % slot[:, 2] * length
-            yield batch[["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:5], pa.array(slot[:, 3] + ahead // slot[:, 2]),
+                 pa.array(slot[:, 4] + ahead % slot[:, 2] * length)],
+                ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"])
 
     kind = cuts.schema["doc_id"].dataType.simpleString()
     return (ranked.select("doc_id", "piece", "start", "length", "ids_crc32", "rank")
-            .mapInPandas(place, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long, "
+            .mapInArrow(place, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long, "
                                 "sequence_id long, offset long"))

@@ -58,3 +58,19 @@ def components(nodes: DataFrame, links: DataFrame, node: str = "node", rounds: i
         raise RuntimeError("links form a chain too long for the given rounds")
     return (nodes.select(F.col(node).alias("n")).join(state, "n", "left")
             .select(F.col("n").alias(node), F.coalesce("root", "n").alias("root")))
+
+
+#: Shares that the rows of one key are split into where that key may be hot.
+SHARES = 64
+
+
+def hot_join(left: DataFrame, right: DataFrame, key: str, by: list[str]) -> DataFrame:
+    """Left join on ``key``, unique in ``right``, where one key may hold a large share of ``left``.
+
+    Rows of a key are split by a hash of ``by`` and the right row is repeated for the shares that occur,
+    so the copies number at most the left rows, and no task gets a whole hot key. Null keys match nothing.
+    """
+    shared = left.withColumn("_share", F.pmod(F.xxhash64(*by), F.lit(SHARES)).cast("int"))
+    shares = (shared.where(F.col(key).isNotNull()).select(key, "_share").distinct()
+              .join(right.where(F.col(key).isNotNull()), key))
+    return shared.join(shares, [key, "_share"], "left").drop("_share")
