@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lotkeeper.llm import packing, partenum
+from lotkeeper.llm import line_rules, packing, partenum
 from lotkeeper.llm.words import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +24,12 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+@query("op1_quality_rules", line_rules.quality_sql())
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Figures and verdict of every document; the cleaned text stays with the operator."""
+    return line_rules.quality(table(spark, sf_dir, "documents")).drop("clean_text")
+
+
 @query("op8_ngram_jaccard_join")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose sets of 4-word shingles are 85% alike."""
