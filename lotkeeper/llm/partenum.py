@@ -106,7 +106,8 @@ def signatures(own: np.ndarray, percent: int) -> np.ndarray:
     for pair in (band, band + 1):  # with the band below, and with the band above
         # |A| + |B| - 2|AB| for the largest sizes of the pair's upper band
         k = 2 * tops[pair] * (100 - percent) // (100 + percent)
-        parts = k + 1 if k < 4 else k + 3
+        # similar sets agree on parts - k parts or more; about one part in a hundred is empty by chance
+        parts = k + 1 if k < 4 else k + 3 + k * 3 // 100
         for trial in range(CUTS + 1):
             seed = _mix(np.asarray([pair * 1000 + trial], _U))[0]
             if trial == CUTS:
