@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lotkeeper.llm import line_rules, packing, partenum
+from lotkeeper.llm import line_rules, mixing, packing, partenum
 from lotkeeper.llm.words import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,6 +30,12 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_rules.quality(table(spark, sf_dir, "documents")).drop("clean_text")
 
 
+@query("op4_mixing_sources", mixing.mix_sql())
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix takes of every document."""
+    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
 @query("op8_ngram_jaccard_join")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose sets of 4-word shingles are 85% alike."""
