@@ -158,11 +158,12 @@ def probabilities(grams: DataFrame, trusted: DataFrame) -> DataFrame:
     return below.select("lang", "gram", F.log("p").alias("logp"))
 
 
-def perplexities(documents: DataFrame, trusted: DataFrame) -> DataFrame:
-    """Score (doc_id, lang, text): adds symbols, entropy (nats a symbol) and error, its standard error."""
+def perplexities(documents: DataFrame, trusted: DataFrame, keep_text: bool = False) -> DataFrame:
+    """Score (doc_id, lang, text, and columns to carry along): adds symbols, entropy (nats a symbol) and error,
+    its standard error; the text goes, unless ``keep_text``."""
     size = documents.agg(F.coalesce(F.sum(F.length("text")), F.lit(0)), F.count("*")).first()
     blocks = max(1, -(-size[0] // BLOCK_CHARS), -(-size[1] // BLOCK_ROWS))
-    kind = documents.schema["doc_id"].dataType.simpleString()
+    carried = [f for f in documents.schema.fields if keep_text or f.name != "text"]
     # one exchange serves both the blocks' n-grams and the scoring
     dealt = documents.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int"))
 
@@ -200,18 +201,19 @@ def perplexities(documents: DataFrame, trusted: DataFrame) -> DataFrame:
             keys, values = by[lang.as_py()]
             own = values[np.searchsorted(keys, found)]
             rows.append((len(found), float(-own.mean()), float(own.std() / np.sqrt(len(own)))))
-        return pa.table({"doc_id": docs.column("doc_id"), "lang": docs.column("lang"),
+        return pa.table({**{f.name: docs.column(f.name) for f in carried},
                          "symbols": pa.array([r[0] for r in rows], pa.int64()),
                          "entropy": pa.array([r[1] for r in rows], pa.float64()),
                          "error": pa.array([r[2] for r in rows], pa.float64())})
 
     return dealt.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(
-        score, f"doc_id {kind}, lang string, symbols long, entropy double, error double")
+        score, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in carried)
+        + ", symbols long, entropy double, error double")
 
 
 def quality(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             lang_col: str = "lang", label_col: str = "quality", quantile: float = QUANTILE,
-            errors: float = ERRORS) -> DataFrame:
+            errors: float = ERRORS, keep: list[str] | None = None) -> DataFrame:
     """Judge every document by the perplexity of its whole text under the model of its language.
 
     Trusted are the documents with ``label_col`` 1 in ``labels`` (any of its rows, if repeated). Four fifths of
@@ -220,20 +222,24 @@ def quality(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     A null language is one of its own. Null, empty and blank texts have no perplexity and are not kept;
     languages without held-back trusted text have no threshold and keep the rest. Null ids are never
     trusted; rows stay one to one; other columns are ignored.
-    Returns id, lang, symbols, perplexity, threshold, kept.
+    Returns id, lang, symbols, perplexity, threshold, kept, or with ``keep`` those columns and kept.
     """
     docs = documents.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(lang_col).cast("string"), F.lit("")).alias("lang"),
-                            F.col(text_col).alias("text"))
+                            F.col(text_col).alias("text"),
+                            *[F.struct(*[c for c in keep if c != text_col]).alias("_kept")] if keep else [])
     ids = written(labels.where(F.col(label_col) == 1).select(F.col(id_col).alias("doc_id")).where(
         "doc_id is not null").distinct(), "trusted")
     known = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
     counted = F.pmod(F.xxhash64("doc_id"), F.lit(5)) > 0
     trusted = written(counts(docs.join(known.where(counted), "doc_id", "left_semi").select("lang", "text")), "counts")
-    scores = written(perplexities(docs, trusted), "scores")
+    scores = written(perplexities(docs, trusted, text_col in (keep or [])), "scores")
     held = scores.join(known.where(~counted), "doc_id", "left_semi").where("symbols > 0")
     limits = held.groupBy("lang").agg(F.percentile_approx("entropy", quantile, 10_000).alias("limit"))
     judged = scores.join(limits, "lang", "left") if limits.count() > BROADCAST_IDS else scores.join(F.broadcast(limits), "lang", "left")
     kept = F.when(F.col("symbols") == 0, False).otherwise(
         F.coalesce(F.col("entropy") - errors * F.col("error") <= F.col("limit"), F.lit(True)))
+    if keep:
+        return judged.select(*[F.col("text").alias(c) if c == text_col else F.col(f"_kept.{c}") for c in keep],
+                             kept.alias("kept"))
     return judged.select(F.col("doc_id").alias(id_col), "lang", "symbols", F.exp("entropy").alias("perplexity"),
                          F.exp("limit").alias("threshold"), kept.alias("kept"))
