@@ -27,7 +27,9 @@ MAX_LOSS = 30
 #: Patterns of one line, trimmed. They read the same in Java and RE2.
 ENDS_WELL = r"""[.!?:;…。！？"”’»')\]]$"""
 SEPARATOR = r"(^| )[|»›>·•→]( |$)"
-SHOUT = r"^[^\p{Ll}]*\p{Lu}[^\p{Ll}]* [^\p{Ll}]* [^\p{Ll}]*$"
+#: A line of this many words or more shouts if it has capitals and no small letter.
+SHOUT_WORDS = 3
+CAPITAL, SMALL = r"\p{Lu}", r"\p{Ll}"
 BOILERPLATE = (r"(?i)(javascript|lorem ipsum|cookie|privacy policy|terms of (use|service)|all rights reserved"
                r"|click here|read more|sign (in|up)|log in|subscribe to|share (this|on)|back to top"
                r"|skip to content)")
@@ -45,7 +47,8 @@ def line_passes(line: Column) -> Column:
     symbols = F.length(line) - F.length(stripped(line, SYMBOLS))
     punctuation = line.rlike(ENDS_WELL)
     navigation = F.regexp_count(line, F.lit(SEPARATOR)) * 4 >= n
-    boilerplate = (symbols * 5 > n) | line.rlike(SHOUT) | ((n <= NOTICE_WORDS) & line.rlike(BOILERPLATE))
+    shout = (n >= SHOUT_WORDS) & ~line.rlike(SMALL) & line.rlike(CAPITAL)
+    boilerplate = (symbols * 5 > n) | shout | ((n <= NOTICE_WORDS) & line.rlike(BOILERPLATE))
     return punctuation & ~navigation & ~boilerplate
 
 
@@ -122,7 +125,8 @@ judged AS (SELECT r, line, b, len(list_filter(string_split(b, ' '), lambda x: x
 per_line AS (SELECT r, count(*) - count(DISTINCT line) AS dups,
              sum(CASE WHEN regexp_matches(b, {quote(ENDS_WELL)})
                   AND NOT len(regexp_extract_all(b, {quote(SEPARATOR)})) * 4 >= n
-                  AND NOT symbols * 5 > n AND NOT regexp_matches(b, {quote(SHOUT)})
+                  AND NOT symbols * 5 > n
+                  AND NOT (n >= {SHOUT_WORDS} AND NOT regexp_matches(b, {quote(SMALL)}) AND regexp_matches(b, {quote(CAPITAL)}))
                   AND NOT (n <= {NOTICE_WORDS} AND regexp_matches(b, {quote(BOILERPLATE)}))
                  THEN 0 ELSE length(translate(b, ' ', '')) END) AS lost FROM judged GROUP BY r),
 counts AS (SELECT r, count(*) AS n, sum(length(word)) AS chars FROM ws GROUP BY r),
