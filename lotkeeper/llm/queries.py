@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lotkeeper.llm import kneser_ney, line_rules, mixing, packing, partenum
+from lotkeeper.llm import kneser_ney, line_rules, mixing, packing, partenum, vector_links
 from lotkeeper.llm.words import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -42,6 +42,12 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query("op6_embedding_near_dedup")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all vectors by cosine 0.9."""
+    return vector_links.linked_vectors(table(spark, sf_dir, "embeddings"))
+
+
 @query("op8_ngram_jaccard_join")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose sets of 4-word shingles are 85% alike."""
