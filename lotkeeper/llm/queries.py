@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lotkeeper.llm import kneser_ney, line_rules, mixing, packing, partenum, vector_links
+from lotkeeper.llm import kneser_ney, line_rules, mixing, packing, partenum, toxicity, vector_links
 from lotkeeper.llm.words import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,6 +30,12 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_rules.quality(table(spark, sf_dir, "documents")).drop("clean_text")
 
 
+@query("op2_toxicity")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document, learned from four fifths of the labels."""
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query("op3_quality_classifier")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Perplexity of every document and the verdict on it."""
