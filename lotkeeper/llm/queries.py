@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lotkeeper.llm import kneser_ney, line_rules, mixing, packing, partenum, toxicity, vector_links
+from lotkeeper.llm import block_labels, kneser_ney, line_rules, mixing, packing, partenum, toxicity, vector_links
 from lotkeeper.llm.words import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -60,6 +60,12 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return partenum.similar_groups(table(spark, sf_dir, "documents")).drop("node")
 
 
+@query("op9_html_extraction")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of all pages."""
+    return block_labels.main_text(table(spark, sf_dir, "pages"))
+
+
 @query("op10_best_fit_packing")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of 2048 tokens."""
