@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lotkeeper.llm import block_labels, kneser_ney, line_rules, mixing, packing, partenum, toxicity, vector_links
+from lotkeeper.llm import block_labels, kneser_ney, licences, line_rules, mixing, packing, partenum, toxicity, vector_links, warc
 from lotkeeper.llm.words import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,12 +49,25 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query("op5_license_scans", licences.scan_sql())
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Known licences and notices in all documents, entire texts and lines."""
+    return licences.scan(table(spark, sf_dir, "documents"))
+
+
 @query("op6_embedding_near_dedup")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links and components of all vectors by cosine 0.9."""
     return vector_links.linked_vectors(table(spark, sf_dir, "embeddings"))
 
 
+@query("op7_warc")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metadata and conversion records of all pages, as responses."""
+    records = warc.derivatives(warc.responses(table(spark, sf_dir, "pages")), member=False)
+    return records.withColumnRenamed("id", "page_id").withColumn("block", F.decode("block", "UTF-8")).drop("member")
+
+
 @query("op8_ngram_jaccard_join")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose sets of 4-word shingles are 85% alike."""
