@@ -6,9 +6,8 @@ k parts, so similar sets agree on a whole part and share the signature of one. C
 exactly. Only empty parts could agree without a trace: a set with as many empty parts as could agree
 is signed again under other cuts until it has fewer.
 
-Copies meet as one set. In a bucket every set is first compared with one of its members only; what
-those links leave apart is compared further, so no link between components is lost and a bucket
-of near copies costs its size.
+Copies meet as one set. In a bucket every set is first compared with one of its members only; the buckets
+that those links leave apart are then compared whole, in blocks, so no link between components is lost.
 """
 
 from __future__ import annotations
@@ -20,10 +19,10 @@ import pandas as pd
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lotkeeper.llm.words import BLANKS, components, hot_join
+from lotkeeper.llm.words import BLANKS, components, hot_join, local_roots
 from lotkeeper.session import written
 
 _U = np.uint64
@@ -38,6 +37,8 @@ _BLANK = np.zeros(256, bool)
 _BLANK[[ord(c) for c in BLANKS]] = True
 #: Signatures gathered before a task sorts them.
 FLUSH = 2_000_000
+#: Sets and shingles of a block, where sets that no star connects are compared in blocks.
+BLOCK_SETS, BLOCK_SHINGLES = 1_000, 400_000
 #: Cuts of the domain tried before a set with empty parts is left to one signature for its band.
 CUTS = 40
 _powers: list[np.ndarray] = [np.ones(1, _U), np.ones(1, _U)]
@@ -221,6 +222,66 @@ def verified(pairs: DataFrame, sets: DataFrame, size: int, percent: int) -> Data
     return joined.select("a", "b", "packed_a", "packed_b").mapInPandas(compare, "a long, b long, linked boolean")
 
 
+def left_apart(stars: DataFrame, failed: DataFrame, roots: DataFrame, sets: DataFrame, size: int,
+               percent: int) -> DataFrame:
+    """Links (a, b) that connect whatever is linked among the sets of signatures whose star failed somewhere.
+
+    Such signatures are brought together where they share sets, as the many of one group of near copies do, if
+    comparing all sets of the family is less work than each signature's; else every signature is by itself. A
+    unit is compared in blocks of sets, and a task sends on a forest of what it finds, never the pairs.
+    """
+    open_sigs = stars.join(failed, ["rep", "node"]).select("sig").distinct()
+    left = stars.join(open_sigs, "sig", "left_semi")
+    members = left.select("sig", "node").unionByName(left.select("sig", F.col("rep").alias("node"))).distinct()
+    placed = members.join(roots, "node")
+    mixed = placed.groupBy("sig").agg(F.min("root").alias("low"), F.max("root").alias("high"),
+                                      F.min("node").alias("first")).where("low <> high")
+    members = written(members.join(mixed.select("sig", "first"), "sig"), "members")
+    families = components(members.select("node").distinct(),
+                          members.select(F.col("first").alias("a"), F.col("node").alias("b"))).withColumnRenamed("root", "family")
+    members = members.join(families, "node")
+    apart = (members.groupBy("family", "sig").agg(F.count("*").alias("n")).groupBy("family")
+             .agg(F.sum(F.col("n").cast("double") * F.col("n")).alias("apart")))
+    together = members.select("family", "node").distinct().groupBy("family").agg(F.count("*").alias("n"))
+    whole = apart.join(together, "family").select(
+        "family", (F.col("n").cast("double") * F.col("n") <= F.col("apart")).alias("whole"))
+    units = members.join(whole, "family").select(
+        "whole", F.when(F.col("whole"), F.col("family")).otherwise(F.col("sig")).alias("unit"), "node").distinct()
+    weighed = units.join(sets.select("node", "n"), "node")
+    blocks = weighed.groupBy("whole", "unit").agg(F.greatest(
+        F.ceil(F.sum("n") / BLOCK_SHINGLES), F.ceil(F.count("*") / BLOCK_SETS)).cast("int").alias("blocks"))
+    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    rows = (units.join(blocks, ["whole", "unit"]).withColumn("own", own)
+            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+            .withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other"))
+            .join(sets.select("node", "packed"), "node"))
+
+    def compare(group: pd.DataFrame) -> pd.DataFrame:
+        unpack = zstandard.ZstdDecompressor().decompress
+        found = [shingles(unpack(t).decode("utf-8", "surrogatepass"), size) for t in group["packed"]]
+        nodes, n = group["node"].to_numpy(np.int64), np.asarray([len(x) for x in found])
+        both = np.zeros((len(found), len(found)), np.float32)
+        value, place = np.unique(np.concatenate(found), return_inverse=True)
+        owner = np.repeat(np.arange(len(found)), n)
+        shared = np.bincount(place) > 1
+        column = (np.cumsum(shared) - 1)[place]
+        kept = shared[place]
+        owner, column = owner[kept], column[kept]
+        order = np.argsort(column, kind="stable")
+        owner, column = owner[order], column[order]
+        for at in range(0, int(shared.sum()), 4096):
+            part = slice(*np.searchsorted(column, (at, at + 4096)))
+            has = np.zeros((len(found), 4096), np.float32)
+            has[owner[part], column[part] - at] = 1
+            both += has @ has.T
+        one, two = np.nonzero(np.triu(100 * both.astype(np.int64) >= percent * (n[:, None] + n - both.astype(np.int64)), 1))
+        root = local_roots(len(found), one, two)
+        moved = root != np.arange(len(found))
+        return pd.DataFrame({"a": nodes[root[moved]], "b": nodes[moved]})
+
+    return rows.groupBy("whole", "unit", "i", "j").applyInPandas(compare, "a long, b long").distinct()
+
+
 def similar_groups(documents: DataFrame, size: int = 4, percent: int = 85, id_col: str = "doc_id",
                    text_col: str = "text") -> DataFrame:
     """Group documents whose shingle sets are linked, directly or over others.
@@ -250,49 +311,25 @@ def similar_groups(documents: DataFrame, size: int = 4, percent: int = 85, id_co
         for batch in batches:
             rows = []
             for text in batch["text"]:
-                node = digest(shingles(text, size))
+                own = shingles(text, size)
+                node = digest(own)
                 if node is not None and node not in seen:
                     seen.add(node)
-                    rows.append((node, pack(text.encode("utf-8", "surrogatepass"))))
-            yield pd.DataFrame(rows, columns=["node", "packed"]).astype({"node": "int64"})
+                    rows.append((node, len(own), pack(text.encode("utf-8", "surrogatepass"))))
+            yield pd.DataFrame(rows, columns=["node", "n", "packed"]).astype({"node": "int64", "n": "int64"})
 
     docs = written(texts.mapInArrow(measure, f"doc_id {kind}, n_shingles long, node long"), "sets")
     stars = written(star_rows(texts.where(F.col("text").isNotNull()), size, percent), "stars")
     first = stars.select(F.col("rep").alias("a"), F.col("node").alias("b")).distinct()
     wanted = first.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    sets = written(texts.where(F.col("text").isNotNull()).mapInPandas(packed, "node long, packed binary")
-                   .join(wanted, "node", "left_semi").groupBy("node").agg(F.min("packed").alias("packed")), "texts")
+    sets = written(texts.where(F.col("text").isNotNull()).mapInPandas(packed, "node long, n long, packed binary")
+                   .join(wanted, "node", "left_semi").groupBy("node").agg(F.min("packed").alias("packed"), F.min("n").alias("n")), "texts")
     tested = written(verified(first, sets, size, percent), "tested")
     roots = components(wanted, tested.where("linked"))
-    # signatures whose star has a failed comparison, with all their sets; the most shared sets come first
     failed = tested.where(~F.col("linked")).select(F.col("a").alias("rep"), F.col("b").alias("node"))
     if not failed.isEmpty():
-        open_sigs = stars.join(failed, ["rep", "node"]).select("sig").distinct()
-        left = stars.join(open_sigs, "sig", "left_semi")
-        members = left.select("sig", "node").unionByName(left.select("sig", F.col("rep").alias("node"))).distinct()
-        weight = members.groupBy("node").agg(F.count("*").alias("shared"))
-        order = Window.partitionBy("sig").orderBy(F.desc("shared"), "node")
-        members = written(members.join(weight, "node").withColumn("place", F.row_number().over(order))
-                          .select("sig", "node", "place"), "members")
-        start, width = 0, 4
-        while True:
-            placed = members.join(roots, "node")
-            mixed = placed.groupBy("sig").agg(F.min("root").alias("low"), F.max("root").alias("high"),
-                                              F.max("place").alias("last")).where(
-                f"low <> high and last > {start + 1}").select("sig")
-            placed = placed.join(mixed, "sig", "left_semi")
-            heads = placed.where(F.col("place").between(start + 1, start + width)).select(
-                "sig", F.col("node").alias("a"), F.col("root").alias("root_a"), F.col("place").alias("place_a"))
-            pairs = written(heads.join(placed, "sig").where("place > place_a and root <> root_a")
-                            .select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
-                            .join(tested.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
-            if pairs.isEmpty() and mixed.isEmpty():
-                break
-            more = written(verified(pairs, sets, size, percent), "tested")
-            tested = tested.unionByName(more)
-            if not more.where("linked").isEmpty():
-                roots = components(wanted, tested.where("linked"))
-            start, width = start + width, width * 2
+        more = written(left_apart(stars, failed, roots, sets, size, percent), "links")
+        roots = components(wanted, tested.where("linked").select("a", "b").unionByName(more))
     nodes = docs.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("low"))
     nodes = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     lows = nodes.groupBy("root").agg(F.min("low").alias("component_id"))

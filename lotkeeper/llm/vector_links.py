@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lotkeeper.llm.words import components, hot_join
+from lotkeeper.llm.words import components, hot_join, local_roots
 from lotkeeper.session import written
 
 COSINE = 0.9
@@ -91,20 +91,6 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def _roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Smallest index connected with each of n places by edges (a, b)."""
-    root = np.arange(n)
-    while True:
-        low = np.minimum(root[a], root[b])
-        fresh = root.copy()
-        np.minimum.at(fresh, a, low)
-        np.minimum.at(fresh, b, low)
-        fresh = fresh[fresh]
-        if (fresh == root).all():
-            return root
-        root = fresh
-
-
 def linked_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", cosine: float = COSINE,
                    margin: float = MARGIN) -> DataFrame:
     """Link vectors with a cosine, in double precision, of ``cosine`` or more; exact for every pair compared.
@@ -232,7 +218,7 @@ def linked_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str =
             new = root[qa[i]] != root[ya[part][j]]
             a.append(qa[i][new])
             b.append(ya[part][j][new])
-            root = _roots(len(order), np.concatenate([np.arange(len(root)), a[-1]]), np.concatenate([root, b[-1]]))
+            root = local_roots(len(order), np.concatenate([np.arange(len(root)), a[-1]]), np.concatenate([root, b[-1]]))
         hit = np.flatnonzero(links)
         if not len(hit):
             return empty

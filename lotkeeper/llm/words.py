@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -74,3 +75,17 @@ def hot_join(left: DataFrame, right: DataFrame, key: str, by: list[str]) -> Data
     shares = (shared.where(F.col(key).isNotNull()).select(key, "_share").distinct()
               .join(right.where(F.col(key).isNotNull()), key))
     return shared.join(shares, [key, "_share"], "left").drop("_share")
+
+
+def local_roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Smallest index connected with each of n places by edges (a, b)."""
+    root = np.arange(n)
+    while True:
+        low = np.minimum(root[a], root[b])
+        fresh = root.copy()
+        np.minimum.at(fresh, a, low)
+        np.minimum.at(fresh, b, low)
+        fresh = fresh[fresh]
+        if (fresh == root).all():
+            return root
+        root = fresh
