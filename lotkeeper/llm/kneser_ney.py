@@ -25,8 +25,8 @@ ORDER = 4
 BITS = 15
 FOLD = 32_749
 #: Text characters and documents of a scoring block.
-BLOCK_CHARS = 16_000_000
-BLOCK_ROWS = 20_000
+BLOCK_CHARS = 32_000_000
+BLOCK_ROWS = 40_000
 #: Codes gathered before a task counts them.
 FLUSH = 3_000_000
 #: Trusted ids are broadcast up to this many, and joined by a shuffle beyond.
