@@ -29,8 +29,12 @@ def coerce_flag(df: DataFrame, name: str) -> Column:
 
 
 def mileage_bucket(gte: Column, lte: Column) -> Column:
-    """``gte-lte``; an open side stays empty; NULL when both sides are missing."""
-    side = lambda c: F.coalesce(c.cast("string"), F.lit(""))
+    """``gte-lte`` as whole numbers; an open side stays empty; NULL when both sides are missing."""
+    def side(c: Column) -> Column:
+        text = c.cast("string")
+        whole = F.coalesce(text.try_cast("bigint"), text.try_cast("double").try_cast("bigint"))
+        return F.coalesce(whole.cast("string"), text, F.lit(""))
+
     return F.when(gte.isNotNull() | lte.isNotNull(),
                   F.concat(side(gte), F.lit("-"), side(lte)))
 

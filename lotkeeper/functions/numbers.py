@@ -56,9 +56,9 @@ def clean_flag(c: Column) -> Column:
 
 
 def price_digits(c: Column) -> Column:
-    """The digits of a price as a number, for comparing prices whatever their form."""
-    return F.nullif(F.regexp_replace(c.cast("string"), r"[^\d]", ""),
-                    F.lit("")).try_cast("decimal(38,0)")
+    """The digits of a price without leading zeros, for comparing prices whatever their form or length."""
+    digits = F.nullif(F.regexp_replace(c.cast("string"), r"[^\d]", ""), F.lit(""))
+    return F.regexp_replace(digits, r"^0+(?=\d)", "")
 
 
 def _first_number(c: Column, pattern: str, type_name: str) -> Column:

@@ -62,7 +62,7 @@ def link_kind(link: Column, make: Column, model: Column | None = None) -> Column
     parts = F.split(F.regexp_replace(link, "/$", ""), "/")
     depth = F.when(link.startswith("/"), F.size(parts) - 1)
     own = (F.try_element_at(parts, F.lit(2)) == make) & ~F.array_contains(
-        F.slice(parts, 2, 10), "")
+        F.slice(parts, F.lit(2), F.size(parts)), "")
     name = F.try_element_at(parts, F.lit(4))
     of_model = F.lit(True) if model is None else F.try_element_at(parts, F.lit(3)) == model
     return (F.when(own & (depth == 2), F.lit("model"))

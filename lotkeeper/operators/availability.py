@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from lotkeeper import fixed_values as fv
 from lotkeeper.functions import times as K
 from lotkeeper.registry import CARS, MAKE_COLUMN
+from lotkeeper.session import key_or_spread
 
 
 def live_listings(listings: DataFrame) -> DataFrame:
@@ -67,7 +68,9 @@ def running_status(probes: DataFrame, previous: DataFrame | None = None,
         Window.unboundedPreceding, 0)
     own = cut.withColumn("_own", F.last(state, ignorenulls=True).over(within))
     status = F.coalesce("_own", "_carried", K.kept_status(F.col("_before")))
-    return (own.join(carried, ["ads_id", "_chunk"], "left")
+    # a probe without a time has a NULL chunk, which is a chunk as well
+    left = carried.select(F.col("ads_id").alias("_id"), F.col("_chunk").alias("_c"), "_carried", "_before")
+    return (own.join(left, own["ads_id"].eqNullSafe(F.col("_id")) & own["_chunk"].eqNullSafe(F.col("_c")), "left")
             .select(*probes.columns, status.alias("status")))
 
 
@@ -86,6 +89,7 @@ def fold_probes(probes: DataFrame, order: str = "checked_at") -> DataFrame:
     decided_at = F.when(K.is_decisive(detected), F.col(order))
     return probes.groupBy("ads_id").agg(
         F.max_by(K.decisive_status(detected), decided_at).alias("decided"),
+        F.max_by(at, decided_at).alias("decided_at"),
         F.max(F.when(detected == "available", at)).alias("seen_at"),
         F.max(at).alias("checked_at"),
         F.max(F.when(detected.isin(*fv.GONE_STATUSES), at)).alias("gone_at"),
@@ -99,16 +103,21 @@ def apply_probes(listings: DataFrame, probes: DataFrame, order: str = "checked_a
     ad returns. Ads without a probe are untouched.
     """
     folded = fold_probes(probes, order).select(
-        F.col("ads_id").alias("_id"), "decided", "seen_at", F.col("checked_at").alias("_checked"),
+        F.col("ads_id").alias("_id"), "decided", "decided_at", "seen_at", F.col("checked_at").alias("_checked"),
         "gone_at")
     probed = F.col("_id").isNotNull()
+    known = K.parse_time(F.col("last_checked_at"))
+    # a late file brings probes that the table is already past
+    is_news = lambda at: at.isNotNull() & (known.isNull() | (at >= known))
+    later = lambda c, at: F.when(
+        at.isNotNull() & F.coalesce(at >= K.parse_time(F.col(c)), F.lit(True)), K.time_text(at)).otherwise(F.col(c))
     new = {
         "availability_status": F.when(probed, F.coalesce(
-            "decided", K.kept_status(F.col("availability_status"))))
+            F.when(is_news(F.col("decided_at")), F.col("decided")), K.kept_status(F.col("availability_status"))))
         .otherwise(F.col("availability_status")),
-        "last_seen_at": F.coalesce(K.time_text(F.col("seen_at")), F.col("last_seen_at")),
-        "last_checked_at": F.coalesce(K.time_text(F.col("_checked")), F.col("last_checked_at")),
-        "sold_inference": F.when(F.col("gone_at").isNotNull(),
+        "last_seen_at": later("last_seen_at", F.col("seen_at")),
+        "last_checked_at": later("last_checked_at", F.col("_checked")),
+        "sold_inference": F.when(is_news(F.col("gone_at")),
                                  K.infer_sold(F.col("ad_expiry"), F.col("gone_at")))
         .otherwise(F.col("sold_inference")),
     }
@@ -218,8 +227,8 @@ def backfill_expiry(listings: DataFrame, sweep: DataFrame, order: str,
     """Fill missing expiry dates from a sweep. Dates that are known stay."""
     found = sweep_expiries(only_makes(sweep, makes), order).select(
         F.col("ads_id").alias("_id"), "found_expiry")
-    wanted = F.when(F.col("ad_expiry").isNull(), F.col("ads_id"))
-    return (listings.join(found, wanted == F.col("_id"), "left")
+    wanted = key_or_spread(F.col("ad_expiry").isNull(), F.col("ads_id").cast("string"), listings.columns)
+    return (listings.join(found, wanted == F.col("_id").cast("string"), "left")
             .select(*[F.coalesce("ad_expiry", "found_expiry").alias(c) if c == "ad_expiry"
                       else F.col(c) for c in listings.columns]))
 

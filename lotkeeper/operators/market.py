@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lotkeeper.functions import times as K
+from lotkeeper.session import written
 
 PRICE_GROUP = ["make", "model", "manufactured_date", "mileage_bucket"]
 FINGERPRINT = ["motorcycle_make", "motorcycle_model", "manufactured_date", "price", "region",
@@ -32,11 +33,13 @@ def exact_median(df: DataFrame, keys: list[str], value: str) -> DataFrame:
 
 def fair_price(listings: DataFrame, min_sample: int = 8, discount: float = 0.15) -> DataFrame:
     """Live ads priced well below the median of comparable available ads, cheapest first."""
+    # both the medians and the ads to compare with them come from this
+    listings = written(listings.filter(F.col("availability_status").isin("available", "unknown")).select(
+        "ads_id", *PRICE_GROUP, "price", "availability_status"), "priced")
     available = listings.filter("availability_status = 'available'")
     medians = exact_median(available, PRICE_GROUP, "price").filter(F.col("n") >= min_sample)
-    live = listings.filter(F.col("availability_status").isin("available", "unknown"))
     residual = (F.col("price") - F.col("median")) / F.col("median")
-    return (live.join(medians, PRICE_GROUP).withColumn("residual", residual)
+    return (listings.join(medians, PRICE_GROUP).withColumn("residual", residual)
             .filter(F.col("residual") < -discount)
             .select("ads_id", *PRICE_GROUP, "price", "median", "n", "residual")
             .orderBy("residual", "ads_id"))

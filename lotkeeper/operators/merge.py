@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lotkeeper.registry import MERGE_IMMUTABLE
@@ -42,7 +42,8 @@ def upsert(state: DataFrame, batch: DataFrame, key: str, seq: str,
            immutable: Sequence[str] = (), present: str | None = None) -> DataFrame:
     """Insert new keys and refresh known ones: later rows win, immutable columns stay.
 
-    Columns the batch lacks keep their state. Both join sides are unique on the key.
+    Columns the batch lacks keep their state, and so do values that fail the cast to the state's type: type
+    the batch with the column cleaners first. Both join sides are unique on the key.
     """
     columns = [c for c in state.columns if c != key and c in batch.columns]
     fresh = collapse_batch(batch, key, seq, columns, immutable, present)
@@ -55,7 +56,8 @@ def upsert(state: DataFrame, batch: DataFrame, key: str, seq: str,
         if c not in columns:
             return F.col(f"o.{c}")
         value = F.col(f"n.{c}.v").try_cast(state.schema[c].dataType)
-        keep = F.col(f"n.{c}").isNull()
+        # what does not read as the column's type never takes the place of what does
+        keep = F.col(f"n.{c}").isNull() | (value.isNull() & F.col(f"n.{c}.v").isNotNull())
         if c in immutable:
             keep = F.col("o._known")
         return F.when(keep, F.col(f"o.{c}")).otherwise(value).alias(c)
@@ -116,7 +118,12 @@ def insert_ignore(state: DataFrame, batch: DataFrame, seq: str = "ingest_seq",
             .select("r.*", seq)
             .join(state.select(key), key, "left_anti")
             .join(state.select(unique), unique, "left_anti"))
-    accepted = None
+    # rows that share neither key nor unique value with another need no rounds
+    alone = lambda c: Window.partitionBy(c)
+    rows = written(rows.withColumn("_clash", (F.count("*").over(alone(key)) > 1) | (
+        F.col(unique).isNotNull() & (F.count("*").over(alone(unique)) > 1))), "insert-rows")
+    accepted = rows.filter("NOT _clash").drop("_clash")
+    rows = rows.filter("_clash").drop("_clash")
     while True:
         rows = written(rows, "insert-open")
         if rows.isEmpty():
@@ -129,11 +136,9 @@ def insert_ignore(state: DataFrame, batch: DataFrame, seq: str = "ingest_seq",
             .join(by_unique, unique, "left")
             .filter(F.col(unique).isNull() | (F.col(seq) == F.col("_first_of_unique")))
             .select(*columns, seq), "insert-won")
-        accepted = winners if accepted is None else accepted.unionByName(winners)
+        accepted = accepted.unionByName(winners)
         rows = (rows.join(winners.select(key), key, "left_anti")
                 .join(winners.select(unique), unique, "left_anti"))
-    if accepted is None:
-        return state
     return state.unionByName(accepted.drop(seq), allowMissingColumns=True)
 
 

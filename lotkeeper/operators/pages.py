@@ -19,15 +19,16 @@ from lotkeeper.functions.tagsoup import anchor_hrefs, page_blocks
 # --- embedded listing state --------------------------------------------------------------------
 _STATE_SCRIPT = r'(?s)<script id="__NEXT_DATA__"[^>]*>(.*?)</script>'
 _STATE_SCHEMA = ("props struct<initialState: struct<adDetails: "
-                 "struct<byID: map<string, struct<attributes: string>>>>>")
+                 "struct<byID: map<string, string>>>>")
 _PARAMS_SCHEMA = "mcdParams array<struct<params: array<struct<id: string, realValue: string>>>>"
 
 
 def ad_attributes(body: Column, ads_id: Column) -> Column:
     """JSON text of one ad's attributes in a page's embedded state; NULL when there is none."""
     state = F.from_json(F.regexp_extract(body, _STATE_SCRIPT, 1), _STATE_SCHEMA)
-    return F.try_element_at(state["props"]["initialState"]["adDetails"]["byID"],
-                            ads_id.cast("string"))["attributes"]
+    # entries stay text, so a sibling of another shape does not matter
+    own = F.try_element_at(state["props"]["initialState"]["adDetails"]["byID"], ads_id.cast("string"))
+    return F.from_json(own, "attributes string")["attributes"]
 
 
 def classify_response(status: Column, body: Column, attributes: Column) -> Column:
@@ -77,20 +78,23 @@ def extract_oem_specs(pages: DataFrame) -> DataFrame:
 def apply_oem_specs(listings: DataFrame, specs: DataFrame, order: str) -> DataFrame:
     """Fill specification columns of listings whose ``engine_cc`` is missing.
 
-    Only columns the page carried change. Of several pages of one ad the first that carried
-    anything counts.
+    Only columns that a page carried change. Pages of one ad apply in order, as long as ``engine_cc`` is
+    missing: of each column the last value counts among the pages up to the first that brings an ``engine_cc``.
     """
     columns = [c for c, _ in fv.OEM_FIELDS.values()]
-    first = (specs.filter(F.size("given") > 0).groupBy("ads_id")
-             .agg(F.min_by(F.struct("given", *columns), order).alias("_spec"))
-             .withColumnRenamed("ads_id", "_id"))
+    carrying = specs.filter(F.size("given") > 0)
+    stop = carrying.filter("engine_cc IS NOT NULL").groupBy("ads_id").agg(F.min(order).alias("_stop"))
+    read = carrying.join(stop, "ads_id", "left").filter(F.col("_stop").isNull() | (F.col(order) <= F.col("_stop")))
+    first = read.groupBy("ads_id").agg(*[
+        F.max_by(F.struct(F.col(c).alias("v")), F.when(F.array_contains("given", F.lit(c)), F.col(order))).alias(f"_new_{c}")
+        for c in columns]).withColumnRenamed("ads_id", "_id")
     fill = F.col("engine_cc").isNull()
 
     def merged(c: str) -> Column:
         if c not in columns:
             return F.col(c)
-        carried = fill & F.array_contains(F.col("_spec.given"), F.lit(c))
-        value = F.col(f"_spec.{c}").cast(listings.schema[c].dataType)
+        carried = fill & F.col(f"_new_{c}").isNotNull()
+        value = F.col(f"_new_{c}.v").cast(listings.schema[c].dataType)
         return F.when(carried, value).otherwise(F.col(c)).alias(c)
 
     return (listings.join(first, listings["ads_id"] == F.col("_id"), "left")
@@ -176,9 +180,11 @@ def body_type(html: Column) -> Column:
     scripts = F.regexp_extract_all(
         html, F.lit(r"(?is)<script\b[^>]*\btype=[\"']application/ld\+json[\"'][^>]*>(.*?)</script>"),
         F.lit(1))
-    schema = "array<struct<`@type`: string, bodyType: string, vehicleConfiguration: string>>"
-    objects = F.flatten(F.filter(F.transform(scripts, lambda s: F.from_json(s, schema)),
-                                 lambda x: x.isNotNull()))
+    schema = "`@type` string, bodyType string, vehicleConfiguration string"
+    # entries are read one by one: what is no object does not hide its neighbours
+    entries = lambda s: F.coalesce(F.from_json(s, "array<string>"), F.array(s))
+    objects = F.filter(F.transform(F.flatten(F.transform(scripts, entries)), lambda e: F.from_json(e, schema)),
+                       lambda x: x.isNotNull())
     named = lambda o: F.coalesce(F.nullif(o["bodyType"], F.lit("")),
                                  F.nullif(o["vehicleConfiguration"], F.lit("")))
     hit = _first(F.filter(objects, lambda o: (o["@type"] == "Vehicle") & named(o).isNotNull()))

@@ -98,7 +98,9 @@ def prepare_listings(df: DataFrame, category: str, now: str,
 
     ``first_seen_at`` falls back to the source's update time, then to ``now``, when the column is
     missing or has no value in the whole file; ``last_seen_at`` to ``now`` likewise; the status to
-    ``unknown`` when the column is missing. Unknown columns go, rows without a numeric id go.
+    ``unknown`` when the column is missing from the row's file, as ``present`` tells where there is one.
+    Unknown columns go, rows without a numeric id go; ``present`` and ``ingest_seq`` stay, with the stamped
+    columns counted as present, so the result can be merged.
     """
     if "ads_id" not in df.columns:
         raise ValueError("snapshot has no ads_id column")
@@ -108,7 +110,8 @@ def prepare_listings(df: DataFrame, category: str, now: str,
         scope = [file] if file else []
         filled = df.groupBy(*scope).agg(*[(F.count(c) > 0).alias(f"_has_{c}") for c in watched])
         if file:
-            df = df.join(filled, file)
+            scoped = filled.withColumnRenamed(file, "_file")
+            df = df.join(scoped, df[file].eqNullSafe(F.col("_file")), "left").drop("_file")
         else:
             flags = filled.first().asDict()
             df = df.withColumns({c: F.lit(v) for c, v in flags.items()})
@@ -123,10 +126,18 @@ def prepare_listings(df: DataFrame, category: str, now: str,
     df = df.withColumns({"first_seen_at": seen("first_seen_at", fallback),
                          "last_seen_at": seen("last_seen_at", stamp),
                          "ads_id": _numeric_id(F.col("ads_id").cast("string"))})
+    unknown = F.lit("unknown")
     if "availability_status" not in df.columns:
-        df = df.withColumn("availability_status", F.lit("unknown"))
+        df = df.withColumn("availability_status", unknown)
+    elif "present" in df.columns:
+        carried = F.array_contains("present", F.lit("availability_status"))
+        df = df.withColumn("availability_status", F.when(carried, F.col("availability_status")).otherwise(unknown))
+    carried = [c for c in ("present", "ingest_seq") if c in df.columns]
+    if "present" in carried:
+        stamped = F.array(*[F.lit(c) for c in ("first_seen_at", "last_seen_at", "availability_status")])
+        df = df.withColumn("present", F.array_union("present", stamped))
     accepted = [c for c in R.accepted_columns(category) if c in df.columns]
-    return df.filter("ads_id IS NOT NULL").select(*([file] if file else []), *accepted)
+    return df.filter("ads_id IS NOT NULL").select(*([file] if file else []), *accepted, *carried)
 
 
 def constraint_report(listings: DataFrame, checks: DataFrame) -> DataFrame:

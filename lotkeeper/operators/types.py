@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lotkeeper import fixed_values as fv
 from lotkeeper.functions import flags
 from lotkeeper.functions import text as X
 from lotkeeper.registry import CARS, MAKE_COLUMN, MODEL_COLUMN, MOTORCYCLES
+from lotkeeper.session import key_or_spread
 
 TYPE_COLUMN = {CARS: "vehicle_type", MOTORCYCLES: "motorcycle_type"}
 TYPE_GROUPS = {CARS: fv.CAR_TYPE_GROUPS, MOTORCYCLES: fv.MOTORCYCLE_TYPE_GROUPS}
@@ -35,9 +36,10 @@ def type_mapping(rows: DataFrame, category: str, order: str) -> DataFrame:
 
 def _with_mapping(listings: DataFrame, mapping: DataFrame, category: str,
                   wanted: Column) -> DataFrame:
-    """Join the mapping to the rows that want a type; other rows get no key and stay spread."""
-    make = F.when(wanted, X.fold(F.col(MAKE_COLUMN[category])))
-    model = F.when(wanted, X.fold(F.col(MODEL_COLUMN[category])))
+    """Join the mapping to the rows that want a type; the others get keys of their own, which match nothing
+    and spread them over the tasks."""
+    make = key_or_spread(F.coalesce(wanted, F.lit(False)), X.fold(F.col(MAKE_COLUMN[category])), listings.columns)
+    model = X.fold(F.col(MODEL_COLUMN[category]))
     return listings.join(mapping, (make == F.col("map_make")) & (model == F.col("map_model")),
                          "left")
 
@@ -131,7 +133,8 @@ def stub_unmapped(pairs: DataFrame, mapping_rows: DataFrame,
 def mapping_quality(rows: DataFrame, category: str, position: str) -> DataFrame:
     """Rule violations of a mapping file: (rule, make, model, n).
 
-    The order rule compares each row with the row before it through an equi join on position.
+    The order rule compares each row with the row before it, whatever the gaps between positions. A
+    mapping file is curated by hand, so one task puts it in order.
     """
     make, model = F.lower(F.coalesce("make", F.lit(""))), F.lower(F.coalesce("model", F.lit("")))
     keyed = rows.select(make.alias("make"), model.alias("model"), "type", "verification_status",
@@ -139,7 +142,6 @@ def mapping_quality(rows: DataFrame, category: str, position: str) -> DataFrame:
     finding = lambda df, rule, n: df.select(
         F.lit(rule).alias("rule"), "make", "model", n.cast("bigint").alias("n"))
     duplicates = (keyed.groupBy("make", "model").agg(F.count("*").alias("n")).filter("n > 1"))
-    one = F.lit(1)
     broken = F.filter(F.array(
         F.when(~F.coalesce(F.col("type"), F.lit("")).isin(*TYPE_GROUPS[category]),
                F.lit("type_vocabulary")),
@@ -150,8 +152,8 @@ def mapping_quality(rows: DataFrame, category: str, position: str) -> DataFrame:
         lambda rule: rule.isNotNull())
     per_row = (keyed.select(F.explode(broken).alias("rule"), "make", "model")
                .groupBy("rule", "make", "model").agg(F.count("*").alias("n")))
-    before = keyed.select((F.col("pos") + 1).alias("pos"), F.struct("make", "model").alias("prior"))
-    unsorted = (keyed.join(before, "pos").filter(F.struct("make", "model") < F.col("prior"))
+    before = F.lag(F.struct("make", "model")).over(Window.orderBy("pos"))
+    unsorted = (keyed.withColumn("prior", before).filter(F.struct("make", "model") < F.col("prior"))
                 .groupBy("make", "model").agg(F.count("*").alias("n")))
     return (finding(duplicates, "duplicate_key", F.col("n"))
             .unionByName(per_row.select("rule", "make", "model", "n"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lotkeeper import fixed_values as fv
 from lotkeeper.functions import text as X
+from lotkeeper.session import key_or_spread
 
 
 def sample_per_model(listings: DataFrame, order: str, size: int = fv.SAMPLE_PER_MODEL,
@@ -73,18 +74,27 @@ def fill_variants(listings: DataFrame, vocabulary: DataFrame) -> DataFrame:
 
     Candidates are the tokens of the row's engine size, or all of the model when there are none;
     the longest one contained in the subject wins and ties keep the list order. Candidate lists
-    are sorted on the vocabulary side, once per model.
+    are sorted on the vocabulary side, once per model. Where the vocabulary names makes, a model is looked
+    up within its make; of entries that are still equal the last by their text counts.
     """
-    words = vocabulary.select(
-        F.col("model_slug").alias("_slug"), _longest_first(F.col("all_tokens")).alias("_all"),
-        F.transform_values("by_cc", lambda _, v: _longest_first(v)).alias("_by_cc"))
+    by_make = "make" in vocabulary.columns
+    keys = ["_make", "_slug"] if by_make else ["_slug"]
+    words = (vocabulary.select(*([X.fold(F.col("make")).alias("_make")] if by_make else []),
+                               F.col("model_slug").alias("_slug"), F.struct("all_tokens", "by_cc").alias("v"))
+             .groupBy(*keys).agg(F.max_by("v", F.to_json("v")).alias("v"))
+             .select(*keys, _longest_first(F.col("v.all_tokens")).alias("_all"),
+                     F.transform_values("v.by_cc", lambda _, v: _longest_first(v)).alias("_by_cc")))
     wanted = F.col("variant").isNull() & F.col("region").isNotNull()
-    slug = F.when(wanted, X.model_slug(F.col("model")))
-    cc = F.coalesce(F.col("engine_capacity").cast("bigint").cast("string"), F.lit(""))
+    slug = key_or_spread(wanted, X.model_slug(F.col("model")), listings.columns)
+    capacity = F.col("engine_capacity").cast("string")
+    cc = F.coalesce(capacity.try_cast("bigint").cast("string"), capacity, F.lit(""))
     own = F.try_element_at("_by_cc", cc)
     candidates = F.when(F.size(own) > 0, own).otherwise(F.col("_all"))
     subject = F.upper(F.coalesce("subject", F.lit("")))
     hit = F.get(F.filter(candidates, lambda x: F.contains(subject, F.upper(x))), F.lit(0))
-    return (listings.join(words, slug == F.col("_slug"), "left")
+    same = slug == F.col("_slug")
+    if by_make:
+        same &= X.fold(F.col("make")) == F.col("_make")
+    return (listings.join(words, same, "left")
             .select(*[F.coalesce("variant", F.nullif(hit, F.lit(""))).alias(c)
                       if c == "variant" else c for c in listings.columns]))

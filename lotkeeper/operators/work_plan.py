@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lotkeeper import fixed_values as fv
+from lotkeeper.session import written
 
 
 def active_makes(listings: DataFrame, makes: DataFrame) -> DataFrame:
@@ -47,6 +48,8 @@ def split_plan(work: DataFrame, counts: DataFrame, models: DataFrame, last_year:
     listings are still emitted. A model whose every year is empty stays one entry. A year above the
     threshold cannot be cut further and is flagged.
     """
+    # many branches read the counts
+    counts = written(counts, "counts")
     per_model = (counts.groupBy("make", "model").agg(F.sum("n").alias("model_n")))
     per_make = per_model.groupBy("make").agg(F.sum("model_n").alias("make_n"))
     known = models.select("make", "model").distinct()

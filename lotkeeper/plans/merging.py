@@ -8,6 +8,7 @@ from lotkeeper import registry as R
 from lotkeeper.operators import merge as G
 from lotkeeper.operators import schema as H
 from lotkeeper.operators import work_plan as W
+from lotkeeper.operators.weekly import merge_snapshot
 from lotkeeper.plans import standins as S
 from lotkeeper.plans.catalogue import query
 
@@ -336,3 +337,28 @@ def cap_split_plan(spark, sf):
         spark.createDataFrame([("Brand 1", "empty model")], "make string, model string"))
     threshold = S.table(spark, sf, "lineitem").count() * 95 // 1000
     return W.split_plan(work, counts, models, 2002, threshold)
+
+
+@query("weekly_ingest", f"""WITH b AS (SELECT l_orderkey AS ads_id, l_linenumber AS seq, l_linestatus AS file,
+       CAST(l_quantity AS BIGINT) * 1000 AS price, l_returnflag || l_linenumber AS subject FROM lineitem),
+       f AS (SELECT ads_id, max(seq) FILTER (file = 'F') AS at_price, max(seq) AS at_subject FROM b GROUP BY ads_id),
+       n AS (SELECT f.ads_id, p.price, at_price, s.subject FROM f LEFT JOIN b p ON p.ads_id = f.ads_id AND p.seq = at_price
+       JOIN b s ON s.ads_id = f.ads_id AND s.seq = at_subject),
+       o AS (SELECT o_orderkey AS ads_id, 5000 AS price, CAST(o_orderdate AS STRING) AS first_seen_at
+       FROM orders WHERE o_orderkey % 3 > 0)
+       SELECT coalesce(o.ads_id, n.ads_id) AS ads_id, CASE WHEN at_price IS NULL THEN o.price ELSE n.price END AS price,
+       coalesce(n.subject, 'Old') AS subject, coalesce(o.first_seen_at, '{S.NOW}') AS first_seen_at,
+       CASE WHEN n.ads_id IS NULL THEN o.first_seen_at ELSE '{S.NOW}' END AS last_seen_at,
+       CASE WHEN n.ads_id IS NULL THEN 'available' ELSE 'unknown' END AS availability_status
+       FROM o FULL JOIN n ON o.ads_id = n.ads_id""")
+def weekly_ingest(spark, sf):
+    """Two files with different columns merged into a table: one carries prices as text, the other none."""
+    scanned = S.table(spark, sf, "lineitem").selectExpr(
+        "CAST(l_orderkey AS STRING) AS ads_id", "l_linenumber AS ingest_seq", "l_linestatus AS file",
+        "IF(l_linestatus = 'F', array('ads_id', 'subject', 'price'), array('ads_id', 'subject')) AS present",
+        "IF(l_linestatus = 'F', concat('RM ', CAST(l_quantity AS BIGINT), ',000'), NULL) AS price",
+        "concat(l_returnflag, l_linenumber) AS subject")
+    state = S.table(spark, sf, "orders").filter("o_orderkey % 3 > 0").selectExpr(
+        "o_orderkey AS ads_id", "CAST(5000 AS BIGINT) AS price", "'Old' AS subject", "CAST(o_orderdate AS STRING) AS first_seen_at",
+        "CAST(o_orderdate AS STRING) AS last_seen_at", "'available' AS availability_status")
+    return merge_snapshot(state, scanned, "cars", S.NOW)

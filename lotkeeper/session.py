@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def build_session(app_name: str = "lotkeeper", master: str | None = None, **conf) -> SparkSession:
@@ -33,6 +34,13 @@ def build_session(app_name: str = "lotkeeper", master: str | None = None, **conf
     return builder.getOrCreate()
 
 
+def key_or_spread(wanted: Column, key: Column, rows: list[str]) -> Column:
+    """``key`` for rows that want a match; for the others a text that nothing equals and that differs from row
+    to row. A NULL would match nothing either, but sends all such rows of a shuffled join to one task."""
+    other = F.concat(F.lit(chr(0)), F.xxhash64(*rows).cast("string"))
+    return F.when(wanted & key.isNotNull(), key).otherwise(other)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder of the cluster, from ``spark.checkpoint.dir``.
 
@@ -59,12 +67,3 @@ def written(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def spread(df: DataFrame, factor: int = 8) -> DataFrame:
-    """Spread a scan ahead of costly parsing when it comes in fewer partitions than there are cores,
-    as a few small or unsplittable files do. Larger scans stay as they are, and a small table never
-    grows to more than ``factor`` times its partitions."""
-    have = df.rdd.getNumPartitions()
-    wanted = min(df.sparkSession.sparkContext.defaultParallelism, factor * have)
-    return df if have >= wanted else df.repartition(wanted)

@@ -15,7 +15,7 @@ def attribute_schema(category: str) -> T.StructType:
     """Fields of interest, as text so that nothing odd is lost; all others are never parsed."""
     names = fv.API_SHARED_FIELDS | fv.API_CATEGORY_FIELDS[check_category(category)]
     fields = [T.StructField(n, T.StringType()) for n in names]
-    mileage = T.StructType([T.StructField("gte", T.LongType()), T.StructField("lte", T.LongType())])
+    mileage = T.StructType([T.StructField("gte", T.StringType()), T.StructField("lte", T.StringType())])
     return T.StructType([T.StructField("list_id", T.StringType()), *fields,
                          T.StructField("mileage", mileage)])
 

@@ -21,8 +21,11 @@ def file_headers(spark: SparkSession, path: str | list[str]) -> DataFrame:
                      F.col("_metadata.file_block_start").alias("start"),
                      F.monotonically_increasing_id().alias("row")).filter("start = 0"))
     header = lines.groupBy("file").agg(F.min_by("value", "row").alias("line"))
-    plain = F.translate("line", _BYTE_ORDER_MARK + '"\r', "")
-    return header.select("file", F.transform(F.split(plain, ","), F.trim).alias("present"))
+    plain = F.translate("line", _BYTE_ORDER_MARK + "\r", "")
+    # commas outside quotes part names; inside, a doubled quote is one
+    names = F.transform(F.split(plain, r',(?=(?:[^"]*"[^"]*")*[^"]*$)'), F.trim)
+    bare = F.transform(names, lambda c: F.trim(F.replace(F.regexp_replace(c, r'^"(.*)"$', "$1"), F.lit('""'), F.lit('"'))))
+    return header.select("file", bare.alias("present"))
 
 
 def _cells_to_columns(cells: Column, present: Column, columns: Sequence[str]) -> list[Column]:

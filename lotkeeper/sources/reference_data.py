@@ -45,14 +45,16 @@ def scan_models(spark: SparkSession, path: str, required: bool = False,
 
 
 def scan_type_mapping(spark: SparkSession, path: str) -> DataFrame:
-    """Rows of a type mapping file with their place in it, as ``pos``.
+    """Rows of a type mapping file with their place in it, as ``pos``: file, block and row.
 
     The file's own names for the first three columns differ by category; here they are make,
     model and type.
     """
     schema = ", ".join(f"`{c}` string" for c in TYPE_COLUMNS)
     return (spark.read.schema(schema).options(header=True, escape='"', encoding="UTF-8")
-            .csv(path).withColumn("pos", F.monotonically_increasing_id()))
+            .csv(path).withColumn("pos", F.struct(
+                F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
+                F.monotonically_increasing_id().alias("row"))))
 
 
 def scan_aliases(spark: SparkSession, path: str,
@@ -65,12 +67,17 @@ def scan_aliases(spark: SparkSession, path: str,
 
 
 def split_aliases(text: DataFrame) -> tuple[DataFrame, DataFrame]:
-    data = text.select(F.from_json("value", _ALIASES).alias("j"))
-    makes = data.select(F.explode("j._make_alias").alias("alias", "slug"))
-    models = (data.select(F.explode("j.aliases").alias("alias", "d"))
-              .select("alias", F.col("d.decision").alias("slug"))
-              .filter("slug IS NOT NULL AND slug NOT IN ('', 'NULL')"))
-    return makes, models
+    data = text.select(F.from_json("value", _ALIASES).alias("j"), F.monotonically_increasing_id().alias("at"))
+
+    def last(entries: DataFrame) -> DataFrame:
+        """Of equal aliases the last decides, as in any reader of such objects."""
+        return entries.groupBy("alias").agg(F.max_by("slug", F.struct("at", "pos")).alias("slug"))
+
+    makes = data.select("at", F.posexplode(F.map_entries("j._make_alias")).alias("pos", "e")).select(
+        "at", "pos", F.col("e.key").alias("alias"), F.col("e.value").alias("slug"))
+    models = data.select("at", F.posexplode(F.map_entries("j.aliases")).alias("pos", "e")).select(
+        "at", "pos", F.col("e.key").alias("alias"), F.col("e.value.decision").alias("slug"))
+    return last(makes), last(models).filter("slug IS NOT NULL AND slug NOT IN ('', 'NULL')")
 
 
 def scan_manual_specs(spark: SparkSession, path: str, required: bool = True,
@@ -91,11 +98,17 @@ def scan_variant_vocabulary(spark: SparkSession, path: str,
 
 def lookup_names(df: DataFrame, makes: DataFrame, models: DataFrame,
                  make_slug: str = "make_slug", model_slug: str = "model_slug") -> DataFrame:
-    """Add name and id of the make, and of the model within it; unknown slugs give NULL."""
-    m = makes.select(F.col("slug").alias("_m"), F.col("name").alias("make_name"),
-                     F.col("id").alias("make_id"))
-    d = models.select(F.col("make_slug").alias("_dm"), F.col("slug").alias("_d"),
-                      F.col("name").alias("model_name"), F.col("id").alias("model_id"))
+    """Add name and id of the make, and of the model within it; unknown slugs give NULL and of equal slugs
+    the first counts."""
+    def first(df: DataFrame, *keys: str) -> DataFrame:
+        return (df.withColumn("_at", F.monotonically_increasing_id()).groupBy(*keys)
+                .agg(F.min_by(F.struct("name", "id"), "_at").alias("v")))
+
+    m = first(makes, "slug").select(F.col("slug").alias("_m"), F.col("v.name").alias("make_name"),
+                                    F.col("v.id").alias("make_id"))
+    d = first(models, "make_slug", "slug").select(
+        F.col("make_slug").alias("_dm"), F.col("slug").alias("_d"),
+        F.col("v.name").alias("model_name"), F.col("v.id").alias("model_id"))
     return (df.join(m, F.col(make_slug) == F.col("_m"), "left")
             .join(d, (F.col(make_slug) == F.col("_dm")) & (F.col(model_slug) == F.col("_d")), "left")
             .drop("_m", "_dm", "_d"))

@@ -9,11 +9,12 @@ import duckdb
 import pytest
 
 import __spark_entry__ as registered
+from lotkeeper.plans import all_queries
 
 DATA = "/root/testdata/sf0.001"
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
           "benchmark labels conversations").split()
-QUERIES, ORACLES = registered.queries(), registered.oracle_sql()
+QUERIES, ORACLES = all_queries()
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="no test tables here")
 
@@ -54,3 +55,7 @@ def test_query_equals_sql(spark, sql, name):
 
 def test_every_query_has_sql():
     assert set(ORACLES) == set(QUERIES)
+
+
+def test_entry_registers_all():
+    assert set(QUERIES) <= set(registered.queries()) and set(ORACLES) <= set(registered.oracle_sql())
