@@ -339,11 +339,10 @@ def cap_split_plan(spark, sf):
     return W.split_plan(work, counts, models, 2002, threshold)
 
 
-@query("weekly_ingest", f"""WITH b AS (SELECT l_orderkey AS ads_id, l_linenumber AS seq, l_linestatus AS file,
+@query("weekly_ingest", f"""WITH b AS (SELECT l_orderkey AS ads_id, row({_ASC}, l_linenumber) AS k, l_linestatus AS file,
        CAST(l_quantity AS BIGINT) * 1000 AS price, l_returnflag || l_linenumber AS subject FROM lineitem),
-       f AS (SELECT ads_id, max(seq) FILTER (file = 'F') AS at_price, max(seq) AS at_subject FROM b GROUP BY ads_id),
-       n AS (SELECT f.ads_id, p.price, at_price, s.subject FROM f LEFT JOIN b p ON p.ads_id = f.ads_id AND p.seq = at_price
-       JOIN b s ON s.ads_id = f.ads_id AND s.seq = at_subject),
+       n AS (SELECT ads_id, arg_max(price, k) FILTER (file = 'F') AS price, max(k) FILTER (file = 'F') AS at_price,
+       arg_max(subject, k) AS subject FROM b GROUP BY ads_id),
        o AS (SELECT o_orderkey AS ads_id, 5000 AS price, CAST(o_orderdate AS STRING) AS first_seen_at
        FROM orders WHERE o_orderkey % 3 > 0)
        SELECT coalesce(o.ads_id, n.ads_id) AS ads_id, CASE WHEN at_price IS NULL THEN o.price ELSE n.price END AS price,
@@ -354,7 +353,7 @@ def cap_split_plan(spark, sf):
 def weekly_ingest(spark, sf):
     """Two files with different columns merged into a table: one carries prices as text, the other none."""
     scanned = S.table(spark, sf, "lineitem").selectExpr(
-        "CAST(l_orderkey AS STRING) AS ads_id", "l_linenumber AS ingest_seq", "l_linestatus AS file",
+        "CAST(l_orderkey AS STRING) AS ads_id", f"struct({_ASC}, l_linenumber) AS ingest_seq", "l_linestatus AS file",
         "IF(l_linestatus = 'F', array('ads_id', 'subject', 'price'), array('ads_id', 'subject')) AS present",
         "IF(l_linestatus = 'F', concat('RM ', CAST(l_quantity AS BIGINT), ',000'), NULL) AS price",
         "concat(l_returnflag, l_linenumber) AS subject")
