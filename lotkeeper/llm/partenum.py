@@ -245,7 +245,8 @@ def left_apart(stars: DataFrame, failed: DataFrame, roots: DataFrame, sets: Data
     together = members.select("family", "node").distinct().groupBy("family").agg(F.count("*").alias("n"))
     whole = apart.join(together, "family").select(
         "family", (F.col("n").cast("double") * F.col("n") <= F.col("apart")).alias("whole"))
-    units = members.join(whole, "family").select(
+    # a family of near copies has many signatures of many sets each
+    units = hot_join(members, whole, "family", ["node", "sig"]).select(
         "whole", F.when(F.col("whole"), F.col("family")).otherwise(F.col("sig")).alias("unit"), "node").distinct()
     weighed = units.join(sets.select("node", "n"), "node")
     blocks = weighed.groupBy("whole", "unit").agg(F.greatest(
