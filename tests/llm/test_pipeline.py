@@ -24,7 +24,7 @@ def tables(spark, tmp_path_factory):
         near[-1] = "Another last line of this text."
         rows.append((200 + i, "\n".join(near), "en", "s0", 0))
         rows.append((300 + i, " ".join(w + "%%% ###" for w in odd.words(i, 80).upper().split()), "en", "s1", 0))
-        rows.append((400 + i, odd.sentences(500 + i, 6) + "\nHome | News | Sport | Contact", "en", None, 0))
+        rows.append((400 + i, odd.sentences(500 + i, 6) + "\n" + odd.words(700 + i, 6), "en", None, 0))
     rows += [(None, odd.sentences(900, 8), "en", "s2", 0), (None, None, None, None, None), (5, "short", "en", "s1", 5), (501, "", "en", "s1", 0)]
     rng.shuffle(rows)
     path = str(tmp_path_factory.mktemp("tables"))
