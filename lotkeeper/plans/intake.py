@@ -15,7 +15,7 @@ from lotkeeper.session import scratch_path
 from lotkeeper.sources import api_payload as AP
 from lotkeeper.sources import listing_files as LF
 from lotkeeper.sources import reference_data as RD
-from lotkeeper.sources.state import TableState
+from lotkeeper.sources.state import KeyedState, TableState
 from lotkeeper.streaming import ingest as IN
 
 # --- listing files ------------------------------------------------------------------------------
@@ -237,7 +237,7 @@ def sink_state(spark, sf):
 
 
 def _seeded(spark, label, table):
-    state = TableState(spark, scratch_path(spark, label))
+    state = KeyedState(spark, scratch_path(spark, label), buckets=16)
     state.write(table, 0)
     return state
 

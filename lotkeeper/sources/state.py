@@ -7,10 +7,13 @@ writing the same version twice is harmless.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+Merge = Callable[[DataFrame, DataFrame], DataFrame]
 _COMMIT = "version bigint, path string, meta map<string, string>"
 
 
@@ -39,14 +42,26 @@ class TableState:
 
     def write(self, df: DataFrame, version: int, **meta: str) -> bool:
         """Write a version and commit it. A version that is committed already is left alone."""
-        if not self.commits().filter(F.col("version") == version).isEmpty():
+        if self.committed(version):
             return False
         path = f"{self.root}/v={version}"
         df.write.mode("overwrite").parquet(path)
+        return self._commit(version, path, meta)
+
+    def _commit(self, version: int, path: str, meta: dict[str, str]) -> bool:
         record = self.spark.createDataFrame([(version, path, dict(meta))], _COMMIT)
         record.coalesce(1).write.mode("append").parquet(f"{self.root}/_commits")
         return True
 
+    def committed(self, version: int) -> bool:
+        return not self.commits().filter(F.col("version") == version).isEmpty()
+
+    def merge(self, batch: DataFrame, merge: Merge, version: int, schema=None) -> bool:
+        """Write what ``merge`` makes of the table and a batch as a version."""
+        if self.committed(version):
+            return False
+        return self.write(merge(self.read(schema), batch), version)
+
     def meta(self) -> DataFrame:
         """Latest value of every meta key."""
         return (self.commits().select("version", F.explode("meta").alias("key", "value"))
@@ -57,6 +72,69 @@ class TableState:
         return row["value"] if row else None
 
 
+_BUCKETS = "bucket int, path string"
+
+
+class KeyedState(TableState):
+    """A table in hash buckets of its key. A version lists a folder per bucket, and a merge rewrites only the
+    buckets its batch has keys of; the others keep the folders they are in. Choose the number of
+    buckets so that one is a few files: what a small batch costs is its buckets, not the table.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, key: str = "ads_id", buckets: int = 64):
+        super().__init__(spark, root)
+        self.key, self.buckets = key, buckets
+
+    def _bucketed(self, df: DataFrame) -> DataFrame:
+        # as text, so that the width of an integer key does not matter
+        number = F.pmod(F.xxhash64(F.col(self.key).cast("string")), F.lit(self.buckets))
+        return df.withColumn("_bucket", number.cast("int"))
+
+    def folders(self, version: int | None = None) -> dict[int, str]:
+        """Bucket -> folder of a version, the current one by default; at most as many as there are buckets."""
+        version = self.version() if version is None else version
+        if version is None:
+            return {}
+        rows = self.spark.read.schema(_BUCKETS).parquet(f"{self.root}/_buckets/v={version}").collect()
+        return {r["bucket"]: r["path"] for r in rows}
+
+    def _read(self, paths: list[str], schema) -> DataFrame:
+        return self.spark.read.parquet(*paths) if paths else self.spark.createDataFrame([], schema)
+
+    def read(self, schema=None) -> DataFrame:
+        return self._read(sorted(self.folders().values()), schema)
+
+    def write(self, df: DataFrame, version: int, **meta: str) -> bool:
+        """Write the whole table as a version."""
+        return not self.committed(version) and self._put(df, version, {}, meta)
+
+    def merge(self, batch: DataFrame, merge: Merge, version: int, schema=None) -> bool:
+        if self.committed(version):
+            return False
+        before = self.folders()
+        touched = {r["_bucket"] for r in self._bucketed(batch).select("_bucket").distinct().collect()}
+        if before and schema is None:
+            schema = self._read([next(iter(before.values()))], None).schema
+        part = self._read(sorted(p for b, p in before.items() if b in touched), schema)
+        return self._put(merge(part, batch), version, {b: p for b, p in before.items() if b not in touched}, {})
+
+    def _put(self, df: DataFrame, version: int, kept: dict[int, str], meta: dict[str, str]) -> bool:
+        path = f"{self.root}/v={version}"
+        self._bucketed(df).write.mode("overwrite").partitionBy("_bucket").parquet(path)
+        new = self.spark.read.schema(self._bucketed(df).schema).parquet(path).select("_bucket").distinct().collect()
+        rows = {**kept, **{r["_bucket"]: f"{path}/_bucket={r['_bucket']}" for r in new}}
+        (self.spark.createDataFrame(sorted(rows.items()), _BUCKETS).coalesce(1)
+         .write.mode("overwrite").parquet(f"{self.root}/_buckets/v={version}"))
+        return self._commit(version, path, meta)
+
+    def superseded(self, keep: int = 2) -> list[str]:
+        """Bucket folders that none of the last ``keep`` versions lists; nothing reads them any more."""
+        versions = sorted(r["version"] for r in self.commits().select("version").collect())
+        lists = {v: set(self.folders(v).values()) for v in versions}
+        current = set().union(*[lists[v] for v in versions[-keep:]]) if versions else set()
+        return sorted(set().union(*lists.values()) - current) if versions else []
+
+
 def append_audit(audit: DataFrame, path: str) -> None:
     """Append audit rows, partitioned by the day of the check."""
     (audit.withColumn("check_date", F.substring("checked_at", 1, 10))

@@ -1,21 +1,18 @@
 """Incremental merge of snapshot files, and probe batches, with Structured Streaming.
 
 Each micro-batch becomes one table version named after its batch id. A batch that is replayed
-after a failure finds its version committed and changes nothing.
+after a failure finds its version committed and changes nothing. With a ``KeyedState`` a batch rewrites only
+the buckets it has keys of.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from lotkeeper.operators.availability import apply_probes, audit_rows
 from lotkeeper.operators.merge import upsert_listings
-from lotkeeper.sources.state import TableState
-
-Merge = Callable[[DataFrame, DataFrame], DataFrame]
+from lotkeeper.sources.state import Merge, TableState
 
 
 def file_stream(spark: SparkSession, path: str, schema, file_format: str = "parquet",
@@ -34,7 +31,7 @@ def merge_stream(stream: DataFrame, state: TableState, merge: Merge, checkpoint:
                  schema=None) -> StreamingQuery:
     """Merge every micro-batch into the state and stop when the input is used up."""
     def one_batch(batch: DataFrame, batch_id: int) -> None:
-        state.write(merge(state.read(schema), batch), batch_id + 1)
+        state.merge(batch, merge, batch_id + 1, schema)
 
     return (stream.writeStream.foreachBatch(one_batch).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
@@ -55,7 +52,7 @@ def stream_availability(stream: DataFrame, state: TableState, checkpoint: str,
     def one_batch(batch: DataFrame, batch_id: int) -> None:
         if audit_path:
             audit_rows(batch).write.mode("overwrite").parquet(f"{audit_path}/batch={batch_id}")
-        state.write(apply_probes(state.read(), batch, order), batch_id + 1)
+        state.merge(batch, lambda table, probes: apply_probes(table, probes, order), batch_id + 1)
 
     return (stream.writeStream.foreachBatch(one_batch).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())

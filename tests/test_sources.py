@@ -12,7 +12,7 @@ from lotkeeper.functions import tagsoup
 from lotkeeper.operators import pages, schema
 from lotkeeper.session import scratch_path
 from lotkeeper.sources import api_payload, listing_files, reference_data
-from lotkeeper.sources.state import TableState
+from lotkeeper.sources.state import KeyedState, TableState
 from lotkeeper.streaming import ingest
 
 
@@ -142,3 +142,27 @@ def test_replayed_batch_changes_nothing(spark):
         ingest.stream_ingest(stream, state, scratch_path(spark, "cp"), None).awaitTermination()
     assert values(state.read()) == [(1, 5), (2, 6)]
     assert state.version() == 1
+
+
+def test_a_merge_rewrites_only_the_buckets_it_touches(spark):
+    state = KeyedState(spark, scratch_path(spark, "keyed"), buckets=8)
+    assert state.read("ads_id long, price int").count() == 0
+    table = spark.range(100).selectExpr("id AS ads_id", "1 AS price")
+    assert state.write(table, 1) and not state.write(table, 1)
+    before = state.folders()
+    batch = spark.createDataFrame([(5, 7)], "ads_id int, price int")
+    update = lambda t, b: t.join(b.withColumnRenamed("price", "new"), "ads_id", "left").selectExpr(
+        "ads_id", "coalesce(new, price) AS price")
+    assert state.merge(batch, update, 2) and not state.merge(batch, update, 2)
+    after = state.folders()
+    assert len(before) == 8 and sum(before[b] != after[b] for b in before) == 1
+    assert sorted((r.ads_id, r.price) for r in state.read().collect()) == [(i, 7 if i == 5 else 1) for i in range(100)]
+    assert state.superseded() == [] and state.superseded(keep=1) == [p for b, p in before.items() if after[b] != p]
+
+
+def test_a_keyed_state_grows_from_nothing(spark):
+    state = KeyedState(spark, scratch_path(spark, "keyed"), buckets=4)
+    add = lambda t, b: t.unionByName(b)
+    for version in (1, 2):
+        state.merge(spark.range(version * 10, version * 10 + 3).selectExpr("id AS ads_id"), add, version, "ads_id long")
+    assert sorted(r.ads_id for r in state.read().collect()) == [10, 11, 12, 20, 21, 22]
