@@ -30,7 +30,7 @@ SAMPLE = 20_000
 LIST_ROWS, MAX_LISTS = 256, 1024
 SUBSPACES, CODES = 8, 256
 #: Queries that one task compares, and codes it compares them with.
-BLOCK_ROWS, PIECE_ROWS = 512, 100_000
+BLOCK_ROWS, PIECE_ROWS = 2048, 100_000
 
 
 def _means(points: np.ndarray, k: int, rounds: int, rng: np.random.Generator, unit: bool) -> np.ndarray:
