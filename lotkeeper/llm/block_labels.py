@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lotkeeper.llm.html_blocks import Block, read_blocks
+from lotkeeper.llm.words import sample
 
 #: Pages whose text the training layouts are made of, by order of a hash of the id; layouts and passes over them.
 SAMPLE_PAGES = 300
@@ -280,10 +281,10 @@ def train(texts: list[str], count: int = LAYOUTS, epochs: int = EPOCHS, seed: in
     return model
 
 
-def learn(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", sample: int = SAMPLE_PAGES) -> Labeller:
-    """Train on layouts of the lines of at most ``sample`` pages."""
-    picked = (pages.select(F.col(id_col).alias("id"), F.col(html_col).alias("html")).where("html is not null")
-              .orderBy(F.xxhash64("id"), "id").limit(sample).collect())
+def learn(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", rows: int = SAMPLE_PAGES) -> Labeller:
+    """Train on layouts of the lines of at most ``rows`` pages."""
+    named = pages.select(F.col(id_col).alias("id"), F.col(html_col).alias("html")).where("html is not null")
+    picked = sample(named, ["id"], rows).collect()
     lines = [b.text for r in sorted(picked, key=lambda r: (r["id"] is None, r["id"] or 0, r["html"])) for b in read_blocks(r["html"])]
     return train([t for t in lines if re.search(r"\w", t)])
 

@@ -61,6 +61,16 @@ def components(nodes: DataFrame, links: DataFrame, node: str = "node", rounds: i
             .select(F.col("n").alias(node), F.coalesce("root", "n").alias("root")))
 
 
+def sample(df: DataFrame, by: list[str], rows: int) -> DataFrame:
+    """At most ``rows`` rows in the order of a hash of ``by``; all rows of a smaller frame.
+
+    Hashes beyond what that many rows need are filtered out first, so tasks send few more than that in all.
+    """
+    share = min(1.0, 1.5 * rows / max(1, df.count()) + 1e-9)
+    hashed = df.withColumn("_hash", F.pmod(F.xxhash64(*by), F.lit(1 << 40)))
+    return hashed.where(F.col("_hash") <= int(share * (1 << 40))).orderBy("_hash", *by).limit(rows).drop("_hash")
+
+
 #: Shares that the rows of one key are split into where that key may be hot.
 SHARES = 64
 
