@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lotkeeper.llm.words import components, hot_join, local_roots
+from lotkeeper.llm.words import components, hot_join, local_roots, sample
 from lotkeeper.session import written
 
 COSINE = 0.9
@@ -111,8 +111,8 @@ def linked_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str =
     sound = sound.where(F.size("v") == d)
     reps = written(sound.groupBy("v").agg(F.min("id").alias("rep"), F.count("*").alias("m")), "vectors")
     rows = reps.count()
-    sample = reps.orderBy(F.xxhash64("rep"), "rep").limit(SAMPLE).select("v").toArrow()
-    model = Quantiser(_unit(_matrix(sample.column("v"))), rows)
+    drawn = sample(reps.select("rep", "v"), ["rep"], SAMPLE).toArrow()
+    model = Quantiser(_unit(_matrix(drawn.column("v"))), rows)
     shared = reps.sparkSession.sparkContext.broadcast(model)
 
     def encode(batches):
