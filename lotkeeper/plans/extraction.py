@@ -195,9 +195,10 @@ def link_filter(spark, sf):
 
 @query("union_links", f"""SELECT DISTINCT {_LINK} AS link FROM part WHERE p_partkey % 8 IN (2, 6)""")
 def union_links(spark, sf):
-    links = S.table(spark, sf, "part").selectExpr("p_partkey", f"{_LINK} AS link")
-    return P.union_links(links.filter("p_partkey % 8 = 2").select("link"),
-                         links.filter("p_partkey % 8 IN (2, 6)").select("link"))
+    links = S.table(spark, sf, "part").selectExpr(f"{_LINK} AS link", f"{_MAKE} AS make", f"{_MODEL} AS model")
+    variants = links.filter(U.link_kind(F.col("link"), F.col("make"), F.col("model")) == "variant").select("link")
+    # the same variants are linked from several kinds of pages
+    return P.union_links(variants, variants)
 
 
 @query("sitemap_urls", """SELECT p_partkey, 'https://bikes.example.org/' || p_partkey || '/specifications'
