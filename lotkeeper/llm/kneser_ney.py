@@ -12,7 +12,7 @@ are folded into that range); runs of blanks are one space, digits are alike, and
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -158,13 +158,12 @@ def probabilities(grams: DataFrame, trusted: DataFrame) -> DataFrame:
     return below.select("lang", "gram", F.log("p").alias("logp"))
 
 
-def perplexities(documents: DataFrame, trusted: DataFrame, keep_text: bool = False) -> DataFrame:
-    """Score (doc_id, lang, text, and columns to carry along): adds symbols, entropy (nats a symbol) and error,
-    its standard error; the text goes, unless ``keep_text``."""
+def scorer(documents: DataFrame, trusted: DataFrame) -> tuple[DataFrame, Callable[..., DataFrame]]:
+    """(doc_id, lang, text, and columns to carry along) dealt to blocks, and a function that scores rows of
+    them: it adds symbols, entropy (nats a symbol) and error, its standard error; the text goes, unless kept."""
     size = documents.agg(F.coalesce(F.sum(F.length("text")), F.lit(0)), F.count("*")).first()
     blocks = max(1, -(-size[0] // BLOCK_CHARS), -(-size[1] // BLOCK_ROWS))
-    carried = [f for f in documents.schema.fields if keep_text or f.name != "text"]
-    # one exchange serves both the blocks' n-grams and the scoring
+    # dealt alike for the blocks' n-grams and for scoring
     dealt = documents.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int"))
 
     def gather(table: pa.Table) -> pa.Table:
@@ -184,31 +183,36 @@ def perplexities(documents: DataFrame, trusted: DataFrame, keep_text: bool = Fal
     scored = probabilities(grams.select("lang", "gram").distinct(), trusted)
     known = grams.join(scored, ["lang", "gram"])
 
-    def score(docs: pa.Table, table: pa.Table) -> pa.Table:
-        langs = np.asarray(table.column("lang").to_pylist(), object)
-        gram, logp = table.column("gram").to_numpy(), table.column("logp").to_numpy()
-        by = {}
-        for lang in set(langs):
-            own = langs == lang
-            order = np.argsort(gram[own])
-            by[lang] = gram[own][order], logp[own][order]
-        rows = []
-        for lang, text in zip(docs.column("lang"), docs.column("text")):
-            found = codes(text.as_py())
-            if not len(found):
-                rows.append((0, None, None))
-                continue
-            keys, values = by[lang.as_py()]
-            own = values[np.searchsorted(keys, found)]
-            rows.append((len(found), float(-own.mean()), float(own.std() / np.sqrt(len(own)))))
-        return pa.table({**{f.name: docs.column(f.name) for f in carried},
-                         "symbols": pa.array([r[0] for r in rows], pa.int64()),
-                         "entropy": pa.array([r[1] for r in rows], pa.float64()),
-                         "error": pa.array([r[2] for r in rows], pa.float64())})
-
-    return dealt.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(
-        score, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in carried)
-        + ", symbols long, entropy double, error double")
+    def scores(part: DataFrame, keep_text: bool = False) -> DataFrame:
+        carried = [f for f in documents.schema.fields if keep_text or f.name != "text"]
+
+        def score(docs: pa.Table, table: pa.Table) -> pa.Table:
+            langs = np.asarray(table.column("lang").to_pylist(), object)
+            gram, logp = table.column("gram").to_numpy(), table.column("logp").to_numpy()
+            by = {}
+            for lang in set(langs):
+                own = langs == lang
+                order = np.argsort(gram[own])
+                by[lang] = gram[own][order], logp[own][order]
+            rows = []
+            for lang, text in zip(docs.column("lang"), docs.column("text")):
+                found = codes(text.as_py())
+                if not len(found):
+                    rows.append((0, None, None))
+                    continue
+                keys, values = by[lang.as_py()]
+                own = values[np.searchsorted(keys, found)]
+                rows.append((len(found), float(-own.mean()), float(own.std() / np.sqrt(len(own)))))
+            return pa.table({**{f.name: docs.column(f.name) for f in carried},
+                             "symbols": pa.array([r[0] for r in rows], pa.int64()),
+                             "entropy": pa.array([r[1] for r in rows], pa.float64()),
+                             "error": pa.array([r[2] for r in rows], pa.float64())})
+
+        return part.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(
+            score, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in carried)
+            + ", symbols long, entropy double, error double")
+
+    return dealt, scores
 
 
 def quality(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -232,10 +236,11 @@ def quality(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     known = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
     counted = F.pmod(F.xxhash64("doc_id"), F.lit(5)) > 0
     trusted = written(counts(docs.join(known.where(counted), "doc_id", "left_semi").select("lang", "text")), "counts")
-    scores = written(perplexities(docs, trusted, text_col in (keep or [])), "scores")
-    held = scores.join(known.where(~counted), "doc_id", "left_semi").where("symbols > 0")
-    limits = held.groupBy("lang").agg(F.percentile_approx("entropy", quantile, 10_000).alias("limit"))
-    judged = scores.join(limits, "lang", "left") if limits.count() > BROADCAST_IDS else scores.join(F.broadcast(limits), "lang", "left")
+    dealt, scores = scorer(docs, trusted)
+    held = scores(dealt.join(known.where(~counted), "doc_id", "left_semi")).where("symbols > 0")
+    limits = written(held.groupBy("lang").agg(F.percentile_approx("entropy", quantile, 10_000).alias("limit")), "limits")
+    found = scores(dealt, text_col in (keep or []))
+    judged = found.join(limits if limits.count() > BROADCAST_IDS else F.broadcast(limits), "lang", "left")
     kept = F.when(F.col("symbols") == 0, False).otherwise(
         F.coalesce(F.col("entropy") - errors * F.col("error") <= F.col("limit"), F.lit(True)))
     if keep:
