@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from lotkeeper.llm import kneser_ney, line_rules, mixing, packing, partenum
 from lotkeeper.llm.words import table
-from lotkeeper.session import scratch_path, written
+from lotkeeper.session import scratch_path
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -30,10 +30,10 @@ def perplexity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the line rules keep, without the lines that failed."""
-    # written, since a filter on the verdict would move below all that it is made of and repeat it
-    judged = written(line_rules.quality(docs.withColumn("_row", F.struct("doc_id", "lang", "source")), id_col="_row")
-                     .select("_row", "clean_text", "kept"), "judged")
-    return _measured(judged.where("kept").select("_row.*", F.col("clean_text").alias("text")))
+    judged = line_rules.quality(docs.withColumn("_row", F.struct("doc_id", "lang", "source")), id_col="_row")
+    # a filter on the verdict alone would move below all that the verdict is made of and repeat it
+    judged = judged.select("_row", "clean_text", "kept", F.rand().alias("_fixed")).where("kept AND _fixed >= 0")
+    return _measured(judged.select("_row.*", F.col("clean_text").alias("text")))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
