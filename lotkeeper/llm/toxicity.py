@@ -3,7 +3,7 @@
 Both dictionaries start with the same content, trained on ordinary text and equally long, so they find the same
 matches there and lengths differ only by what is peculiar to a class. That part comes from zstandard's own
 training on each class, over the words that the common content lacks, and keeps the segments that
-clearly more texts of the class have than of the other. A logistic curve turns the gains of a document's windows
+more texts of the class have than of the other, by a test that rare segments pass as well. A logistic curve turns the gains of a document's windows
 into a score; it is fitted on sample rows that the dictionaries were not trained on.
 """
 
@@ -23,8 +23,10 @@ COMMON_BYTES = 16_384
 CLASS_RUNS = ((2_048, 16, 6), (4_096, 16, 6), (8_192, 16, 6), (4_096, 24, 8), (8_192, 24, 8))
 #: Labelled rows of each class that are learned from, by order of a hash of the id.
 SAMPLE_ROWS = 3_000
-#: A segment stays in a class's dictionary if this share of its texts, and so many times the other's share, has it.
-SHARE, TIMES, TEXTS = 0.06, 15.0, 3
+#: A segment stays in a class's dictionary if so many texts hold it and, as far as a test can tell, more of the class
+#: than of the other; CHANCE is the part of the kept ones that may be there by chance. Segments of up to SHORT bytes
+#: are taken as whole words only.
+TEXTS, CHANCE, SHORT = 3, 0.05, 3
 GAIN = 3
 FOLDS = 5
 
@@ -51,19 +53,52 @@ def _train(size: int, samples: list[bytes], k: int = 16, d: int = 6) -> bytes:
         return b" ".join(samples)[:size]
 
 
+class _Holders:
+    """How many of the texts hold a segment, that is, have a word with it inside; short segments are whole words."""
+
+    def __init__(self, texts: list[bytes]):
+        held: dict[bytes, list[int]] = {}
+        for i, text in enumerate(texts):
+            for word in set(text.split()):
+                held.setdefault(word, []).append(i)
+        self.texts = list(held.values())
+        self.words = b" " + b" ".join(held) + b" "
+        self.starts = np.cumsum([1, *[len(w) + 1 for w in held]])
+
+    def count(self, segment: bytes) -> int:
+        wanted = segment if len(segment) > SHORT else b" " + segment + b" "
+        found, at = set(), self.words.find(wanted)
+        while at >= 0:
+            word = int(np.searchsorted(self.starts, at + len(wanted) - len(segment) - (len(wanted) > len(segment)), "right")) - 1
+            found.update(self.texts[word])
+            at = self.words.find(wanted, int(self.starts[word + 1]) - 1)
+        return len(found)
+
+
+def _doubt(mine: int, theirs: int, share: float) -> float:
+    """Log of a bound (Chernoff's) on the chance that so many of a segment's texts are of a class with this share."""
+    part = mine / (mine + theirs)
+    if part <= share:
+        return 0.0
+    rest = (1 - part) * np.log((1 - part) / (1 - share)) if theirs else 0.0
+    return -(mine + theirs) * (part * np.log(part / share) + rest)
+
+
 def _peculiar(own: list[bytes], other: list[bytes], common: bytes) -> bytes:
-    samples = []
+    samples, within = [], b" " + common + b" "
     for text in own:
-        rare = [w for w in text.split() if len(w) > 3 and w.strip(b".,!?;:") not in common]
+        rare = [w for w in text.split() if (
+            (b" " + w + b" ") not in within if len(w) <= SHORT else w.strip(b".,!?;:") not in common)]
         samples += [b" ".join(rare[i:i + 4]) for i in range(0, len(rare), 4)]
-    segments = dict.fromkeys(s for run in CLASS_RUNS for s in _train(run[0], samples, *run[1:]).split() if len(s) > 3)
-    kept = []
-    for segment in segments:
-        mine = sum(segment in t for t in own)
-        if mine >= max(TEXTS, SHARE * len(own)) and mine * len(other) > TIMES * len(own) * (
-                sum(segment in t for t in other) + 1):
-            kept.append(segment)
-    return b" ".join(kept)
+    segments = list(dict.fromkeys(s for run in CLASS_RUNS for s in _train(run[0], samples, *run[1:]).split()))
+    mine, theirs, share = _Holders(own), _Holders(other), len(own) / (len(own) + len(other))
+    counted = [(s, n, theirs.count(s)) for s in segments if (n := mine.count(s)) >= TEXTS]
+    doubts = np.asarray([_doubt(n, m, share) for _, n, m in counted])
+    # of what is kept, about this part is expected to be chance (Benjamini and Hochberg)
+    steps = np.log(CHANCE * np.arange(1, len(doubts) + 1) / max(1, len(segments)))
+    passed = np.flatnonzero(np.sort(doubts) <= steps)
+    limit = np.sort(doubts)[passed[-1]] if len(passed) else -np.inf
+    return b" ".join(s for (s, _, _), doubt in zip(counted, doubts) if doubt <= limit)
 
 
 @dataclass
@@ -126,7 +161,8 @@ def fit(rows: list[tuple[str, int]], shares: dict[int, float]) -> Model:
     parts = _peculiar(toxic, ordinary, common), _peculiar(ordinary, toxic, common)
     room = -(-(max(map(len, parts)) + 8) // 64) * 64
     # equal lengths: whatever a dictionary's ends are aligned to, the common content is indexed alike in both
-    model = Model(*[common + bytes(room - len(p)) + p for p in parts])
+    # a blank at both ends, so that the first and last segments match as the others do
+    model = Model(*[common + bytes(room - len(p) - 2) + b" " + p + b" " for p in parts])
     if not parts[0] and not parts[1]:
         return Model(weights=np.asarray([base, 0, 0, 0]))
     y = np.asarray([v for _, v in other], float)

@@ -60,3 +60,37 @@ def test_odd_rows_and_empty_tables(spark):
     assert toxicity.toxicity(odd.empty(spark), labels).count() == 0
     assert toxicity.toxicity(docs, labels.where("toxic = 0")).where("predicted = 1").count() == 0
     assert toxicity.toxicity(docs, labels.limit(0)).count() == docs.count()
+
+
+def seeded(terms, n=1500):
+    """(text, label) rows where each toxic text has three of many terms."""
+    rng = random.Random(4)
+    rows = []
+    for i in range(n):
+        found, toxic = odd.words(i, rng.randint(40, 120)).split(), int(i % 6 == 0)
+        for _ in range(3 * toxic):
+            found.insert(rng.randrange(len(found)), rng.choice(terms))
+        rows.append((" ".join(found), toxic))
+    order = list(range(n))
+    rng.shuffle(order)
+    return [rows[i] for i in order]
+
+
+def test_terms_that_few_toxic_texts_have():
+    rng = random.Random(5)
+    terms = ["".join(rng.choice("ijklmnopqrstuvwxyz") for _ in range(rng.randint(5, 9))) for _ in range(60)]
+    model = toxicity.fit(seeded(terms), {0: 5 / 6, 1: 1 / 6})
+    assert sum(t.encode() in model.toxic for t in terms) >= 40
+    fresh = [" ".join([*odd.words(9_000 + i, 60).split(), *terms[i:i + 3]]) for i in range(50)]
+    assert sum(model.score(model.features(t)) >= 0.5 for t in fresh) >= 40
+    assert sum(model.score(model.features(odd.words(9_000 + i, 60))) >= 0.5 for i in range(50)) <= 2
+
+
+def test_three_letter_terms():
+    model = toxicity.fit(seeded(["zux", "qiv", "wok", "juz"]), {0: 5 / 6, 1: 1 / 6})
+    assert all(t in model.toxic.split() for t in (b"zux", b"qiv", b"wok", b"juz"))
+
+
+def test_segments_are_counted_in_texts():
+    held = toxicity._Holders([b"blockhead ass", b"classy blockheads", b"ass. ass", b"", b"ass blockhead"])
+    assert [held.count(s) for s in (b"ockhe", b"ass", b"classy", b"ass.", b"none")] == [3, 3, 1, 1, 0]
