@@ -31,10 +31,8 @@ BLOCK_ROWS = 40_000
 FLUSH = 3_000_000
 #: Trusted ids are broadcast up to this many, and joined by a shuffle beyond.
 BROADCAST_IDS = 2_000_000
-#: The quantile of held-back trusted text that sets a language's threshold, and how many standard errors of
-#: its own mean a document must lie above it to be rejected.
+#: The quantile of held-back trusted text that sets a language's threshold.
 QUANTILE = 0.99
-ERRORS = 2.0
 
 
 def codes(text: str | None) -> np.ndarray:
@@ -160,7 +158,7 @@ def probabilities(grams: DataFrame, trusted: DataFrame) -> DataFrame:
 
 def scorer(documents: DataFrame, trusted: DataFrame) -> tuple[DataFrame, Callable[..., DataFrame]]:
     """(doc_id, lang, text, and columns to carry along) dealt to blocks, and a function that scores rows of
-    them: it adds symbols, entropy (nats a symbol) and error, its standard error; the text goes, unless kept."""
+    them: it adds symbols and entropy (nats a symbol); the text goes, unless kept."""
     size = documents.agg(F.coalesce(F.sum(F.length("text")), F.lit(0)), F.count("*")).first()
     blocks = max(1, -(-size[0] // BLOCK_CHARS), -(-size[1] // BLOCK_ROWS))
     # dealt alike for the blocks' n-grams and for scoring
@@ -198,31 +196,30 @@ def scorer(documents: DataFrame, trusted: DataFrame) -> tuple[DataFrame, Callabl
             for lang, text in zip(docs.column("lang"), docs.column("text")):
                 found = codes(text.as_py())
                 if not len(found):
-                    rows.append((0, None, None))
+                    rows.append((0, None))
                     continue
                 keys, values = by[lang.as_py()]
                 own = values[np.searchsorted(keys, found)]
-                rows.append((len(found), float(-own.mean()), float(own.std() / np.sqrt(len(own)))))
+                rows.append((len(found), float(-own.mean())))
             return pa.table({**{f.name: docs.column(f.name) for f in carried},
                              "symbols": pa.array([r[0] for r in rows], pa.int64()),
-                             "entropy": pa.array([r[1] for r in rows], pa.float64()),
-                             "error": pa.array([r[2] for r in rows], pa.float64())})
+                             "entropy": pa.array([r[1] for r in rows], pa.float64())})
 
         return part.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(
             score, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in carried)
-            + ", symbols long, entropy double, error double")
+            + ", symbols long, entropy double")
 
     return dealt, scores
 
 
 def quality(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             lang_col: str = "lang", label_col: str = "quality", quantile: float = QUANTILE,
-            errors: float = ERRORS, keep: list[str] | None = None) -> DataFrame:
+            keep: list[str] | None = None) -> DataFrame:
     """Judge every document by the perplexity of its whole text under the model of its language.
 
     Trusted are the documents with ``label_col`` 1 in ``labels`` (any of its rows, if repeated). Four fifths of
     them, by a hash of the id, are counted; the ``quantile`` of the others' entropies is their
-    language's threshold. Rejected: entropy - ``errors`` * its standard error above the threshold.
+    language's threshold. Rejected: entropy above the threshold.
     A null language is one of its own. Null, empty and blank texts have no perplexity and are not kept;
     languages without held-back trusted text have no threshold and keep the rest. Null ids are never
     trusted; rows stay one to one; other columns are ignored.
@@ -242,7 +239,7 @@ def quality(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     found = scores(dealt, text_col in (keep or []))
     judged = found.join(limits if limits.count() > BROADCAST_IDS else F.broadcast(limits), "lang", "left")
     kept = F.when(F.col("symbols") == 0, False).otherwise(
-        F.coalesce(F.col("entropy") - errors * F.col("error") <= F.col("limit"), F.lit(True)))
+        F.coalesce(F.col("entropy") <= F.col("limit"), F.lit(True)))
     if keep:
         return judged.select(*[F.col("text").alias(c) if c == text_col else F.col(f"_kept.{c}") for c in keep],
                              kept.alias("kept"))

@@ -120,3 +120,11 @@ def test_odd_rows_and_empty_tables(spark):
     assert kn.quality(odd.empty(spark), labels).count() == 0
     assert kn.quality(docs, labels.limit(0)).where("kept").count() == docs.count()
     assert kn.quality(odd.documents(spark), labels, keep=["doc_id", "text", "lang"]).columns == ["doc_id", "text", "lang", "kept"]
+
+
+def test_the_threshold_alone_decides(spark):
+    docs, labels = corpus(spark)
+    junk = [(2000 + i, " ".join([odd.words(i, 1)] * 6 + ["qxz"]), "en") for i in range(30)]
+    found = kn.quality(docs.unionByName(spark.createDataFrame(junk, docs.schema)), labels).collect()
+    assert all(r["kept"] == (r["perplexity"] <= r["threshold"]) for r in found)
+    assert any(r["doc_id"] >= 2000 and not r["kept"] for r in found)
