@@ -95,20 +95,33 @@ def linked_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str =
                    margin: float = MARGIN) -> DataFrame:
     """Link vectors with a cosine, in double precision, of ``cosine`` or more; exact for every pair compared.
 
-    Null and zero vectors, those with null or non-finite components, and those not of the most common
-    length link with nothing. Rows with equal vectors link with each other. Ids are expected to be distinct;
+    Null and zero vectors and those with null or non-finite components link with nothing; others are compared
+    with all of their length, one length after another. Rows with equal vectors link with each other. Ids are expected to be distinct;
     a null id stays out of links. Returns id, n_links, component_id (smallest id reachable, itself
     included) and kept (its own component's smallest).
     """
     everything = vectors.select(F.col(id_col).alias("id"), F.col(vector_col).cast("array<double>").alias("v"))
     finite = F.forall("v", lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf")))
     sound = everything.where(F.col("id").isNotNull() & finite & F.exists("v", lambda c: c != 0))
-    sizes = sound.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").limit(1).collect()
+    # a vector that is alone with its length has nothing to be compared with
+    sizes = [r["d"] for r in sound.groupBy(F.size("v").alias("d")).count().where("count > 1").orderBy("d").collect()]
     if not sizes:
         return everything.select(F.col("id").alias(id_col), F.lit(0).cast("long").alias("n_links"),
                                  F.col("id").alias("component_id"), F.lit(True).alias("kept"))
-    d = sizes[0]["d"]
-    sound = sound.where(F.size("v") == d)
+    named = None
+    for d in sizes:
+        part = _named(sound.where(F.size("v") == d), cosine, margin)
+        named = part if named is None else named.unionByName(part)
+    # only sound vectors have a name; others keep their own id
+    keyed = everything.withColumn("v", F.when(F.col("id").isNotNull(), F.col("v")))
+    return hot_join(keyed, named, "v", ["id"]).select(
+        F.col("id").alias(id_col), F.coalesce("links", F.lit(0)).cast("long").alias("n_links"),
+        F.coalesce("root", "id").alias("component_id"),
+        F.coalesce(F.col("id") == F.col("root"), F.lit(True)).alias("kept"))
+
+
+def _named(sound: DataFrame, cosine: float, margin: float) -> DataFrame:
+    """(v, links, root) of the distinct vectors of (id, v), all of one length."""
     reps = written(sound.groupBy("v").agg(F.min("id").alias("rep"), F.count("*").alias("m")), "vectors")
     rows = reps.count()
     drawn = sample(reps.select("rep", "v"), ["rep"], SAMPLE).toArrow()
@@ -231,11 +244,5 @@ def linked_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str =
     totals = found.groupBy("rep").agg(F.sum("links").alias("links"))
     roots = components(found.select(F.col("rep").alias("node")).distinct(),
                        found.select(F.col("rep").alias("a"), F.col("root").alias("b")))
-    named = (reps.join(totals, "rep", "left").join(roots.withColumnRenamed("node", "rep"), "rep", "left")
-             .select("v", (F.coalesce("links", F.lit(0)) + F.col("m") - 1).alias("links"), F.coalesce("root", "rep").alias("root")))
-    # only sound vectors have a name; others keep their own id
-    keyed = everything.withColumn("v", F.when(F.col("id").isNotNull(), F.col("v")))
-    return hot_join(keyed, named, "v", ["id"]).select(
-        F.col("id").alias(id_col), F.coalesce("links", F.lit(0)).cast("long").alias("n_links"),
-        F.coalesce("root", "id").alias("component_id"),
-        F.coalesce(F.col("id") == F.col("root"), F.lit(True)).alias("kept"))
+    return (reps.join(totals, "rep", "left").join(roots.withColumnRenamed("node", "rep"), "rep", "left")
+            .select("v", (F.coalesce("links", F.lit(0)) + F.col("m") - 1).alias("links"), F.coalesce("root", "rep").alias("root")))

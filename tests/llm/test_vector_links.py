@@ -50,3 +50,11 @@ def test_vectors_that_link_with_nothing(spark):
 
 def test_empty_table(spark):
     assert vector_links.linked_vectors(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_every_length_is_compared(spark):
+    rows = [(0, [1.0, 2.0, 3.0]), (1, [1.0, 2.0, 3.0]), (2, [1.0, 0.0, 0.0, 0.0]), (3, [1.0, 0.1, 0.0, 0.0]), (4, [0.0, 1.0, 0.0, 0.0]),
+            (5, [2.0, 4.0, 6.1]), (6, [1.0, 2.0]), (7, [-1.0, -2.0, -3.0])]
+    found = {r["vec_id"]: tuple(r)[1:] for r in vector_links.linked_vectors(spark.createDataFrame([(*r, 0) for r in rows], SCHEMA)).collect()}
+    assert found == {0: (2, 0, True), 1: (2, 0, False), 2: (1, 2, True), 3: (1, 2, False), 4: (0, 4, True), 5: (2, 0, False),
+                     6: (0, 6, True), 7: (0, 7, True)}
