@@ -2,6 +2,8 @@
 
 A forgiving reader: unknown tags, unclosed elements and cut-off pages are read as far as they go. Elements
 that lay out text in lines end a block; inline ones do not. Scripts, styles, comments and the head have no text.
+A head ends where something starts that cannot stand in it. Formulas and the content for readers without scripts,
+plug-ins or drawing are text.
 """
 
 from __future__ import annotations
@@ -10,12 +12,16 @@ import html
 import re
 from dataclasses import dataclass
 
-SKIPPED = {"script", "style", "noscript", "template", "svg", "math", "iframe", "object", "canvas", "head", "title"}
-RAW = {"script", "style", "title", "noscript", "iframe", "template", "textarea"}
-VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
+SKIPPED = {"script", "style", "template", "svg", "iframe", "head", "title"}
+RAW = {"script", "style", "title", "iframe", "template", "textarea"}
+#: What may start inside a head without ending it.
+IN_HEAD = {"title", "meta", "link", "base", "script", "style", "noscript", "template", "html", "head"}
+VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr", "mspace"}
 INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i",
           "ins", "kbd", "label", "mark", "q", "rp", "rt", "ruby", "s", "samp", "small", "span", "strike", "strong",
-          "sub", "sup", "time", "tt", "u", "var", "img", "input", "wbr"}
+          "sub", "sup", "time", "tt", "u", "var", "img", "input", "wbr", "object", "canvas", "math", "mi", "mn", "mo", "ms",
+          "mtext", "mrow", "mfrac", "msup", "msub", "msubsup", "msqrt", "mroot", "mstyle", "mover", "munder", "munderover",
+          "mpadded", "mphantom", "menclose", "mtable", "mtr", "mtd", "semantics", "annotation", "mspace"}
 #: Elements that end an open one of the same kind, and the elements this does not reach beyond.
 ENDED = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
          "th": {"td", "th"}, "option": {"option"}}
@@ -51,6 +57,10 @@ def read_blocks(page: str | None) -> list[Block]:
         state["link"] -= tag == "a"
         state["skip"] -= tag in SKIPPED
 
+    def end_head():
+        while any(t == "head" for t, _ in stack):
+            pop()
+
     source, at = page or "", 0
     while True:
         found = _PARTS.match(source, at)
@@ -61,6 +71,8 @@ def read_blocks(page: str | None) -> list[Block]:
         if tag is None:
             part = found.group()
             if part[0] != "<" or part == "<":
+                if stack and stack[-1][0] in ("head", "noscript") and part.strip():
+                    end_head()
                 if not state["skip"]:
                     piece = html.unescape(part)
                     text.append(piece)
@@ -77,6 +89,8 @@ def read_blocks(page: str | None) -> list[Block]:
                     if last == tag:
                         break
             continue
+        if tag not in IN_HEAD:
+            end_head()
         if tag in VOID:
             if tag in ("br", "hr"):
                 end_block()
@@ -91,9 +105,6 @@ def read_blocks(page: str | None) -> list[Block]:
                     break
                 if stack[i][0] in FENCES:
                     break
-            if tag == "body":
-                while stack and stack[-1][0] == "head":
-                    pop()
         names = []
         if rest and "=" in rest:
             for kind, *values in _NAMED.findall(rest):

@@ -28,6 +28,20 @@ def test_broken_markup():
         assert [b.text for b in read_blocks(page)] == texts, page
 
 
+def test_heads_that_are_never_closed():
+    for page, texts in (("<html><head><title>T</title><h1>A</h1><p>text", ["A", "text"]), ("<head><meta name=a><p>x</head>y", ["xy"]),
+                        ("<head><title>T</title>plain", ["plain"]), ("<head><style>p{}</style><link rel=b> <script>x</script></head><p>c", ["c"]),
+                        ("<head><noscript><style>q</style><link></noscript><title>T</title></head><body>z", ["z"]),
+                        ("<head><noscript><img src=a></noscript></head><p>d", ["d"])):
+        assert [b.text for b in read_blocks(page)] == texts, page
+
+
+def test_formulas_and_fallback_content():
+    page = ("<article><p>So <math><mi>a</mi><mo>=</mo><msup><mi>b</mi><mn>2</mn></msup></math> holds.<p><object data=x><param name=y>A film."
+            "</object><canvas>A <b>chart</b>.</canvas><noscript><p>No script.</p></noscript><svg><text>s</text></svg></article>")
+    assert [b.text for b in read_blocks(page)] == ["So a=b2 holds.", "A film.A chart.", "No script."]
+
+
 def test_gradients_against_differences():
     rng = np.random.default_rng(0)
     model = block_labels.Labeller(rng)
