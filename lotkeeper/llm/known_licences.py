@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import pkgutil
+import re
+
 _MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:
 
 The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.
@@ -44,7 +47,7 @@ http://www.apache.org/licenses/LICENSE-2.0
 
 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License."""
 
-#: (name, text): whole licences, with and without their titles, and the one-line notices in use.
+#: (name, text): whole licences, with and without their titles, and one-line notices; more of both is added below.
 KNOWN: list[tuple[str, str]] = [
     ("MIT", _MIT),
     ("MIT", "MIT License\n\n" + _MIT),
@@ -81,6 +84,47 @@ KNOWN: list[tuple[str, str]] = [
     ("CC-BY-NC-SA-4.0", "Licensed under CC BY-NC-SA 4.0."),
 ]
 
+#: Long licences, a file each, as published and with a line for every paragraph.
+for _name in ("Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0", "CC0-1.0", "Unlicense"):
+    _text = pkgutil.get_data(__package__, f"licence_texts/{_name}.txt").decode("utf-8").replace("\r\n", "\n")
+    KNOWN += [(_name, _text), (_name, re.sub(r"(?<!\n)[ \t]*\n(?![ \t]*\n)[ \t]*", " ", _text))]
+
+#: What notices call a licence; "BSD" is one that names no clauses.
+TITLES: list[tuple[str, list[str]]] = [
+    ("MIT", ["the MIT License", "the MIT License (MIT)", "MIT"]),
+    ("ISC", ["the ISC License", "ISC"]),
+    ("0BSD", ["the BSD Zero Clause License", "the Zero-Clause BSD License", "0BSD"]),
+    ("BSD", ["the BSD License", "a BSD-style License", "BSD"]),
+    ("BSD-2-Clause", ["the BSD 2-Clause License", "the 2-Clause BSD License", "the Simplified BSD License", "BSD-2-Clause"]),
+    ("BSD-3-Clause", ["the BSD 3-Clause License", "the 3-Clause BSD License", "the New BSD License", "the Modified BSD License",
+                      "BSD-3-Clause"]),
+    ("Zlib", ["the zlib License", "the zlib/libpng License", "zlib"]),
+    ("Apache-2.0", ["the Apache License, Version 2.0", "the Apache License 2.0", "the Apache 2.0 License", "Apache 2.0"]),
+    ("MPL-2.0", ["the Mozilla Public License, Version 2.0", "the Mozilla Public License 2.0", "the MPL 2.0", "MPL 2.0"]),
+    ("CC0-1.0", ["CC0 1.0", "CC0 1.0 Universal", "the Creative Commons CC0 1.0 Universal License"]),
+    ("Unlicense", ["the Unlicense", "Unlicense"]),
+]
+for _name, _long, _versions in (("GPL", "GNU General Public License", "23"), ("LGPL", "GNU Lesser General Public License", ("2.1", "3")),
+                                ("AGPL", "GNU Affero General Public License", "3")):
+    for _v in _versions:
+        TITLES.append((f"{_name}-{_v}" if "." in _v else f"{_name}-{_v}.0", [
+            x + end for x in (f"the {_long}, version {_v}", f"the {_long} v{_v}", f"the {_long} {_v}", f"the GNU {_name}v{_v}",
+                              f"the {_name}v{_v}", f"the {_name} v{_v}", f"the {_name} {_v}", f"the {_name} version {_v}", f"{_name}v{_v}")
+            for end in ("", ".0")[:1 + ("." not in _v)]]))
+for _kind, _words in (("BY", "Attribution"), ("BY-SA", "Attribution-ShareAlike"), ("BY-NC", "Attribution-NonCommercial"),
+                      ("BY-ND", "Attribution-NoDerivatives"), ("BY-NC-SA", "Attribution-NonCommercial-ShareAlike"),
+                      ("BY-NC-ND", "Attribution-NonCommercial-NoDerivatives")):
+    TITLES.append((f"CC-{_kind}-4.0", [
+        x for own in (f"CC {_kind} 4.0", f"Creative Commons {_words} 4.0", f"Creative Commons {_words} 4.0 International")
+        for x in (own, f"the {own} License", f"a {own} License")]))
+
+#: Every wording of a notice for every title.
+KNOWN += [(_name, f"{_lead} {_title}.") for _name, _titles in TITLES for _title in _titles for _lead in [
+    f"{_what}{_verb} under" for _what in ("", "This work is ", "This software is ", "This project is ", "This file is ", "This document is ")
+    for _verb in ("licensed", "released", "distributed", "made available")]]
+KNOWN += [(_name, f"SPDX-License-Identifier: {_id}") for _name, _ in TITLES if _name != "BSD" for _id in (
+    [_name, f"{_name}-only", f"{_name}-or-later"] if "GPL" in _name else [_name])]
+
 #: Equivalent words, over text in lower case without punctuation: (variant, usual).
 SPELLINGS: list[tuple[str, str]] = [
     ("acknowledgement", "acknowledgment"),

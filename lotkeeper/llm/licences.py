@@ -8,6 +8,9 @@ text if its canonical form, without those rules, is within what they could chang
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,36 +38,56 @@ def spelled(text: Column) -> Column:
     return F.trim(out)
 
 
-def known_digests(spark: SparkSession, known: list[tuple[str, str]] = KNOWN) -> DataFrame:
-    """(digest, licence) of the known texts; as many rows as there are texts."""
-    rows = spark.createDataFrame(known, "licence string, text string")
+def known_texts(spark: SparkSession, known: list[tuple[str, str]] | DataFrame = KNOWN) -> DataFrame:
+    """(licence, text) of a list or of a table with these columns."""
+    rows = known if isinstance(known, DataFrame) else spark.createDataFrame(known, "licence string, text string")
+    return rows.select("licence", "text").where("licence is not null and text is not null")
+
+
+def known_digests(spark: SparkSession, known: list[tuple[str, str]] | DataFrame = KNOWN) -> DataFrame:
+    """(digest, licence) of the known texts; as many rows as there are different ones."""
+    rows = known_texts(spark, known).where(F.length(folded(F.col("text"))) > 0)
     return rows.select(F.sha2(spelled(folded(F.col("text"))), 256).alias("digest"), "licence").groupBy("digest").agg(
         F.min("licence").alias("licence"))
 
 
+def spans(spark: SparkSession, known: list[tuple[str, str]] | DataFrame = KNOWN) -> list[tuple[int, int]]:
+    """Lengths that a unit equal to a known text may have, as (least, most) in order; few, whatever is known."""
+    n = F.length(folded(F.col("text"))).alias("n")
+    groups = known_texts(spark, known).select(n).where("n > 0").groupBy(F.floor(F.log("n")).alias("g")).agg(
+        F.min("n").alias("low"), F.max("n").alias("high")).collect()
+    found: list[tuple[int, int]] = []
+    for low, high in sorted((int(r["low"] / SLACK), int(r["high"] * SLACK)) for r in groups):
+        if found and low <= found[-1][1]:
+            low, high = found[-1][0], max(high, found.pop()[1])
+        found.append((low, high))
+    return found
+
+
 def scan(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-         known: list[tuple[str, str]] = KNOWN) -> DataFrame:
+         known: list[tuple[str, str]] | DataFrame = KNOWN) -> DataFrame:
     """Licences of every document: id, text_licence (of the whole text), n_licence_lines, and licences, the names
     found in the whole text or a line, sorted and joined by commas.
 
     Null, empty and blank texts have none (null names, 0 lines); rows stay one to one, rows with equal id and text are
-    alike; other columns are ignored.
+    alike; other columns are ignored. ``known`` is a list of (licence, text) or a table with these columns.
     """
     spark = documents.sparkSession
-    sizes = spark.createDataFrame(known, "licence string, text string").select(F.length(folded(F.col("text"))).alias("n"))
-    low, high = sizes.agg(F.min("n"), F.max("n")).first()
+    allowed = spans(spark, known) or [(0, -1)]
+    least = allowed[0][0]
     docs = documents.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).withColumn(
         "_key", F.xxhash64("doc_id", "text"))
-    fits = lambda x: F.length(x).between(int(low / SLACK), int(high * SLACK))
+    fits = lambda x: reduce(or_, [F.length(x).between(*span) for span in allowed])
     whole = F.array(F.struct(F.lit(True).alias("whole"), folded(F.col("text")).alias("unit")))
     # a text of one line is one unit, the whole
-    lines = F.when(F.contains("text", F.lit("\n")), F.transform(F.filter(F.split("text", "\n"), lambda x: F.length(x) >= int(low / SLACK)),
+    lines = F.when(F.contains("text", F.lit("\n")), F.transform(F.filter(F.split("text", "\n"), lambda x: F.length(x) >= least),
                         lambda x: F.struct(F.lit(False).alias("whole"), folded(x).alias("unit")))).otherwise(F.array().cast(
                             "array<struct<whole:boolean,unit:string>>"))
     units = (docs.select("_key", F.explode(F.filter(F.concat(whole, lines), lambda u: fits(u["unit"]))).alias("u"))
              .select("_key", "u.whole", F.sha2(spelled(F.col("u.unit")), 256).alias("digest")))
-    # the known texts are a constant of the library, a few dozen rows
-    hits = units.join(F.broadcast(known_digests(spark, known)), "digest")
+    names = known_digests(spark, known)
+    # the texts of the library are about four thousand; a table may be of any size
+    hits = units.join(names if isinstance(known, DataFrame) else F.broadcast(names), "digest")
     found = hits.groupBy("_key").agg(
         F.max(F.when(F.col("whole"), F.col("licence"))).alias("text_licence"),
         F.count(F.when(~F.col("whole"), 1)).alias("lines"), F.count("*").alias("every"),
