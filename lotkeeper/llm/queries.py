@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotkeeper.llm import block_labels, kneser_ney, licences, line_rules, mixing, packing, partenum, toxicity, vector_links, warc
+from lotkeeper.llm import (block_labels, hard_negatives, kneser_ney, licences, line_rules, mixing, packing, partenum, sharding,
+                           toxicity, turn_repair, vector_links, warc)
 from lotkeeper.llm.words import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -84,3 +85,21 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of 2048 tokens."""
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query("op11_sharding", sharding.shard_sql())
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard and place of every document, equal texts together, bytes near equal."""
+    return sharding.shard(table(spark, sf_dir, "documents"))
+
+
+@query("op12_turn_repair", turn_repair.repaired_sql())
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults and cheapest repair of every conversation after damage."""
+    return turn_repair.repaired(table(spark, sf_dir, "conversations"))
+
+
+@query("op13_hard_negatives", hard_negatives.mine_sql())
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of all anchors among all vectors."""
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"))
