@@ -66,9 +66,8 @@ def _giants(sized: DataFrame, units: DataFrame, shards: int) -> DataFrame:
     groups = (sized.join(F.broadcast(largest), "unit", "left_semi").groupBy("digest").agg(F.sum("size").alias("size"))
               .orderBy(F.desc("size"), "digest").limit(shards))
     order = Window.orderBy(F.desc("size"), "digest")
-    rest = F.col("total") - F.coalesce(F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    ranked = (groups.join(F.broadcast(units.agg(F.sum("size").alias("total"))))
-              .withColumn("place", F.row_number().over(order) - 1)
+    rest = F.lit(units.agg(F.sum("size")).first()[0]) - F.coalesce(F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    ranked = (groups.withColumn("place", F.row_number().over(order) - 1)
               .withColumn("large", F.col("size") * (shards - F.col("place")) >= rest))
     return ranked.withColumn("large", F.min("large").over(order)).where("large").select("digest", "size", "place")
 
