@@ -6,7 +6,7 @@ in the index of a band unless the norms of what follows, the row's and the longe
 below t: those dimensions are left out, and rows of small norm altogether. Partial scores are accumulated band by
 band over the rows indexed there, and a pair lives on while its partial score plus the norms of the rest reach the
 anchor's threshold; survivors are scored exactly. Anchors whose window is not full yet go on with a lower threshold,
-down to the window's own bound.
+down to the window's own bound. Rows of later parts meet full windows, whose last row is the threshold.
 
 One join finds the positives, whose scores bound the windows of the negatives; a second one finds those. Only the
 best few of every piece leave a task.
@@ -25,35 +25,36 @@ POSITIVES, NEGATIVES = 5, 3
 #: Rows of a piece at most, and pieces at least; anchors of a block.
 PIECE_ROWS, PIECES, BLOCK_ANCHORS = 32_768, 16, 8_192
 #: What is scored at a time within a task: anchors and rows.
-_ANCHORS, _ROWS = 128, 8_192
+_ANCHORS, _ROWS = 256, 1_024
 #: Dimensions of a band of the index, the first threshold as a share of the product of norms, and its decay.
-BAND, FIRST, DECAY = 8, 0.8, 0.7
-_EXACT = float(2**53)
+BAND, FIRST, DECAY = 16, 0.5, 0.6
 
 
 class Index:
     """Rows of one piece and one length, indexed for thresholds of a set of anchors."""
 
     def __init__(self, rows: np.ndarray):
-        self.exact = rows.shape[1] == 0 or float(np.abs(rows).max(initial=0)) ** 2 * rows.shape[1] < _EXACT
-        kind = np.float64 if self.exact else np.int64
         self.order = np.argsort(-(rows.astype(np.float64) ** 2).sum(0), kind="stable")
-        self.rows = rows[:, self.order].astype(kind)
+        self.rows, self.most = rows[:, self.order], float(np.abs(rows).max(initial=0))
+        self.kinds = {}
         self.ends = [*range(BAND, rows.shape[1], BAND), rows.shape[1]] if rows.shape[1] else []
         self.rest = self._rest(self.rows)
 
     def _rest(self, rows: np.ndarray) -> np.ndarray:
-        """Norms of what follows the start of every band, rounded up; after the last one 0."""
+        """Norms of what follows the start of every band, rounded up; after the last band 0."""
         square = rows.astype(np.float64) ** 2
         starts = [0, *self.ends]
         return np.sqrt(np.stack([square[:, s:].sum(1) for s in starts], 1)) * (1 + 1e-9) if starts[1:] else np.zeros((len(rows), 1))
 
     def search(self, anchors: np.ndarray, least: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """All (anchor, row, score) with a score of at least the anchor's threshold."""
-        if not self.exact or float(np.abs(anchors).max(initial=0)) * float(np.abs(self.rows).max(initial=0)) * anchors.shape[1] >= _EXACT:
-            anchors, rows = anchors[:, self.order].astype(np.int64), self.rows.astype(np.int64)
-        else:
-            anchors, rows = anchors[:, self.order].astype(np.float64), self.rows
+        # whole numbers, exact in floats while products stay small
+        size = float(np.abs(anchors).max(initial=0)) * self.most * anchors.shape[1]
+        kind = np.float32 if size < 2**24 else np.float64 if size < 2**53 else np.int64
+        if kind not in self.kinds:
+            self.kinds[kind] = self.rows.astype(kind)
+        rows = self.kinds[kind]
+        anchors = anchors[:, self.order].astype(kind)
         rest = self._rest(anchors)
         low = least.min()
         # bands of which a row is in the index: up to the first start from which the rest stays below every threshold
@@ -86,35 +87,50 @@ class Index:
         return a[hit], kept[r[hit]], found[hit]
 
 
-def best(index: Index, ids: np.ndarray, labels: np.ndarray, anchors: np.ndarray, anchor_ids: np.ndarray,
-         anchor_labels: np.ndarray, same: bool, low: np.ndarray | None, high: np.ndarray | None, k: int):
-    """The k best (query, row, score) for each query, thresholds lowered until its window is full.
-
-    A query asks for rows of its label (``same``, itself excepted) or of others, with scores between low and high.
-    """
-    norms = index._rest(anchors[:, index.order])[:, 0]
-    longest = float(index.rest[:, 0].max(initial=0))
-    floor = low if low is not None else np.full(len(anchors), np.iinfo(np.int64).min)
-    start = norms * longest * FIRST if high is None else np.minimum(norms * longest * FIRST, high)
-    asked, out, t = np.arange(len(anchors)), [], start
-    while len(asked):
-        # thresholds that can't fall much further end at the floor, below any score where there is none
-        least = np.where(t < np.maximum(1.0, norms[asked] * longest * 0.05), floor[asked], np.maximum(t, floor[asked]))
-        a, r, score = index.search(anchors[asked], least.astype(np.float64))
-        q = asked[a]
-        fits = (labels[r] == anchor_labels[q]) & (ids[r] != anchor_ids[q]) if same else labels[r] != anchor_labels[q]
-        if high is not None:
-            fits &= score <= high[q]
-        q, r, score = q[fits], r[fits], score[fits]
-        order = np.lexsort((ids[r], -score, q))
-        q, r, score = q[order], r[order], score[order]
-        rank = np.arange(len(q)) - np.searchsorted(q, q, side="left")
-        full = (np.bincount(q, minlength=len(anchors))[asked] >= k) | (least <= floor[asked])
-        mine = (rank < k) & np.isin(q, asked[full])
-        out.append((q[mine], r[mine], score[mine]))
-        t = t[~full] * DECAY
-        asked = asked[~full]
-    return [np.concatenate(c) for c in zip(*out)] if out else [np.zeros(0, np.int64)] * 3
+class Windows:
+    """The best rows found so far for every window: rows of the anchor's label (``same``, the anchor excepted) or of other
+    labels, with scores from low to high. A full window takes only what is no worse than its last row."""
+
+    def __init__(self, owner: np.ndarray, low: np.ndarray, high: np.ndarray, same: bool, k: int):
+        order = np.argsort(owner, kind="stable")
+        self.place, self.owner, self.low, self.high, self.same, self.k = order, owner[order], low[order].copy(), high[order], same, k
+        self.window = self.id = self.score = np.zeros(0, np.int64)
+
+    def take(self, window: np.ndarray, ids: np.ndarray, score: np.ndarray) -> None:
+        window, ids, score = (np.concatenate(x) for x in ((self.window, window), (self.id, ids), (self.score, score)))
+        order = np.lexsort((ids, -score, window))
+        window, ids, score = window[order], ids[order], score[order]
+        rank = np.arange(len(window)) - np.searchsorted(window, window, side="left")
+        last = rank == self.k - 1
+        self.low[window[last]] = np.maximum(self.low[window[last]], score[last])
+        self.window, self.id, self.score = window[rank < self.k], ids[rank < self.k], score[rank < self.k]
+
+    def search(self, index: Index, ids: np.ndarray, labels: np.ndarray, anchors: np.ndarray, anchor_ids: np.ndarray,
+               anchor_labels: np.ndarray) -> None:
+        """Look through the rows of an index, with thresholds lowered until every window of an anchor is full or
+        its lower bound is reached."""
+        norms = index._rest(anchors[:, index.order])[:, 0] * float(index.rest[:, 0].max(initial=0))
+        every = np.arange(len(anchors))
+        start = np.searchsorted(self.owner, every)  # every anchor has a window
+        count, asked = np.diff(np.append(start, len(self.owner))), every
+        t = np.minimum(norms * FIRST, np.maximum.reduceat(self.high, start))
+        while len(asked):
+            floor = np.minimum.reduceat(self.low, start)[asked]
+            # thresholds that can't fall much further end at the windows' own bound
+            least = np.where(t < np.maximum(1.0, norms[asked] * 0.05), floor, np.maximum(t, floor))
+            a, r, score = index.search(anchors[asked], np.nextafter(least, -np.inf))
+            a = asked[a]
+            mine = (labels[r] == anchor_labels[a]) & (ids[r] != anchor_ids[a]) if self.same else labels[r] != anchor_labels[a]
+            a, r, score = a[mine], r[mine], score[mine]
+            pair = np.repeat(np.arange(len(a)), count[a])  # every pair for every window of its anchor
+            window = np.arange(len(pair)) - np.repeat(np.cumsum(count[a]) - count[a], count[a]) + start[a][pair]
+            fits = (score[pair] >= self.low[window]) & (score[pair] <= self.high[window])
+            pair, window = pair[fits], window[fits]
+            held = np.minimum.reduceat(np.bincount(window, minlength=len(self.owner)), start)
+            ready = (held[asked] >= self.k) | (least <= floor)
+            done = np.isin(a[pair], asked[ready])
+            self.take(window[done], ids[r[pair[done]]], score[pair[done]])
+            asked, t = asked[~ready], t[~ready] * DECAY
 
 
 def _matrix(table: pa.Table, column: str) -> np.ndarray:
@@ -126,31 +142,24 @@ def _search_piece(rows: pa.Table, queries: pa.Table, same: bool, k: int, schema:
     if not rows.num_rows or not queries.num_rows:
         return schema.empty_table()
     q = {c: queries.column(c).to_numpy() for c in queries.column_names if c != "w"}
-    vectors, parts = _matrix(queries, "w"), []
-    for at in range(0, rows.num_rows, _ROWS):
-        part = rows.slice(at, _ROWS)
-        ids, labels = part.column("id").to_numpy(), part.column("label").to_numpy()
-        index = Index(_matrix(part, "v"))
-        for i in range(0, len(vectors), _ANCHORS):
-            s = slice(i, i + _ANCHORS)
-            a, r, score = best(index, ids, labels, vectors[s], q["anchor"][s], q["anchor_label"][s], same,
-                               q["low"][s] if not same else None, q["high"][s] if not same else None, k)
-            a = a + i
-            parts.append({"anchor": q["anchor"][a], "other": ids[r], "score": score,
-                          "positive": ids[r] if same else q["positive"][a], "label": q["anchor_label"][a]})
-    if not parts:
-        return schema.empty_table()
-    merged = {c: np.concatenate([p[c] for p in parts]) for c in schema.names}
-    order = np.lexsort((merged["other"], -merged["score"], merged["positive"], merged["anchor"])) if not same else np.lexsort(
-        (merged["other"], -merged["score"], merged["anchor"]))
-    merged = {c: v[order] for c, v in merged.items()}
-    key = merged["anchor"] if same else np.stack([merged["anchor"], merged["positive"]], 1)
-    fresh = np.ones(len(order), bool)
-    if len(order):
-        change = key[1:] != key[:-1]
-        fresh[1:] = change if same else change.any(1)
-    rank = np.arange(len(order)) - np.maximum.accumulate(np.where(fresh, np.arange(len(order)), 0))
-    return pa.table({c: v[rank < k] for c, v in merged.items()}, schema=schema)
+    anchor_ids, first, owner = np.unique(q["anchor"], return_index=True, return_inverse=True)
+    vectors, anchor_labels = _matrix(queries, "w")[first], q["anchor_label"][first]
+    ids, labels, v = rows.column("id").to_numpy(), rows.column("label").to_numpy(), _matrix(rows, "v")
+    cuts = range(0, len(ids), _ROWS)
+    indexes = [Index(v[at:at + _ROWS]) for at in cuts]
+    parts = []
+    for i in range(0, len(anchor_ids), _ANCHORS):
+        s = slice(i, i + _ANCHORS)
+        here = np.flatnonzero((owner >= i) & (owner < i + _ANCHORS))
+        low = np.full(len(here), np.iinfo(np.int64).min) if same else q["low"][here]
+        high = np.full(len(here), np.iinfo(np.int64).max) if same else q["high"][here]
+        windows = Windows(owner[here] - i, low, high, same, k)
+        for at, index in zip(cuts, indexes):
+            windows.search(index, ids[at:at + _ROWS], labels[at:at + _ROWS], vectors[s], anchor_ids[s], anchor_labels[s])
+        query = here[windows.place[windows.window]]
+        parts.append({"anchor": q["anchor"][query], "positive": windows.id if same else q["positive"][query],
+                      "label": q["anchor_label"][query], "other": windows.id, "score": windows.score})
+    return pa.table({c: np.concatenate([p[c] for p in parts]) for c in schema.names}, schema=schema)
 
 
 _FOUND = pa.schema([("anchor", pa.int64()), ("positive", pa.int64()), ("label", pa.int64()), ("other", pa.int64()), ("score", pa.int64())])
