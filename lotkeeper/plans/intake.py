@@ -162,15 +162,17 @@ def scan_type_mapping(spark, sf):
     return T.type_mapping(rows, "cars", "place")
 
 
-@query("scan_alias", f"""SELECT 'model' AS kind, p_brand || '|' || p_name || p_partkey AS alias, 'to-' ||
-       p_size AS slug FROM part WHERE p_partkey % 3 = 0 UNION ALL SELECT 'make', lower(p_brand) ||
-       p_partkey, {_SLUG} FROM part""")
+@query("scan_alias", f"""SELECT 'model' AS kind, p_brand || '|' || p_name || '/' || p_partkey AS alias, 'to-' ||
+       p_size AS slug FROM part WHERE p_partkey % 3 = 0 UNION ALL SELECT 'make', lower(p_brand) || '/' ||
+       p_partkey, CASE WHEN p_partkey % 4 = 0 THEN {_SLUG} || '-again' ELSE {_SLUG} END FROM part""")
 def scan_alias(spark, sf):
-    decision = ("CASE p_partkey % 3 WHEN 0 THEN 'to-' || p_size WHEN 1 THEN 'NULL' ELSE '' END")
+    """A document per part; every fourth one gives its make alias twice, and the later one counts."""
+    decision = "CASE p_partkey % 3 WHEN 0 THEN 'to-' || p_size WHEN 1 THEN 'NULL' ELSE '' END"
+    key = "lower(p_brand) || '/' || p_partkey"
+    again = f"IF(p_partkey % 4 = 0, concat('\"', {key}, '\":\"', {_SLUG}, '-again\"'), NULL)"
     path = _text_files(spark, "aliases", S.table(spark, sf, "part").selectExpr(
-        f"to_json(named_struct('_make_alias', map(lower(p_brand) || p_partkey, {_SLUG}), 'aliases',"
-        f" map(p_brand || '|' || p_name || p_partkey, named_struct('decision', {decision}))))"
-        " AS value"))
+        f"""concat('{{"_make_alias":{{', concat_ws(',', concat('"', {key}, '":"', {_SLUG}, '"'), {again}), '}},"aliases":{{"',
+        p_brand, '|', p_name, '/', p_partkey, '":{{"decision":"', {decision}, '"}}}}}}') AS value"""))
     makes, models = RD.scan_aliases(spark, path, required=True, per_line=True)
     return (makes.select(F.lit("make").alias("kind"), "alias", "slug")
             .unionByName(models.select(F.lit("model").alias("kind"), "alias", "slug")))

@@ -73,22 +73,48 @@ class TableState:
 
 
 _BUCKETS = "bucket int, path string"
+#: Buckets of a new table, and files of a bucket.
+BUCKETS, FILES = 64, 4
+
+
+def bucketed(df: DataFrame, key: str, buckets: int) -> DataFrame:
+    """Add ``_bucket``, by a hash of the key as text, so that the width of an integer key does not matter."""
+    return df.withColumn("_bucket", F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(buckets)).cast("int"))
+
+
+def write_buckets(df: DataFrame, key: str, buckets: int, path: str, files: int = FILES) -> dict[int, str]:
+    """Write rows into a folder per bucket, each in at most ``files`` files; bucket -> folder of those written."""
+    rows = bucketed(df, key, buckets)
+    part = F.pmod(F.shiftright(F.xxhash64(F.col(key).cast("string")), 32), F.lit(files))
+    rows.repartition("_bucket", part).write.mode("overwrite").partitionBy("_bucket").parquet(path)
+    found = df.sparkSession.read.schema(rows.schema).parquet(path).select("_bucket").distinct().collect()
+    return {r["_bucket"]: f"{path}/_bucket={r['_bucket']}" for r in found}
 
 
 class KeyedState(TableState):
     """A table in hash buckets of its key. A version lists a folder per bucket, and a merge rewrites only the
     buckets its batch has keys of; the others keep the folders they are in. Choose the number of
     buckets so that one is a few files: what a small batch costs is its buckets, not the table.
+
+    The number of buckets is stored with every commit; opening the table with another one raises, ``rebucket`` changes it.
+    A merge sees only the buckets of its batch's keys, so what it makes of a row must depend on rows of the same key alone;
+    a second unique column needs ``LinkedState``.
     """
 
-    def __init__(self, spark: SparkSession, root: str, key: str = "ads_id", buckets: int = 64):
+    def __init__(self, spark: SparkSession, root: str, key: str = "ads_id", buckets: int | None = None):
         super().__init__(spark, root)
-        self.key, self.buckets = key, buckets
-
-    def _bucketed(self, df: DataFrame) -> DataFrame:
-        # as text, so that the width of an integer key does not matter
-        number = F.pmod(F.xxhash64(F.col(self.key).cast("string")), F.lit(self.buckets))
-        return df.withColumn("_bucket", number.cast("int"))
+        self.key, self._asked, self._stored = key, buckets, None
+
+    @property
+    def buckets(self) -> int:
+        if self._stored is None:
+            stored = self.meta_value("_buckets")
+            if stored is None:
+                return self._asked or BUCKETS
+            self._stored = int(stored)
+        if self._asked not in (None, self._stored):
+            raise ValueError(f"{self.root} has {self._stored} buckets, not {self._asked}")
+        return self._stored
 
     def folders(self, version: int | None = None) -> dict[int, str]:
         """Bucket -> folder of a version, the current one by default; at most as many as there are buckets."""
@@ -112,20 +138,26 @@ class KeyedState(TableState):
         if self.committed(version):
             return False
         before = self.folders()
-        touched = {r["_bucket"] for r in self._bucketed(batch).select("_bucket").distinct().collect()}
+        touched = {r["_bucket"] for r in bucketed(batch, self.key, self.buckets).select("_bucket").distinct().collect()}
         if before and schema is None:
             schema = self._read([next(iter(before.values()))], None).schema
         part = self._read(sorted(p for b, p in before.items() if b in touched), schema)
         return self._put(merge(part, batch), version, {b: p for b, p in before.items() if b not in touched}, {})
 
+    def rebucket(self, buckets: int, version: int) -> bool:
+        """Write the table as a version with another number of buckets, as it grows or shrinks."""
+        if self.committed(version):
+            return False
+        table = self.read()
+        self._asked = self._stored = buckets
+        return self._put(table, version, {}, {})
+
     def _put(self, df: DataFrame, version: int, kept: dict[int, str], meta: dict[str, str]) -> bool:
-        path = f"{self.root}/v={version}"
-        self._bucketed(df).write.mode("overwrite").partitionBy("_bucket").parquet(path)
-        new = self.spark.read.schema(self._bucketed(df).schema).parquet(path).select("_bucket").distinct().collect()
-        rows = {**kept, **{r["_bucket"]: f"{path}/_bucket={r['_bucket']}" for r in new}}
+        path, buckets = f"{self.root}/v={version}", self.buckets
+        rows = {**kept, **write_buckets(df, self.key, buckets, path)}
         (self.spark.createDataFrame(sorted(rows.items()), _BUCKETS).coalesce(1)
          .write.mode("overwrite").parquet(f"{self.root}/_buckets/v={version}"))
-        return self._commit(version, path, meta)
+        return self._commit(version, path, {**meta, "_buckets": str(buckets)})
 
     def superseded(self, keep: int = 2) -> list[str]:
         """Bucket folders that none of the last ``keep`` versions lists; nothing reads them any more."""

@@ -6,7 +6,7 @@ from statistics import median
 
 import pytest
 
-from conftest import values
+from rows import values
 from lotkeeper.operators import availability as A
 from lotkeeper.operators import market, work_plan
 

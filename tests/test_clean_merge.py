@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import values
+from rows import values
 from lotkeeper.operators import clean, merge
 
 MOTO = ("ads_id long, subject string, price string, manufactured_date string, company_ad string, "

@@ -6,7 +6,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import values
+from rows import values
 from lotkeeper.operators import match, types, variants
 
 CAR = ("cat_id int, make string, model string, year int, engine_cc int, power_hp int, "

@@ -6,7 +6,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import values
+from rows import values
 from lotkeeper import registry
 from lotkeeper.functions import tagsoup
 from lotkeeper.operators import pages, schema
@@ -166,3 +166,17 @@ def test_a_keyed_state_grows_from_nothing(spark):
     for version in (1, 2):
         state.merge(spark.range(version * 10, version * 10 + 3).selectExpr("id AS ads_id"), add, version, "ads_id long")
     assert sorted(r.ads_id for r in state.read().collect()) == [10, 11, 12, 20, 21, 22]
+
+
+def test_the_number_of_buckets_is_kept(spark):
+    root = scratch_path(spark, "keyed")
+    add = lambda t, b: t.unionByName(b)
+    assert KeyedState(spark, root, buckets=4).write(spark.range(20).selectExpr("id AS ads_id"), 1)
+    batch = spark.range(50, 53).selectExpr("id AS ads_id")
+    with pytest.raises(ValueError, match="4 buckets, not 7"):
+        KeyedState(spark, root, buckets=7).merge(batch, add, 2)
+    state = KeyedState(spark, root)
+    assert state.merge(batch, add, 2) and state.read().count() == 23 and state.buckets == 4
+    assert state.rebucket(7, 3) and state.buckets == 7 and KeyedState(spark, root, buckets=7).read().count() == 23
+    assert KeyedState(spark, root).merge(spark.range(60, 62).selectExpr("id AS ads_id"), add, 4)
+    assert sorted(r.ads_id for r in KeyedState(spark, root).read().collect()) == [*range(20), 50, 51, 52, 60, 61]

@@ -1,6 +1,6 @@
 """Snapshots from files to the table, and inputs that once went wrong."""
 
-from conftest import values
+from rows import values
 from pyspark.sql import functions as F
 
 from lotkeeper.operators import availability as A
