@@ -21,19 +21,22 @@ def in_spec_era(ads_id: Column, status: Column, engine_cc: Column) -> Column:
             & engine_cc.isNull())
 
 
-def due_rows(listings: DataFrame, now, force_all: bool = False, skip_filled: bool = False,
-             spec_era_only: bool = False) -> DataFrame:
-    """Listings with a link that are due for a re-check. Plain filters first, cadence last."""
-    rows = listings.filter("url IS NOT NULL AND url != ''")
+def is_due(now, force_all: bool = False, skip_filled: bool = False, spec_era_only: bool = False) -> Column:
+    """Whether a listing has a link and is due for a re-check."""
+    due = F.col("url").isNotNull() & (F.col("url") != "")
     if skip_filled:
-        rows = rows.filter("engine_cc IS NULL")
+        due &= F.col("engine_cc").isNull()
     if spec_era_only:
-        rows = rows.filter((F.col("ads_id") >= fv.SPEC_ERA_MIN_ADS_ID)
-                           & F.col("availability_status").isin("available", "unknown"))
+        due &= (F.col("ads_id") >= fv.SPEC_ERA_MIN_ADS_ID) & F.col("availability_status").isin("available", "unknown")
     if force_all:
-        return rows
-    return rows.filter(K.due_for_recheck(F.col("first_seen_at"), F.col("last_checked_at"),
-                                         F.col("availability_status"), now))
+        return due
+    return due & K.due_for_recheck(F.col("first_seen_at"), F.col("last_checked_at"), F.col("availability_status"), now)
+
+
+def due_rows(listings: DataFrame, now, force_all: bool = False, skip_filled: bool = False,
+             spec_era_only: bool = False) -> DataFrame:
+    """Listings with a link that are due for a re-check."""
+    return listings.filter(is_due(now, force_all, skip_filled, spec_era_only))
 
 
 def select_due(listings: DataFrame, now, limit: int | None = None, **options) -> DataFrame:

@@ -98,12 +98,11 @@ def upsert_stats(state: DataFrame, batch: DataFrame, file: str = "file",
             .withColumn("updated", F.col("attempted") - F.col("inserted")))
 
 
-def insert_ignore(state: DataFrame, batch: DataFrame, seq: str = "ingest_seq",
-                  key: str = "ads_id", unique: str | None = "url") -> DataFrame:
-    """Insert rows whose key, and whose unique column, is not taken yet. First writer wins; ``seq``
-    must order the rows without ties.
+def first_writers(batch: DataFrame, seq: str, key: str, unique: str | None, keys: DataFrame, taken: DataFrame) -> DataFrame:
+    """Rows of a batch whose key is not in ``keys`` and whose unique column is not in ``taken``. First writer wins;
+    ``seq`` must order the rows without ties.
 
-    A row loses only to rows that were inserted before it, so a loser must not block others. Each
+    A row loses only to rows that were accepted before it, so a loser must not block others. Each
     round accepts every row that is first both for its key and for its unique value, then drops
     what the accepted rows block; rounds go on until no row is left. Each round settles the head
     of every chain of clashes, so the number of rounds follows the longest chain, not the row count.
@@ -111,35 +110,38 @@ def insert_ignore(state: DataFrame, batch: DataFrame, seq: str = "ingest_seq",
     columns = [c for c in batch.columns if c != seq]
     if unique is None:
         first = batch.groupBy(key).agg(F.min_by(F.struct(*columns), seq).alias("r")).select("r.*")
-        added = first.join(state.select(key), key, "left_anti")
-        return state.unionByName(added, allowMissingColumns=True)
-    rows = (batch.groupBy(key, unique)
+        return first.join(keys.select(key), key, "left_anti")
+    # a null clashes with nothing but rows of its own key, and so is no hot key
+    value = F.coalesce(F.col(unique).cast("string"), F.concat(F.lit(chr(0)), F.col(key).cast("string")))
+    held = taken.where(F.col(unique).isNotNull()).select(F.col(unique).cast("string").alias("_unique"))
+    rows = (batch.withColumn("_unique", value).groupBy(key, "_unique")
             .agg(F.min_by(F.struct(*columns), seq).alias("r"), F.min(seq).alias(seq))
-            .select("r.*", seq)
-            .join(state.select(key), key, "left_anti")
-            .join(state.select(unique), unique, "left_anti"))
+            .select("r.*", "_unique", seq)
+            .join(keys.select(key), key, "left_anti").join(held, "_unique", "left_anti"))
     # rows that share neither key nor unique value with another need no rounds
-    alone = lambda c: Window.partitionBy(c)
-    rows = written(rows.withColumn("_clash", (F.count("*").over(alone(key)) > 1) | (
-        F.col(unique).isNotNull() & (F.count("*").over(alone(unique)) > 1))), "insert-rows")
-    accepted = rows.filter("NOT _clash").drop("_clash")
+    shared = lambda c: F.count("*").over(Window.partitionBy(c)) > 1
+    rows = written(rows.withColumn("_clash", shared(key) | shared("_unique")), "insert-rows")
+    accepted = rows.filter("NOT _clash").select(*columns)
     rows = rows.filter("_clash").drop("_clash")
     while True:
         rows = written(rows, "insert-open")
         if rows.isEmpty():
             break
-        by_key = rows.groupBy(key).agg(F.min(seq).alias("_first_of_key"))
-        by_unique = (rows.filter(F.col(unique).isNotNull())
-                     .groupBy(unique).agg(F.min(seq).alias("_first_of_unique")))
+        first = lambda c: rows.groupBy(c).agg(F.min(seq).alias(f"_first_{c}"))  # noqa: E731, B023
         winners = written(
-            rows.join(by_key, key).filter(F.col(seq) == F.col("_first_of_key"))
-            .join(by_unique, unique, "left")
-            .filter(F.col(unique).isNull() | (F.col(seq) == F.col("_first_of_unique")))
-            .select(*columns, seq), "insert-won")
-        accepted = accepted.unionByName(winners)
+            rows.join(first(key), key).join(first("_unique"), "_unique")
+            .filter((F.col(seq) == F.col(f"_first_{key}")) & (F.col(seq) == F.col("_first__unique")))
+            .select(*columns, "_unique"), "insert-won")
+        accepted = accepted.unionByName(winners.select(*columns))
         rows = (rows.join(winners.select(key), key, "left_anti")
-                .join(winners.select(unique), unique, "left_anti"))
-    return state.unionByName(accepted.drop(seq), allowMissingColumns=True)
+                .join(winners.select("_unique"), "_unique", "left_anti"))
+    return accepted
+
+
+def insert_ignore(state: DataFrame, batch: DataFrame, seq: str = "ingest_seq",
+                  key: str = "ads_id", unique: str | None = "url") -> DataFrame:
+    """Insert rows whose key, and whose unique column, is not taken yet; see ``first_writers``."""
+    return state.unionByName(first_writers(batch, seq, key, unique, state, state), allowMissingColumns=True)
 
 
 def replace_by_source(state: DataFrame, rows: DataFrame, seq: str,

@@ -3,7 +3,7 @@
 from importlib import import_module
 
 MODULES = ("cleaning", "matching", "availability", "merging", "extraction", "market",
-           "intake")
+           "intake", "recheck")
 
 
 def all_queries():

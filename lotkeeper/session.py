@@ -37,7 +37,7 @@ def build_session(app_name: str = "lotkeeper", master: str | None = None, **conf
 def key_or_spread(wanted: Column, key: Column, rows: list[str]) -> Column:
     """``key`` for rows that want a match; for the others a text that nothing equals and that differs from row
     to row. A NULL would match nothing either, but sends all such rows of a shuffled join to one task."""
-    other = F.concat(F.lit(chr(0)), F.xxhash64(*rows).cast("string"))
+    other = F.concat(F.lit(chr(0)), F.xxhash64(*rows).cast("string"))  # a few columns that tell rows apart will do
     return F.when(wanted & key.isNotNull(), key).otherwise(other)
 
 
