@@ -6,17 +6,21 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lotkeeper.operators import types as T
+from lotkeeper.operators.availability import apply_probes
 from lotkeeper.plans import standins as S
 from lotkeeper.plans.availability import _APPLIED
-from lotkeeper.plans.catalogue import query
+from lotkeeper.plans import market as _market  # noqa: F401  its SQL is the check of the stream's
+from lotkeeper.plans.catalogue import ORACLES, query
 from lotkeeper.plans.matching import _GROUP, _KIND, _MAP_WHERE, _map_sql
-from lotkeeper.plans.merging import _COLUMNS, _UPSERTED, _batch, _present, _state
+from lotkeeper.plans.merging import _COLUMNS, _UPSERTED, _WEEKLY, _batch, _present, _state, weekly_state
 from lotkeeper.session import scratch_path
 from lotkeeper.sources import api_payload as AP
 from lotkeeper.sources import listing_files as LF
 from lotkeeper.sources import reference_data as RD
 from lotkeeper.sources.state import KeyedState, TableState
+from lotkeeper.streaming import files as FS
 from lotkeeper.streaming import ingest as IN
+from lotkeeper.streaming import status as ST
 
 # --- listing files ------------------------------------------------------------------------------
 
@@ -296,14 +300,79 @@ def stream_resume(spark, sf):
 
 @query("archive_processed", f"""WITH {S.PROBES} SELECT ads_id, checked_at, detected_status FROM probes""")
 def archive_processed(spark, sf):
-    """Files move to the archive once a later batch is committed. A last delivery without rows has
-    the one before it archived, so the archive holds all rows."""
+    """Files move to the archive with their batch, those of the last delivery too: the archive holds all rows."""
     source, checkpoint = scratch_path(spark, "probes"), scratch_path(spark, "checkpoint")
-    archive = scratch_path(spark, "archive")
+    archive = FS.Archive(spark, scratch_path(spark, "archive"), scratch_path(spark, "journals"))
     state = _seeded(spark, "probed", S.probed_listings(spark, sf))
-    for first, last in ((1, 10), (11, 20), (21, 31), (32, 32)):
+    schema = S.probes(spark, sf).schema
+    for first, last in ((1, 10), (11, 20), (21, 31)):
         _probe_files(spark, sf, source, first, last)
-        stream = IN.file_stream(spark, source, S.probes(spark, sf).schema, archive=archive)
-        IN.stream_availability(stream, state, checkpoint).awaitTermination()
-    kept = spark.read.option("recursiveFileLookup", True).parquet(archive)
+        FS.merge_files(FS.new_files(spark, source, 8, "*.parquet"), lambda paths: spark.read.schema(schema).parquet(*paths),
+                       state, apply_probes, checkpoint, archive).awaitTermination()
+    kept = spark.read.option("recursiveFileLookup", True).parquet(archive.root)
     return kept.select("ads_id", "checked_at", "detected_status")
+
+
+# --- snapshots as they arrive ---------------------------------------------------------------------
+
+_DELIVERED = ["year(l_shipdate)", "l_linestatus", *S.SEQ, "l_linenumber"]
+_ARRIVED = _WEEKLY.replace(f"row({', '.join(S.SEQ)}, l_linenumber) AS k", f"row({', '.join(_DELIVERED)}) AS k")
+
+
+def _deliver(spark, sf, path):
+    """Two files for every year of order lines, in order: one carries prices as text, the other none."""
+    rows = S.table(spark, sf, "lineitem").selectExpr(
+        "CAST(l_orderkey AS STRING) AS ads_id", "concat(l_returnflag, l_linenumber) AS subject",
+        "concat('RM ', CAST(l_quantity AS BIGINT), ',000') AS price", f"struct({', '.join(_DELIVERED[2:])}) AS at",
+        "year(l_shipdate) AS year", "l_linestatus AS kind")
+    years = rows.agg(F.min("year"), F.max("year")).first()
+    for year in range(years[0], years[1] + 1):
+        for kind, columns in (("F", ["price", "ads_id", "subject"]), ("O", ["ads_id", "subject"])):
+            delivery = rows.filter((F.col("year") == year) & (F.col("kind") == kind)).coalesce(1).sortWithinPartitions("at")
+            LF.sink_snapshot_csv(delivery.select(*columns), path, "cars", f"{year}{kind}")
+
+
+@query("stream_snapshots", _ARRIVED)
+def stream_snapshots(spark, sf):
+    """CSV files with headers of their own, a few per batch, merged as they arrive and archived; read in two runs."""
+    path, checkpoint = scratch_path(spark, "snapshots"), scratch_path(spark, "checkpoint")
+    archive = FS.Archive(spark, scratch_path(spark, "archive"), scratch_path(spark, "journals"))
+    state = _seeded(spark, "listings", weekly_state(spark, sf))
+    _deliver(spark, sf, path)
+    for _ in range(2):
+        FS.stream_snapshots(spark, path, state, checkpoint, "cars", S.NOW, ["ads_id", "subject", "price"], files_per_batch=5,
+                            archive=archive).awaitTermination()
+    return state.read()
+
+
+# --- status as stream state -----------------------------------------------------------------------
+
+def _status_stream(spark, sf):
+    """Rows of the status stream over three deliveries, each a run of its own."""
+    source, checkpoint, out = (scratch_path(spark, x) for x in ("probes", "checkpoint", "status"))
+    before = spark.conf.get("spark.sql.streaming.stateStore.providerClass", None)
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ST.STATE_STORE)
+    try:
+        for first, last in ((1, 10), (11, 20), (21, 31)):
+            _probe_files(spark, sf, source, first, last)
+            rows = ST.stream_status(IN.file_stream(spark, source, S.probes(spark, sf).schema), S.probed_listings(spark, sf))
+            (rows.writeStream.outputMode("update").option("checkpointLocation", checkpoint).trigger(availableNow=True)
+             .foreachBatch(lambda b, i: b.write.mode("overwrite").parquet(f"{out}/batch={i}")).start().awaitTermination())
+    finally:
+        if before is None:
+            spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
+        else:
+            spark.conf.set("spark.sql.streaming.stateStore.providerClass", before)
+    return spark.read.parquet(out)
+
+
+@query("stream_status", ORACLES["status_fold"])
+def stream_status(spark, sf):
+    return _status_stream(spark, sf).select("ads_id", "checked_at", "detected_status", "status")
+
+
+@query("stream_confirmed", ORACLES["confirmed_unavailable"])
+def stream_confirmed(spark, sf):
+    """Ads whose last checks all failed, from the last row that the stream gave of each."""
+    last = _status_stream(spark, sf).groupBy("ads_id").agg(F.max_by("failing_since", "checked_at").alias("failing_since"))
+    return last.filter("failing_since IS NOT NULL")

@@ -339,17 +339,26 @@ def cap_split_plan(spark, sf):
     return W.split_plan(work, counts, models, 2002, threshold)
 
 
-@query("weekly_ingest", f"""WITH b AS (SELECT l_orderkey AS ads_id, row({_ASC}, l_linenumber) AS k, l_linestatus AS file,
-       CAST(l_quantity AS BIGINT) * 1000 AS price, l_returnflag || l_linenumber AS subject FROM lineitem),
-       n AS (SELECT ads_id, arg_max(price, k) FILTER (file = 'F') AS price, max(k) FILTER (file = 'F') AS at_price,
-       arg_max(subject, k) AS subject FROM b GROUP BY ads_id),
-       o AS (SELECT o_orderkey AS ads_id, 5000 AS price, CAST(o_orderdate AS STRING) AS first_seen_at
-       FROM orders WHERE o_orderkey % 3 > 0)
-       SELECT coalesce(o.ads_id, n.ads_id) AS ads_id, CASE WHEN at_price IS NULL THEN o.price ELSE n.price END AS price,
-       coalesce(n.subject, 'Old') AS subject, coalesce(o.first_seen_at, '{S.NOW}') AS first_seen_at,
-       CASE WHEN n.ads_id IS NULL THEN o.first_seen_at ELSE '{S.NOW}' END AS last_seen_at,
-       CASE WHEN n.ads_id IS NULL THEN 'available' ELSE 'unknown' END AS availability_status
-       FROM o FULL JOIN n ON o.ads_id = n.ads_id""")
+_WEEKLY = f"""WITH b AS (SELECT l_orderkey AS ads_id, row({_ASC}, l_linenumber) AS k, l_linestatus AS file,
+    CAST(l_quantity AS BIGINT) * 1000 AS price, l_returnflag || l_linenumber AS subject FROM lineitem),
+    n AS (SELECT ads_id, arg_max(price, k) FILTER (file = 'F') AS price, max(k) FILTER (file = 'F') AS at_price,
+    arg_max(subject, k) AS subject FROM b GROUP BY ads_id),
+    o AS (SELECT o_orderkey AS ads_id, 5000 AS price, CAST(o_orderdate AS STRING) AS first_seen_at
+    FROM orders WHERE o_orderkey % 3 > 0)
+    SELECT coalesce(o.ads_id, n.ads_id) AS ads_id, CASE WHEN at_price IS NULL THEN o.price ELSE n.price END AS price,
+    coalesce(n.subject, 'Old') AS subject, coalesce(o.first_seen_at, '{S.NOW}') AS first_seen_at,
+    CASE WHEN n.ads_id IS NULL THEN o.first_seen_at ELSE '{S.NOW}' END AS last_seen_at,
+    CASE WHEN n.ads_id IS NULL THEN 'available' ELSE 'unknown' END AS availability_status
+    FROM o FULL JOIN n ON o.ads_id = n.ads_id"""
+
+
+def weekly_state(spark, sf):
+    return S.table(spark, sf, "orders").filter("o_orderkey % 3 > 0").selectExpr(
+        "o_orderkey AS ads_id", "CAST(5000 AS BIGINT) AS price", "'Old' AS subject", "CAST(o_orderdate AS STRING) AS first_seen_at",
+        "CAST(o_orderdate AS STRING) AS last_seen_at", "'available' AS availability_status")
+
+
+@query("weekly_ingest", _WEEKLY)
 def weekly_ingest(spark, sf):
     """Two files with different columns merged into a table: one carries prices as text, the other none."""
     scanned = S.table(spark, sf, "lineitem").selectExpr(
@@ -357,7 +366,4 @@ def weekly_ingest(spark, sf):
         "IF(l_linestatus = 'F', array('ads_id', 'subject', 'price'), array('ads_id', 'subject')) AS present",
         "IF(l_linestatus = 'F', concat('RM ', CAST(l_quantity AS BIGINT), ',000'), NULL) AS price",
         "concat(l_returnflag, l_linenumber) AS subject")
-    state = S.table(spark, sf, "orders").filter("o_orderkey % 3 > 0").selectExpr(
-        "o_orderkey AS ads_id", "CAST(5000 AS BIGINT) AS price", "'Old' AS subject", "CAST(o_orderdate AS STRING) AS first_seen_at",
-        "CAST(o_orderdate AS STRING) AS last_seen_at", "'available' AS availability_status")
-    return merge_snapshot(state, scanned, "cars", S.NOW)
+    return merge_snapshot(weekly_state(spark, sf), scanned, "cars", S.NOW)
