@@ -53,13 +53,32 @@ def test_plan_equals_matching_item_by_item():
     assert packing.plan_bins(dict(histogram), capacity)[1] == bins
 
 
-@pytest.mark.parametrize("text", ["a  b", " a", "a ", "\n", "a\n\nb", "a\xa0b", "x<|endoftext|>y z", "don't  stop\t'll", "é\r\nb",
-                                  "a \nb", "\x1c a b", "a\x85b c", "plain words. And\nlines, two\nof them", "\nfirst", "last\n"])
-def test_cached_words_give_the_tokenizers_ids(text):
-    own = packing.WordTokenizer(PATH)
-    plain = Tokenizer.from_file(PATH).encode(text, add_special_tokens=False).ids
-    for _ in range(2):
-        assert np.frombuffer(own.encode(text), "<u4").tolist() == plain
+def same_ids(texts):
+    own, plain = packing.Encoder(PATH), Tokenizer.from_file(PATH)
+    assert own.ranked is not None
+    for text in texts:
+        assert np.frombuffer(own.encode(text), "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids, text
+
+
+def test_ranks_give_the_tokenizers_ids():
+    same_ids(["", "a  b", " a", "a ", "\n", "a\n\nb", "a\xa0b", "x<|endoftext|>y z", "don't  stop\t'll", "é\r\nb", "a \nb", "\x1c a b",
+              "a\x85b c", "plain words. And\nlines, two\nof them", "\nfirst", "last\n", "a" * 30_000, " " * 30_000, "12" * 9_000])
+
+
+def test_ranks_give_the_tokenizers_ids_on_any_characters():
+    rng = random.Random(3)
+    every = [chr(c) for c in range(1, 0x110000) if not 0xD800 <= c < 0xE000]
+    same_ids("\n".join(f"a{c}b {c}{c}1" for c in every[at:at + 4_000]) for at in range(0, 0x3000, 4_000))
+    pool = every[:0x3000] + rng.sample(every, 2_000)
+    blanks = [*" \t\n\r\x0b\x0c\x1c\x85\xa0\u2003\u3000\u200b", "'s", "'ll", "  "]
+    same_ids("".join(rng.choice(rng.choice((pool, blanks, "abXY01.,'"))) for _ in range(rng.randint(1, 40))) for _ in range(2_000))
+
+
+def test_other_kinds_of_tokenizers_are_used_as_they_are():
+    own = packing.Encoder(public_tokenizers.path("word_bpe_49k.json"))
+    plain = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    assert own.ranked is None
+    assert np.frombuffer(own.encode("Some words."), "<u4").tolist() == plain.encode("Some words.", add_special_tokens=False).ids
 
 
 def test_cut_puts_the_remainder_first():
