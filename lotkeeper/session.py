@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -66,4 +67,20 @@ def written(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts lineage and survives executor loss."""
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    back = df.sparkSession.read.schema(df.schema).parquet(path)
+    back._written = path
+    return back
+
+
+def discard(*frames: DataFrame) -> None:
+    """Remove the files of frames that ``written`` gave, once all that was made of them is written itself."""
+    for frame in frames:
+        path = frame.sparkSession._jvm.org.apache.hadoop.fs.Path(frame._written)
+        path.getFileSystem(frame.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def release(spark: SparkSession) -> None:
+    """Have Spark remove shuffle files of finished steps now. It does so when the driver collects the frames they
+    belong to, which a driver with memory to spare puts off while executors' disks fill."""
+    gc.collect()
+    spark._jvm.System.gc()
