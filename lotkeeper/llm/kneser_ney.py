@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lotkeeper.session import written
+from lotkeeper.session import discard, release, written
 
 ORDER = 4
 BITS = 15
@@ -29,8 +29,6 @@ BLOCK_CHARS = 32_000_000
 BLOCK_ROWS = 40_000
 #: Codes gathered before a task counts them.
 FLUSH = 3_000_000
-#: Trusted ids are broadcast up to this many, and joined by a shuffle beyond.
-BROADCAST_IDS = 2_000_000
 #: The quantile of held-back trusted text that sets a language's threshold.
 QUANTILE = 0.99
 
@@ -130,7 +128,7 @@ def probabilities(grams: DataFrame, trusted: DataFrame) -> DataFrame:
     for order in range(ORDER - 1, 0, -1):
         levels[order] = (levels[order + 1].groupBy("lang", low("gram", order).alias("gram"))
                          .agg(F.count("*").alias("n")))
-    below = None
+    below, done = None, []
     for order in range(1, ORDER + 1):
         level = written(levels[order], f"grams{order}") if order < ORDER else trusted
         rates = discounts(level)
@@ -153,6 +151,8 @@ def probabilities(grams: DataFrame, trusted: DataFrame) -> DataFrame:
         below = joined.select("lang", "gram", p.alias("p"))
         if order < ORDER:
             below = written(below, f"p{order}")
+            discard(level, *done)
+            done = [below]
     return below.select("lang", "gram", F.log("p").alias("logp"))
 
 
@@ -178,6 +178,7 @@ def scorer(documents: DataFrame, trusted: DataFrame) -> tuple[DataFrame, Callabl
 
     grams = dealt.groupBy("block").applyInArrow(gather, "block int, lang string, gram long")
     grams = written(grams, "blocks")
+    release(documents.sparkSession)  # the texts' way to their blocks, which they go once more
     scored = probabilities(grams.select("lang", "gram").distinct(), trusted)
     known = grams.join(scored, ["lang", "gram"])
 
@@ -230,14 +231,14 @@ def quality(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
                             *[F.struct(*[c for c in keep if c != text_col]).alias("_kept")] if keep else [])
     ids = written(labels.where(F.col(label_col) == 1).select(F.col(id_col).alias("doc_id")).where(
         "doc_id is not null").distinct(), "trusted")
-    known = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
     counted = F.pmod(F.xxhash64("doc_id"), F.lit(5)) > 0
-    trusted = written(counts(docs.join(known.where(counted), "doc_id", "left_semi").select("lang", "text")), "counts")
+    trusted = written(counts(docs.join(ids.where(counted), "doc_id", "left_semi").select("lang", "text")), "counts")
     dealt, scores = scorer(docs, trusted)
-    held = scores(dealt.join(known.where(~counted), "doc_id", "left_semi")).where("symbols > 0")
+    held = scores(dealt.join(ids.where(~counted), "doc_id", "left_semi")).where("symbols > 0")
     limits = written(held.groupBy("lang").agg(F.percentile_approx("entropy", quantile, 10_000).alias("limit")), "limits")
     found = scores(dealt, text_col in (keep or []))
-    judged = found.join(limits if limits.count() > BROADCAST_IDS else F.broadcast(limits), "lang", "left")
+    release(documents.sparkSession)
+    judged = found.join(limits, "lang", "left")
     kept = F.when(F.col("symbols") == 0, False).otherwise(
         F.coalesce(F.col("entropy") <= F.col("limit"), F.lit(True)))
     if keep:

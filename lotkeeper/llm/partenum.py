@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lotkeeper.llm.words import BLANKS, components, hot_join, local_roots
-from lotkeeper.session import written
+from lotkeeper.session import discard, release, written
 
 _U = np.uint64
 _RANDOM = np.random.default_rng(20240607)
@@ -153,7 +153,8 @@ def star_rows(texts: DataFrame, size: int, percent: int) -> DataFrame:
             sig = np.concatenate([s for s, _ in held])
             node = np.repeat(np.asarray([n for _, n in held], np.int64), [len(s) for s, _ in held])
             sig, node, other_sig, low, other = _stars(sig, node)
-            yield _frame(sig, node, node)
+            by = np.argsort(node, kind="stable")  # signatures of a set side by side take less room on their way
+            yield _frame(sig[by], node[by], node[by])
             if len(other):
                 yield _frame(other_sig, other, low)
 
@@ -319,18 +320,24 @@ def similar_groups(documents: DataFrame, size: int = 4, percent: int = 85, id_co
                     rows.append((node, len(own), pack(text.encode("utf-8", "surrogatepass"))))
             yield pd.DataFrame(rows, columns=["node", "n", "packed"]).astype({"node": "int64", "n": "int64"})
 
+    release(documents.sparkSession)
     docs = written(texts.mapInArrow(measure, f"doc_id {kind}, n_shingles long, node long"), "sets")
     stars = written(star_rows(texts.where(F.col("text").isNotNull()), size, percent), "stars")
+    release(documents.sparkSession)
     first = stars.select(F.col("rep").alias("a"), F.col("node").alias("b")).distinct()
     wanted = first.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     sets = written(texts.where(F.col("text").isNotNull()).mapInPandas(packed, "node long, n long, packed binary")
                    .join(wanted, "node", "left_semi").groupBy("node").agg(F.min("packed").alias("packed"), F.min("n").alias("n")), "texts")
     tested = written(verified(first, sets, size, percent), "tested")
+    release(documents.sparkSession)
     roots = components(wanted, tested.where("linked"))
     failed = tested.where(~F.col("linked")).select(F.col("a").alias("rep"), F.col("b").alias("node"))
     if not failed.isEmpty():
         more = written(left_apart(stars, failed, roots, sets, size, percent), "links")
         roots = components(wanted, tested.where("linked").select("a", "b").unionByName(more))
+        discard(more)
+    roots = written(roots, "groups")
+    discard(stars, sets, tested)
     nodes = docs.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("low"))
     nodes = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     lows = nodes.groupBy("root").agg(F.min("low").alias("component_id"))

@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotkeeper.session import written
+from lotkeeper.session import discard, written
 
 #: Words are runs of anything but these characters.
 BLANKS = " \t\n\x0b\x0c\r"
@@ -28,19 +28,20 @@ def blank(text: Column) -> Column:
     return F.translate(text, others, " " * len(others))
 
 
-def components(nodes: DataFrame, links: DataFrame, node: str = "node", rounds: int = 60) -> DataFrame:
+def components(nodes: DataFrame, links: DataFrame, node: str = "node") -> DataFrame:
     """Smallest node reachable from each node over undirected ``links`` (a, b).
 
-    Alternates hooking to the smallest neighbour and pointer jumping; the state is written each round,
-    so lineage stays short and lost executors cost one round. Every node of ``links`` is in ``nodes``.
-    Nodes without links never enter the loop. Returns (node, root).
+    Alternates hooking to the smallest neighbour and pointer jumping until nothing moves; the state is written
+    each round, so lineage stays short and lost executors cost one round, and the round before is removed. Every
+    node of ``links`` is in ``nodes``. Nodes without links never enter the loop. Returns (node, root).
     """
     pairs = links.select("a", "b").where("a <> b")
     edges = written(pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(),
                     "edges")
-    state = written(edges.groupBy(F.col("a").alias("n")).agg(F.min("b").alias("low"))
-                    .select("n", F.least("n", "low").alias("root")), "roots")
-    for _ in range(rounds):
+    after = written(edges.groupBy(F.col("a").alias("n")).agg(F.min("b").alias("low"))
+                    .select("n", F.least("n", "low").alias("root"), F.lit(True).alias("moved")), "roots")
+    while not after.where("moved").isEmpty():
+        before, state = after, after.select("n", "root")
         # smallest root among the neighbours, offered both to the node and to its present root
         near = (edges.join(state.select(F.col("n").alias("b"), F.col("root").alias("r")), "b")
                 .groupBy(F.col("a").alias("n")).agg(F.min("r").alias("r")))
@@ -48,16 +49,14 @@ def components(nodes: DataFrame, links: DataFrame, node: str = "node", rounds: i
         to_root = offered.groupBy(F.col("root").alias("n")).agg(F.min("r").alias("hook"))
         best = (state.join(near, "n").join(to_root, "n", "left")
                 .select("n", F.least("root", "r", F.coalesce("hook", "root")).alias("root"), F.col("root").alias("old")))
+        # the many nodes of a large component all ask for its root
         jump = best.select(F.col("n").alias("root"), F.col("root").alias("up"))
-        after = written(best.join(jump, "root")
+        after = written(hot_join(best, jump, "root", ["n"])
                         .select("n", F.least("root", "up").alias("root"),
                                 (F.least("root", "up") != F.col("old")).alias("moved")), "roots")
-        state = after.select("n", "root")
-        if after.where("moved").isEmpty():
-            break
-    else:
-        raise RuntimeError("links form a chain too long for the given rounds")
-    return (nodes.select(F.col(node).alias("n")).join(state, "n", "left")
+        discard(before)
+    discard(edges)
+    return (nodes.select(F.col(node).alias("n")).join(after.select("n", "root"), "n", "left")
             .select(F.col("n").alias(node), F.coalesce("root", "n").alias("root")))
 
 

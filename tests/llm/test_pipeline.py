@@ -79,7 +79,7 @@ def test_mix_and_packing_add_up(spark, stages):
     for r in mixed.collect():
         found[r["doc_id"]] += len(r["text"].split())
     assert +found == +taken
-    own = packing.WordTokenizer(public_tokenizers.path("byte_bpe_50k.json"))
+    own = packing.Encoder(public_tokenizers.path("byte_bpe_50k.json"))
     wanted = Counter()
     for r in mixed.collect():
         data = own.encode(r["text"]) + np.asarray([0], "<u4").tobytes()
@@ -102,3 +102,15 @@ def test_classifier_decides_as_the_operator_does(spark, tables, stages):
     before, after = stages[0]
     kept = kneser_ney.quality(before, spark.read.parquet(f"{tables}/labels.parquet")).where("kept")
     assert Counter(r["doc_id"] for r in kept.collect()) == ids(after)
+
+
+def test_odd_and_empty_tables(spark, tables, tmp_path):
+    """Nulls, empties, a very long text, repeated rows and clashing columns; then no rows at all."""
+    labels = spark.read.parquet(f"{tables}/labels.parquet")
+    for name, docs in (("odd", odd.documents(spark)), ("empty", odd.empty(spark))):
+        path = f"{tmp_path}/{name}"
+        docs.write.parquet(f"{path}/documents.parquet")
+        labels.write.parquet(f"{path}/labels.parquet")
+        found = corpus_pipeline.run(spark, path).collect()
+        assert {r["length"] > 0 and r["offset"] + r["length"] <= 2048 for r in found} <= {True}
+        assert bool(found) == (name == "odd")
