@@ -24,20 +24,31 @@ def _measured(docs: DataFrame) -> DataFrame:
 
 
 def perplexity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier keeps."""
+    """Documents that the quality classifier keeps.
+
+    Null, empty and blank texts have no perplexity and go; repeated rows are judged alike and stay one by one; a null id is
+    never trusted; a null language is one of its own. Without labels nothing has a threshold and all texts stay.
+    """
     return kneser_ney.quality(docs, table(spark, sf_dir, "labels"), keep=COLUMNS).where("kept").select(COLUMNS)
 
 
 def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the line rules keep, without the lines that failed."""
+    """Documents that the line rules keep, without the lines that failed.
+
+    Null and empty texts fail; repeated rows are judged one by one; ids, languages and sources may be null.
+    """
     judged = line_rules.quality(docs.withColumn("_row", F.struct("doc_id", "lang", "source")), id_col="_row")
-    # a filter on the verdict alone would move below all that the verdict is made of and repeat it
-    judged = judged.select("_row", "clean_text", "kept", F.rand().alias("_fixed")).where("kept AND _fixed >= 0")
-    return _measured(judged.select("_row.*", F.col("clean_text").alias("text")))
+    # a document gives its cleaned text or, if rejected, none
+    return _measured(judged.select("_row", F.explode(F.when(F.col("kept"), F.array("clean_text"))).alias("text"))
+                     .select("_row.*", "text"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near copies; five-word shingles, similarity 0.8."""
+    """The document with the smallest id of each group of near copies; five-word shingles, similarity 0.8.
+
+    Texts without words are in no group and stay. Rows of the same id and text count once, as do two whose 64-bit key
+    is equal by chance; a null id is the smallest of its group only if all ids there are null.
+    """
     # ids may be null or repeated, so a row is known by its text as well
     keyed = docs.withColumn("_key", F.xxhash64("doc_id", "text"))
     groups = partenum.similar_groups(keyed.withColumn("_row", F.struct("doc_id", "_key")), size=5, percent=80, id_col="_row")
@@ -46,12 +57,16 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents of the mix, repeated and cut as it takes them."""
+    """The documents of the mix, repeated and cut as it takes them.
+
+    Texts without words are never taken; a null source is a source of its own; repeated rows enter one by one.
+    """
     return _measured(mixing.mixed_texts(docs))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Where every piece of every document lies in the sequences."""
+    """Where every piece of every document lies in the sequences. Null and empty texts are an end id alone; rows with the
+    same or a null id are packed one by one; an empty table gives no rows."""
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
