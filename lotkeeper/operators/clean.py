@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from lotkeeper import fixed_values as fv
@@ -93,19 +95,20 @@ def clean_listings(df: DataFrame, category: str, order: str | Column) -> DataFra
 def clean_stats(df: DataFrame, category: str, order: str | Column) -> DataFrame:
     """Rows before and after each rule, from grouped counts rather than a rewrite of the rows.
 
-    Only keys travel: per id the rows collapse to the last one's repost key and a row count, and
+    Per id the rows collapse to the last one's raw values and a row count before those are cleaned, and
     per repost key the ids collapse to a count.
     """
     order = F.col(order) if isinstance(order, str) else order
-    make, model = MAKE_COLUMN[category], MODEL_COLUMN[category]
-    cleaned = clean_columns(df.select("ads_id", make, model, "subject", "price",
-                                      order.alias("_order")), category)
-    no_identity = F.col("ads_id").isNull() & F.col(make).isNull() & F.col(model).isNull()
-    key = F.struct(*[k.alias(f"k{i}") for i, k in enumerate(repost_key(make))])
-    per_id = cleaned.groupBy("ads_id").agg(
+    make = MAKE_COLUMN[category]
+    values = [make, MODEL_COLUMN[category], "subject", "price"]
+    raw = df.select("ads_id", *values, order.alias("_order"), has_identity(df.columns, category, cleaned=False).alias("_known"))
+    reduced = raw.groupBy("ads_id").agg(
         F.count("*").alias("n_rows"),
-        F.count_if(~no_identity).alias("n_known"),
-        F.max_by(F.when(~no_identity, key), F.when(~no_identity, F.col("_order"))).alias("key"))
+        F.count_if("_known").alias("n_known"),
+        F.max_by(F.struct(*values), F.when(F.col("_known"), F.col("_order"))).alias("last"))
+    cleaned = clean_columns(reduced.select("ads_id", "n_rows", "n_known", "last.*"), category)
+    key = F.struct(*[k.alias(f"k{i}") for i, k in enumerate(repost_key(make))])
+    per_id = cleaned.select("n_rows", "n_known", F.when(F.col("n_known") > 0, key).alias("key"))
     per_key = per_id.groupBy("key").agg(
         F.sum("n_rows").alias("n_rows"),
         F.sum("n_known").alias("n_known"),
@@ -122,6 +125,25 @@ def clean_stats(df: DataFrame, category: str, order: str | Column) -> DataFrame:
         (F.col("ids") - F.col("after")).alias("removed_reposts"))
 
 
+def clean_observed(df: DataFrame, category: str, order: str | Column) -> tuple[DataFrame, Callable[[], dict[str, int]]]:
+    """Cleaned listings, and a function that tells the figures of ``clean_stats`` once they have been written.
+
+    The figures are observed where the rows pass, so the table is read and cleaned once for both.
+    """
+    read, kept, left = Observation(), Observation(), Observation()
+    known = df.observe(read, F.count("*").alias("before"), F.count_if(has_identity(df.columns, category, cleaned=False)).alias("known"))
+    known = known.filter(has_identity(df.columns, category, cleaned=False))
+    last = (dedup_key_keep_last(known, order) if "ads_id" in df.columns else known).observe(kept, F.count("*").alias("ids"))
+    cleaned = dedup_reposts(clean_columns(last, category), category).observe(left, F.count("*").alias("after"))
+
+    def figures() -> dict[str, int]:
+        before, known_, ids, after = (*read.get.values(), *kept.get.values(), *left.get.values())
+        return {"before": before, "after": after, "removed": before - after, "removed_no_identity": before - known_,
+                "removed_same_id": known_ - ids, "removed_reposts": ids - after}
+
+    return cleaned, figures
+
+
 def price_rejects(df: DataFrame) -> DataFrame:
     """Prices with a fraction: they become NULL in cleaning and are reported here."""
     return df.filter(N.is_fractional(N.price_text(F.col("price"))))

@@ -69,17 +69,26 @@ def confirmed_unavailable(checks: DataFrame, in_a_row: int = 3) -> DataFrame:
         .filter(F.col("failed") == in_a_row).select("ads_id", "failing_since"))
 
 
-def check_history(checks: DataFrame) -> DataFrame:
-    """Audit history of an ad as JSON, one ordered array per day of checks.
+def check_history(checks: DataFrame, per_day: bool = False, since=None, until=None) -> DataFrame:
+    """Audit history of an ad as one ordered JSON array, or one for every day of checks.
 
-    One array per ad would grow without limit with the age of the ad; the days of an ad sort and
-    concatenate to it.
+    Checks are sorted within their day and the days of an ad joined in order, so a busy ad is sorted by many tasks.
+    An array grows with the age of the ad: ``since`` and ``until`` (exclusive) bound the times it covers.
     """
-    entry = F.struct(K.time_text(F.col("checked_at")).alias("checked_at"),
+    at = F.col("checked_at")
+    if since is not None:
+        checks = checks.filter(at >= K.as_time(since))
+    if until is not None:
+        checks = checks.filter(at < K.as_time(until))
+    entry = F.struct(K.time_text(at).alias("checked_at"),
                      (F.col("detected_status") == "available").alias("page_available"),
                      F.col("detected_status"))
-    return (checks.groupBy("ads_id", F.to_date("checked_at").cast("string").alias("check_date"))
-            .agg(F.to_json(F.sort_array(F.collect_list(entry))).alias("history")))
+    days = (checks.groupBy("ads_id", F.to_date(at).cast("string").alias("check_date"))
+            .agg(F.sort_array(F.collect_list(entry)).alias("entries")))
+    if per_day:
+        return days.select("ads_id", "check_date", F.to_json("entries").alias("history"))
+    runs = F.sort_array(F.collect_list(F.struct("check_date", "entries")))
+    return days.groupBy("ads_id").agg(F.to_json(F.flatten(F.transform(runs, lambda d: d["entries"]))).alias("history"))
 
 
 def fingerprint(columns: list[str] | None = None) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from lotkeeper.functions import times as K
@@ -98,12 +98,24 @@ def recheck_sweep(listings: DataFrame, sweep: DataFrame, now, category: str = CA
 
 
 def commit_sweep(state: LinkedState, sweep: DataFrame, now, version: int, category: str = CARS, **options) -> bool:
-    """Listings and audit of a sweep as one version."""
+    """Listings and audit of a sweep as one version. The commit keeps how many listings there are (``total``), how many were
+    due and how their checks came out, as counted while they were written."""
     if state.committed(version):
         return False
-    applied = written(recheck_sweep(state.read(LISTINGS), sweep, now, category, **options), "rechecked")
+    seen = Observation()
+    counted = {o: F.count_if(F.col("outcome") == o).alias(o) for o in ("available", "gone", "skipped")}
+    applied = recheck_sweep(state.read(LISTINGS), sweep, now, category, **options).observe(
+        seen, F.count("*").alias("total"), F.count("outcome").alias("due"), *counted.values())
+    applied = written(applied, "rechecked")
     return state.commit(version, {LISTINGS: (applied.drop("outcome"), None)},
-                        {AUDIT: A.sweep_audit(applied.where("outcome IS NOT NULL"))})
+                        {AUDIT: A.sweep_audit(applied.where("outcome IS NOT NULL"))},
+                        **{k: str(v) for k, v in seen.get.items()})
+
+
+def sweep_figures(state: LinkedState) -> DataFrame:
+    """(version, outcome, n) of every committed sweep."""
+    rows = state.commits().select("version", F.explode("meta").alias("outcome", "n"))
+    return rows.where("outcome IN ('total', 'due', 'available', 'gone', 'skipped')").withColumn("n", F.col("n").cast("bigint"))
 
 
 # --- first writers ------------------------------------------------------------------------------

@@ -141,30 +141,29 @@ def prepare_listings(df: DataFrame, category: str, now: str,
 
 
 def constraint_report(listings: DataFrame, checks: DataFrame) -> DataFrame:
-    """Violations of the table constraints: (rule, key, n)."""
-    key = F.col("ads_id").cast("string").alias("key")
-    row_rules = F.filter(F.array(
-        F.when(F.col("ads_id").isNull() | F.col("first_seen_at").isNull()
-               | F.col("availability_status").isNull(), F.lit("listings_not_null")),
-        F.when(~F.col("availability_status").isin(*fv.AVAILABILITY_STATUSES),
-               F.lit("availability_status_check")),
-        F.when(~F.col("sold_inference").isin(*fv.SOLD_INFERENCES),
-               F.lit("sold_inference_check"))), lambda r: r.isNotNull())
-    per_row = (listings.select(F.explode(row_rules).alias("rule"), key)
-               .groupBy("rule", "key").agg(F.count("*").alias("n")))
-    repeated = lambda c, rule: (
-        listings.filter(F.col(c).isNotNull()).groupBy(F.col(c).cast("string").alias("key"))
-        .agg(F.count("*").alias("n")).filter("n > 1").select(F.lit(rule).alias("rule"), "key", "n"))
-    per_ad = checks.groupBy("ads_id").agg(
-        F.count("*").alias("n"),
-        F.count_if(~F.col("detected_status").isin(*fv.DETECTED_STATUSES)).alias("bad"))
-    orphans = (per_ad.join(listings.select("ads_id"), "ads_id", "left_anti")
-               .select(F.lit("checks_foreign_key").alias("rule"), key, "n"))
-    bad_status = per_ad.filter("bad > 0").select(
-        F.lit("detected_status_check").alias("rule"), key, F.col("bad").alias("n"))
-    return reduce(DataFrame.unionByName, [
-        per_row, repeated("ads_id", "listings_primary_key"), repeated("url", "url_unique"),
-        orphans, bad_status])
+    """Violations of the table constraints: (rule, key, n).
+
+    Each table is read once: a row gives an entry for every rule it breaks or may break together with others, and one
+    aggregate per rule and key decides. ``n`` counts what may violate, ``held`` rows that satisfy a reference.
+    """
+    key = F.col("ads_id").cast("string")
+    entry = lambda rule, key, n=1, held=0: F.struct(
+        F.lit(rule).alias("rule"), key.alias("key"), F.lit(n).alias("n"), F.lit(held).alias("held"))
+    of_listing = F.array(
+        F.when(F.col("ads_id").isNull() | F.col("first_seen_at").isNull() | F.col("availability_status").isNull(),
+               entry("listings_not_null", key)),
+        F.when(~F.col("availability_status").isin(*fv.AVAILABILITY_STATUSES), entry("availability_status_check", key)),
+        F.when(~F.col("sold_inference").isin(*fv.SOLD_INFERENCES), entry("sold_inference_check", key)),
+        F.when(F.col("ads_id").isNotNull(), entry("listings_primary_key", key)),
+        F.when(F.col("url").isNotNull(), entry("url_unique", F.col("url").cast("string"))),
+        F.when(F.col("ads_id").isNotNull(), entry("checks_foreign_key", key, 0, 1)))
+    of_check = F.array(
+        entry("checks_foreign_key", key),
+        F.when(~F.col("detected_status").isin(*fv.DETECTED_STATUSES), entry("detected_status_check", key)))
+    entries = [df.select(F.inline(F.array_compact(rules))) for df, rules in ((listings, of_listing), (checks, of_check))]
+    return (entries[0].unionByName(entries[1]).groupBy("rule", "key")
+            .agg(F.sum("n").alias("n"), F.max("held").alias("held"))
+            .filter("held = 0 AND n > IF(rule IN ('listings_primary_key', 'url_unique'), 1, 0)").select("rule", "key", "n"))
 
 
 def column_fill_rate(df: DataFrame) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import pairwise
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -9,7 +11,7 @@ from lotkeeper import fixed_values as fv
 from lotkeeper.functions import flags
 from lotkeeper.functions import text as X
 from lotkeeper.registry import CARS, MAKE_COLUMN, MODEL_COLUMN, MOTORCYCLES
-from lotkeeper.session import key_or_spread
+from lotkeeper.session import key_or_spread, written
 
 TYPE_COLUMN = {CARS: "vehicle_type", MOTORCYCLES: "motorcycle_type"}
 TYPE_GROUPS = {CARS: fv.CAR_TYPE_GROUPS, MOTORCYCLES: fv.MOTORCYCLE_TYPE_GROUPS}
@@ -133,8 +135,8 @@ def stub_unmapped(pairs: DataFrame, mapping_rows: DataFrame,
 def mapping_quality(rows: DataFrame, category: str, position: str) -> DataFrame:
     """Rule violations of a mapping file: (rule, make, model, n).
 
-    The order rule compares each row with the row before it, whatever the gaps between positions. A
-    mapping file is curated by hand, so one task puts it in order.
+    The order rule compares each row with the row before it, whatever the gaps between positions: within ranges of
+    positions, and the first row of each range with the last one of the range before.
     """
     make, model = F.lower(F.coalesce("make", F.lit(""))), F.lower(F.coalesce("model", F.lit("")))
     keyed = rows.select(make.alias("make"), model.alias("model"), "type", "verification_status",
@@ -152,8 +154,16 @@ def mapping_quality(rows: DataFrame, category: str, position: str) -> DataFrame:
         lambda rule: rule.isNotNull())
     per_row = (keyed.select(F.explode(broken).alias("rule"), "make", "model")
                .groupBy("rule", "make", "model").agg(F.count("*").alias("n")))
-    before = F.lag(F.struct("make", "model")).over(Window.orderBy("pos"))
-    unsorted = (keyed.withColumn("prior", before).filter(F.struct("make", "model") < F.col("prior"))
+    ranges = written(keyed.select("make", "model", "pos").repartitionByRange("pos").withColumn("range", F.spark_partition_id()),
+                     "mapping-ranges")
+    before = F.lag(F.struct("make", "model")).over(Window.partitionBy("range").orderBy("pos"))
+    late = ranges.withColumn("prior", before).filter(F.struct("make", "model") < F.col("prior")).select("make", "model")
+    # a row for every range
+    key = F.struct("make", "model")
+    edges = [(tuple(r["low"]), tuple(r["high"])) for r in ranges.groupBy("range").agg(
+        F.min_by(key, "pos").alias("low"), F.max_by(key, "pos").alias("high")).orderBy("range").collect()]
+    split = [low for (_, high), (low, _) in pairwise(edges) if low < high]
+    unsorted = (late.unionByName(rows.sparkSession.createDataFrame(split, "make string, model string"))
                 .groupBy("make", "model").agg(F.count("*").alias("n")))
     return (finding(duplicates, "duplicate_key", F.col("n"))
             .unionByName(per_row.select("rule", "make", "model", "n"))

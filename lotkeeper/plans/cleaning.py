@@ -12,6 +12,7 @@ from lotkeeper.functions import urls as U
 from lotkeeper.operators import clean as C
 from lotkeeper.plans import standins as S
 from lotkeeper.plans.catalogue import query
+from lotkeeper.session import written
 
 
 def _title(x: str) -> str:
@@ -156,16 +157,28 @@ def dedup_reposts(spark, sf):
     return C.dedup_reposts(ads, "cars")
 
 
-@query("clean_stats", f"""WITH {_CLEAN_CTES} SELECT (SELECT count(*) FROM raw) AS before,
-       (SELECT count(*) FROM kept) AS after,
-       (SELECT count(*) FROM raw) - (SELECT count(*) FROM kept) AS removed,
-       0 AS removed_no_identity,
-       (SELECT count(*) FROM raw) - (SELECT count(*) FROM by_id) AS removed_same_id,
-       (SELECT count(*) FROM by_id) - (SELECT count(*) FROM kept) AS removed_reposts""")
+_FIGURES = f"""WITH {_CLEAN_CTES} SELECT (SELECT count(*) FROM raw) AS before,
+    (SELECT count(*) FROM kept) AS after,
+    (SELECT count(*) FROM raw) - (SELECT count(*) FROM kept) AS removed,
+    0 AS removed_no_identity,
+    (SELECT count(*) FROM raw) - (SELECT count(*) FROM by_id) AS removed_same_id,
+    (SELECT count(*) FROM by_id) - (SELECT count(*) FROM kept) AS removed_reposts"""
+
+
+@query("clean_stats", _FIGURES)
 def clean_stats(spark, sf):
     return C.clean_stats(S.raw_listings(spark, sf), "cars", "ingest_seq")
 
 
+@query("clean_stats_observed", _FIGURES)
+def clean_stats_observed(spark, sf):
+    """The figures from the pass that writes the cleaned table."""
+    cleaned, figures = C.clean_observed(S.raw_listings(spark, sf), "cars", "ingest_seq")
+    written(cleaned, "cleaned")
+    found = figures()
+    return spark.createDataFrame([tuple(found.values())], ", ".join(f"{c} bigint" for c in found))
+
+
 @query("removed_ids", f"""WITH {_CLEAN_CTES} SELECT ads_id FROM raw EXCEPT
        SELECT ads_id FROM kept""")
 def removed_ids(spark, sf):

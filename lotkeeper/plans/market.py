@@ -44,14 +44,21 @@ def confirmed_unavailable(spark, sf):
     return M.confirmed_unavailable(S.probes(spark, sf))
 
 
-@query("check_history_json", f"""WITH {S.PROBES} SELECT ads_id, strftime(checked_at, '%Y-%m-%d')
-       AS check_date, '[' || string_agg('{{"checked_at":"' || strftime(checked_at, '%Y-%m-%d %H:%M:%S') ||
-       '","page_available":' || (detected_status = 'available') || ',"detected_status":"' ||
-       detected_status || '"}}', ',' ORDER BY checked_at) || ']' AS history FROM probes GROUP BY 1, 2""")
+_ENTRIES = """'[' || string_agg('{"checked_at":"' || strftime(checked_at, '%Y-%m-%d %H:%M:%S') || '","page_available":' ||
+    (detected_status = 'available') || ',"detected_status":"' || detected_status || '"}', ',' ORDER BY checked_at) || ']' AS history"""
+
+
+@query("check_history_json", f"WITH {S.PROBES} SELECT ads_id, {_ENTRIES} FROM probes GROUP BY 1")
 def check_history_json(spark, sf):
     return M.check_history(S.probes(spark, sf))
 
 
+@query("check_history_days", f"""WITH {S.PROBES} SELECT ads_id, strftime(checked_at, '%Y-%m-%d') AS check_date, {_ENTRIES}
+       FROM probes GROUP BY 1, 2""")
+def check_history_days(spark, sf):
+    return M.check_history(S.probes(spark, sf), per_day=True)
+
+
 @query("listing_fingerprint", f"""WITH {S.TRACKED_LISTINGS} SELECT ads_id, sha256(make || '|' || model ||
        '|' || manufactured_date || '|' || price || '|' || region || '|' || subregion || '|' ||
        seller_name) AS fingerprint FROM listings""")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from lotkeeper.operators import recheck as R
 from lotkeeper.plans import standins as S
 from lotkeeper.plans.availability import _DECISIVE, _FMT, _OUTCOME, _TS, _sweep
-from lotkeeper.plans.catalogue import query
+from lotkeeper.plans.catalogue import ORACLES, query
 from lotkeeper.plans.extraction import _page
 from lotkeeper.session import scratch_path
 
@@ -83,15 +83,26 @@ def recheck_pages_audit(spark, sf):
        AS sold_inference, (outcome IN ('available', 'gone')) IS TRUE AS audited FROM listings l LEFT JOIN o USING (ads_id)""")
 def recheck_sweep(spark, sf):
     """All listings after a sweep, with whether the audit of the same commit holds their check."""
+    state = _swept_state(spark, sf)
+    audit = state.read_log(R.AUDIT, R.AUDIT_SCHEMA).groupBy("ads_id").agg(F.count("*").alias("n"))
+    return state.read(R.LISTINGS).join(audit, "ads_id", "left").select(
+        "ads_id", "availability_status", "last_seen_at", "last_checked_at", "sold_inference",
+        F.coalesce(F.col("n") == 1, F.lit(False)).alias("audited"))
+
+
+def _swept_state(spark, sf):
     state = R.tracked_state(spark, scratch_path(spark, "tracked"), 16)
     R.start(state, S.listings(spark, sf, tracked=True).select(
         "ads_id", "url", "make", "availability_status", "first_seen_at", "last_seen_at", "last_checked_at", "ad_expiry",
         "sold_inference"))
     R.commit_sweep(state, _sweep(spark, sf), S.NOW, 1)
-    audit = state.read_log(R.AUDIT, R.AUDIT_SCHEMA).groupBy("ads_id").agg(F.count("*").alias("n"))
-    return state.read(R.LISTINGS).join(audit, "ads_id", "left").select(
-        "ads_id", "availability_status", "last_seen_at", "last_checked_at", "sold_inference",
-        F.coalesce(F.col("n") == 1, F.lit(False)).alias("audited"))
+    return state
+
+
+@query("recheck_sweep_figures", ORACLES["recheck_stats"])
+def recheck_sweep_figures(spark, sf):
+    """What the sweep's own commit says of it."""
+    return R.sweep_figures(_swept_state(spark, sf)).drop("version")
 
 
 # --- first writers ------------------------------------------------------------------------------

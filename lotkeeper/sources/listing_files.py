@@ -12,6 +12,7 @@ from lotkeeper import fixed_values as fv
 from lotkeeper.session import written
 
 _BYTE_ORDER_MARK = chr(0xFEFF)
+_OUTSIDE_QUOTES = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
 
 
 def file_headers(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -23,7 +24,7 @@ def file_headers(spark: SparkSession, path: str | list[str]) -> DataFrame:
     header = lines.groupBy("file").agg(F.min_by("value", "row").alias("line"))
     plain = F.translate("line", _BYTE_ORDER_MARK + "\r", "")
     # commas outside quotes part names; inside, a doubled quote is one
-    names = F.transform(F.split(plain, r',(?=(?:[^"]*"[^"]*")*[^"]*$)'), F.trim)
+    names = F.transform(F.split(plain, _OUTSIDE_QUOTES), F.trim)
     bare = F.transform(names, lambda c: F.trim(F.replace(F.regexp_replace(c, r'^"(.*)"$', "$1"), F.lit('""'), F.lit('"'))))
     return header.select("file", bare.alias("present"))
 
@@ -72,6 +73,32 @@ def scan_listing_csv(spark: SparkSession, path: str | list[str], columns: Sequen
                        "file", "present", "ingest_seq")
 
 
+def scan_rejects(spark: SparkSession, path: str | list[str], required: str = "ads_id", multi_line: bool = False) -> DataFrame:
+    """What of the files below ``path`` cannot be taken as it is: (file, row, reason, line).
+
+    Files without the ``required`` column are reported as a whole (row and line null); of all files the rows with more
+    or fewer cells than their file's header. ``row`` orders the rows of a file. Files of no bytes are never listed.
+    """
+    headers = written(file_headers(spark, path), "headers")
+    whole = headers.where(~F.array_contains("present", F.lit(required))).select(
+        "file", F.lit(None).cast("long").alias("row"), F.lit(f"no column {required}").alias("reason"),
+        F.lit(None).cast("string").alias("line"))
+    width = headers.agg(F.max(F.size("present"))).first()[0] or 1
+    fields = [T.StructField(c, T.StringType()) for c in (*(f"_c{i}" for i in range(width)), "_line")]
+    rows = (spark.read.schema(T.StructType(fields))
+            .options(header=True, escape='"', multiLine=multi_line, columnNameOfCorruptRecord="_line", enforceSchema=True,
+                     ignoreCorruptFiles=True)
+            .csv(path).select("*", F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("row")))
+    # only lines whose cells are not as many as the widest header's keep their text
+    cells = F.when(F.col("_line").isNull(), width).otherwise(F.size(F.split("_line", _OUTSIDE_QUOTES)))
+    quoted = lambda c: F.when(c.rlike('[",\n]'), F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"'))).otherwise(c)
+    line = F.coalesce("_line", F.array_join(F.array(*[F.coalesce(quoted(F.col(f"_c{i}")), F.lit("")) for i in range(width)]), ","))
+    counted = rows.select("file", "row", cells.alias("cells"), line.alias("line")).join(headers, "file")
+    odd = counted.select("file", "row", F.when(F.col("cells") > F.size("present"), "more cells than columns").when(
+        F.col("cells") < F.size("present"), "fewer cells than columns").alias("reason"), "line").where("reason IS NOT NULL")
+    return whole.unionByName(odd)
+
+
 def sink_snapshot_csv(df: DataFrame, path: str, category: str, run_ts: str,
                       tag: str | None = None, suffix: str = "final") -> str:
     """Write a snapshot, one folder per category, tag, suffix and run; returns the folder.
