@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from dataclasses import dataclass
 
 SKIPPED = {"script", "style", "template", "svg", "iframe", "head", "title"}
@@ -26,7 +27,10 @@ INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "dat
 ENDED = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
          "th": {"td", "th"}, "option": {"option"}}
 FENCES = {"table", "ul", "ol", "dl", "select", "td", "th", "button", "article", "section", "div", "body", "form"}
-_PARTS = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|[^<]+|<", re.S)
+_PARTS = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|[^<]+|<", re.S)
+#: A tag whose quotes never end goes to the next bracket; where no bracket follows, no tag does.
+_OPEN_QUOTE = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)>")
+_TEXT = re.compile(r"[^<]+|<")
 _NAMED = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 _WORDS = re.compile(r"[a-z]+")
 
@@ -38,10 +42,15 @@ class Block:
     linked: int  # characters inside links
 
 
+def _comment_or_text(source: str, at: int) -> re.Match | None:
+    return _PARTS.match(source, at) if source.startswith(("<!", "<?"), at) else _TEXT.match(source, at)
+
+
 def read_blocks(page: str | None) -> list[Block]:
     """The leaf blocks of a page in order; none for null. Text keeps one space for any run of blanks."""
     blocks: list[Block] = []
     stack: list[tuple[str, tuple[str, ...]]] = []
+    held: Counter[str] = Counter()  # open elements by tag
     text: list[str] = []
     state = {"linked": 0, "link": 0, "skip": 0}
 
@@ -54,20 +63,24 @@ def read_blocks(page: str | None) -> list[Block]:
 
     def pop():
         tag, _ = stack.pop()
+        held[tag] -= 1
         state["link"] -= tag == "a"
         state["skip"] -= tag in SKIPPED
 
     def end_head():
-        while any(t == "head" for t, _ in stack):
+        while held["head"]:
             pop()
 
     source, at = page or "", 0
+    closes = source.rfind(">")
     while True:
-        found = _PARTS.match(source, at)
+        found = _PARTS.match(source, at) if at <= closes else _comment_or_text(source, at)
         if not found:
             break
+        if found.end() == at + 1 and at < closes and source[at] == "<":
+            found = _OPEN_QUOTE.match(source, at) or found
         at = found.end()
-        closing, tag, rest = found.groups()
+        closing, tag, rest = found.groups() if found.re.groups else (None, None, None)
         if tag is None:
             part = found.group()
             if part[0] != "<" or part == "<":
@@ -80,7 +93,7 @@ def read_blocks(page: str | None) -> list[Block]:
             continue
         tag = tag.lower()
         if closing:
-            if any(t == tag for t, _ in stack):
+            if held[tag]:
                 if tag not in INLINE:
                     end_block()
                 while True:
@@ -112,6 +125,7 @@ def read_blocks(page: str | None) -> list[Block]:
         if rest.rstrip().endswith("/") and tag in ("svg", "path"):
             continue
         stack.append((tag, (tag, *names)))
+        held[tag] += 1
         state["link"] += tag == "a"
         state["skip"] += tag in SKIPPED
         if tag in RAW:

@@ -64,9 +64,11 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op7_warc")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Metadata and conversion records of all pages, as responses."""
-    records = warc.derivatives(warc.responses(table(spark, sf_dir, "pages")), member=False)
-    return records.withColumnRenamed("id", "page_id").withColumn("block", F.decode("block", "UTF-8")).drop("member")
+    """Metadata and conversion records of all pages, as responses, with length and digest of their gzip members."""
+    records = warc.derivatives(warc.responses(table(spark, sf_dir, "pages")))
+    member = [F.octet_length("member").cast("long").alias("member_length"), F.sha1("member").alias("member_sha1")]
+    return (records.withColumnRenamed("id", "page_id").withColumn("block", F.decode("block", "UTF-8"))
+            .select("*", *member).drop("member"))
 
 
 @query("op8_ngram_jaccard_join")

@@ -13,6 +13,7 @@ import gzip
 import hashlib
 import re
 import uuid
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -25,6 +26,7 @@ VERSION = "WARC/1.1"
 NAMESPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")
 #: The capture date of tables that carry none.
 DATE = "2024-01-01T00:00:00Z"
+_HEAD_END = re.compile(rb"</head|<body", re.I)
 _CHARSET = re.compile(r"charset\s*=\s*[\"']?([\w.:-]+)", re.I)
 
 
@@ -72,10 +74,52 @@ def split_http(block: bytes) -> tuple[str, list[tuple[str, str]], bytes]:
     return status, [(k.strip(), v.strip()) for k, c, v in (line.partition(":") for line in lines) if c], body
 
 
+def unchunked(body: bytes) -> bytes:
+    """The content of chunks, as far as they go."""
+    parts, at = [], 0
+    while (end := body.find(b"\r\n", at)) >= 0:
+        try:
+            size = int(body[at:end].split(b";")[0], 16)
+        except ValueError:
+            break
+        if not size:
+            break
+        parts.append(body[end + 2:end + 2 + size])
+        at = end + 2 + size + 2
+    return b"".join(parts)
+
+
+def content(body: bytes, headers: list[tuple[str, str]]) -> bytes | None:
+    """A payload without its transfer and content encodings; None where one of them is unknown or broken."""
+    for name in ("transfer-encoding", "content-encoding"):
+        named = ",".join(v for k, v in headers if k.lower() == name).lower()
+        for encoding in reversed([x.strip() for x in named.split(",") if x.strip()]):
+            try:
+                if encoding == "chunked":
+                    body = unchunked(body)
+                elif encoding in ("gzip", "x-gzip"):
+                    body = gzip.decompress(body)
+                elif encoding == "deflate":
+                    body = zlib.decompress(body, zlib.MAX_WBITS if body[:1] == b"\x78" else -zlib.MAX_WBITS)
+                elif encoding != "identity":
+                    return None
+            except (OSError, EOFError, zlib.error):
+                return None
+    return body
+
+
+def is_text(headers: list[tuple[str, str]]) -> bool:
+    """Whether a response is text by its type; one without a type counts as a page."""
+    kind = next((v.split(";")[0].strip().lower() for k, v in headers if k.lower() == "content-type"), "")
+    return not kind or kind.startswith("text/") or kind.endswith(("html", "xml", "json", "javascript"))
+
+
 def decoded(body: bytes, headers: list[tuple[str, str]]) -> str:
     named = next((m[1] for k, v in headers if k.lower() == "content-type" and (m := _CHARSET.search(v))), None)
-    if named is None and (m := _CHARSET.search(body[:2048].decode("latin-1"))):
-        named = m[1]
+    if named is None:
+        head = _HEAD_END.search(body)
+        m = _CHARSET.search(body[:head.start() if head else len(body)].decode("latin-1"))
+        named = m and m[1]
     try:
         return body.decode(named or "utf-8", "replace")
     except LookupError:
@@ -101,7 +145,8 @@ FIELDS = ("warc_type string, record_id string, refers_to string, target_uri stri
 
 
 def derivatives(records: DataFrame, member: bool = True) -> DataFrame:
-    """Two rows for every response of (id, record_id, target_uri, date, block): id and the record's fields.
+    """Two rows for every response of (id, record_id, target_uri, date, block): id and the record's fields; only metadata
+    where the response is no text by its type, or in an encoding that is unknown or broken.
 
     ``source_digest`` is the digest of the response's payload. Null targets and dates leave their headers out, a null
     block is empty, a null record_id gets one from the block. Repeated rows give repeated records; other columns are
@@ -113,33 +158,37 @@ def derivatives(records: DataFrame, member: bool = True) -> DataFrame:
         status, http, body = split_http(block)
         payload = digest(body)
         source = source or record_id("response", target or "", date or "", payload)
-        blocks = read_blocks(decoded(body, http))
+        plain = content(body, http) if is_text(http) else None
+        blocks = read_blocks(decoded(plain, http)) if plain is not None else []
         text = "\n".join(b.text for b in blocks).encode("utf-8", "replace")
         conversion, metadata = record_id("conversion", source), record_id("metadata", source)
         fields = [("source-record", source), ("source-block-digest", digest(block)), ("source-payload-digest", payload),
-                  ("source-payload-length", str(len(body))), ("conversion-record", conversion),
-                  ("conversion-block-digest", digest(text)), ("text-blocks", str(len(blocks)))]
+                  ("source-payload-length", str(len(body)))]
+        if plain is not None:
+            fields += [("conversion-record", conversion), ("conversion-block-digest", digest(text)), ("text-blocks", str(len(blocks)))]
         fields += [("source-status", status)] * bool(status) + [(f"source-header-{k.lower()}", v) for k, v in http]
         described = "".join(f"{k}: {header_value(v)}\r\n" for k, v in fields).encode("utf-8", "replace")
-        for name, own, content, data in (("metadata", metadata, "application/warc-fields", described),
-                                         ("conversion", conversion, "text/plain; charset=utf-8", text)):
+        made = [("metadata", metadata, "application/warc-fields", described)]
+        if plain is not None:
+            made.append(("conversion", conversion, "text/plain; charset=utf-8", text))
+        for name, own, kind_of, data in made:
             headers = [("WARC-Type", name), ("WARC-Record-ID", own)]
             headers += [("WARC-Date", date)] * bool(date) + [("WARC-Target-URI", target)] * bool(target)
             headers += [("WARC-Refers-To", source)]
             headers += [("WARC-Refers-To-Target-URI", target)] * bool(target) + [("WARC-Refers-To-Date", date)] * bool(date)
-            headers += [("WARC-Block-Digest", digest(data)), ("Content-Type", content)]
+            headers += [("WARC-Block-Digest", digest(data)), ("Content-Type", kind_of)]
             whole = serialise(headers, data)
-            yield (name, own, source, target, date, content, len(data), digest(data), payload,
+            yield (name, own, source, target, date, kind_of, len(data), digest(data), payload,
                    whole[:whole.index(b"\r\n\r\n")].decode(), data, gzip.compress(whole, 6, mtime=0) if member else None)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for at in range(0, whole.num_rows, 500):
                 batch = whole.slice(at, 500)
-                rows = [r for values in zip(*[batch.column(c).to_pylist() for c in ("record_id", "target_uri", "date", "block")])
-                        for r in build(*values[:3], values[3] or b"")]
-                columns = list(zip(*rows)) or [()] * 12
-                origin = pa.array([i // 2 for i in range(len(rows))], pa.int64())
+                values = zip(*[batch.column(c).to_pylist() for c in ("record_id", "target_uri", "date", "block")])
+                made = [(i, r) for i, v in enumerate(values) for r in build(*v[:3], v[3] or b"")]
+                columns = list(zip(*[r for _, r in made])) or [()] * 12
+                origin = pa.array([i for i, _ in made], pa.int64())
                 types = [pa.int64() if i == 6 else pa.binary() if i >= 10 else pa.string() for i in range(12)]
                 yield pa.RecordBatch.from_arrays([batch.column("id").take(origin), *[pa.array(c, t) for c, t in zip(columns, types)]],
                                                  ["id", *[f.split()[0] for f in FIELDS.split(", ")]])

@@ -1,4 +1,6 @@
 import gzip
+import time
+import zlib
 
 import numpy as np
 import odd
@@ -131,3 +133,30 @@ def test_warc_foreign_responses(spark):
     assert found[2, "conversion"]["content_length"] == 0 and found[2, "conversion"]["refers_to"].startswith("<urn:uuid:")
     assert "WARC-Date" not in found[3, "metadata"]["headers"] and found[4, "conversion"]["block"] == b"ok"
     assert warc.derivatives(frame.limit(0)).count() == 0
+
+
+def test_encodings_are_undone_and_other_types_have_no_text(spark):
+    page = b"<html><body><p>Hello there.</p></body></html>"
+    chunks = b"5\r\n<html\r\n" + b"%x;x=1\r\n" % (len(page) - 5) + page[5:] + b"\r\n0\r\n\r\n"
+    late = b"<head>" + b"<!-- " + b"x" * 5_000 + b" --><meta charset=latin-1></head><p>caf\xe9</p>"
+    bodies = {1: (b"Content-Encoding: gzip", gzip.compress(page)), 2: (b"Transfer-Encoding: chunked", chunks),
+              3: (b"Content-Type: image/png", b"\x89PNG"), 4: (b"Content-Encoding: gzip", b"broken"), 5: (b"X: y", late),
+              6: (b"Content-Encoding: br", b"?"), 7: (b"Content-Encoding: deflate", zlib.compress(page))}
+    frame = spark.createDataFrame([(i, None, None, None, bytearray(b"HTTP/1.1 200 OK\r\n" + h + b"\r\n\r\n" + b)) for i, (h, b) in bodies.items()],
+                                  "id int, record_id string, target_uri string, date string, block binary")
+    found = warc.derivatives(frame).collect()
+    texts = {r["id"]: r["block"].decode() for r in found if r["warc_type"] == "conversion"}
+    assert texts == {1: "Hello there.", 2: "Hello there.", 5: "café", 7: "Hello there."}
+    assert {r["id"]: r["source_digest"] for r in found} == {i: warc.digest(b) for i, (_, b) in bodies.items()}
+    assert sorted(r["id"] for r in found if r["warc_type"] == "metadata") == list(bodies)
+
+
+def test_reader_takes_time_in_proportion():
+    for piece in ("<a ", '<a href="', "<a 'x", "<p", '<i "> ', "< "):
+        seconds = []
+        for n in (4_000, 64_000):
+            started = time.perf_counter()
+            read_blocks(piece * n)
+            read_blocks(piece * n + ">")
+            seconds.append(time.perf_counter() - started)
+        assert seconds[1] < 60 * seconds[0] + 0.5, (piece, seconds)
