@@ -12,6 +12,7 @@ that those links leave apart are then compared whole, in blocks, so no link betw
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,9 +36,8 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _BLANK = np.zeros(256, bool)
 _BLANK[[ord(c) for c in BLANKS]] = True
-#: Signatures gathered before a task sorts them; ranges of signatures at least, and shingles for each of them.
+#: Signatures gathered before a task sorts them.
 FLUSH = 2_000_000
-BUCKETS, BUCKET_SHINGLES = 4096, 4_000_000
 #: Sets and shingles of a block, where sets that no star connects are compared in blocks.
 BLOCK_SETS, BLOCK_SHINGLES = 1_000, 400_000
 #: Cuts of the domain tried before a set with empty parts is left to one signature for its band.
@@ -93,6 +93,24 @@ def bands(largest: int, percent: int) -> list[int]:
 
 
 _tops: dict[int, list[int]] = {}
+_parts: dict[tuple[int, int], tuple[int, int]] = {}
+
+
+def cut(pair: int, tops: list[int], percent: int) -> tuple[int, int]:
+    """(k, parts) for a pair of bands: similar sets differ in at most k shingles, and so agree on parts - k parts or more.
+    Parts beyond k + 1 make up for those that are empty by chance in the smallest sets of the pair."""
+    if (percent, pair) not in _parts:
+        # |A| + |B| - 2|AB| for the largest sizes of the pair's upper band
+        k = 2 * tops[pair] * (100 - percent) // (100 + percent)
+        parts, least = k + 1, tops[pair - 2] + 1 if pair > 1 else 1
+        while k >= 4:
+            empty = parts * math.exp(-least / parts)
+            wanted = k + 2 + math.ceil(empty + 2 * math.sqrt(empty))
+            if wanted <= parts or parts > 2 * k:
+                break
+            parts = wanted
+        _parts[percent, pair] = k, parts
+    return _parts[percent, pair]
 
 
 def signatures(own: np.ndarray, percent: int) -> np.ndarray:
@@ -106,10 +124,7 @@ def signatures(own: np.ndarray, percent: int) -> np.ndarray:
     band = int(np.searchsorted(tops, n))
     found = []
     for pair in (band, band + 1):  # with the band below, and with the band above
-        # |A| + |B| - 2|AB| for the largest sizes of the pair's upper band
-        k = 2 * tops[pair] * (100 - percent) // (100 + percent)
-        # similar sets agree on parts - k parts or more; about one part in a hundred is empty by chance
-        parts = k + 1 if k < 4 else k + 3 + k * 3 // 100
+        k, parts = cut(pair, tops, percent)
         for trial in range(CUTS + 1):
             seed = _mix(np.asarray([pair * 1000 + trial], _U))[0]
             if trial == CUTS:
@@ -137,49 +152,32 @@ def _stars(sig: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, ...]:
     return sig[first], node[first], sig[~first], low[~first], node[~first]
 
 
-def _packed(sig: np.ndarray, node: np.ndarray, buckets: int) -> Iterator[tuple[int, bytes]]:
-    """(bucket, rows) of rows sorted by signature: a bucket is a range of signatures, its rows are the steps between them,
-    byte by byte, as most bytes are zero then, and the sets."""
-    place = sig.view(_U) ^ _U(1 << 63)
-    bucket = ((place >> _U(32)) * _U(buckets) >> _U(32)).astype(np.int64)
-    cuts = np.flatnonzero(bucket[1:] != bucket[:-1]) + 1
-    for start, end in zip([0, *cuts.tolist()], [*cuts.tolist(), len(sig)]):
-        if end > start:
-            steps = np.diff(place[start:end], prepend=_U(0))
-            yield int(bucket[start]), steps.view(np.uint8).reshape(-1, 8).T.tobytes() + node[start:end].tobytes()
-
-
-def _unpacked(rows: bytes) -> tuple[np.ndarray, np.ndarray]:
-    n = len(rows) // 16
-    steps = np.frombuffer(rows, np.uint8, 8 * n).reshape(8, n).T.copy().view(_U).ravel()
-    return (np.cumsum(steps, dtype=_U) ^ _U(1 << 63)).view(np.int64), np.frombuffer(rows, np.int64, n, 8 * n)
+def _frame(sig, node, rep) -> pd.DataFrame:
+    return pd.DataFrame({"sig": sig, "node": node, "rep": rep})
 
 
-def star_rows(texts: DataFrame, size: int, percent: int, buckets: int = BUCKETS) -> DataFrame:
+def star_rows(texts: DataFrame, size: int, percent: int) -> DataFrame:
     """(sig, rep, node): for every signature of two or more sets, each set but the smallest id with a smaller one.
 
     A task first does so for its own texts and passes on one set per signature, so a signature that a
-    third of all texts share reaches the next task as one row per task. Signatures travel packed by ranges
-    of them, and the next task takes one range after the other.
+    third of all texts share reaches the next task as one row per task.
     """
-    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held, count = [], 0
 
-        def flush() -> pa.RecordBatch:
+        def flush():
             sig = np.concatenate([s for s, _ in held])
             node = np.repeat(np.asarray([n for _, n in held], np.int64), [len(s) for s, _ in held])
             sig, node, other_sig, low, other = _stars(sig, node)
-            rows = [(bucket, b"", packed) for bucket, packed in _packed(sig, node, buckets)]
-            for at in range(0, len(other), 4096):  # stars that are done only pass through
-                part = slice(at, at + 4096)
-                rows.append((int(other[at] % buckets), other_sig[part].tobytes(), low[part].tobytes() + other[part].tobytes()))
-            return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), *[
-                pa.array([r[i] for r in rows], pa.binary()) for i in (1, 2)]], ["bucket", "done", "rows"])
+            by = np.argsort(node, kind="stable")  # signatures of a set side by side take less room on their way
+            yield _frame(sig[by], node[by], node[by])
+            if len(other):
+                yield _frame(other_sig, other, low)
 
         seen: set[int] = set()
         for batch in batches:
-            for text in batch.column("text"):
-                own = shingles(text.as_py(), size)
+            for text in batch["text"]:
+                own = shingles(text, size)
                 node = digest(own)
                 if node is None or node in seen:
                     continue
@@ -188,39 +186,29 @@ def star_rows(texts: DataFrame, size: int, percent: int, buckets: int = BUCKETS)
                 held.append((found, node))
                 count += len(found)
                 if count >= FLUSH:
-                    yield flush()
+                    yield from flush()
                     held, count = [], 0
                     seen.clear()
         if held:
-            yield flush()
-
-    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frame = lambda sig, node, rep: pa.RecordBatch.from_arrays(
-            [pa.array(c) for c in (sig, node, rep)], ["sig", "node", "rep"])
-        sigs, nodes, count, last = [], [], 0, None
-
-        def stars() -> pa.RecordBatch:
-            _, _, sig, low, node = _stars(np.concatenate(sigs), np.concatenate(nodes))
-            return frame(sig, node, low)
+            yield from flush()
 
+    def meet(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sigs, nodes = [], []
         for batch in batches:
-            for bucket, done, rows in zip(*[batch.column(c).to_pylist() for c in ("bucket", "done", "rows")]):
-                if done:
-                    low, other = np.frombuffer(rows, np.int64).reshape(2, -1)
-                    yield frame(np.frombuffer(done, np.int64), other, low)
-                    continue
-                if bucket != last and count >= FLUSH // 2:
-                    yield stars()
-                    sigs, nodes, count = [], [], 0
-                sig, node = _unpacked(rows)
-                sigs.append(sig)
-                nodes.append(node)
-                count, last = count + len(sig), bucket
+            star = (batch["rep"] != batch["node"]).to_numpy()
+            if star.any():
+                yield batch[star]
+            sigs.append(batch["sig"].to_numpy(np.int64)[~star])
+            nodes.append(batch["node"].to_numpy(np.int64)[~star])
         if sigs:
-            yield stars()
+            _, _, sig, low, node = _stars(np.concatenate(sigs), np.concatenate(nodes))
+            if len(node):
+                yield _frame(sig, node, low)
 
-    return (texts.mapInArrow(sign, "bucket long, done binary, rows binary").repartition("bucket").sortWithinPartitions("bucket")
-            .mapInArrow(meet, "sig long, node long, rep long"))
+    # what a task passes on names the set itself; rows of a star are done and spread by their set instead
+    key = F.when(F.col("rep") == F.col("node"), F.col("sig")).otherwise(F.xxhash64("node"))
+    return (texts.mapInPandas(sign, "sig long, node long, rep long").repartition(key)
+            .mapInPandas(meet, "sig long, node long, rep long"))
 
 
 def verified(pairs: DataFrame, sets: DataFrame, size: int, percent: int) -> DataFrame:
@@ -350,9 +338,7 @@ def similar_groups(documents: DataFrame, size: int = 4, percent: int = 85, id_co
 
     release(documents.sparkSession)
     docs = written(texts.mapInArrow(measure, f"doc_id {kind}, n_shingles long, node long"), "sets")
-    shingles_held = docs.agg(F.coalesce(F.sum("n_shingles"), F.lit(0))).first()[0]
-    buckets = max(BUCKETS, shingles_held // BUCKET_SHINGLES)
-    stars = written(star_rows(texts.where(F.col("text").isNotNull()), size, percent, buckets), "stars")
+    stars = written(star_rows(texts.where(F.col("text").isNotNull()), size, percent), "stars")
     release(documents.sparkSession)
     first = stars.select(F.col("rep").alias("a"), F.col("node").alias("b")).distinct()
     wanted = first.select(F.explode(F.array("a", "b")).alias("node")).distinct()
