@@ -1,10 +1,11 @@
 """Jaccard join of shingle sets by partition-and-enumerate signatures.
 
 Sets are banded by size so that similar sets lie in the same or in neighbouring bands. For a band pair
-the similarity bounds the symmetric difference by some k; the domain of shingles is cut into more than
-k parts, so similar sets agree on a whole part and share the signature of one. Candidates are verified
-exactly. Only empty parts could agree without a trace: a set with as many empty parts as could agree
-is signed again under other cuts until it has fewer.
+the similarity bounds the symmetric difference by some k; the domain of shingles is cut into more than k / 2
+groups of three parts. In some group similar sets then differ in one shingle at most, so they agree on two of its
+parts; every subset of two parts has a signature, and they share one. Candidates are verified exactly. Only empty
+subsets could agree without a trace: a set with more groups that have one than are spare is signed again under
+other cuts until it has fewer. If it never has, one signature stands for its whole band: exact, but a hot one.
 
 Copies meet as one set. In a bucket every set is first compared with one of its members only; the buckets
 that those links leave apart are then compared whole, in blocks, so no link between components is lost.
@@ -40,7 +41,9 @@ _BLANK[[ord(c) for c in BLANKS]] = True
 FLUSH = 2_000_000
 #: Sets and shingles of a block, where sets that no star connects are compared in blocks.
 BLOCK_SETS, BLOCK_SHINGLES = 1_000, 400_000
-#: Cuts of the domain tried before a set with empty parts is left to one signature for its band.
+#: Parts of a group; subsets leave out one of them.
+PARTS = 3
+#: Cuts of the domain tried before a set with empty subsets is left to one signature for its band.
 CUTS = 40
 _powers: list[np.ndarray] = [np.ones(1, _U), np.ones(1, _U)]
 
@@ -84,6 +87,39 @@ def digest(own: np.ndarray) -> int | None:
     return int(np.int64(xxhash.xxh64_intdigest(own.tobytes()) - 2**63)) if len(own) else None
 
 
+def sketch(own: np.ndarray) -> bytes:
+    """How many shingles of a set fall into each of about n / 4 to n / 2 classes, a byte a class.
+
+    Where two sets' counts differ by d in all, at least d shingles are in one of them only.
+    """
+    classes = 1 << max(3, (len(own) // 4).bit_length())
+    return np.minimum(np.bincount((own & _U(classes - 1)).astype(np.int64), minlength=classes), 255).astype(np.uint8).tobytes()
+
+
+def _folded(data: bytes, classes: int) -> np.ndarray:
+    return np.frombuffer(data, np.uint8).reshape(-1, classes).sum(axis=0, dtype=np.int32)
+
+
+def may_link(sketches: list[bytes], n: np.ndarray, one: np.ndarray, two: np.ndarray, percent: int) -> np.ndarray:
+    """Whether the sketches of sets ``one`` and ``two`` leave it open that they are similar."""
+    size = np.asarray([len(x) for x in sketches])
+    open_ = 100 * np.minimum(n[one], n[two]) >= percent * np.maximum(n[one], n[two])
+    classes = np.minimum(size[one], size[two])
+    for c in np.unique(classes[open_]):
+        at = np.flatnonzero(open_ & (classes == c))
+        used, place = np.unique(np.concatenate((one[at], two[at])), return_inverse=True)
+        counts = np.stack([_folded(sketches[i], int(c)) for i in used])
+        left, right = place[:len(at)], place[len(at):]
+        step = max(1, (1 << 22) // int(c))
+        for low in range(0, len(at), step):
+            part = slice(low, low + step)
+            apart = np.abs(counts[left[part]] - counts[right[part]]).sum(axis=1)
+            total = n[one[at[part]]] + n[two[at[part]]]
+            both = (total - apart) // 2  # at most
+            open_[at[part]] = 100 * both >= percent * (total - both)
+    return open_
+
+
 def bands(largest: int, percent: int) -> list[int]:
     """Upper ends of the size bands: 100 * size <= percent * other only ever spans two neighbouring ones."""
     tops = [1]
@@ -96,20 +132,33 @@ _tops: dict[int, list[int]] = {}
 _parts: dict[tuple[int, int], tuple[int, int]] = {}
 
 
+def _failing(n: float, groups: int, spare: int) -> float:
+    """About how often a set of n shingles has more than ``spare`` groups with a subset of parts that is empty."""
+    empty = math.exp(-n / (groups * PARTS))
+    mean = groups * (3 * empty**2 - 2 * empty**3)
+    if mean > 30:
+        return 0.5 * math.erfc((spare + 0.5 - mean) / math.sqrt(2 * mean))
+    return max(0.0, 1 - math.exp(-mean) * sum(mean**i / math.factorial(i) for i in range(min(spare, 150) + 1)))
+
+
 def cut(pair: int, tops: list[int], percent: int) -> tuple[int, int]:
-    """(k, parts) for a pair of bands: similar sets differ in at most k shingles, and so agree on parts - k parts or more.
-    Parts beyond k + 1 make up for those that are empty by chance in the smallest sets of the pair."""
+    """(groups, spare) for a pair of bands. Similar sets differ in at most k shingles, so all groups but k // 2 hold one
+    difference at most, and agree there on all parts but one: more than ``spare`` groups do.
+
+    Spare groups make up for those with an empty subset; as many as give the fewest signatures, repeated cuts included.
+    """
     if (percent, pair) not in _parts:
         # |A| + |B| - 2|AB| for the largest sizes of the pair's upper band
         k = 2 * tops[pair] * (100 - percent) // (100 + percent)
-        parts, least = k + 1, tops[pair - 2] + 1 if pair > 1 else 1
-        while k >= 4:
-            empty = parts * math.exp(-least / parts)
-            wanted = k + 2 + math.ceil(empty + 2 * math.sqrt(empty))
-            if wanted <= parts or parts > 2 * k:
-                break
-            parts = wanted
-        _parts[percent, pair] = k, parts
+        needed, least = k // 2 + 1, tops[pair - 2] + 1 if pair > 1 else 1
+        choices = sorted({int(1.25**i) - 1 for i in range(64) if int(1.25**i) - 1 <= needed})
+
+        def signed(spare: int) -> float:
+            often = [min(_failing(n, needed + spare, spare), 1 - 1 / CUTS) for n in (least, tops[pair])]
+            return (needed + spare) * sum(1 / (1 - x) for x in often)
+
+        spare = min(choices, key=signed) if k else 0
+        _parts[percent, pair] = (needed + spare, spare) if k else (0, 0)
     return _parts[percent, pair]
 
 
@@ -124,19 +173,29 @@ def signatures(own: np.ndarray, percent: int) -> np.ndarray:
     band = int(np.searchsorted(tops, n))
     found = []
     for pair in (band, band + 1):  # with the band below, and with the band above
-        k, parts = cut(pair, tops, percent)
+        groups, spare = cut(pair, tops, percent)
         for trial in range(CUTS + 1):
             seed = _mix(np.asarray([pair * 1000 + trial], _U))[0]
             if trial == CUTS:
                 found.append(np.asarray([seed], _U))
                 break
-            part = (_mix(own ^ seed) >> _U(16)) % _U(parts)
+            if not groups:  # similar sets are equal
+                found.append(_mix(np.add.reduce(_mix(own + seed), keepdims=True)))
+                break
+            part = ((_mix(own ^ seed) >> _U(16)) % _U(groups * PARTS)).astype(np.int64)
             order = np.argsort(part, kind="stable")
             part = part[order]
             first = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1])))
-            sums = np.add.reduceat(_mix(own + seed)[order], first)
-            found.append(_mix(sums ^ _mix(part[first] + seed)))
-            if parts - len(first) < parts - k:
+            sums, filled = np.zeros(groups * PARTS, _U), np.zeros(groups * PARTS, bool)
+            sums[part[first]] = np.add.reduceat(_mix(own + seed)[order], first)
+            filled[part[first]] = True
+            # every subset of a group's parts that leaves out one
+            sums, filled = sums.reshape(groups, PARTS), filled.reshape(groups, PARTS)
+            subset = (sums.sum(axis=1, keepdims=True, dtype=_U) - sums).ravel()
+            some = (filled.sum(axis=1, keepdims=True) - filled).ravel() > 0
+            name = np.arange(groups * PARTS, dtype=_U)
+            found.append(_mix(subset[some] ^ _mix(name[some] + seed)))
+            if np.count_nonzero(~some.reshape(groups, PARTS).all(axis=1)) <= spare:
                 break
     return np.concatenate(found).view(np.int64)
 
@@ -244,8 +303,10 @@ def left_apart(stars: DataFrame, failed: DataFrame, roots: DataFrame, sets: Data
     """Links (a, b) that connect whatever is linked among the sets of signatures whose star failed somewhere.
 
     Such signatures are brought together where they share sets, as the many of one group of near copies do, if
-    comparing all sets of the family is less work than each signature's; else every signature is by itself. A
-    unit is compared in blocks of sets, and a task sends on a forest of what it finds, never the pairs.
+    comparing all sets of the family is less work than each signature's. Families are compared in blocks of whole
+    texts, and a task sends on a forest of what it finds, never the pairs. In families that hang together by
+    signatures here and there every signature is by itself: its sets meet as sketches, and pairs
+    that are not connected yet and whose sketches leave it open are compared exactly, once each.
     """
     open_sigs = stars.join(failed, ["rep", "node"]).select("sig").distinct()
     left = stars.join(open_sigs, "sig", "left_semi")
@@ -269,10 +330,12 @@ def left_apart(stars: DataFrame, failed: DataFrame, roots: DataFrame, sets: Data
     blocks = weighed.groupBy("whole", "unit").agg(F.greatest(
         F.ceil(F.sum("n") / BLOCK_SHINGLES), F.ceil(F.count("*") / BLOCK_SETS)).cast("int").alias("blocks"))
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    rows = (units.join(blocks, ["whole", "unit"]).withColumn("own", own)
-            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-            .withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other"))
-            .join(sets.select("node", "packed"), "node"))
+    dealt = (units.join(blocks, ["whole", "unit"]).withColumn("own", own)
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+             .withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other")))
+    rows = dealt.where("whole").join(sets.select("node", "packed"), "node")
+    met = (dealt.where("not whole").join(sets.select("node", "n", "sketch"), "node").join(roots, "node")
+           .select("unit", "i", "j", "node", "root", "n", "sketch"))
 
     def compare(group: pd.DataFrame) -> pd.DataFrame:
         unpack = zstandard.ZstdDecompressor().decompress
@@ -297,7 +360,43 @@ def left_apart(stars: DataFrame, failed: DataFrame, roots: DataFrame, sets: Data
         moved = root != np.arange(len(found))
         return pd.DataFrame({"a": nodes[root[moved]], "b": nodes[moved]})
 
-    return rows.groupBy("whole", "unit", "i", "j").applyInPandas(compare, "a long, b long").distinct()
+    def open_pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Pairs (a, b) of rows with the same unit and blocks, which stand side by side."""
+        def pairs(rows: pd.DataFrame) -> pd.DataFrame:
+            group = rows.groupby(["unit", "i", "j"], sort=False).ngroup().to_numpy()
+            node, place, low = np.unique(rows["node"].to_numpy(np.int64), return_index=True, return_inverse=True)
+            root = rows["root"].to_numpy(np.int64)[place]
+            found, at, gap = [], np.arange(len(rows)), 1
+            while len(at):
+                at = at[at + gap < len(rows)]
+                at = at[group[at] == group[at + gap]]
+                one, two = low[at], low[at + gap]
+                other = root[one] != root[two]
+                found.append(np.unique(np.minimum(one, two)[other] * len(node) + np.maximum(one, two)[other]))
+                gap += 1
+            one, two = np.divmod(np.unique(np.concatenate(found)), max(1, len(node)))
+            kept = may_link([rows["sketch"].iloc[i] for i in place], rows["n"].to_numpy(np.int64)[place], one, two, percent)
+            return pd.DataFrame({"a": node[one[kept]], "b": node[two[kept]]})
+
+        held = None
+        for batch in batches:
+            if not len(batch):
+                continue
+            held = batch if held is None else pd.concat([held, batch], ignore_index=True)
+            # the last group may go on in the next batch
+            last = held[["unit", "i", "j"]].eq(held[["unit", "i", "j"]].iloc[-1]).all(axis=1).to_numpy()
+            if not last.all():
+                yield pairs(held[~last].reset_index(drop=True))
+                held = held[last].reset_index(drop=True)
+        if held is not None:
+            yield pairs(held)
+
+    near = (met.repartition("unit", "i", "j").sortWithinPartitions("unit", "i", "j")
+            .mapInPandas(open_pairs, "a long, b long").distinct()
+            .join(failed.select(F.col("rep").alias("a"), F.col("node").alias("b")), ["a", "b"], "left_anti"))
+    near = written(near, "pairs")
+    linked = verified(near, sets, size, percent).where("linked").select("a", "b")
+    return rows.groupBy("whole", "unit", "i", "j").applyInPandas(compare, "a long, b long").distinct().unionByName(linked)
 
 
 def similar_groups(documents: DataFrame, size: int = 4, percent: int = 85, id_col: str = "doc_id",
@@ -333,8 +432,8 @@ def similar_groups(documents: DataFrame, size: int = 4, percent: int = 85, id_co
                 node = digest(own)
                 if node is not None and node not in seen:
                     seen.add(node)
-                    rows.append((node, len(own), pack(text.encode("utf-8", "surrogatepass"))))
-            yield pd.DataFrame(rows, columns=["node", "n", "packed"]).astype({"node": "int64", "n": "int64"})
+                    rows.append((node, len(own), sketch(own), pack(text.encode("utf-8", "surrogatepass"))))
+            yield pd.DataFrame(rows, columns=["node", "n", "sketch", "packed"]).astype({"node": "int64", "n": "int64"})
 
     release(documents.sparkSession)
     docs = written(texts.mapInArrow(measure, f"doc_id {kind}, n_shingles long, node long"), "sets")
@@ -342,8 +441,9 @@ def similar_groups(documents: DataFrame, size: int = 4, percent: int = 85, id_co
     release(documents.sparkSession)
     first = stars.select(F.col("rep").alias("a"), F.col("node").alias("b")).distinct()
     wanted = first.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    sets = written(texts.where(F.col("text").isNotNull()).mapInPandas(packed, "node long, n long, packed binary")
-                   .join(wanted, "node", "left_semi").groupBy("node").agg(F.min("packed").alias("packed"), F.min("n").alias("n")), "texts")
+    sets = written(texts.where(F.col("text").isNotNull()).mapInPandas(packed, "node long, n long, sketch binary, packed binary")
+                   .join(wanted, "node", "left_semi").groupBy("node")
+                   .agg(F.min("packed").alias("packed"), F.min("sketch").alias("sketch"), F.min("n").alias("n")), "texts")
     tested = written(verified(first, sets, size, percent), "tested")
     release(documents.sparkSession)
     roots = components(wanted, tested.where("linked"))

@@ -93,3 +93,29 @@ def test_odd_rows_and_empty_table(spark):
     found = partenum.similar_groups(odd.documents(spark)).drop("node")
     assert order(tuple(r) for r in found.collect()) == order(brute(plain, 4, 85))
     assert partenum.similar_groups(odd.empty(spark)).count() == 0
+
+
+@pytest.mark.parametrize("percent", [80, 85])
+def test_sketches_never_rule_out_similar_sets(percent):
+    rng = np.random.default_rng(percent)
+    for _ in range(300):
+        n = int(rng.integers(1, 600))
+        pool = np.unique(rng.integers(0, 2**63, 2 * n + 4).astype(np.uint64))
+        rng.shuffle(pool)
+        both = -(-percent * n // 100)
+        split = both + int(rng.integers(0, n - both + 1))
+        sets = [pool[:split], np.concatenate((pool[:both], pool[split:n])), pool[n:2 * n]]
+        open_ = partenum.may_link([partenum.sketch(x) for x in sets], np.asarray([len(x) for x in sets]),
+                                  np.asarray([0, 0]), np.asarray([1, 2]), percent)
+        assert open_[0] and (n < 100 or not open_[1])
+
+
+def test_texts_that_share_passages_against_brute_force(spark):
+    rng = random.Random(21)
+    passages = [odd.words(50 + i, 24) for i in range(9)]
+    rows = []
+    for i in range(150):
+        text = " ".join(rng.sample(passages, rng.randint(3, 5)))
+        rows.append((i, edited(text, rng, rng.randint(0, 3))))
+    found = partenum.similar_groups(spark.createDataFrame(rows, "doc_id long, text string"), 5, 80)
+    assert order(tuple(r) for r in found.drop("node").collect()) == order(brute(rows, 5, 80))
