@@ -206,23 +206,22 @@ def parse_section_pages(pages: DataFrame, url: str = "url", body: str = "body")
     sections = F.array_distinct(F.transform("_blocks", lambda b: b["name"]))
     read = (pages.withColumn("_blocks", blocks)
             .withColumns({"_pairs": pairs, "_sections": sections}))
-    of = lambda s, label: _last(F.filter(
-        "_pairs", lambda p: (p["section"] == s) & (p["label"] == label)))["value"]
+    def section_map(s):
+        own = F.filter("_pairs", lambda p: p["section"] == s)
+        labels = F.array_distinct(F.transform(own, lambda p: p["label"]))
+        return F.map_from_entries(F.transform(labels, lambda k: F.struct(k, _last(F.filter(
+            "_pairs", lambda p: (p["section"] == s) & (p["label"] == k)))["value"])))
+
+    # read once per page: each column then looks its value up, without going through all pairs again
+    read = read.withColumn("_specs", F.map_from_entries(F.transform("_sections", lambda s: F.struct(s, section_map(s)))))
 
     def raw(section, label):
         if section is not None:
-            return of(F.lit(section), F.lit(label))
-        first = _first(F.filter("_sections", lambda s: F.exists(
-            "_pairs", lambda p: (p["section"] == s) & (p["label"] == label))))
-        return of(first, F.lit(label))
+            return F.try_element_at(F.try_element_at("_specs", F.lit(section)), F.lit(label))
+        first = _first(F.filter(F.map_values("_specs"), lambda m: F.map_contains_key(m, label)))
+        return F.try_element_at(first, F.lit(label))
 
-    def section_map(s):
-        labels = F.array_distinct(F.transform(
-            F.filter("_pairs", lambda p: p["section"] == s), lambda p: p["label"]))
-        return F.map_from_entries(F.transform(labels, lambda k: F.struct(k, of(s, k))))
-
-    raw_specs = F.to_json(F.map_from_entries(
-        F.transform("_sections", lambda s: F.struct(s, section_map(s)))))
+    raw_specs = F.to_json("_specs")
     identity = [e.alias(c) for c, e in U.variant_url_fields(F.col(url)).items()]
     curated = [_PARSERS[kind](raw(section, label)).alias(c)
                for c, (section, label, kind) in fv.SECTION_FIELDS.items()]

@@ -8,6 +8,7 @@ from lotkeeper.functions import urls as U
 from lotkeeper.operators import pages as P
 from lotkeeper.plans import standins as S
 from lotkeeper.plans.catalogue import query
+from lotkeeper.session import spread
 
 # --- listing pages: one per order, in every kind of state ------------------------------------------
 _OPEN = """'<html><script id="__NEXT_DATA__" type="application/json">'"""
@@ -45,6 +46,11 @@ _PARAMS = ("{\"mcdParams\":[{\"params\":[{\"id\":\"cc\",\"realValue\":\"1\"},{\"
 _PART_BODY = (f"CASE WHEN p_partkey % 10 = 0 THEN 'no state' ELSE {_page(_PARAMS, 'p_partkey')} END")
 
 
+def _parts(spark, sf):
+    """The columns that pages are made of, over all tasks before a page is made and read."""
+    return spread(S.table(spark, sf, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size"))
+
+
 def _spec_pages(spark, sf):
     return S.table(spark, sf, "part").selectExpr("p_partkey AS ads_id", f"{_PART_BODY} AS body")
 
@@ -92,7 +98,7 @@ _SECTION_URL = (f"'https://cars.example.org/' || {_MAKE} || '/' || {_MODEL} || '
 
 
 def _section_pages(spark, sf):
-    return S.table(spark, sf, "part").selectExpr(f"{_SECTION_URL} AS url", f"{_SECTION_PAGE} AS body")
+    return _parts(spark, sf).selectExpr(f"{_SECTION_URL} AS url", f"{_SECTION_PAGE} AS body")
 
 
 @query("html_sections", f"""SELECT {_MAKE} AS make, {_MODEL} AS model, 'gen-' || p_partkey AS generation,

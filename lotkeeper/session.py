@@ -42,6 +42,15 @@ def key_or_spread(wanted: Column, key: Column, rows: list[str]) -> Column:
     return F.when(wanted & key.isNotNull(), key).otherwise(other)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """The rows dealt over as many tasks as a shuffle has, for work that costs far more than moving them.
+
+    A few large files with narrow rows are a few tasks however many cores there are. Rows are dealt in turn, so neither
+    repeated nor null keys gather.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder of the cluster, from ``spark.checkpoint.dir``.
 

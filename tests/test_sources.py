@@ -180,3 +180,29 @@ def test_the_number_of_buckets_is_kept(spark):
     assert state.rebucket(7, 3) and state.buckets == 7 and KeyedState(spark, root, buckets=7).read().count() == 23
     assert KeyedState(spark, root).merge(spark.range(60, 62).selectExpr("id AS ads_id"), add, 4)
     assert sorted(r.ads_id for r in KeyedState(spark, root).read().collect()) == [*range(20), 50, 51, 52, 60, 61]
+
+
+def test_page_reader_with_bare_tags():
+    """Tags without attributes go past the parser's own patterns, and read like those that have some."""
+    page = "<table><tr><td>a<b>b</b></td><td class='x y'>c</td></tr><script></td></script><tr><TD>d</TD><td >e</td ></table x>"
+    bare = tagsoup.read_blocks(page, "tr", ("td",))
+    assert bare == tagsoup.read_blocks(page.replace("<td>", "<td >").replace("<tr>", "<tr >").replace("</td>", "</td >"), "tr", ("td",))
+    assert [[(c["classes"], c["text"]) for c in b["cells"]] for b in bare] == [[([], "a b"), (["x", "y"], "c")], [([], "d"), ([], "e")]]
+
+
+def test_pages_are_read_once(spark):
+    """The filter on what a page gives does not read it a second time."""
+    pages_ = spark.createDataFrame([(1, "<tr><td>Displacement</td><td>99 cc</td></tr>"), (2, "<p>"), (3, None)], "id int, body string")
+    parsed = pages.parse_row_pages(pages_).select("id", "engine_cc")
+    assert parsed._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+    assert [tuple(r) for r in parsed.collect()] == [(1, 99.0)]
+
+
+def test_few_large_files_of_pages_use_all_tasks(spark, tmp_path):
+    from lotkeeper.plans import extraction
+
+    spark.createDataFrame([(i, "a b", "Brand#1", "T", i) for i in range(40)], "p_partkey long, p_name string, p_brand string, p_type string,"
+                          " p_size int").coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
+    for name in ("html_sections", "html_li_pairs", "html_row_pairs"):
+        tasks = getattr(extraction, name)(spark, str(tmp_path)).groupBy(F.spark_partition_id()).count().collect()
+        assert len(tasks) > 1, name
