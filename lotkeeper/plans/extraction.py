@@ -163,9 +163,9 @@ def html_row_pairs(spark, sf):
        AS upserted, count(*) FILTER (p_size > 40) AS skipped_existing, count(*) FILTER (p_size <= 40 AND
        p_partkey % 4 = 0) AS errors FROM part""")
 def parse_job_summary(spark, sf):
-    pages = S.table(spark, sf, "part").selectExpr("p_partkey", "p_size", f"{_ROW_PAGE} AS body")
-    parsed = P.parse_row_pages(pages.filter("p_size <= 40").select("p_partkey", "body")).select(
-        "p_partkey", F.lit(True).alias("parsed"))
+    pages = S.table(spark, sf, "part").select("p_partkey", "p_size", "p_type")
+    read = spread(pages.filter("p_size <= 40")).selectExpr("p_partkey", f"{_ROW_PAGE} AS body")
+    parsed = P.parse_row_pages(read).select("p_partkey", F.lit(True).alias("parsed"))
     outcome = (F.when(F.col("p_size") > 40, F.lit("skipped_existing"))
                .when(F.col("parsed"), F.lit("upserted")).otherwise(F.lit("error")))
     return P.parse_job_summary(pages.select("p_partkey", "p_size").join(parsed, "p_partkey", "left")
