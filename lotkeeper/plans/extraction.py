@@ -135,7 +135,7 @@ _LIST_PAGE = (
        (p_size % 10) || ' L","Engine Type":"' || p_type || '","Cooling System":"-"}}' AS raw_specs
        FROM part""")
 def html_li_pairs(spark, sf):
-    pages = S.table(spark, sf, "part").selectExpr(
+    pages = _parts(spark, sf).selectExpr(
         f"'https://bikes.example.org/new-motorcycles/' || {_MAKE} || '/' || {_MODEL} ||"
         " '/specifications' AS url", f"{_LIST_PAGE} AS body")
     return P.parse_list_pages(pages).select("make", "model", "year", "engine_cc", "fuel_tank_l",
