@@ -154,7 +154,7 @@ _ROW_PAGE = ("'<table><tr><th>Spec</th><th>Value</th><th>Note</th></tr>' || IF(p
        round_even((p_size + 0.8) * 1.34102, 1)::DOUBLE AS power_hp, round_even(700.5 + p_size, 0)::BIGINT
        AS seat_height_mm, p_type AS engine_type, NULL AS cooling FROM part WHERE p_partkey % 4 > 0""")
 def html_row_pairs(spark, sf):
-    pages = S.table(spark, sf, "part").selectExpr("p_partkey", f"{_ROW_PAGE} AS body")
+    pages = _parts(spark, sf).selectExpr("p_partkey", f"{_ROW_PAGE} AS body")
     return P.parse_row_pages(pages).select("p_partkey", "engine_cc", "power_hp", "seat_height_mm",
                                            "engine_type", "cooling")
 
