@@ -8,11 +8,18 @@ from pyspark.sql import functions as F
 from lotkeeper import fixed_values as fv
 from lotkeeper.functions.text import strip
 
+# what a cast to bigint can read; a cast that fails raises and catches an error for every row
+_PLAIN = r"^[\x00-\x20\x7f]*[+-]?[0-9]+[\x00-\x20\x7f]*$"
 _WHOLE_POINT = r"^([+-]?\d+)\.0*$"
 _OTHER_FORM = r"^[+-]?(\d+\.?\d*[eE][+-]?\d+|\.\d+([eE][+-]?\d+)?)$"
 _FRACTION = r"^[+-]?\d*\.\d*[1-9]\d*$"
 
 
+def plain_integer(text: Column) -> Column:
+    """``text.try_cast("bigint")``, tried only on text that reads as an integer."""
+    return F.when(text.rlike(_PLAIN), text.try_cast("bigint"))
+
+
 def whole_number(text: Column) -> Column:
     """A number without a fraction as bigint; anything else, fractions included, is NULL.
 
@@ -21,8 +28,8 @@ def whole_number(text: Column) -> Column:
     """
     value = text.try_cast("double")
     return F.coalesce(
-        text.try_cast("bigint"),
-        F.regexp_extract(text, _WHOLE_POINT, 1).try_cast("bigint"),
+        plain_integer(text),
+        F.when(text.rlike(_WHOLE_POINT), F.regexp_extract(text, _WHOLE_POINT, 1).try_cast("bigint")),
         F.when(text.rlike(_OTHER_FORM) & (value == F.floor(value)), value.try_cast("bigint")))
 
 

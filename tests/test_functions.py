@@ -105,3 +105,18 @@ def test_variant_url_without_enough_segments_is_null(spark):
     rows = df.select(*[e.alias(c) for c, e in fields.items()]).collect()
     assert tuple(rows[0]) == (None,) * 5
     assert tuple(rows[1]) == ("honda", "civic", "fe", "1.5-rs", 2025)
+
+
+def test_only_what_reads_as_an_integer_is_cast(spark):
+    """A failed cast raises and catches an error for every row; the guard lets all pass that the cast reads."""
+    from pyspark.sql import functions as F
+
+    from lotkeeper.functions import numbers
+
+    texts = ["12", "+12", "-0", " 12", "12\n", "\x0112\x7f", "\t+7 ", "", " ", "+", "1 2", "1.0", "x", "1,2", "9" * 18, "9" * 19, "9" * 40, "--1",
+             "1-", "\u066112", "\u00a012", "0012", "12\n\n", None]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = rows.select("t", numbers.plain_integer(F.col("t")).alias("a"), F.col("t").try_cast("bigint").alias("b")).collect()
+    assert [r["a"] for r in got] == [r["b"] for r in got]
+    plan = rows.select(numbers.plain_integer(F.col("t")))._jdf.queryExecution().analyzed().toString()
+    assert "CASE WHEN RLIKE" in plan
