@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from lotkeeper import fixed_values as fv
 from lotkeeper import registry as R
-from lotkeeper.functions.numbers import sqlite_integer
+from lotkeeper.functions.numbers import plain_integer, sqlite_integer
 
 Step = Callable[[DataFrame], DataFrame]
 
@@ -89,7 +89,8 @@ def schema_drift(df: DataFrame, category: str) -> DataFrame:
 
 def _numeric_id(text: Column) -> Column:
     """Whole ids exactly; decimal notation is cut off at the point; anything else is NULL."""
-    return F.coalesce(text.try_cast("bigint"), text.try_cast("double").try_cast("bigint"))
+    # without a digit no text is a finite number
+    return F.coalesce(plain_integer(text), F.when(text.rlike("[0-9]"), text.try_cast("double").try_cast("bigint")))
 
 
 def prepare_listings(df: DataFrame, category: str, now: str,
@@ -110,7 +111,8 @@ def prepare_listings(df: DataFrame, category: str, now: str,
         scope = [file] if file else []
         filled = df.groupBy(*scope).agg(*[(F.count(c) > 0).alias(f"_has_{c}") for c in watched])
         if file:
-            scoped = filled.withColumnRenamed(file, "_file")
+            # a row per file, and files are listed on the driver anyway; shuffled by file, the rows of one would meet in one task
+            scoped = F.broadcast(filled.withColumnRenamed(file, "_file"))
             df = df.join(scoped, df[file].eqNullSafe(F.col("_file")), "left").drop("_file")
         else:
             flags = filled.first().asDict()

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 def build_session(app_name: str = "lotkeeper", master: str | None = None, **conf) -> SparkSession:
     """A session with the runtime re-planning this library counts on.
 
-    No operator forces a broadcast: the adaptive planner broadcasts a side only after measuring it
+    No operator forces a broadcast (but for one row per file): the adaptive planner broadcasts a side only after measuring it
     and otherwise keeps a shuffled join, splitting hot partitions.
     """
     settings = {
