@@ -206,3 +206,26 @@ def test_few_large_files_of_pages_use_all_tasks(spark, tmp_path):
     for name in ("html_sections", "html_li_pairs", "html_row_pairs"):
         tasks = getattr(extraction, name)(spark, str(tmp_path)).groupBy(F.spark_partition_id()).count().collect()
         assert len(tasks) > 1, name
+
+
+def test_lines_with_odd_cells_lie_in_files_of_several_tasks(spark, tmp_path):
+    from lotkeeper.plans import intake
+
+    spark.range(40).selectExpr("id AS l_orderkey", "CAST(1 + id % 7 AS INT) AS l_linenumber", "id AS l_partkey").repartition(4).write.parquet(
+        f"{tmp_path}/lineitem.parquet")
+    found = intake.scan_rejects(spark, str(tmp_path))
+    assert sorted((r["reason"][:5], r["line"] or "") for r in found.collect()) == sorted(
+        [("no co", "")] + [("fewer", str(i)) for i in range(40) if i % 7 == 5] + [("more ", f'{i},"a,b",x,y') for i in range(40) if i % 7 == 6])
+    files = [f for f in found.inputFiles() if "/a/" in f]
+    assert len(files) > 1
+
+
+def test_rows_of_one_file_do_not_meet_in_one_task(spark):
+    rows = spark.createDataFrame([("1", "a", None), ("x", "a", "t"), ("2", "b", None), ("3.7", None, None), (" 4\n", None, "s"),
+                                  ("1e2", "b", None), ("inf", "b", None), ("NaN", "b", None), (None, "b", None)],
+                                 "ads_id string, file string, first_seen_at string")
+    shaped = schema.prepare_listings(rows, "cars", "now", "file")
+    plan = shaped._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert sorted((r["ads_id"], r["file"] or "", r["first_seen_at"] or "") for r in shaped.select("ads_id", "file", "first_seen_at").collect()) == [
+        (1, "a", ""), (2, "b", "now"), (3, "", ""), (4, "", "s"), (100, "b", "now")]
