@@ -345,7 +345,7 @@ def _deliver(spark, sf, path):
     years = rows.agg(F.min("year"), F.max("year")).first()
     for year in range(years[0], years[1] + 1):
         for kind, columns in (("F", ["price", "ads_id", "subject"]), ("O", ["ads_id", "subject"])):
-            delivery = rows.filter((F.col("year") == year) & (F.col("kind") == kind)).coalesce(1).sortWithinPartitions("at")
+            delivery = rows.filter((F.col("year") == year) & (F.col("kind") == kind)).repartition(1).sortWithinPartitions("at")
             LF.sink_snapshot_csv(delivery.select(*columns), path, "cars", f"{year}{kind}")
 
 
