@@ -104,7 +104,7 @@ _AD_COLUMNS = ["ads_id", "subject", "price", "make", "model", "manufactured_date
 @query("scan_api_payload", _NORMALIZED + " WHERE l_linenumber < 7")
 def scan_api_payload(spark, sf):
     path = scratch_path(spark, "payload")
-    _payloads(spark, sf).write.text(path)
+    _payloads(spark, sf).write.option("compression", "gzip").text(path)  # a file per task, so none is large
     ads = AP.scan_api_payload(spark, path, "cars", multi_line=False)
     return AP.normalize_ads(ads, "cars").select(*_AD_COLUMNS).withColumn(
         "price", F.col("price").cast("bigint"))
