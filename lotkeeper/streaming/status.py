@@ -10,11 +10,9 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Iterator
-from datetime import datetime, timedelta, timezone
 
-import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor
 
@@ -24,9 +22,11 @@ from lotkeeper.functions import times as K
 #: Failed checks in a row that confirm an ad as unavailable, and days after which an unavailable ad is closed.
 IN_A_ROW, CLOSE_DAYS = 3, 14
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-_STATE = "status string, run array<timestamp>, checked_at timestamp"
-_COLUMNS = ["ads_id", "checked_at", "detected_status", "status", "failing_since", "event"]
-OUTPUT = ("ads_id bigint, checked_at timestamp, detected_status string, status string, failing_since timestamp, event string")
+#: Times are microseconds in the state and between Spark and Python, which no time zone of a worker can shift.
+_STATE = "status string, run array<bigint>, checked_at bigint"
+_DAY = 24 * 3600 * 1_000_000
+OUTPUT = "ads_id bigint, checked_at bigint, detected_status string, status string, failing_since bigint, event string"
+_OUT = Row("ads_id", "checked_at", "detected_status", "status", "failing_since", "event")
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -38,42 +38,41 @@ class AdStatus(StatefulProcessor):
         self.decisive, self.in_a_row, self.close_days = decisive, in_a_row, close_days
 
     def init(self, handle) -> None:
-        self.handle, self.ad = handle, handle.getValueState("ad", _STATE)
+        self.handle, self.ad, self.seeded = handle, handle.getValueState("ad", _STATE), None
 
     def _held(self) -> tuple:
         held = self.ad.get()
         return (held[0], list(held[1] or []), held[2]) if held is not None else (None, [], None)
 
     def handleInitialState(self, key, initialState, timerValues) -> None:  # noqa: N802, N803
-        status = initialState["availability_status"].iloc[0]
-        if status is not None:
-            self.ad.update((status, [], None))
+        # of several rows of an ad, which come one after the other, the first counts
+        if self.seeded != key and initialState.availability_status is not None:
+            self.ad.update((initialState.availability_status, [], None))
+        self.seeded = key
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:  # noqa: N802, N803
         status, run, last = self._held()
-        probes = pd.concat(list(rows)).sort_values("checked_at", kind="stable")
         out = []
-        for at, detected in zip(probes["checked_at"], probes["detected_status"]):
-            at = at.to_pydatetime()
-            if last is None or at >= last:
+        # a probe without a time comes last
+        for at, detected in sorted(((r.at, r.detected_status) for r in rows), key=lambda r: (r[0] is None, r[0] or 0)):
+            if at is not None and (last is None or at >= last):
                 last = at
                 status = self.decisive.get(detected, status)
                 run = [] if detected == "available" else [*run, at][-self.in_a_row:]
-            out.append((key[0], at, detected, status or "unknown", run[0] if len(run) == self.in_a_row else None, "probe"))
+            out.append(_OUT(key[0], at, detected, status or "unknown", run[0] if len(run) == self.in_a_row else None, "probe"))
         self.ad.update((status, run, last))
         if self.close_days is not None:
             for timer in list(self.handle.listTimers()):
                 self.handle.deleteTimer(timer)
             if status == "unavailable" and last is not None:
-                due = last.replace(tzinfo=timezone.utc) + timedelta(days=self.close_days)
-                self.handle.registerTimer(int(due.timestamp() * 1000))
-        yield pd.DataFrame(out, columns=_COLUMNS)
+                self.handle.registerTimer((last + self.close_days * _DAY) // 1000)
+        return iter(out)
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:  # noqa: N802, N803
         status, run, _ = self._held()
-        due = datetime.fromtimestamp(expiredTimerInfo.getExpiryTimeInMs() / 1000, timezone.utc).replace(tzinfo=None)
+        due = expiredTimerInfo.getExpiryTimeInMs() * 1000
         since = run[0] if len(run) == self.in_a_row else None
-        yield pd.DataFrame([(key[0], due, None, status, since, "closed")], columns=_COLUMNS)
+        return iter([_OUT(key[0], due, None, status, since, "closed")])
 
     def close(self) -> None:
         pass
@@ -90,12 +89,14 @@ def stream_status(probes: DataFrame, initial: DataFrame | None = None, in_a_row:
     ordered probes into batches the rows are those of ``running_status``, and the last row of every ad says what
     ``confirmed_unavailable`` says of all its checks.
     """
-    rows = probes.select(F.col("ads_id").cast("bigint"), F.col("checked_at").cast("timestamp"), "detected_status")
+    time = F.col("checked_at").cast("timestamp")
+    rows = probes.select(F.col("ads_id").cast("bigint"), time.alias("checked_at"), F.unix_micros(time).alias("at"), "detected_status")
     decisive = {s: ("available" if s == "available" else "unavailable") for s in ("available", *fv.GONE_STATUSES)}
     mode = "None" if close_days is None else "EventTime"
     if close_days is not None:
         rows = rows.withWatermark("checked_at", delay)
     known = None if initial is None else initial.select(
         F.col("ads_id").cast("bigint"), K.kept_status(F.col("availability_status")).alias("availability_status")).groupBy("ads_id")
-    return rows.groupBy("ads_id").transformWithStateInPandas(
-        AdStatus(decisive, in_a_row, close_days), OUTPUT, "Update", mode, known)
+    # plain rows: a data frame for every ad costs far more than its few probes
+    found = rows.groupBy("ads_id").transformWithState(AdStatus(decisive, in_a_row, close_days), OUTPUT, "Update", mode, known)
+    return found.withColumns({c: F.timestamp_micros(c) for c in ("checked_at", "failing_since")})

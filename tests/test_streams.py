@@ -5,6 +5,7 @@ import random
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import Row
 
 from lotkeeper.operators import availability as A
 from lotkeeper.operators import market
@@ -126,3 +127,37 @@ def test_ads_without_news_are_closed(spark, state_store):
     assert values(closed, "ads_id", "checked_at", "status") == [(1, day(15), "unavailable")]
     assert values(found.where("event = 'probe'"), "ads_id", "status") == [
         (1, "unavailable"), (1, "unavailable"), (2, "available"), (3, "available")]
+
+
+def test_ads_without_an_id_do_not_disturb_others(spark, state_store):
+    rows = probes(5) + [(None, at, status) for _, at, status in probes(6)]
+    rows.sort(key=lambda r: r[1])
+    initial = spark.createDataFrame([(i, "unknown") for i in range(40)], "ads_id long, availability_status string")
+    whole = spark.createDataFrame(rows, "ads_id long, checked_at timestamp, detected_status string")
+    found = streamed(spark, [rows[:80], rows[80:160], rows[160:]], initial)
+    columns = ["ads_id", "checked_at", "detected_status", "status"]
+    assert values(found, *columns) == values(A.running_status(whole, initial), *columns)
+
+
+def test_an_ad_is_followed_by_plain_rows():
+    class Held:
+        value = None
+
+        def get(self):
+            return self.value
+
+        def update(self, value):
+            self.value = value
+
+    class Handle:
+        ad = Held()
+
+        def getValueState(self, name, schema):  # noqa: N802
+            return self.ad
+
+    ad = ST.AdStatus({"available": "available", "removed": "unavailable"}, 2, None)
+    ad.init(Handle())
+    probes = [Row(at=at, detected_status=d) for at, d in ((3, "removed"), (None, "available"), (2, "removed"), (1, "available"))]
+    assert [(r.checked_at, r.status, r.failing_since) for r in ad.handleInputRows((7,), iter(probes), None)] == [
+        (1, "available", None), (2, "unavailable", None), (3, "unavailable", 2), (None, "unavailable", 2)]
+    assert Handle.ad.value == ("unavailable", [2, 3], 3)
