@@ -230,7 +230,8 @@ def backfill_expiry(listings: DataFrame, sweep: DataFrame, order: str,
     """Fill missing expiry dates from a sweep. Dates that are known stay."""
     found = sweep_expiries(only_makes(sweep, makes), order).select(
         F.col("ads_id").alias("_id"), "found_expiry")
-    wanted = key_or_spread(F.col("ad_expiry").isNull(), F.col("ads_id").cast("string"), listings.columns)
+    # hashed with more columns than these, a row would bring all of them along
+    wanted = key_or_spread(F.col("ad_expiry").isNull(), F.col("ads_id").cast("string"), ["ads_id", "ad_expiry"])
     return (listings.join(found, wanted == F.col("_id").cast("string"), "left")
             .select(*[F.coalesce("ad_expiry", "found_expiry").alias(c) if c == "ad_expiry"
                       else F.col(c) for c in listings.columns]))

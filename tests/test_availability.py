@@ -5,6 +5,7 @@ from datetime import datetime, timedelta
 from statistics import median
 
 import pytest
+from pyspark.sql import functions as F
 
 from rows import values
 from lotkeeper.operators import availability as A
@@ -118,3 +119,11 @@ def test_split_plan(spark):
         ("honda", "city", None, "preset", False), ("solo", None, None, "make", True),
         ("ghost", None, None, "make", False), ("wide", "w", 2020, "year", True)],
         key=lambda r: [(x is not None, str(x)) for x in r])
+
+
+def test_backfill_reads_only_id_and_expiry_of_a_listing(spark):
+    listings = spark.createDataFrame([(1, None), (2, "2026-02-01"), (None, "2026-03-01"), (None, None)], "ads_id long, ad_expiry string")
+    listings = listings.withColumn("subject", F.raise_error(F.lit("read")).cast("string"))
+    sweep = spark.createDataFrame([(1, "x", "2026-05-01", 1), (2, "x", "2026-06-01", 2)], "ads_id long, make string, ad_expiry string, seq int")
+    found = A.backfill_expiry(listings, sweep, "seq").select("ads_id", "ad_expiry")
+    assert values(found) == [(None, None), (None, "2026-03-01"), (1, "2026-05-01"), (2, "2026-02-01")]
