@@ -57,10 +57,10 @@ def _first_per(df: DataFrame, keys: list[Column], order: list[Column]) -> DataFr
     return df.withColumn("_rank", rank).filter("_rank = 1").drop("_rank")
 
 
-def dedup_key_keep_last(df: DataFrame, order: str | Column, key: str = "ads_id") -> DataFrame:
-    """One row per key: the last in input order. ``order`` must be total within a key."""
+def dedup_key_keep_last(df: DataFrame, order: str | Column | list[Column], key: str = "ads_id") -> DataFrame:
+    """One row per key: the last in input order. ``order``, a column or several, must be total within a key."""
     order = F.col(order) if isinstance(order, str) else order
-    return _first_per(df, [F.col(key)], [order.desc()])
+    return _first_per(df, [F.col(key)], [o.desc() for o in (order if isinstance(order, list) else [order])])
 
 
 def repost_key(make: str) -> list[Column]:

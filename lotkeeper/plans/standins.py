@@ -100,10 +100,11 @@ def _ad_rows(spark: SparkSession, sf: str, tracked: bool) -> DataFrame:
     if tracked:
         orders, customer = table(spark, sf, "orders"), table(spark, sf, "customer")
         nation, region = table(spark, sf, "nation"), table(spark, sf, "region")
-        rows = (rows.join(orders, rows.l_orderkey == orders.o_orderkey)
-                .join(customer, F.col("o_custkey") == customer.c_custkey)
-                .join(nation, F.col("c_nationkey") == nation.n_nationkey)
-                .join(region, F.col("n_regionkey") == region.r_regionkey))
+        # orders meet their customers by themselves, so order lines are not moved for that
+        orders = (orders.join(customer, orders.o_custkey == customer.c_custkey)
+                  .join(nation, F.col("c_nationkey") == nation.n_nationkey)
+                  .join(region, F.col("n_regionkey") == region.r_regionkey))
+        rows = rows.join(orders, rows.l_orderkey == orders.o_orderkey)
     return rows
 
 
@@ -131,8 +132,11 @@ TRACKED_ADS = _sql("ads", BASE | TRACKED | LINE_COLUMNS, _ALL_JOIN)
 
 
 def listings(spark: SparkSession, sf: str, tracked: bool = False) -> DataFrame:
-    """The listing table: one typed row per ad."""
-    return dedup_key_keep_last(ad_batch(spark, sf, tracked), "ingest_seq").drop("ingest_seq")
+    """The listing table: one typed row per ad. Order lines are reduced to one per ad as they are, and listing columns
+    are made of those that stay, so no text made of them is shuffled."""
+    columns = BASE | (TRACKED if tracked else {})
+    rows = _ad_rows(spark, sf, tracked).withColumn("ads_id", F.expr(BASE["ads_id"]))
+    return dedup_key_keep_last(rows, [F.col(c) for c in SEQ]).selectExpr(*_select(columns | {"ads_id": "ads_id"}))
 
 
 LISTINGS = f"{ADS}, listings AS (SELECT * FROM ads {LAST})"

@@ -1,6 +1,7 @@
 """What the queries' inputs move through shuffles."""
 
 from lotkeeper.plans import intake
+from lotkeeper.plans import standins as S
 from lotkeeper.sources.state import KeyedState
 
 SF = "/root/testdata/sf0.001"
@@ -18,3 +19,9 @@ def test_the_number_of_merges_does_not_follow_the_number_of_tasks(spark, monkeyp
         for k, v in before.items():
             spark.conf.set(k, v)
     assert len(merges) <= 3
+
+
+def test_listing_texts_are_made_after_the_last_line_of_an_ad_is_found(spark):
+    plan = S.listings(spark, SF, tracked=True)._jdf.queryExecution().optimizedPlan().toString()
+    above, below = plan.split("Window", 1)
+    assert "https://" in above and "https://" not in below
