@@ -1,6 +1,6 @@
 """What the queries' inputs move through shuffles."""
 
-from lotkeeper.plans import intake
+from lotkeeper.plans import intake, merging
 from lotkeeper.plans import standins as S
 from lotkeeper.sources.state import KeyedState
 
@@ -25,3 +25,8 @@ def test_listing_texts_are_made_after_the_last_line_of_an_ad_is_found(spark):
     plan = S.listings(spark, SF, tracked=True)._jdf.queryExecution().optimizedPlan().toString()
     above, below = plan.split("Window", 1)
     assert "https://" in above and "https://" not in below
+
+
+def test_the_state_of_a_merge_moves_once(spark):
+    plan = merging.upsert_listings(spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(") == 2
