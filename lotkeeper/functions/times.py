@@ -11,15 +11,22 @@ from lotkeeper import fixed_values as fv
 from lotkeeper.functions.text import strip
 
 _ISO = r"^\d{4}-\d{2}-\d{2}([ T]\d{2}(:\d{2}(:\d{2}(\.\d{1,6})?)?)?)?$"
+_BARE = _ISO[:-1] + r"\z"  # no line end after it either
 TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
 
 def parse_time(c: Column, stripped: bool = True) -> Column:
     """ISO date-time text, with a blank or ``T`` between; blank or malformed text is NULL."""
-    text = strip(c.cast("string")) if stripped else c.cast("string")
-    padded = (F.when(F.length(text) == 13, F.concat(text, F.lit(":00:00")))
-              .when(F.length(text) == 16, F.concat(text, F.lit(":00"))).otherwise(text))
-    return F.when(text.rlike(_ISO), padded.try_cast("timestamp_ntz"))
+    def parsed(text: Column, pattern: str) -> Column:
+        padded = (F.when(F.length(text) == 13, F.concat(text, F.lit(":00:00")))
+                  .when(F.length(text) == 16, F.concat(text, F.lit(":00"))).otherwise(text))
+        return F.when(text.rlike(pattern), padded.try_cast("timestamp_ntz"))
+
+    text = c.cast("string")
+    if not stripped:
+        return parsed(text, _ISO)
+    # stripping costs more than all the rest, and text that is a time already has nothing to strip
+    return F.when(text.rlike(_BARE), parsed(text, _BARE)).otherwise(parsed(strip(text), _ISO))
 
 
 def time_text(c: Column) -> Column:

@@ -10,7 +10,7 @@ from lotkeeper.operators import availability as A
 from lotkeeper.operators.merge import first_writers
 from lotkeeper.operators.pages import apply_oem_specs, classify_pages, extract_oem_specs
 from lotkeeper.registry import CARS, MAKE_COLUMN
-from lotkeeper.session import key_or_spread, written
+from lotkeeper.session import discard, key_or_spread, written
 from lotkeeper.sources.linked import LinkedState
 
 LISTINGS, URLS, AUDIT = "listings", "urls", "audit"
@@ -23,11 +23,16 @@ def tracked_state(spark, root: str, buckets: int | None = None) -> LinkedState:
 
 
 def start(state: LinkedState, listings: DataFrame, version: int = 0) -> bool:
-    """The first version: listings, and their urls where they have such a column."""
-    tables = {LISTINGS: (listings, None)}
-    if "url" in listings.columns:
-        tables[URLS] = (listings.where("url IS NOT NULL").select("url", "ads_id"), None)
-    return state.commit(version, tables)
+    """The first version: listings, and their urls where they have such a column. Listings are worked out once."""
+    if state.committed(version):
+        return False
+    if "url" not in listings.columns:
+        return state.commit(version, {LISTINGS: (listings, None)})
+    listings = written(listings, "listed")
+    done = state.commit(version, {LISTINGS: (listings, None),
+                                  URLS: (listings.where("url IS NOT NULL").select("url", "ads_id"), None)})
+    discard(listings)
+    return done
 
 
 # --- pages --------------------------------------------------------------------------------------

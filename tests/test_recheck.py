@@ -3,6 +3,7 @@
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from lotkeeper.operators import availability as A
 from lotkeeper.operators import recheck as R
@@ -109,3 +110,18 @@ def test_a_url_of_an_untouched_bucket_is_refused(spark):
     with pytest.raises(ValueError, match="16 buckets"):
         R.tracked_state(spark, state.root, 4).touched(R.LISTINGS, batch)
     assert os.path.isdir(state.root) or "://" in state.root
+
+
+def test_the_first_version_works_listings_out_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(x):
+        seen.add(1)
+        return x
+
+    rows = spark.createDataFrame([listing(i) for i in range(20)], LISTING).repartition(2)
+    rows = rows.withColumn("url", F.udf(count, "string")("url"))
+    state = R.tracked_state(spark, scratch_path(spark, "tracked"), 4)
+    assert R.start(state, rows) and not R.start(state, rows)
+    assert seen.value == 20
+    assert state.read(R.LISTINGS).count() == state.read(R.URLS).count() == 20
