@@ -267,13 +267,13 @@ def _seeded(spark, label, table):
 
 @query("stream_ingest", _UPSERTED)
 def stream_ingest(spark, sf):
-    """The batch of the merge query, as files that arrive in input order, eight a delivery: a micro-batch of ids from all over
+    """The batch of the merge query, as files that arrive in input order, at most eight a delivery: a micro-batch of ids from all over
     the table rewrites it, so the number of files must not follow the number of rows."""
     source = scratch_path(spark, "incoming")
     batch = _present(_batch(spark, sf))
     year = F.year("ingest_seq.l_shipdate")
     for low, high in ((0, 1997), (1998, 1999), (2000, 9999)):
-        batch.filter(year.between(low, high)).repartition(8, "ads_id").write.mode("append").parquet(
+        batch.filter(year.between(low, high)).repartition("ads_id").coalesce(8).write.mode("append").parquet(
             source)
     state = _seeded(spark, "listings", _state(spark, sf))
     stream = IN.file_stream(spark, source, batch.schema, files_per_batch=8)
