@@ -1,7 +1,7 @@
 """Jaccard join of shingle sets by partition-and-enumerate signatures.
 
-Sets are banded by size so that similar sets lie in the same or in neighbouring bands. For a band pair
-the similarity bounds the symmetric difference by some k; the domain of shingles is cut into more than k / 2
+Sets are banded by size so that similar sets lie in the same or in neighbouring bands. Windows of a few bands overlap
+in one, so two neighbours are in some window together. For a window the similarity bounds the symmetric difference by some k; the domain of shingles is cut into more than k / 2
 groups of three parts. In some group similar sets then differ in one shingle at most, so they agree on two of its
 parts; every subset of two parts has a signature, and they share one. Candidates are verified exactly. Only empty
 subsets could agree without a trace: a set with more groups that have one than are spare is signed again under
@@ -39,6 +39,8 @@ _BLANK = np.zeros(256, bool)
 _BLANK[[ord(c) for c in BLANKS]] = True
 #: Signatures gathered before a task sorts them.
 FLUSH = 2_000_000
+#: Slots, a bit each, that tell which sets' texts to keep: 1 MB whatever the input.
+SLOTS = 1 << 23
 #: Sets and shingles of a block, where sets that no star connects are compared in blocks.
 BLOCK_SETS, BLOCK_SHINGLES = 1_000, 400_000
 #: Parts of a group; subsets leave out one of them.
@@ -132,6 +134,12 @@ _tops: dict[int, list[int]] = {}
 _parts: dict[tuple[int, int], tuple[int, int]] = {}
 
 
+def span(percent: int) -> int:
+    """Bands of a window. Each has its top band in common with the next: long ones sign fewer sets twice, but the smallest of
+    their sets, here 0.6 of the largest at least, in parts of few shingles."""
+    return max(long for long in range(2, 7) if long == 2 or percent**long >= 0.6 * 100**long)
+
+
 def _failing(n: float, groups: int, spare: int) -> float:
     """About how often a set of n shingles has more than ``spare`` groups with a subset of parts that is empty."""
     empty = math.exp(-n / (groups * PARTS))
@@ -141,25 +149,26 @@ def _failing(n: float, groups: int, spare: int) -> float:
     return max(0.0, 1 - math.exp(-mean) * sum(mean**i / math.factorial(i) for i in range(min(spare, 150) + 1)))
 
 
-def cut(pair: int, tops: list[int], percent: int) -> tuple[int, int]:
-    """(groups, spare) for a pair of bands. Similar sets differ in at most k shingles, so all groups but k // 2 hold one
+def cut(window: int, tops: list[int], percent: int) -> tuple[int, int]:
+    """(groups, spare) for a window of bands. Similar sets differ in at most k shingles, so all groups but k // 2 hold one
     difference at most, and agree there on all parts but one: more than ``spare`` groups do.
 
     Spare groups make up for those with an empty subset; as many as give the fewest signatures, repeated cuts included.
     """
-    if (percent, pair) not in _parts:
-        # |A| + |B| - 2|AB| for the largest sizes of the pair's upper band
-        k = 2 * tops[pair] * (100 - percent) // (100 + percent)
-        needed, least = k // 2 + 1, tops[pair - 2] + 1 if pair > 1 else 1
+    if (percent, window) not in _parts:
+        low, top = window * (span(percent) - 1), (window + 1) * (span(percent) - 1)
+        # |A| + |B| - 2|AB| at most, where the smaller set is below the top band: others meet in the next window
+        k = (tops[top - 1] + tops[top - 1] * 100 // percent) * (100 - percent) // (100 + percent)
+        needed, least = k // 2 + 1, tops[low - 1] + 1 if low else 1
         choices = sorted({int(1.25**i) - 1 for i in range(64) if int(1.25**i) - 1 <= needed})
 
         def signed(spare: int) -> float:
-            often = [min(_failing(n, needed + spare, spare), 1 - 1 / CUTS) for n in (least, tops[pair])]
+            often = [min(_failing(n, needed + spare, spare), 1 - 1 / CUTS) for n in (least, tops[top])]
             return (needed + spare) * sum(1 / (1 - x) for x in often)
 
         spare = min(choices, key=signed) if k else 0
-        _parts[percent, pair] = (needed + spare, spare) if k else (0, 0)
-    return _parts[percent, pair]
+        _parts[percent, window] = (needed + spare, spare) if k else (0, 0)
+    return _parts[percent, window]
 
 
 def signatures(own: np.ndarray, percent: int) -> np.ndarray:
@@ -168,70 +177,81 @@ def signatures(own: np.ndarray, percent: int) -> np.ndarray:
     if not n:
         return np.empty(0, np.int64)
     tops = _tops.get(percent)
-    if tops is None or tops[-1] < n * 2:
-        tops = _tops[percent] = bands(max(n * 4, 1 << 16), percent)
-    band = int(np.searchsorted(tops, n))
-    found = []
-    for pair in (band, band + 1):  # with the band below, and with the band above
-        groups, spare = cut(pair, tops, percent)
+    if tops is None or tops[-1] < n * 4:
+        tops = _tops[percent] = bands(max(n * 8, 1 << 16), percent)
+    window, place = divmod(int(np.searchsorted(tops, n)), span(percent) - 1)
+    low, high, found = (own & _U(2**32 - 1)).astype(np.float64), (own >> _U(32)).astype(np.float64), []
+    for at in (window,) if place or not window else (window - 1, window):
+        groups, spare = cut(at, tops, percent)
         for trial in range(CUTS + 1):
-            seed = _mix(np.asarray([pair * 1000 + trial], _U))[0]
+            seed = _mix(np.asarray([at * 1000 + trial], _U))[0]
             if trial == CUTS:
                 found.append(np.asarray([seed], _U))
                 break
             if not groups:  # similar sets are equal
                 found.append(_mix(np.add.reduce(_mix(own + seed), keepdims=True)))
                 break
-            part = ((_mix(own ^ seed) >> _U(16)) % _U(groups * PARTS)).astype(np.int64)
-            order = np.argsort(part, kind="stable")
-            part = part[order]
-            first = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1])))
-            sums, filled = np.zeros(groups * PARTS, _U), np.zeros(groups * PARTS, bool)
-            sums[part[first]] = np.add.reduceat(_mix(own + seed)[order], first)
-            filled[part[first]] = True
+            parts = groups * PARTS
+            part = (((_mix(own ^ seed) >> _U(32)) * _U(parts)) >> _U(32)).astype(np.int64)
+            # sums of 32 bits each are exact
+            sums = (np.bincount(part, low, parts).astype(_U) + (np.bincount(part, high, parts).astype(_U) << _U(32))).reshape(groups, PARTS)
+            filled = (np.bincount(part, minlength=parts) > 0).reshape(groups, PARTS)
             # every subset of a group's parts that leaves out one
-            sums, filled = sums.reshape(groups, PARTS), filled.reshape(groups, PARTS)
             subset = (sums.sum(axis=1, keepdims=True, dtype=_U) - sums).ravel()
-            some = (filled.sum(axis=1, keepdims=True) - filled).ravel() > 0
-            name = np.arange(groups * PARTS, dtype=_U)
-            found.append(_mix(subset[some] ^ _mix(name[some] + seed)))
-            if np.count_nonzero(~some.reshape(groups, PARTS).all(axis=1)) <= spare:
+            some = filled.sum(axis=1, keepdims=True) > filled
+            name = _mix(np.arange(parts, dtype=_U) + seed)
+            found.append(_mix(subset ^ name)[some.ravel()])
+            if groups - np.count_nonzero(some.all(axis=1)) <= spare:
                 break
     return np.concatenate(found).view(np.int64)
 
 
 def _stars(sig: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, ...]:
     """For rows (sig, node): one row per signature with its smallest node, and (sig, smallest, other) for the rest."""
-    order = np.lexsort((node, sig))
+    order = np.argsort(sig, kind="stable")
     sig, node = sig[order], node[order]
-    new = np.concatenate(([True], (sig[1:] != sig[:-1]) | (node[1:] != node[:-1]))) if len(sig) else np.empty(0, bool)
-    sig, node = sig[new], node[new]
     first = np.concatenate(([True], sig[1:] != sig[:-1])) if len(sig) else np.empty(0, bool)
-    low = node[np.flatnonzero(first)][np.cumsum(first) - 1] if len(sig) else node
-    return sig[first], node[first], sig[~first], low[~first], node[~first]
-
-
-def _frame(sig, node, rep) -> pd.DataFrame:
-    return pd.DataFrame({"sig": sig, "node": node, "rep": rep})
+    low = np.minimum.reduceat(node, np.flatnonzero(first)) if len(sig) else node
+    place = np.cumsum(first) - 1
+    other = np.flatnonzero(node != low[place])
+    rest = pd.DataFrame({"sig": sig[other], "low": low[place[other]], "node": node[other]}).drop_duplicates()
+    return sig[first], low, *(rest[c].to_numpy() for c in rest)
 
 
 def star_rows(texts: DataFrame, size: int, percent: int) -> DataFrame:
     """(sig, rep, node): for every signature of two or more sets, each set but the smallest id with a smaller one.
 
     A task first does so for its own texts and passes on one set per signature, so a signature that a
-    third of all texts share reaches the next task as one row per task.
+    third of all texts share reaches the next task as one row per task. Rows move as arrays, one for every partition and
+    FLUSH signatures; of a signature 48 bits and the partition are kept, chance meetings fail when they are compared.
     """
+    parts = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def dealt(part: np.ndarray, sig: np.ndarray, node: np.ndarray, rep: np.ndarray | None) -> pd.DataFrame:
+        order = np.lexsort((node, part))  # signatures of a set side by side take less room on their way
+        ends = np.searchsorted(part[order], np.arange(parts + 1))
+        rows = []
+        for at in range(parts):
+            own = order[ends[at]:ends[at + 1]]
+            if len(own):
+                short = sig[own].view(np.uint8).reshape(-1, 8)
+                rows.append((at, (short if rep is not None else short[:, :6]).tobytes(), node[own].tobytes(),
+                             None if rep is None else rep[own].tobytes()))
+        return pd.DataFrame(rows, columns=["part", "sig", "node", "rep"])
+
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held, count = [], 0
 
         def flush():
-            sig = np.concatenate([s for s, _ in held])
+            sig = np.concatenate([s for s, _ in held]).view(_U)
+            part = (sig >> _U(48)) % _U(parts)
+            sig = ((part << _U(48)) | (sig & _U(2**48 - 1))).view(np.int64)
             node = np.repeat(np.asarray([n for _, n in held], np.int64), [len(s) for s, _ in held])
             sig, node, other_sig, low, other = _stars(sig, node)
-            by = np.argsort(node, kind="stable")  # signatures of a set side by side take less room on their way
-            yield _frame(sig[by], node[by], node[by])
+            yield dealt(sig >> 48, sig, node, None)
+            # rows of a star are done and spread by their set
             if len(other):
-                yield _frame(other_sig, other, low)
+                yield dealt(other % parts, other_sig, other, low)
 
         seen: set[int] = set()
         for batch in batches:
@@ -254,48 +274,55 @@ def star_rows(texts: DataFrame, size: int, percent: int) -> DataFrame:
     def meet(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sigs, nodes = [], []
         for batch in batches:
-            star = (batch["rep"] != batch["node"]).to_numpy()
-            if star.any():
-                yield batch[star]
-            sigs.append(batch["sig"].to_numpy(np.int64)[~star])
-            nodes.append(batch["node"].to_numpy(np.int64)[~star])
+            for part, sig, node, rep in zip(batch["part"], batch["sig"], batch["node"], batch["rep"]):
+                node = np.frombuffer(node, np.int64)
+                if rep is not None:
+                    yield pd.DataFrame({"sig": np.frombuffer(sig, np.int64), "node": node, "rep": np.frombuffer(rep, np.int64)})
+                    continue
+                whole = np.zeros((len(node), 8), np.uint8)
+                whole[:, :6] = np.frombuffer(sig, np.uint8).reshape(-1, 6)
+                sigs.append(whole.view(np.int64).ravel() | (part << 48))
+                nodes.append(node)
         if sigs:
             _, _, sig, low, node = _stars(np.concatenate(sigs), np.concatenate(nodes))
             if len(node):
-                yield _frame(sig, node, low)
+                yield pd.DataFrame({"sig": sig, "node": node, "rep": low})
 
-    # what a task passes on names the set itself; rows of a star are done and spread by their set instead
-    key = F.when(F.col("rep") == F.col("node"), F.col("sig")).otherwise(F.xxhash64("node"))
-    return (texts.mapInPandas(sign, "sig long, node long, rep long").repartition(key)
+    return (texts.mapInPandas(sign, "part int, sig binary, node binary, rep binary").repartition(parts, "part")
             .mapInPandas(meet, "sig long, node long, rep long"))
 
 
 def verified(pairs: DataFrame, sets: DataFrame, size: int, percent: int) -> DataFrame:
     """``pairs`` (a, b) with the column linked: intersection >= percent/100 of the union.
 
-    ``sets`` is (node, packed text). A set in many pairs is repeated for shares of them, so none of
+    ``sets`` is (node, n, sketch, packed text); texts are compared where the sketches leave it open. A set in many pairs is repeated for shares of them, so none of
     its partners' tasks gets all.
     """
-    side = sets.select(F.col("node").alias("b"), F.col("packed").alias("packed_b"))
-    joined = hot_join(pairs.join(side, "b"),
-                      sets.select(F.col("node").alias("a"), F.col("packed").alias("packed_a")), "a", ["b"])
+    def side(name: str) -> DataFrame:
+        return sets.select(F.col("node").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in ("n", "sketch", "packed")])
+
+    joined = hot_join(pairs.join(side("b"), "b"), side("a"), "a", ["b"])
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         unpack = zstandard.ZstdDecompressor().decompress
         held: dict[int, np.ndarray] = {}
         for batch in batches:
-            linked = []
-            for a, b, packed_a, packed_b in zip(batch["a"], batch["b"], batch["packed_a"], batch["packed_b"]):
+            n = np.concatenate((batch["n_a"], batch["n_b"]))
+            linked = may_link([*batch["sketch_a"], *batch["sketch_b"]], n, np.arange(len(batch)),
+                              np.arange(len(batch), len(n)), percent)
+            for at in np.flatnonzero(linked):
+                a = batch["a"].iat[at]
                 if a not in held:
                     if len(held) >= 64:
                         held.clear()
-                    held[a] = shingles(unpack(packed_a).decode("utf-8", "surrogatepass"), size)
-                one, two = held[a], shingles(unpack(packed_b).decode("utf-8", "surrogatepass"), size)
+                    held[a] = shingles(unpack(batch["packed_a"].iat[at]).decode("utf-8", "surrogatepass"), size)
+                one, two = held[a], shingles(unpack(batch["packed_b"].iat[at]).decode("utf-8", "surrogatepass"), size)
                 both = len(np.intersect1d(one, two, assume_unique=True))
-                linked.append(100 * both >= percent * (len(one) + len(two) - both))
+                linked[at] = 100 * both >= percent * (len(one) + len(two) - both)
             yield pd.DataFrame({"a": batch["a"], "b": batch["b"], "linked": linked})
 
-    return joined.select("a", "b", "packed_a", "packed_b").mapInPandas(compare, "a long, b long, linked boolean")
+    return joined.select("a", "b", "n_a", "n_b", "sketch_a", "sketch_b", "packed_a", "packed_b").mapInPandas(
+        compare, "a long, b long, linked boolean")
 
 
 def left_apart(stars: DataFrame, failed: DataFrame, roots: DataFrame, sets: DataFrame, size: int,
@@ -399,6 +426,14 @@ def left_apart(stars: DataFrame, failed: DataFrame, roots: DataFrame, sets: Data
     return rows.groupBy("whole", "unit", "i", "j").applyInPandas(compare, "a long, b long").distinct().unionByName(linked)
 
 
+def _slots(nodes: DataFrame) -> bytes:
+    """A bit for each of SLOTS slots: whether a node falls into it. No larger for more nodes."""
+    slot = F.pmod("node", F.lit(SLOTS)) + 1  # counted from 1
+    found = nodes.select(F.bitmap_bucket_number(slot).alias("bucket"), F.bitmap_bit_position(slot).alias("bit"))
+    bits = {r["bucket"]: bytes(r["bits"]) for r in found.groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("bits")).collect()}
+    return b"".join(bits.get(i, bytes(4096)) for i in range(1, SLOTS // 32768 + 1))
+
+
 def similar_groups(documents: DataFrame, size: int = 4, percent: int = 85, id_col: str = "doc_id",
                    text_col: str = "text") -> DataFrame:
     """Group documents whose shingle sets are linked, directly or over others.
@@ -412,38 +447,39 @@ def similar_groups(documents: DataFrame, size: int = 4, percent: int = 85, id_co
     texts = documents.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     kind = documents.schema[id_col].dataType.simpleString()
 
-    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sizes, nodes = [], []
-            for text in batch.column("text"):
-                own = shingles(text.as_py(), size)
-                sizes.append(len(own))
-                nodes.append(digest(own))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64())],
-                ["doc_id", "n_shingles", "node"])
+    release(documents.sparkSession)
+    stars = written(star_rows(texts.where(F.col("text").isNotNull()), size, percent), "stars")
+    release(documents.sparkSession)
+    first = stars.select(F.col("rep").alias("a"), F.col("node").alias("b")).distinct()
+    wanted = written(first.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "wanted")
+    slots = _slots(wanted)
 
-    def packed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pack, seen = zstandard.ZstdCompressor(level=3).compress, set()
         for batch in batches:
-            rows = []
-            for text in batch["text"]:
+            sizes, nodes, sketches, packed = [], [], [], []
+            for text in batch.column("text"):
+                text = text.as_py()
                 own = shingles(text, size)
                 node = digest(own)
-                if node is not None and node not in seen:
+                sizes.append(len(own))
+                nodes.append(node)
+                # texts of sets in a star; where a slot is shared, some more
+                new = node is not None and slots[(node % SLOTS) >> 3] >> (node & 7) & 1 and node not in seen
+                if new:
                     seen.add(node)
-                    rows.append((node, len(own), sketch(own), pack(text.encode("utf-8", "surrogatepass"))))
-            yield pd.DataFrame(rows, columns=["node", "n", "sketch", "packed"]).astype({"node": "int64", "n": "int64"})
+                sketches.append(sketch(own) if new else None)
+                packed.append(pack(text.encode("utf-8", "surrogatepass")) if new else None)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()),
+                 pa.array(sketches, pa.binary()), pa.array(packed, pa.binary())],
+                ["doc_id", "n_shingles", "node", "sketch", "packed"])
 
-    release(documents.sparkSession)
-    docs = written(texts.mapInArrow(measure, f"doc_id {kind}, n_shingles long, node long"), "sets")
-    stars = written(star_rows(texts.where(F.col("text").isNotNull()), size, percent), "stars")
-    release(documents.sparkSession)
-    first = stars.select(F.col("rep").alias("a"), F.col("node").alias("b")).distinct()
-    wanted = first.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    sets = written(texts.where(F.col("text").isNotNull()).mapInPandas(packed, "node long, n long, sketch binary, packed binary")
+    docs = written(texts.mapInArrow(measure, f"doc_id {kind}, n_shingles long, node long, sketch binary, packed binary"), "sets")
+    sets = written(docs.where("packed is not null").select("node", F.col("n_shingles").alias("n"), "sketch", "packed")
                    .join(wanted, "node", "left_semi").groupBy("node")
                    .agg(F.min("packed").alias("packed"), F.min("sketch").alias("sketch"), F.min("n").alias("n")), "texts")
+    docs = docs.select("doc_id", "n_shingles", "node")
     tested = written(verified(first, sets, size, percent), "tested")
     release(documents.sparkSession)
     roots = components(wanted, tested.where("linked"))
@@ -453,7 +489,7 @@ def similar_groups(documents: DataFrame, size: int = 4, percent: int = 85, id_co
         roots = components(wanted, tested.where("linked").select("a", "b").unionByName(more))
         discard(more)
     roots = written(roots, "groups")
-    discard(stars, sets, tested)
+    discard(stars, wanted, sets, tested)
     nodes = docs.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("low"))
     nodes = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     lows = nodes.groupBy("root").agg(F.min("low").alias("component_id"))

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,34 +31,57 @@ def blank(text: Column) -> Column:
     return F.translate(text, others, " " * len(others))
 
 
+#: Links that one task joins at the end of ``components``, whatever the input.
+LAST_LINKS = 10_000
+
+
 def components(nodes: DataFrame, links: DataFrame, node: str = "node") -> DataFrame:
     """Smallest node reachable from each node over undirected ``links`` (a, b).
 
-    Alternates hooking to the smallest neighbour and pointer jumping until nothing moves; the state is written
-    each round, so lineage stays short and lost executors cost one round, and the round before is removed. Every
-    node of ``links`` is in ``nodes``. Nodes without links never enter the loop. Returns (node, root).
+    Each round hooks every node to its smallest neighbour, jumps pointers until they end in roots, and goes on with the
+    links between different roots only, so links within a group are read once however many rounds others take; a last few
+    thousand are joined by one task. What a round leaves is written, so lineage stays short and lost executors cost one
+    round, and what was before is removed. Every node of ``links`` is in ``nodes``. Nodes without links never enter the
+    loop. Returns (node, root).
     """
-    pairs = links.select("a", "b").where("a <> b")
-    edges = written(pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(),
-                    "edges")
-    after = written(edges.groupBy(F.col("a").alias("n")).agg(F.min("b").alias("low"))
-                    .select("n", F.least("n", "low").alias("root"), F.lit(True).alias("moved")), "roots")
-    while not after.where("moved").isEmpty():
-        before, state = after, after.select("n", "root")
-        # smallest root among the neighbours, offered both to the node and to its present root
-        near = (edges.join(state.select(F.col("n").alias("b"), F.col("root").alias("r")), "b")
-                .groupBy(F.col("a").alias("n")).agg(F.min("r").alias("r")))
-        offered = (state.join(near, "n").select("n", "root", F.least("root", "r").alias("r")))
-        to_root = offered.groupBy(F.col("root").alias("n")).agg(F.min("r").alias("hook"))
-        best = (state.join(near, "n").join(to_root, "n", "left")
-                .select("n", F.least("root", "r", F.coalesce("hook", "root")).alias("root"), F.col("root").alias("old")))
-        # the many nodes of a large component all ask for its root
-        jump = best.select(F.col("n").alias("root"), F.col("root").alias("up"))
-        after = written(hot_join(best, jump, "root", ["n"])
-                        .select("n", F.least("root", "up").alias("root"),
-                                (F.least("root", "up") != F.col("old")).alias("moved")), "roots")
-        discard(before)
-    discard(edges)
+    def last(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows = list(batches)
+        if not rows:
+            return
+        rows = pd.concat(rows, ignore_index=True)
+        found, place = np.unique(np.concatenate((rows["a"], rows["b"])), return_inverse=True)
+        roots = local_roots(len(found), place[:len(rows)], place[len(rows):])
+        yield pd.DataFrame({"n": found, "root": found[roots]})
+
+    edges = written(links.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "edges")
+    kind, after, many = edges.schema["a"].dataType.simpleString(), None, True
+    while many:
+        many = edges.count() > LAST_LINKS
+        if many:
+            low = (edges.select(F.col("b").alias("n"), F.col("a").alias("low")).unionByName(
+                edges.select(F.col("a").alias("n"), F.col("b").alias("low"))).groupBy("n").agg(F.min("low").alias("low")))
+            state = written(low.select("n", F.least("n", "low").alias("root"), F.lit(True).alias("moved")), "hooks")
+            while not state.where("moved").isEmpty():
+                # the many nodes of a large component all ask for its root
+                up = state.select(F.col("n").alias("root"), F.col("root").alias("up"))
+                before, state = state, written(hot_join(state.select("n", "root"), up, "root", ["n"]).select(
+                    "n", F.col("up").alias("root"), (F.col("up") != F.col("root")).alias("moved")), "hooks")
+                discard(before)
+            # a node may have many links
+            ends = [state.select(F.col("n").alias(end), F.col("root").alias(f"to_{end}")) for end in "ab"]
+            moved = hot_join(hot_join(edges, ends[0], "a", ["b"]), ends[1], "b", ["a"]).where("to_a <> to_b")
+            left = written(moved.select(F.least("to_a", "to_b").alias("a"), F.greatest("to_a", "to_b").alias("b")).distinct(), "edges")
+        else:
+            state, left = written(edges.coalesce(1).mapInPandas(last, f"n {kind}, root {kind}"), "hooks"), None
+        discard(edges)
+        edges, before = left, after
+        if before is None:
+            after = state
+            continue
+        up = state.select(F.col("n").alias("root"), F.col("root").alias("up"))
+        after = written(hot_join(before.select("n", "root"), up, "root", ["n"])
+                        .select("n", F.coalesce("up", "root").alias("root")), "roots")
+        discard(before, state)
     return (nodes.select(F.col(node).alias("n")).join(after.select("n", "root"), "n", "left")
             .select(F.col("n").alias(node), F.coalesce("root", "n").alias("root")))
 

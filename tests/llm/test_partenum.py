@@ -5,7 +5,7 @@ import numpy as np
 import odd
 import pytest
 
-from lotkeeper.llm import partenum
+from lotkeeper.llm import partenum, words
 
 LOWER = str.maketrans({chr(65 + i): chr(97 + i) for i in range(26)})
 
@@ -119,3 +119,68 @@ def test_texts_that_share_passages_against_brute_force(spark):
         rows.append((i, edited(text, rng, rng.randint(0, 3))))
     found = partenum.similar_groups(spark.createDataFrame(rows, "doc_id long, text string"), 5, 80)
     assert order(tuple(r) for r in found.drop("node").collect()) == order(brute(rows, 5, 80))
+
+
+@pytest.mark.parametrize("percent, most", [(80, 450), (85, 320)])
+def test_signatures_of_a_window_are_few(percent, most):
+    # two pairs of neighbouring bands took 500 and 350 of 500 shingles
+    rng = np.random.default_rng(3)
+    sets = [np.unique(rng.integers(0, 2**63, n).astype(np.uint64)) for n in range(400, 600)]
+    assert np.mean([len(partenum.signatures(x, percent)) for x in sets]) < most
+
+
+def test_texts_of_no_star_are_not_kept(spark, monkeypatch):
+    kept = []
+    plain = partenum.written
+
+    def seen(frame, label):
+        back = plain(frame, label)
+        if label == "sets":
+            kept.append(back.where("packed is not null").count())
+        return back
+
+    monkeypatch.setattr(partenum, "written", seen)
+    rows = [(i, odd.words(i, 80)) for i in range(50)] + [(100, odd.words(0, 80) + " more")]
+    found = partenum.similar_groups(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {r["doc_id"]: r["component_id"] for r in found.collect()} == {i: i for i in range(50)} | {100: 0}
+    assert kept and 2 <= kept[0] < 20
+
+
+def test_stars_meet_across_tasks(spark):
+    texts = spark.createDataFrame([(odd.words(1, 80),), (odd.words(1, 80) + " more",), (odd.words(2, 80),)], "text string")
+    moved = partenum.star_rows(texts.repartition(3), 4, 85)
+    own = [partenum.shingles(r["text"], 4) for r in texts.collect()]
+    low, high = sorted(partenum.digest(x) for x in own[:2])
+    shared = set(partenum.signatures(own[0], 85)) & set(partenum.signatures(own[1], 85))
+    rows = moved.collect()
+    assert {(r["rep"], r["node"]) for r in rows} == {(low, high)} and len({r["sig"] for r in rows}) == len(rows) == len(shared)
+
+
+@pytest.mark.parametrize("last", [0, 10_000])
+def test_components_go_on_with_links_between_groups_only(spark, monkeypatch, last):
+    monkeypatch.setattr(words, "LAST_LINKS", last)
+    rows, plain = [], words.written
+
+    def seen(frame, label):
+        back = plain(frame, label)
+        if label == "edges":
+            rows.append(back.count())
+        return back
+
+    monkeypatch.setattr(words, "written", seen)
+    rng = random.Random(6)
+    links = [(rng.randrange(90), rng.randrange(90)) for _ in range(60)] + [(200 + i, 200 + j) for i in range(30) for j in range(i)]
+    links += [(300 + i, 301 + i) for i in range(40)] + [(b, a) for a, b in [(500, 400 + i) for i in range(30)]]
+    found = words.components(spark.createDataFrame([(i,) for i in [*range(600), 7]], "node long"),
+                             spark.createDataFrame(links + links, "a long, b long"))
+    low = list(range(600))
+    for _ in low:
+        for a, b in links:
+            low[a] = low[b] = min(low[a], low[b])
+    assert sorted(tuple(r) for r in found.collect()) == sorted([*enumerate(low), (7, low[7])])
+    assert all(after < before / 2 for before, after in zip(rows, rows[1:]))
+
+
+def test_components_of_no_links(spark):
+    none = spark.createDataFrame([], "a long, b long")
+    assert [tuple(r) for r in words.components(spark.createDataFrame([(3,)], "node long"), none).collect()] == [(3, 3)]
