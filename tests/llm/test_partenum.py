@@ -121,9 +121,9 @@ def test_texts_that_share_passages_against_brute_force(spark):
     assert order(tuple(r) for r in found.drop("node").collect()) == order(brute(rows, 5, 80))
 
 
-@pytest.mark.parametrize("percent, most", [(80, 450), (85, 320)])
+@pytest.mark.parametrize("percent, most", [(80, 450), (85, 280)])
 def test_signatures_of_a_window_are_few(percent, most):
-    # two pairs of neighbouring bands took 500 and 350 of 500 shingles
+    # signed for two pairs of bands each, these sets had 485 and 301 on average
     rng = np.random.default_rng(3)
     sets = [np.unique(rng.integers(0, 2**63, n).astype(np.uint64)) for n in range(400, 600)]
     assert np.mean([len(partenum.signatures(x, percent)) for x in sets]) < most
