@@ -100,8 +100,9 @@ def mix(documents: DataFrame, keep: list[str] | None = None, id_col: str = "doc_
     source = F.col(source_col)
     narrow = documents.select(F.col(id_col).alias("_id"), source.alias("_source"), size.alias("_size"),
                               F.when(source.isNull(), "n").otherwise(F.concat(F.lit("s"), source.cast("string"))).alias("_key"),
-                              F.struct(*kept).alias("_kept") if kept else F.lit(None).cast("int").alias("_kept"))
-    sized = narrow if kept else written(narrow, "sizes")
+                              *[F.struct(*kept).alias("_kept")] if kept else [])
+    # texts are cut into words once to plan and, where they travel, once more on their way
+    sized = written(narrow.drop("_kept"), "sizes")
     sources = sized.groupBy("_key", F.col("_source").alias("source")).agg(
         F.sum("_size").alias("source_size"), F.count("*").alias("_rows"))
     aimed = targets(sources, weights, share, epochs).withColumn(
@@ -111,10 +112,13 @@ def mix(documents: DataFrame, keep: list[str] | None = None, id_col: str = "doc_
         "_key", "source_size", "target", F.col("quota").alias("_seats"), F.greatest(
             F.lit(1), F.ceil(F.col("source_size") / SHARD_TOKENS), F.ceil(F.col("_rows") / SHARD_ROWS)
         ).cast("long").alias("_shards")), "sources")
-    placed = hot_join(sized, dealt, "_key", ["_id", "_size"]).withColumn(
-        "_shard", seeded(seed, "shard", F.coalesce(F.col("_id").cast("string"), F.lit("")), F.col("_size").cast("string"))
-        % F.col("_shards"))
-    shards = placed.groupBy("_key", "_shard", "_seats").agg(F.sum("_size").alias("_tokens"))
+
+    def in_shards(rows: DataFrame) -> DataFrame:
+        return hot_join(rows, dealt, "_key", ["_id", "_size"], sized).withColumn(
+            "_shard", seeded(seed, "shard", F.coalesce(F.col("_id").cast("string"), F.lit("")), F.col("_size").cast("string"))
+            % F.col("_shards"))
+
+    shards = in_shards(sized).groupBy("_key", "_shard", "_seats").agg(F.sum("_size").alias("_tokens"))
     blocks = F.ceil(F.col("_tokens") / block).cast("long")
     quotas = (apportion(shards, ["_key"], ["_shard"], "_tokens", "_seats").where("_tokens > 0")
               .withColumn("_blocks", blocks).withColumn("_quota", F.least("quota", F.col("_blocks") * epochs))
@@ -124,6 +128,7 @@ def mix(documents: DataFrame, keep: list[str] | None = None, id_col: str = "doc_
     order = Window.partitionBy("_key", "_shard").orderBy(
         F.md5(F.concat_ws("|", F.lit(seed), F.coalesce(F.col("_id").cast("string"), F.lit("")))), "_id", "_size")
     began = F.coalesce(F.sum("_size").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    placed = in_shards(narrow if kept else sized)
     ordered = placed.withColumn("_at", began).join(written(quotas, "quotas"), ["_key", "_shard"], "left")
     run = F.col("_quota") % F.col("_blocks")
     clip = lambda x: F.greatest(F.lit(0), F.least(F.col("_size"), x - F.col("_at")))
@@ -134,7 +139,7 @@ def mix(documents: DataFrame, keep: list[str] | None = None, id_col: str = "doc_
         *[F.coalesce(x, F.lit(0)).cast("long").alias(name) for name, x in (
             ("from_1", clip(F.col("_start") * block)), ("to_1", clip(F.least(end, F.col("_blocks")) * block)),
             ("from_2", F.lit(0)), ("to_2", clip((end - F.col("_blocks")) * block)))],
-        "_kept")
+        *["_kept"] if kept else [])
     taken = F.col("whole") * F.col("size") + F.col("to_1") - F.col("from_1") + F.col("to_2") - F.col("from_2")
     return ranged.select(id_col, "size", "source_size", "target", taken.alias("taken"), "whole", "from_1", "to_1",
                          "from_2", "to_2", *[F.col(f"_kept.{c}").alias(c) for c in kept if c != id_col])

@@ -24,7 +24,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lotkeeper.llm.words import BLANKS, components, hot_join, local_roots
+from lotkeeper.llm.words import BLANKS, components, give_back, hot_join, local_roots
 from lotkeeper.session import discard, release, written
 
 _U = np.uint64
@@ -38,7 +38,7 @@ _LOWER[65:91] += 32
 _BLANK = np.zeros(256, bool)
 _BLANK[[ord(c) for c in BLANKS]] = True
 #: Signatures gathered before a task sorts them.
-FLUSH = 2_000_000
+FLUSH = 1_000_000
 #: Slots, a bit each, that tell which sets' texts to keep: 1 MB whatever the input.
 SLOTS = 1 << 23
 #: Sets and shingles of a block, where sets that no star connects are compared in blocks.
@@ -270,6 +270,8 @@ def star_rows(texts: DataFrame, size: int, percent: int) -> DataFrame:
                     seen.clear()
         if held:
             yield from flush()
+        del held
+        give_back()
 
     def meet(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sigs, nodes = [], []
@@ -287,6 +289,9 @@ def star_rows(texts: DataFrame, size: int, percent: int) -> DataFrame:
             _, _, sig, low, node = _stars(np.concatenate(sigs), np.concatenate(nodes))
             if len(node):
                 yield pd.DataFrame({"sig": sig, "node": node, "rep": low})
+        sigs.clear()
+        nodes.clear()
+        give_back()
 
     return (texts.mapInPandas(sign, "part int, sig binary, node binary, rep binary").repartition(parts, "part")
             .mapInPandas(meet, "sig long, node long, rep long"))
@@ -320,6 +325,7 @@ def verified(pairs: DataFrame, sets: DataFrame, size: int, percent: int) -> Data
                 both = len(np.intersect1d(one, two, assume_unique=True))
                 linked[at] = 100 * both >= percent * (len(one) + len(two) - both)
             yield pd.DataFrame({"a": batch["a"], "b": batch["b"], "linked": linked})
+        give_back()
 
     return joined.select("a", "b", "n_a", "n_b", "sketch_a", "sketch_b", "packed_a", "packed_b").mapInPandas(
         compare, "a long, b long, linked boolean")
@@ -474,6 +480,7 @@ def similar_groups(documents: DataFrame, size: int = 4, percent: int = 85, id_co
                 [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()),
                  pa.array(sketches, pa.binary()), pa.array(packed, pa.binary())],
                 ["doc_id", "n_shingles", "node", "sketch", "packed"])
+        give_back()
 
     docs = written(texts.mapInArrow(measure, f"doc_id {kind}, n_shingles long, node long, sketch binary, packed binary"), "sets")
     sets = written(docs.where("packed is not null").select("node", F.col("n_shingles").alias("n"), "sketch", "packed")

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -100,16 +102,26 @@ def sample(df: DataFrame, by: list[str], rows: int) -> DataFrame:
 SHARES = 64
 
 
-def hot_join(left: DataFrame, right: DataFrame, key: str, by: list[str]) -> DataFrame:
+def hot_join(left: DataFrame, right: DataFrame, key: str, by: list[str], narrow: DataFrame | None = None) -> DataFrame:
     """Left join on ``key``, unique in ``right``, where one key may hold a large share of ``left``.
 
     Rows of a key are split by a hash of ``by`` and the right row is repeated for the shares that occur,
     so the copies number at most the left rows, and no task gets a whole hot key. Null keys match nothing.
+    ``narrow`` has ``key`` and ``by`` of the rows of ``left``, if to read them there is less work.
     """
-    shared = left.withColumn("_share", F.pmod(F.xxhash64(*by), F.lit(SHARES)).cast("int"))
-    shares = (shared.where(F.col(key).isNotNull()).select(key, "_share").distinct()
+    share = F.pmod(F.xxhash64(*by), F.lit(SHARES)).cast("int").alias("_share")
+    shares = ((left if narrow is None else narrow).where(F.col(key).isNotNull()).select(key, share).distinct()
               .join(right.where(F.col(key).isNotNull()), key))
-    return shared.join(shares, [key, "_share"], "left").drop("_share")
+    return left.select("*", share).join(shares, [key, "_share"], "left").drop("_share")
+
+
+def give_back() -> None:
+    """Return what a Python worker has freed to the system. Workers wait for more work while others run, and what
+    they keep counts as the executor's memory."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim:
+        trim(0)
 
 
 def local_roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:

@@ -62,3 +62,19 @@ def test_odd_rows_and_empty_table(spark):
     assert mixing.mix(odd.empty(spark)).count() == 0
     columns = ["doc_id", "text", "lang", "source", "n_chars"]
     assert mixing.mixed_texts(odd.documents(spark).select(columns)).columns == columns
+
+
+def test_texts_are_read_twice_and_no_more(spark):
+    """Once to plan and once on their way, however many steps ask for sizes."""
+    read = spark.sparkContext.accumulator(0)
+
+    def tally(batches):
+        for batch in batches:
+            read.add(len(batch))
+            yield batch
+
+    rows = [(i, odd.words(i, 20 + i % 50), "ab"[i % 2]) for i in range(200)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    found = mixing.mixed_texts(frame.mapInPandas(tally, frame.schema)).collect()
+    assert read.value == 2 * len(rows)
+    assert sum(len(r["text"].split()) for r in found) == sum(r["taken"] for r in mixing.mix(frame).collect())
