@@ -4,7 +4,8 @@ The model of a language is counted over all its trusted text but a fifth, which
 Counts live in tables by n-gram, and probabilities are made by joins of those tables on the
 n-gram and on its context, so no task and no broadcast holds a model. Documents are scored in blocks
 of text: a block brings its distinct n-grams to the count joins once and gets their probabilities
-back, so what moves is the text once and far fewer n-grams than the text has.
+back, so what moves is the text, compressed, and far fewer n-grams than the text has. Trusted texts are found
+by their ids before anything moves but for a few others, which a join leaves out.
 
 An n-gram is an integer, 15 bits for each symbol. A symbol is a code point (those above 32748
 are folded into that range); runs of blanks are one space, digits are alike, and 0 stands before the text.
@@ -16,9 +17,12 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StructField, StructType
 
+from lotkeeper.llm.words import give_back
 from lotkeeper.session import discard, release, written
 
 ORDER = 4
@@ -29,12 +33,16 @@ BLOCK_CHARS = 32_000_000
 BLOCK_ROWS = 40_000
 #: Codes gathered before a task counts them.
 FLUSH = 3_000_000
+#: Slots, a bit each, that tell which texts may be trusted: 1 MB whatever the input.
+SLOTS = 1 << 23
 #: The quantile of held-back trusted text that sets a language's threshold.
 QUANTILE = 0.99
 
 
-def codes(text: str | None) -> np.ndarray:
-    """The n-grams of a text in order, one for each symbol."""
+def codes(text: str | bytes | None) -> np.ndarray:
+    """The n-grams of a text, or of its UTF-8 bytes, in order, one for each symbol."""
+    if isinstance(text, bytes):
+        text = text.decode("utf-8")
     points = np.frombuffer((text or "").encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
     points[(points >= 9) & (points <= 13)] = 32
     points[(points >= 48) & (points <= 57)] = 48
@@ -93,6 +101,7 @@ def counts(texts: DataFrame) -> DataFrame:
                 if seen.size >= limit and seen.squeeze() >= limit // 2:
                     yield from emit(seen)
         yield from emit(seen)
+        give_back()
 
     def emit(seen: Distinct) -> Iterator[pa.RecordBatch]:
         for lang, found, n in seen.tables():
@@ -102,6 +111,48 @@ def counts(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
+def among(documents: DataFrame, ids: DataFrame) -> DataFrame:
+    """The documents whose doc_id is in ``ids``, which are distinct and not null."""
+    # a semi-join would be carried out before the slots are looked at, with all texts
+    return likely(documents, ids).join(ids, "doc_id").select(*documents.columns)
+
+
+def likely(documents: DataFrame, ids: DataFrame) -> DataFrame:
+    """The documents whose doc_id is in ``ids``, and some whose id shares a slot with one of those: a join with ``ids``
+    that follows moves these texts only. A null id is in none."""
+    if documents.schema["doc_id"].dataType != ids.schema["doc_id"].dataType:
+        return documents  # ids that are equal as numbers may have other hashes
+    slot = F.pmod(F.xxhash64("doc_id"), F.lit(SLOTS)) + 1  # counted from 1
+    bits = (ids.where("doc_id is not null").select(F.bitmap_bucket_number(slot).alias("_bucket"), F.bitmap_bit_position(slot).alias("_at"))
+            .groupBy("_bucket").agg(F.bitmap_construct_agg("_at").alias("_bits")))
+    at = F.bitmap_bit_position(slot)
+    byte = F.conv(F.hex(F.substring("_bits", F.shiftright(at, 3).cast("int") + 1, F.lit(1))), 16, 10).cast("long")
+    return (documents.where("doc_id is not null").withColumn("_bucket", F.bitmap_bucket_number(slot))
+            .join(F.broadcast(bits), "_bucket").where(F.getbit(byte, at.bitwiseAND(F.lit(7)).cast("int")) == 1)
+            .select(*documents.columns))
+
+
+def packed(texts: DataFrame) -> DataFrame:
+    """The same rows with each text compressed, on less than half of its bytes, to be moved."""
+    fields = [StructField(f.name, BinaryType() if f.name == "text" else f.dataType) for f in texts.schema.fields]
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shrink = zstandard.ZstdCompressor(level=1).compress
+        for batch in batches:
+            short = pa.array([shrink(t.as_buffer()) if t.is_valid else None for t in batch.column("text")], pa.binary())
+            yield pa.RecordBatch.from_arrays([short if c == "text" else batch.column(c) for c in batch.schema.names],
+                                             batch.schema.names)
+        give_back()
+
+    return texts.mapInArrow(pack, StructType(fields))
+
+
+def opened(column: pa.ChunkedArray) -> Iterator[bytes | None]:
+    """The UTF-8 bytes of packed texts."""
+    grow = zstandard.ZstdDecompressor().decompress
+    return (grow(t.as_buffer()) if t.is_valid else None for t in column)
+
+
 def low(column: str, symbols: int) -> Column:
     """The last ``symbols`` symbols of an n-gram."""
     return F.col(column).bitwiseAND(F.lit((1 << BITS * symbols) - 1))
@@ -166,17 +217,18 @@ def scorer(documents: DataFrame, trusted: DataFrame) -> tuple[DataFrame, Callabl
 
     def gather(table: pa.Table) -> pa.Table:
         seen = Distinct()
-        for lang, text in zip(table.column("lang"), table.column("text")):
-            seen.add(lang.as_py(), codes(text.as_py()))
+        for lang, text in zip(table.column("lang"), opened(table.column("text"))):
+            seen.add(lang.as_py(), codes(text))
             if seen.size > FLUSH:
                 seen.squeeze()
         found = [(lang, g) for lang, g, _ in seen.tables()]
+        give_back()
         n = sum(len(g) for _, g in found)
         return pa.table({"block": pa.array([table.column("block")[0].as_py()] * n, pa.int32()),
                          "lang": pa.array([lang for lang, g in found for _ in range(len(g))], pa.string()),
                          "gram": pa.array(np.concatenate([g for _, g in found]) if found else [], pa.int64())})
 
-    grams = dealt.groupBy("block").applyInArrow(gather, "block int, lang string, gram long")
+    grams = packed(dealt.select("block", "lang", "text")).groupBy("block").applyInArrow(gather, "block int, lang string, gram long")
     grams = written(grams, "blocks")
     release(documents.sparkSession)  # the texts' way to their blocks, which they go once more
     scored = probabilities(grams.select("lang", "gram").distinct(), trusted)
@@ -184,6 +236,7 @@ def scorer(documents: DataFrame, trusted: DataFrame) -> tuple[DataFrame, Callabl
 
     def scores(part: DataFrame, keep_text: bool = False) -> DataFrame:
         carried = [f for f in documents.schema.fields if keep_text or f.name != "text"]
+        part = packed(part)
 
         def score(docs: pa.Table, table: pa.Table) -> pa.Table:
             langs = np.asarray(table.column("lang").to_pylist(), object)
@@ -193,16 +246,20 @@ def scorer(documents: DataFrame, trusted: DataFrame) -> tuple[DataFrame, Callabl
                 own = langs == lang
                 order = np.argsort(gram[own])
                 by[lang] = gram[own][order], logp[own][order]
-            rows = []
-            for lang, text in zip(docs.column("lang"), docs.column("text")):
-                found = codes(text.as_py())
+            rows, texts = [], []
+            for lang, text in zip(docs.column("lang"), opened(docs.column("text"))):
+                if keep_text:
+                    texts.append(text)
+                found = codes(text)
                 if not len(found):
                     rows.append((0, None))
                     continue
                 keys, values = by[lang.as_py()]
                 own = values[np.searchsorted(keys, found)]
                 rows.append((len(found), float(-own.mean())))
-            return pa.table({**{f.name: docs.column(f.name) for f in carried},
+            del gram, logp, by
+            give_back()
+            return pa.table({**{f.name: pa.array(texts, pa.string()) if f.name == "text" else docs.column(f.name) for f in carried},
                              "symbols": pa.array([r[0] for r in rows], pa.int64()),
                              "entropy": pa.array([r[1] for r in rows], pa.float64())})
 
@@ -232,9 +289,10 @@ def quality(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     ids = written(labels.where(F.col(label_col) == 1).select(F.col(id_col).alias("doc_id")).where(
         "doc_id is not null").distinct(), "trusted")
     counted = F.pmod(F.xxhash64("doc_id"), F.lit(5)) > 0
-    trusted = written(counts(docs.join(ids.where(counted), "doc_id", "left_semi").select("lang", "text")), "counts")
+    trusted = written(counts(among(docs, ids.where(counted)).select("lang", "text")), "counts")
+    release(documents.sparkSession)
     dealt, scores = scorer(docs, trusted)
-    held = scores(dealt.join(ids.where(~counted), "doc_id", "left_semi")).where("symbols > 0")
+    held = scores(among(dealt, ids.where(~counted))).where("symbols > 0")
     limits = written(held.groupBy("lang").agg(F.percentile_approx("entropy", quantile, 10_000).alias("limit")), "limits")
     found = scores(dealt, text_col in (keep or []))
     release(documents.sparkSession)

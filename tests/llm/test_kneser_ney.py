@@ -130,3 +130,32 @@ def test_the_threshold_alone_decides(spark):
     found = kn.quality(docs.unionByName(spark.createDataFrame(junk, docs.schema)), labels).collect()
     assert all(r["kept"] == (r["perplexity"] <= r["threshold"]) for r in found)
     assert any(r["doc_id"] >= 2000 and not r["kept"] for r in found)
+
+
+def test_only_texts_that_may_be_trusted_move(spark):
+    docs = spark.createDataFrame([(i, "en", odd.words(i, 40)) for i in range(3000)] + [(None, "en", "x")], "doc_id long, lang string, text string")
+    ids = spark.createDataFrame([(i,) for i in [*range(0, 3000, 10), -1, None]], "doc_id long")
+    found = kn.likely(docs, ids)
+    assert found.columns == docs.columns
+    near = Counter(r["doc_id"] for r in found.collect())
+    assert set(range(0, 3000, 10)) <= set(near) and None not in near and max(near.values()) == 1 and len(near) <= 310
+    assert kn.likely(docs, ids.limit(0)).count() == 0
+    # other hashes of equal ids: nothing is left out beforehand
+    assert kn.likely(docs, ids.select(F.col("doc_id").cast("int"))).count() == docs.count()
+    hot = kn.likely(docs.where("doc_id = 10").select(F.lit(10).cast("long").alias("doc_id"), "text", F.explode(F.sequence(F.lit(1), F.lit(50)))), ids)
+    assert hot.count() == 50
+
+
+def test_slots_are_looked_at_before_texts_move(spark):
+    docs = spark.createDataFrame([(i % 50, odd.words(i, 9)) for i in range(100)], "doc_id long, text string")
+    found = kn.among(docs, spark.createDataFrame([(3,), (4,), (99,)], "doc_id long"))
+    assert Counter(r["doc_id"] for r in found.collect()) == {3: 2, 4: 2}
+    joins = [line for line in found._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join" in line]
+    assert ["_bucket" in line for line in joins] == [False, True]
+
+
+def test_packed_texts_open_to_what_they_were(spark):
+    rows = [(1, odd.sentences(1, 20)), (2, ""), (3, None), (4, "\x00 中文 \U0001f600"), (4, " \n")]
+    short = kn.packed(spark.createDataFrame(rows, "doc_id long, text string")).toArrow()
+    assert Counter(zip(short.column("doc_id").to_pylist(), (None if t is None else t.decode() for t in kn.opened(short.column("text"))))) == Counter(rows)
+    assert 2 * len(short.filter(np.asarray(short.column("doc_id")) == 1).column("text")[0].as_py()) < len(rows[0][1])
