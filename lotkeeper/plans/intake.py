@@ -51,9 +51,9 @@ def scan_rejects(spark, sf):
         "CASE l_linenumber WHEN 7 THEN concat(l_orderkey, ',\"a,b\",x,y') WHEN 6 THEN CAST(l_orderkey AS STRING) ELSE"
         " concat(l_orderkey, ',\"a,b\",', l_partkey) END AS value")
     path = scratch_path(spark, "rejects")
-    # every task writes a file of its own, whose first row (the low 33 bits of the id are 0) brings the header
+    # every task writes a file of its own, whose first row (the low 33 bits of the id are 0), null or not, brings the header
     first = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) == 0
-    rows.select(F.when(first, F.concat(F.lit("ads_id,subject,price\n"), "value")).otherwise(F.col("value"))
+    rows.select(F.when(first, F.concat(F.lit("ads_id,subject,price\n"), F.coalesce("value", F.lit("")))).otherwise(F.col("value"))
                 .alias("value")).write.text(f"{path}/a")
     spark.createDataFrame([("subject,price,make,model\nOne,1,m,n",)], "value string").coalesce(1).write.text(f"{path}/b")
     return LF.scan_rejects(spark, [f"{path}/a", f"{path}/b"]).select("reason", "line")

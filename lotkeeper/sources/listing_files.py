@@ -15,9 +15,24 @@ _BYTE_ORDER_MARK = chr(0xFEFF)
 _OUTSIDE_QUOTES = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
 
 
-def file_headers(spark: SparkSession, path: str | list[str]) -> DataFrame:
+#: Cells that the reader of rejects takes in a line; one with more raises.
+_MOST_CELLS = 1 << 20
+#: Files are read to their end or the job fails.
+_WHOLE = {"ignoreCorruptFiles": False, "ignoreMissingFiles": False}
+
+
+def _cells(line: Column) -> Column:
+    """How many parts ``_OUTSIDE_QUOTES`` cuts a line into, in time that grows with the line alone."""
+    quotes = F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))
+    # commas before a quote too many are inside
+    tail = F.when(quotes % 2 == 1, F.regexp_replace(line, '^[^"]*"', "")).otherwise(line)
+    plain = F.regexp_replace(tail, '"[^"]*"', "")
+    return 1 + F.length(plain) - F.length(F.replace(plain, F.lit(","), F.lit("")))
+
+
+def file_headers(spark: SparkSession, path: str | list[str], **options) -> DataFrame:
     """(file, present): the column names of every file, from its first line."""
-    lines = (spark.read.text(path)
+    lines = (spark.read.options(**options).text(path)
              .select("value", F.col("_metadata.file_path").alias("file"),
                      F.col("_metadata.file_block_start").alias("start"),
                      F.monotonically_increasing_id().alias("row")).filter("start = 0"))
@@ -78,8 +93,10 @@ def scan_rejects(spark: SparkSession, path: str | list[str], required: str = "ad
 
     Files without the ``required`` column are reported as a whole (row and line null); of all files the rows with more
     or fewer cells than their file's header. ``row`` orders the rows of a file. Files of no bytes are never listed.
+    What cannot be read at all raises, whatever the session says of corrupt or missing files: a report that stopped
+    halfway would look like one of files without faults.
     """
-    headers = written(file_headers(spark, path), "headers")
+    headers = written(file_headers(spark, path, **_WHOLE), "headers")
     whole = headers.where(~F.array_contains("present", F.lit(required))).select(
         "file", F.lit(None).cast("long").alias("row"), F.lit(f"no column {required}").alias("reason"),
         F.lit(None).cast("string").alias("line"))
@@ -87,10 +104,10 @@ def scan_rejects(spark: SparkSession, path: str | list[str], required: str = "ad
     fields = [T.StructField(c, T.StringType()) for c in (*(f"_c{i}" for i in range(width)), "_line")]
     rows = (spark.read.schema(T.StructType(fields))
             .options(header=True, escape='"', multiLine=multi_line, columnNameOfCorruptRecord="_line", enforceSchema=True,
-                     ignoreCorruptFiles=True)
+                     maxColumns=_MOST_CELLS, **_WHOLE)
             .csv(path).select("*", F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("row")))
     # only lines whose cells are not as many as the widest header's keep their text
-    cells = F.when(F.col("_line").isNull(), width).otherwise(F.size(F.split("_line", _OUTSIDE_QUOTES)))
+    cells = F.when(F.col("_line").isNull(), width).otherwise(_cells(F.col("_line")))
     quoted = lambda c: F.when(c.rlike('[",\n]'), F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"'))).otherwise(c)
     line = F.coalesce("_line", F.array_join(F.array(*[F.coalesce(quoted(F.col(f"_c{i}")), F.lit("")) for i in range(width)]), ","))
     counted = rows.select("file", "row", cells.alias("cells"), line.alias("line")).join(headers, "file")

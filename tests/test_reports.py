@@ -1,8 +1,10 @@
 """Reports that come with other work: rejects, order across ranges, history, observed figures."""
 
+import gzip
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from lotkeeper.operators import clean, market, types
@@ -23,6 +25,34 @@ def test_rejected_files_and_rows(spark, tmp_path):
     assert os.path.isdir(tmp_path)
 
 
+def test_a_file_that_cannot_be_read_to_its_end_is_no_report(spark, tmp_path):
+    """A line with more cells than the reader takes by itself is reported with those after it; broken files raise."""
+    long = ",".join(["1"] * 30_000)
+    for name, text in (("a", f"ads_id,price\n1,2\n{long}\n3\n"), ("b", 'ads_id,price\n1,"2,3"\n4,"5"",6",7\n8,9"0,1\n')):
+        with open(f"{tmp_path}/{name}.csv", "w", encoding="utf-8") as f:
+            f.write(text)
+    found = scan_rejects(spark, str(tmp_path)).select("reason", "line")
+    assert values(found) == sorted([("fewer cells than columns", "3"), ("more cells than columns", long),
+                                    ("more cells than columns", '4,"5"",6",7')])
+    spark.conf.set("spark.sql.files.ignoreCorruptFiles", "true")
+    try:
+        with open(f"{tmp_path}/c.csv.gz", "wb") as f:
+            f.write(gzip.compress("".join(f"{i},{i * i}\n" for i in range(-1, 50_000)).encode())[:-2000])
+        with pytest.raises(Exception, match="c.csv.gz"):
+            scan_rejects(spark, str(tmp_path)).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.ignoreCorruptFiles")
+
+
+def test_a_null_first_row_leaves_its_file_the_header(spark, tmp_path):
+    from lotkeeper.plans import intake
+
+    spark.createDataFrame([(1, 1, None), (2, 6, 5), (3, 7, 5)], "l_orderkey long, l_linenumber int, l_partkey long").coalesce(1).write.parquet(
+        f"{tmp_path}/lineitem.parquet")
+    assert values(intake.scan_rejects(spark, str(tmp_path))) == [
+        ("fewer cells than columns", "2"), ("more cells than columns", '3,"a,b",x,y'), ("no column ads_id", None)]
+
+
 def test_order_is_checked_across_ranges(spark):
     rows = [(i * 7, f"make {(i * 37) % 101:03}", f"m{i}", "Sedan", "Verified") for i in range(400)]
     frame = spark.createDataFrame(rows, "pos int, make string, model string, type string, verification_status string").repartition(5)
