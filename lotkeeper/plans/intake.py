@@ -103,8 +103,9 @@ _AD_COLUMNS = ["ads_id", "subject", "price", "make", "model", "manufactured_date
 
 @query("scan_api_payload", _NORMALIZED + " WHERE l_linenumber < 7")
 def scan_api_payload(spark, sf):
+    """Payload files are compressed, which no reader can split, so they are many and small."""
     path = scratch_path(spark, "payload")
-    _payloads(spark, sf).write.text(path)
+    _payloads(spark, sf).write.options(compression="gzip", maxRecordsPerFile=100_000).text(path)
     ads = AP.scan_api_payload(spark, path, "cars", multi_line=False)
     return AP.normalize_ads(ads, "cars").select(*_AD_COLUMNS).withColumn(
         "price", F.col("price").cast("bigint"))

@@ -229,3 +229,20 @@ def test_rows_of_one_file_do_not_meet_in_one_task(spark):
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
     assert sorted((r["ads_id"], r["file"] or "", r["first_seen_at"] or "") for r in shaped.select("ads_id", "file", "first_seen_at").collect()) == [
         (1, "a", ""), (2, "b", "now"), (3, "", ""), (4, "", "s"), (100, "b", "now")]
+
+
+def test_payload_files_are_small_and_read_by_several_tasks(spark, tmp_path, monkeypatch):
+    from lotkeeper.plans import intake
+
+    monkeypatch.setattr(intake, "scratch_path", lambda spark, label: f"{tmp_path}/{label}")
+    day = "timestamp'2020-01-01 00:00:00' AS l_shipdate"
+    spark.range(250_000).selectExpr("id AS l_orderkey", "CAST(1 + id % 7 AS INT) AS l_linenumber", "1L AS l_partkey", "2L AS l_suppkey",
+                                    "3.0D AS l_quantity", "9.5D AS l_extendedprice", day, "'A' AS l_returnflag").coalesce(1).write.parquet(
+        f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame([(1, "a b", "Brand#1", "T", 4)], "p_partkey long, p_name string, p_brand string, p_type string, p_size int").write.parquet(
+        f"{tmp_path}/part.parquet")
+    found = intake.scan_api_payload(spark, str(tmp_path))
+    assert found.count() == 250_000 - len(range(6, 250_000, 7))  # one entry in seven has an id that is no number
+    files = [f for f in os.listdir(f"{tmp_path}/payload") if f.startswith("part-")]
+    assert len(files) > 2 and sum(os.path.getsize(f"{tmp_path}/payload/{f}") for f in files) < 250_000 * 50
+    assert found.groupBy(F.spark_partition_id()).count().count() > 1
