@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lotkeeper import fixed_values as fv
 from lotkeeper.functions import numbers as N
@@ -50,17 +51,52 @@ def drop_no_identity(df: DataFrame, category: str) -> DataFrame:
     return df.filter(has_identity(df.columns, category)) if keys else df
 
 
-def _first_per(df: DataFrame, keys: list[Column], order: list[Column]) -> DataFrame:
-    """First row of each key. The rank filter is pushed below the shuffle, so a hot key sends at
-    most one row per task."""
-    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    return df.withColumn("_rank", rank).filter("_rank = 1").drop("_rank")
+# What parts packed texts, and what stands for it, for itself and for a missing text.
+_PART, _MARK = chr(1), chr(2)
 
 
-def dedup_key_keep_last(df: DataFrame, order: str | Column | list[Column], key: str = "ads_id") -> DataFrame:
+def _packed(columns: list[str]) -> Column:
+    """Text columns as one text that nothing is lost in."""
+    def escaped(c: str) -> Column:
+        marked = F.replace(F.replace(F.col(c), F.lit(_MARK), F.lit(_MARK + "m")), F.lit(_PART), F.lit(_MARK + "p"))
+        return F.coalesce(marked, F.lit(_MARK + "n"))
+
+    return F.concat_ws(_PART, *[escaped(c) for c in columns])
+
+
+def _unpacked(part: Column) -> Column:
+    text = F.replace(F.replace(part, F.lit(_MARK + "p"), F.lit(_PART)), F.lit(_MARK + "m"), F.lit(_MARK))
+    return F.when(part != _MARK + "n", text)
+
+
+def _first_per(df: DataFrame, keys: list[str | Column], order: list[str | Column], descending: Callable = F.desc,
+               pack: bool = False) -> DataFrame:
+    """First row of each key in descending order. The rank filter is pushed below the shuffle, so a hot key sends at
+    most one row per task.
+
+    With ``pack`` the text columns move as one: in a row of many short texts, where each one lies takes up as much of a shuffle
+    as the texts do. They all move then, also those that nobody reads afterwards.
+    """
+    columns, texts = df.columns, []
+    if pack:
+        plain = {c for c in (*keys, *order) if isinstance(c, str)}
+        texts = [f.name for f in df.schema if f.dataType == T.StringType() and f.name not in plain]
+    if texts:
+        made = {f"_by{i}": c for i, c in enumerate((*keys, *order)) if isinstance(c, Column)}
+        keys, order = ([c if isinstance(c, str) else f"_by{i}" for i, c in enumerate(cs, start)]
+                       for cs, start in ((keys, 0), (order, len(keys))))
+        df = df.withColumns(made).select(*[c for c in columns if c not in texts], *made, _packed(texts).alias("_texts"))
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*[descending(o) for o in order]))
+    first = df.withColumn("_rank", rank).filter("_rank = 1").drop("_rank")
+    if not texts:
+        return first
+    parts = first.withColumn("_texts", F.split("_texts", _PART))
+    return parts.select(*[_unpacked(F.get("_texts", F.lit(texts.index(c)))).alias(c) if c in texts else c for c in columns])
+
+
+def dedup_key_keep_last(df: DataFrame, order: str | Column | list[Column], key: str = "ads_id", pack: bool = False) -> DataFrame:
     """One row per key: the last in input order. ``order``, a column or several, must be total within a key."""
-    order = F.col(order) if isinstance(order, str) else order
-    return _first_per(df, [F.col(key)], [o.desc() for o in (order if isinstance(order, list) else [order])])
+    return _first_per(df, [key], order if isinstance(order, list) else [order], pack=pack)
 
 
 def repost_key(make: str) -> list[Column]:
@@ -68,12 +104,12 @@ def repost_key(make: str) -> list[Column]:
     return [X.fold(F.col("subject")), N.price_digits(F.col("price")), X.fold(F.col(make))]
 
 
-def dedup_reposts(df: DataFrame, category: str) -> DataFrame:
+def dedup_reposts(df: DataFrame, category: str, pack: bool = False) -> DataFrame:
     """Of the ads with equal subject, price and make keep the one with the highest id."""
     make = MAKE_COLUMN[category]
     if make not in df.columns or "subject" not in df.columns:
         return df
-    return _first_per(df, repost_key(make), [F.col("ads_id").desc_nulls_first()])
+    return _first_per(df, repost_key(make), ["ads_id"], F.desc_nulls_first, pack)
 
 
 def flag_low_price(df: DataFrame, limit: int = fv.LOW_PRICE) -> DataFrame:
@@ -81,15 +117,15 @@ def flag_low_price(df: DataFrame, limit: int = fv.LOW_PRICE) -> DataFrame:
     return df.withColumn("low_price", F.coalesce(F.col("price") < limit, F.lit(False)))
 
 
-def clean_listings(df: DataFrame, category: str, order: str | Column) -> DataFrame:
+def clean_listings(df: DataFrame, category: str, order: str | Column, pack: bool = False) -> DataFrame:
     """Clean columns, drop rows without identity, keep one row per id, then one per repost group.
 
     Cleaning leaves the id alone, so rows are reduced to one per id first and the column cleaners
-    run on the survivors only, after the shuffle.
+    run on the survivors only, after the shuffle. Where most columns are wanted, ``pack`` makes both shuffles smaller.
     """
     known = df.filter(has_identity(df.columns, category, cleaned=False))
-    last = dedup_key_keep_last(known, order) if "ads_id" in df.columns else known
-    return dedup_reposts(clean_columns(last, category), category)
+    last = dedup_key_keep_last(known, order, pack=pack) if "ads_id" in df.columns else known
+    return dedup_reposts(clean_columns(last, category), category, pack)
 
 
 def clean_stats(df: DataFrame, category: str, order: str | Column) -> DataFrame:
@@ -128,13 +164,14 @@ def clean_stats(df: DataFrame, category: str, order: str | Column) -> DataFrame:
 def clean_observed(df: DataFrame, category: str, order: str | Column) -> tuple[DataFrame, Callable[[], dict[str, int]]]:
     """Cleaned listings, and a function that tells the figures of ``clean_stats`` once they have been written.
 
-    The figures are observed where the rows pass, so the table is read and cleaned once for both.
+    The figures are observed where the rows pass, so the table is read and cleaned once for both. All columns are written, so
+    texts move packed.
     """
     read, kept, left = Observation(), Observation(), Observation()
     known = df.observe(read, F.count("*").alias("before"), F.count_if(has_identity(df.columns, category, cleaned=False)).alias("known"))
     known = known.filter(has_identity(df.columns, category, cleaned=False))
-    last = (dedup_key_keep_last(known, order) if "ads_id" in df.columns else known).observe(kept, F.count("*").alias("ids"))
-    cleaned = dedup_reposts(clean_columns(last, category), category).observe(left, F.count("*").alias("after"))
+    last = (dedup_key_keep_last(known, order, pack=True) if "ads_id" in df.columns else known).observe(kept, F.count("*").alias("ids"))
+    cleaned = dedup_reposts(clean_columns(last, category), category, pack=True).observe(left, F.count("*").alias("after"))
 
     def figures() -> dict[str, int]:
         before, known_, ids, after = (*read.get.values(), *kept.get.values(), *left.get.values())

@@ -110,7 +110,7 @@ _OUT = ["ads_id", "url", "make", "model", "car_type", "transmission", "fuel_type
 
 @query("clean_listings", f"WITH {_CLEAN_CTES} SELECT {', '.join(_OUT)} FROM kept")
 def clean_listings(spark, sf):
-    return C.clean_listings(S.raw_listings(spark, sf), "cars", "ingest_seq").select(*_OUT)
+    return C.clean_listings(S.raw_listings(spark, sf).select(*_OUT, "ingest_seq"), "cars", "ingest_seq", pack=True).select(*_OUT)
 
 
 @query("drop_no_identity", """SELECT * FROM (SELECT l_orderkey, l_linenumber,

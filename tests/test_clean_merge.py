@@ -117,3 +117,22 @@ def test_upsert_stats_per_file(spark):
                                   "ads_id long, file string, ingest_seq int")
     assert values(merge.upsert_stats(state, batch), "file", "attempted", "inserted", "updated") == [
         (None, 4, 2, 2), ("a", 2, 1, 1), ("b", 2, 1, 1)]
+
+
+def test_packed_texts_come_back_as_they_were(spark):
+    """Cleaning with texts packed into one gives what it gives without, whatever characters they hold; both shuffles move one text."""
+    odd = ["a", None, "", "\x01", "\x02", "\x02n", "\x02p\x01", "\x02m", "\x01\x02", " x ", "\U0001F600\x02", "nan", "RM 3,500.0"]
+    rows = [(None if i % 17 == 0 else i % 50, odd[i % 13], odd[i // 3 % 13], odd[i // 5 % 13], odd[i // 7 % 13], odd[i // 2 % 13], i % 5, (i, f"t{i}"))
+            for i in range(400)]
+    frame = spark.createDataFrame(rows, "ads_id long, make string, model string, subject string, price string, url string, n int, "
+                                        "seq struct<a: int, b: string>")
+    plain, packed = (clean.clean_listings(frame, "cars", "seq", pack=p) for p in (False, True))
+    assert packed.schema == plain.schema and values(packed) == values(plain)
+    observed, figures = clean.clean_observed(frame, "cars", "seq")
+    assert values(observed) == values(plain)
+    assert figures() == clean.clean_stats(frame, "cars", "seq").first().asDict()
+    first = lambda p: clean.dedup_key_keep_last(frame, [F.col("seq.b"), F.length("url")], key="model", pack=p)
+    assert values(first(True)) == values(first(False)) and len(values(first(True))) == 13
+    for df in (packed, observed):
+        moved = df._jdf.queryExecution().optimizedPlan().toString().split("Window [")
+        assert len(moved) == 3 and all("_texts" in m for m in moved[1:])
