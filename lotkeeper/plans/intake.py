@@ -3,6 +3,8 @@ and read back by the source under test."""
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import functions as F
 
 from lotkeeper.operators import types as T
@@ -338,17 +340,47 @@ _DELIVERED = ["year(l_shipdate)", "l_linestatus", *S.SEQ, "l_linenumber"]
 _ARRIVED = _WEEKLY.replace(f"row({', '.join(S.SEQ)}, l_linenumber) AS k", f"row({', '.join(_DELIVERED)}) AS k")
 
 
+#: Deliveries written at the same time; each is one file, and so one task.
+_WRITERS = 16
+
+
+def _arrived(spark, folders):
+    """Give files times in the order of their folders, as if each had been written after the one before."""
+    last = 0
+    for folder in folders:
+        at = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        system = at.getFileSystem(spark._jsc.hadoopConfiguration())
+        for file in system.listStatus(at):
+            if file.getPath().getName().startswith("part-"):
+                last = max(last + 1, file.getModificationTime())
+                system.setTimes(file.getPath(), last, -1)
+                if system.getFileStatus(file.getPath()).getModificationTime() != last:
+                    raise RuntimeError(f"the time of {file.getPath()} cannot be set, which tells when it arrived")
+
+
 def _deliver(spark, sf, path):
-    """Two files for every year of order lines, in order: one carries prices as text, the other none."""
+    """Two files for every year of order lines, in order: one carries prices as text, the other none.
+
+    Lines are parted by delivery in one pass, and deliveries are written side by side.
+    """
     rows = S.table(spark, sf, "lineitem").selectExpr(
         "CAST(l_orderkey AS STRING) AS ads_id", "concat(l_returnflag, l_linenumber) AS subject",
         "concat('RM ', CAST(l_quantity AS BIGINT), ',000') AS price", f"struct({', '.join(_DELIVERED[2:])}) AS at",
         "year(l_shipdate) AS year", "l_linestatus AS kind")
     years = rows.agg(F.min("year"), F.max("year")).first()
-    for year in range(years[0], years[1] + 1):
-        for kind, columns in (("F", ["price", "ads_id", "subject"]), ("O", ["ads_id", "subject"])):
-            delivery = rows.filter((F.col("year") == year) & (F.col("kind") == kind)).repartition(1).sortWithinPartitions("at")
-            LF.sink_snapshot_csv(delivery.select(*columns), path, "cars", f"{year}{kind}")
+    parted = scratch_path(spark, "deliveries")
+    rows.write.partitionBy("year", "kind").parquet(parted)
+    lines = spark.read.schema(rows.schema).parquet(parted)
+
+    def write(year, kind, columns):
+        delivery = lines.filter((F.col("year") == year) & (F.col("kind") == kind)).repartition(1).sortWithinPartitions("at")
+        return LF.sink_snapshot_csv(delivery.select(*columns), path, "cars", f"{year}{kind}")
+
+    with ThreadPoolExecutor(_WRITERS) as writers:
+        folders = list(writers.map(lambda delivery: write(*delivery), [
+            (year, kind, columns) for year in range(years[0], years[1] + 1)
+            for kind, columns in (("F", ["price", "ads_id", "subject"]), ("O", ["ads_id", "subject"]))]))
+    _arrived(spark, folders)
 
 
 @query("stream_snapshots", _ARRIVED)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -63,27 +63,28 @@ def scan_listing_csv(spark: SparkSession, path: str | list[str], columns: Sequen
     have one ``layout``, naming it saves the pass.
 
     Adds ``file``, ``present`` (the columns the row's file carries: an absent column is not a NULL
-    value) and ``ingest_seq``, which orders rows by file time, file name and place in the file.
+    value) and ``ingest_seq``, which orders the rows of one scan by file time, file name and place in the file.
     """
     if layout is None:
-        headers = written(file_headers(spark, path), "headers")
+        # a row per file; its place among the names goes with every row of the file, and is far shorter than the name
+        place_of = F.row_number().over(Window.orderBy("file"))
+        headers = written(file_headers(spark, path).withColumn("_place", place_of), "headers")
         width = headers.agg(F.max(F.size("present"))).first()[0] or 1
     else:
         headers, width = None, len(layout)
     slots = [f"_c{i}" for i in range(width)]
-    place = F.struct(F.col("_metadata.file_modification_time").alias("time"),
-                     F.col("_metadata.file_path").alias("path"),
-                     F.col("_metadata.file_block_start").alias("start"),
-                     F.monotonically_increasing_id().alias("row"))
+    at = {"time": F.col("_metadata.file_modification_time"), "start": F.col("_metadata.file_block_start"),
+          "row": F.monotonically_increasing_id()}
     rows = (spark.read.schema(T.StructType([T.StructField(c, T.StringType()) for c in slots]))
             .options(header=True, escape='"', multiLine=multi_line,
                      ignoreCorruptFiles=skip_unreadable)
             .csv(path)
-            .select("*", F.col("_metadata.file_path").alias("file"), place.alias("ingest_seq")))
+            .select("*", F.col("_metadata.file_path").alias("file"), *[v.alias(f"_{c}") for c, v in at.items()]))
     if headers is None:
-        rows = rows.withColumn("present", F.array(*[F.lit(c) for c in layout]))
+        rows = rows.withColumns({"present": F.array(*[F.lit(c) for c in layout]), "_place": F.col("file")})
     else:
         rows = rows.join(headers, "file")
+    rows = rows.withColumn("ingest_seq", F.struct(*[F.col(f"_{c}").alias(c) for c in ("time", "place", "start", "row")]))
     return rows.select(*_cells_to_columns(F.array(*slots), F.col("present"), columns),
                        "file", "present", "ingest_seq")
 

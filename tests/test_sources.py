@@ -246,3 +246,32 @@ def test_payload_files_are_small_and_read_by_several_tasks(spark, tmp_path, monk
     files = [f for f in os.listdir(f"{tmp_path}/payload") if f.startswith("part-")]
     assert len(files) > 2 and sum(os.path.getsize(f"{tmp_path}/payload/{f}") for f in files) < 250_000 * 50
     assert found.groupBy(F.spark_partition_id()).count().count() > 1
+
+
+def test_deliveries_are_written_side_by_side_and_arrive_in_order(spark, tmp_path, monkeypatch):
+    import threading
+
+    from lotkeeper.plans import intake
+
+    spark.range(300).selectExpr("id % 40 AS l_orderkey", "CAST(1 + id % 7 AS INT) AS l_linenumber", "id AS l_partkey", "2L AS l_suppkey",
+                                "3.0D AS l_quantity", "CAST(id * 7 % 300 AS DOUBLE) AS l_extendedprice",
+                                "make_timestamp(CAST(1994 + id % 3 AS INT), 1, 1, 0, 0, 0) AS l_shipdate", "'A' AS l_returnflag",
+                                "IF(id % 2 = 0, 'F', 'O') AS l_linestatus").repartition(3).write.parquet(f"{tmp_path}/lineitem.parquet")
+    sink, two, path = listing_files.sink_snapshot_csv, threading.Barrier(2, timeout=60), str(tmp_path / "delivered")
+
+    def together(*args):
+        two.wait()  # returns once two deliveries are being written
+        return sink(*args)
+
+    monkeypatch.setattr(listing_files, "sink_snapshot_csv", together)
+    intake._deliver(spark, str(tmp_path), path)
+    files = [f"{folder}/{f}" for folder, _, found in os.walk(path) for f in found if f.startswith("part-")]
+    by_time = sorted(files, key=os.path.getmtime)
+    assert [f.split("run_ts=")[1].split("/")[0] for f in by_time] == [f"{y}{k}" for y in (1994, 1995, 1996) for k in "FO"]
+    with open(by_time[0], encoding="utf-8") as f:
+        assert [line.split(",")[-2] for line in f.read().split("\n")[1:-1]] == [
+            str(i % 40) for i in sorted(range(0, 300, 6), key=lambda i: (i * 7 % 300, i))]
+    # what orders rows is short: no file name goes with every row
+    scanned = listing_files.scan_listing_csv(spark, files, ["ads_id", "subject", "price"])
+    assert "string" not in scanned.schema["ingest_seq"].dataType.simpleString()
+    assert [r.file.split("run_ts=")[1][:5] for r in scanned.orderBy("ingest_seq").collect()] == [f"{y}{k}" for y in (1994, 1995, 1996) for k in "FO" for _ in range(50)]
