@@ -2,7 +2,7 @@
 
 Vectors are unit length here. A coarse list holds the vectors nearest to its centre, and a vector is known
 there by the codes of its residual, one per subspace, and the error they leave. A query looks into
-the lists where a similar vector may lie, adds up table entries for every code in them, and asks only for
+the lists where a similar vector may lie, takes products with what the codes in them stand for, and asks only for
 vectors whose distance by codes could be near enough; those are compared exactly.
 
 Both decisions are bounds with a margin between 0 and 1: a similar vector differs from the query by a part
@@ -68,10 +68,14 @@ class Quantiser:
         rest = x - self.centres[own]
         codes = np.stack([np.argmin((book**2).sum(1) - 2 * rest[:, a:b] @ book.T, axis=1)
                           for book, a, b in zip(self.books, self.edges, self.edges[1:])], axis=1)
-        decoded = np.concatenate([book[codes[:, i]] for i, book in enumerate(self.books)], axis=1)
+        decoded = self.decoded(codes)
         fixed = (decoded**2).sum(1) + 2 * (decoded * self.centres[own]).sum(1)
         return own, codes, np.linalg.norm(rest - decoded, axis=1), fixed
 
+    def decoded(self, codes: np.ndarray) -> np.ndarray:
+        """The residuals that codes stand for."""
+        return np.concatenate([book[codes[:, i]] for i, book in enumerate(self.books)], axis=1)
+
     def probes(self, x: np.ndarray, own: np.ndarray, cosine: float, margin: float) -> np.ndarray:
         """Whether a vector similar to x may lie in a list at or after x's own, by (query, list)."""
         near = x @ self.centres.T
@@ -177,23 +181,23 @@ def _named(sound: DataFrame, cosine: float, margin: float) -> DataFrame:
             return pa.table({"block": pa.array([], pa.string()), "rep": pa.array([], data.schema.field("rep").type)})
         x, own = _unit(_matrix(queries.column("v"))), queries.column("list").to_numpy()
         asked = model.probes(x, own, cosine, margin).T
-        far = 2 - 2 * model.centres @ x.T
-        # unit queries against centres: |x - c|^2, then the codes' part by table lookups
-        table = np.concatenate([(x[:, a:b] @ book.T).T for book, a, b in zip(model.books, model.edges, model.edges[1:])])
-        starts = np.cumsum([0, *[len(b) for b in model.books[:-1]]])
-        far, table = far.astype(np.float32), table.astype(np.float32)
+        x = x.astype(np.float32)
         lists = data.column("list").to_numpy()
         code = np.frombuffer(b"".join(data.column("code").to_pylist()), np.uint8).reshape(len(lists), -1)
         error, fixed = data.column("error").to_numpy(), data.column("fixed").to_numpy()
-        most = (limit + error**2 + 2 * np.sqrt(limit) * error * margin - fixed + 1e-4).astype(np.float32)
+        # a unit query is near enough if its product with what list and codes stand for is as large as this
+        least = (1 - (limit + error**2 + 2 * np.sqrt(limit) * error * margin - fixed + 1e-4) / 2).astype(np.float32)
         wanted = np.zeros(len(lists), bool)
-        for at in range(0, len(lists), 4096):
-            part = slice(at, at + 4096)
-            dots = table[starts[0] + code[part, 0]]
-            for m in range(1, code.shape[1]):
-                dots += table[starts[m] + code[part, m]]
-            near = far[lists[part]] - 2 * dots <= most[part][:, None]
-            wanted[part] = (near & asked[lists[part]]).any(axis=1)
+        order = np.argsort(lists, kind="stable")
+        for rows in np.split(order, np.flatnonzero(np.diff(lists[order])) + 1):
+            # a list is compared with the queries that look into it, not with all of the block
+            own_list = lists[rows[0]]
+            asking = x[asked[own_list]].T
+            if asking.shape[1]:
+                for at in range(0, len(rows), 4096):
+                    part = rows[at:at + 4096]
+                    stands = (model.centres[own_list] + model.decoded(code[part])).astype(np.float32)
+                    wanted[part] = (stands @ asking).max(axis=1) >= least[part]
         picked = data.column("rep").filter(pa.array(wanted))
         return pa.table({"block": pa.array([queries.column("block")[0].as_py()] * len(picked), pa.string()), "rep": picked})
 
