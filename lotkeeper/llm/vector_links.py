@@ -169,36 +169,49 @@ def _named(sound: DataFrame, cosine: float, margin: float) -> DataFrame:
 
     pieces = max(1, -(-rows // PIECE_ROWS))
     needs = blocks.select("block", "list", "v").mapInArrow(look, "block string, list int").distinct()
-    codes = coded.select("list", "rep", "code", "error", "fixed").join(needs, "list").withColumn(
-        "piece", F.pmod(F.xxhash64("rep"), F.lit(pieces)).cast("int"))
-    spread = blocks.withColumn("piece", F.explode(F.sequence(F.lit(0), F.lit(pieces - 1))))
     limit = 2 - 2 * cosine
 
+    def pack(data: pa.Table) -> pa.Table:
+        """One row of what a list has in a piece: ids, codes, and how large a unit query's product with what list and codes
+        stand for must be for it to be near enough."""
+        error, fixed = data.column("error").to_numpy(), data.column("fixed").to_numpy()
+        least = 1 - (limit + error**2 + 2 * np.sqrt(limit) * error * margin - fixed + 1e-4) / 2
+        reps = data.column("rep").combine_chunks()
+        return pa.table({"list": data.column("list")[:1], "piece": data.column("piece")[:1],
+                         "reps": pa.ListArray.from_arrays(pa.array([0, len(reps)], pa.int32()), reps),
+                         "codes": pa.array([b"".join(data.column("code").to_pylist())], pa.binary()),
+                         "least": pa.array([least.astype(np.float32).tobytes()], pa.binary())})
+
+    # a list goes to every block that looks into it, as a row of each piece rather than one of each vector
+    packed = coded.select("list", F.pmod(F.xxhash64("rep"), F.lit(pieces)).cast("int").alias("piece"), "rep", "code", "error", "fixed")
+    packed = written(packed.groupBy("list", "piece").applyInArrow(
+        pack, f"list int, piece int, reps array<{kind}>, codes binary, least binary"), "packed")
+    codes = packed.join(needs, "list")
+    spread = blocks.withColumn("piece", F.explode(F.sequence(F.lit(0), F.lit(pieces - 1))))
+
     def ask(queries: pa.Table, data: pa.Table) -> pa.Table:
         """Which of the data's vectors some query of the block must see."""
         model = shared.value
         if not queries.num_rows or not data.num_rows:
-            return pa.table({"block": pa.array([], pa.string()), "rep": pa.array([], data.schema.field("rep").type)})
+            return pa.table({"block": pa.array([], pa.string()), "rep": pa.array([], queries.schema.field("rep").type)})
         x, own = _unit(_matrix(queries.column("v"))), queries.column("list").to_numpy()
         asked = model.probes(x, own, cosine, margin).T
         x = x.astype(np.float32)
-        lists = data.column("list").to_numpy()
-        code = np.frombuffer(b"".join(data.column("code").to_pylist()), np.uint8).reshape(len(lists), -1)
-        error, fixed = data.column("error").to_numpy(), data.column("fixed").to_numpy()
-        # a unit query is near enough if its product with what list and codes stand for is as large as this
-        least = (1 - (limit + error**2 + 2 * np.sqrt(limit) * error * margin - fixed + 1e-4) / 2).astype(np.float32)
-        wanted = np.zeros(len(lists), bool)
-        order = np.argsort(lists, kind="stable")
-        for rows in np.split(order, np.flatnonzero(np.diff(lists[order])) + 1):
+        found = []
+        for place, own_list in enumerate(data.column("list").to_pylist()):
             # a list is compared with the queries that look into it, not with all of the block
-            own_list = lists[rows[0]]
             asking = x[asked[own_list]].T
-            if asking.shape[1]:
-                for at in range(0, len(rows), 4096):
-                    part = rows[at:at + 4096]
-                    stands = (model.centres[own_list] + model.decoded(code[part])).astype(np.float32)
-                    wanted[part] = (stands @ asking).max(axis=1) >= least[part]
-        picked = data.column("rep").filter(pa.array(wanted))
+            if not asking.shape[1]:
+                continue
+            code = np.frombuffer(data.column("codes")[place].as_py(), np.uint8).reshape(-1, len(model.books))
+            least = np.frombuffer(data.column("least")[place].as_py(), np.float32)
+            wanted = np.zeros(len(least), bool)
+            for at in range(0, len(least), 4096):
+                part = slice(at, at + 4096)
+                stands = (model.centres[own_list] + model.decoded(code[part])).astype(np.float32)
+                wanted[part] = (stands @ asking).max(axis=1) >= least[part]
+            found.append(data.column("reps")[place].values.filter(pa.array(wanted)))
+        picked = pa.concat_arrays([data.column("reps")[0].values[:0], *found])
         return pa.table({"block": pa.array([queries.column("block")[0].as_py()] * len(picked), pa.string()), "rep": picked})
 
     asked = spread.groupBy("block", "piece").cogroup(codes.groupBy("block", "piece")).applyInArrow(

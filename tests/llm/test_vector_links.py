@@ -58,3 +58,21 @@ def test_every_length_is_compared(spark):
     found = {r["vec_id"]: tuple(r)[1:] for r in vector_links.linked_vectors(spark.createDataFrame([(*r, 0) for r in rows], SCHEMA)).collect()}
     assert found == {0: (2, 0, True), 1: (2, 0, False), 2: (1, 2, True), 3: (1, 2, False), 4: (0, 4, True), 5: (2, 0, False),
                      6: (0, 6, True), 7: (0, 7, True)}
+
+
+def test_a_list_goes_to_blocks_as_one_row(spark, monkeypatch):
+    """Lists move packed, a row of each piece, and hold every vector once; near copies in different pieces and lists are found."""
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(700, 16))
+    x[350:] = x[:350] + 0.05 * rng.normal(size=(350, 16))
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    stored, write = {}, vector_links.written
+    monkeypatch.setattr(vector_links, "written", lambda df, label: stored.setdefault(label, write(df, label)))
+    monkeypatch.setattr(vector_links, "PIECE_ROWS", 300)
+    found = {r.vec_id: (r.n_links, r.component_id) for r in vector_links.linked_vectors(frame, margin=1.0).collect()}
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    near = unit @ unit.T >= 0.9
+    assert {i: n for i, (n, _) in found.items()} == {i: int(near[i].sum()) - 1 for i in range(700)}
+    packed = stored["packed"].selectExpr("list", "piece", "size(reps) AS n", "length(least) / 4 AS m").collect()
+    assert len(packed) == len({(r["list"], r["piece"]) for r in packed}) <= 2 * 3
+    assert sum(r["n"] for r in packed) == sum(r["m"] for r in packed) == 700
